@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harvest.functions.dates import parse_date
-from harvest.functions.text import CODE_LIST_WORD, MAP_URL_FIELD, SPATIAL_WORD
+from harvest.functions.text import CODE_LIST_WORD, MAP_URL_FIELD, SPATIAL_WORD  # noqa: F401
 
 # Column-name words that mark a date column, and words that
 # mark a dataset without one (checked on the lower-cased column name).
@@ -16,6 +16,15 @@ DATE_COLUMN_WORDS = ["date", "日期", "年度", "year", "年份"]
 NO_DATE_COLUMN_WORDS = ["crop_uid", "分布圖"]
 DEFAULT_CUTOFF = (2025, 1, 1)
 
+# Data category -> 3-digit dataset-id prefix.
+CATEGORY_PREFIXES = [
+    ("安全飲食", "101"), ("地理圖資", "102"), ("農業旅遊", "103"), ("農糧", "104"),
+    ("漁業", "105"), ("畜牧", "106"), ("農民輔導", "107"), ("農業金融", "108"),
+    ("動植物防疫檢疫", "109"), ("水土保持", "110"), ("農村再生", "111"), ("造林生產", "112"),
+    ("森林經營", "113"), ("農業科技", "114"), ("主計", "115"), ("農業法規", "116"),
+    ("農田水利", "117"), ("其他", "118"), ("農業氣象", "119"), ("動物保護", "120"),
+]
+
 
 def pick_date_column(columns: list[str]) -> str | None:
     """First column whose lower-cased name contains a date word; None when a
@@ -44,3 +53,67 @@ def date_cutoff(df: DataFrame, year: int = DEFAULT_CUTOFF[0], month: int = DEFAU
         return df
     cutoff = _dt.datetime(int(year), int(month), int(day))
     return df.where(parse_date(F.col(col)) >= F.lit(cutoff).cast("timestamp_ntz"))
+
+
+def category_table(spark) -> DataFrame:
+    """The 20-row category -> prefix table (fixed size, safe to broadcast)."""
+    return spark.createDataFrame(CATEGORY_PREFIXES, "category string, prefix string")
+
+
+def _blank(c) -> "F.Column":
+    return c.isNull() | (F.trim(c.cast("string")) == "")
+
+
+def metadata_integrity(meta: DataFrame, categories: DataFrame, required=("api_url", "title", "category",
+                                                                        "updated_at_src")) -> DataFrame:
+    """P01 + J09: status per metadata record: ``ok`` when every required field
+    is non-blank and the category is known (its prefix attached), else
+    ``missing`` or ``unknown_category``. Rejects are kept, with their status."""
+    cat = F.broadcast(categories.select(F.col("category").alias("_cat"), "prefix"))
+    j = meta.join(cat, meta["category"] == cat["_cat"], "left").drop("_cat")
+    missing = None
+    for c in required:
+        missing = _blank(F.col(c)) if missing is None else (missing | _blank(F.col(c)))
+    status = (F.when(missing, F.lit("missing"))
+              .when(F.col("prefix").isNull(), F.lit("unknown_category"))
+              .otherwise(F.lit("ok")))
+    return j.withColumn("status", status)
+
+
+def load_mode(title, first_map_url) -> "F.Column":
+    """``full`` when the dataset's first row has a non-empty map URL or the
+    title names a code list (or a spatial dataset, Q16); else ``incremental``."""
+    t = F.coalesce(title, F.lit(""))
+    full = ((F.coalesce(first_map_url, F.lit("")) != "")
+            | F.contains(t, F.lit(CODE_LIST_WORD)) | F.contains(t, F.lit(SPATIAL_WORD)))
+    return F.when(full, F.lit("full")).otherwise(F.lit("incremental"))
+
+
+def freshness_status(batch: DataFrame, catalog: DataFrame, categories: DataFrame) -> DataFrame:
+    """Per incoming metadata record (by title): ``error`` when key fields
+    are missing or the category is unknown (Q28), ``new`` when the title is
+    not catalogued (gets the next free dataset id of its category, A06),
+    ``unchanged`` when the stored update text equals the incoming one (string
+    equality), else ``update`` (keeps the stored id)."""
+    from harvest.operators.upsert import allocate_free
+    from harvest.operators.numbering import consecutive_index
+    from harvest.functions.text import compose_id
+
+    checked = metadata_integrity(batch, categories, required=("title", "category", "updated_at_src"))
+    cat = catalog.select(F.col("title").alias("_t"), F.col("dataset_id").alias("_id"),
+                         F.col("updated_at_src").alias("_upd"))
+    j = checked.join(cat, checked["title"] == cat["_t"], "left").drop("_t")
+    status = (F.when(F.col("status") != "ok", F.lit("error"))
+              .when(F.col("_id").isNull(), F.lit("new"))
+              .when(F.col("_upd") == F.col("updated_at_src"), F.lit("unchanged"))
+              .otherwise(F.lit("update")))
+    j = j.withColumn("status", status)
+    known = j.where(F.col("status") != "new").select("title", "status", F.col("_id").alias("dataset_id"))
+    new = j.where(F.col("status") == "new").select("title", "status", "prefix")
+    new = consecutive_index(new, ["title"], ["prefix"], name="_r")
+    ok_id = F.col("dataset_id").rlike(r"^\d{7}$")
+    used = (catalog.where(ok_id).select(F.substring("dataset_id", 1, 3).alias("prefix"),
+                                         F.substring("dataset_id", 4, 4).cast("bigint").alias("_n")))
+    new = allocate_free(used, new, "prefix", "_n", "_r", name="_seq")
+    new = new.select("title", "status", compose_id(F.col("prefix"), F.col("_seq"), 4).alias("dataset_id"))
+    return known.unionByName(new)
