@@ -1 +1,153 @@
-"""Test queries (q_sources)."""
+"""Source queries: landed JSON pages built from events, page audit, snapshots, HTML pages."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from harvest.plans.registry import register
+from harvest.session import read_table
+from harvest.sources import landing, pages as page_src
+
+PAGE = 1000
+
+
+def landed_bodies(spark, sf):
+    """Events landed as JSON pages of 1000 event ids: for every page an array
+    body (its events' props objects plus junk elements), an object body (a
+    rate-limit reply) and a non-JSON body. A page holds at most 1000 rows."""
+    ev = read_table(spark, sf, "events")
+    page = F.floor(F.col("event_id") / PAGE).cast("int")
+    grouped = ev.groupBy(page.alias("page")).agg(
+        F.array_sort(F.collect_list(F.struct("event_id", "props"))).alias("_e"))
+    body = F.concat(F.lit("["), F.array_join(F.transform("_e", lambda x: x["props"]), ","),
+                    F.lit(',7,"junk",null,[1]]'))
+    arrays = grouped.select(F.lit("events").alias("dataset_id"), (F.col("page") * PAGE).alias("skip"), body.alias("body"))
+    objects = grouped.select(F.lit("events").alias("dataset_id"), (F.col("page") * PAGE + 1).alias("skip"),
+                             F.lit('{"error":"rate limited"}').alias("body"))
+    broken = grouped.select(F.lit("events").alias("dataset_id"), (F.col("page") * PAGE + 2).alias("skip"),
+                            F.lit("<html>busy</html>").alias("body"))
+    return arrays.unionByName(objects).unionByName(broken)
+
+
+_BODIES_SQL = """(
+  SELECT CAST(floor(event_id / 1000) AS INTEGER) * 1000 AS skip,
+         '[' || string_agg(props, ',' ORDER BY event_id) || ',7,"junk",null,[1]]' AS body
+  FROM events GROUP BY floor(event_id / 1000)
+  UNION ALL SELECT DISTINCT CAST(floor(event_id / 1000) AS INTEGER) * 1000 + 1, '{"error":"rate limited"}' FROM events
+  UNION ALL SELECT DISTINCT CAST(floor(event_id / 1000) AS INTEGER) * 1000 + 2, '<html>busy</html>' FROM events)"""
+
+_OBJECTS_SQL = f"""(
+  SELECT skip, pos - 1 AS pos, e FROM (
+    SELECT skip, unnest(CAST(CAST(body AS JSON) AS JSON[])) AS e,
+           unnest(generate_series(1, CAST(json_array_length(CAST(body AS JSON)) AS BIGINT))) AS pos
+    FROM {_BODIES_SQL} b WHERE json_valid(body) AND json_type(CAST(body AS JSON)) = 'ARRAY') x
+  WHERE json_type(e) = 'OBJECT')"""
+
+
+@register("json_object_rows", f"""
+SELECT 'events' AS dataset_id, skip, CAST(pos AS INTEGER) AS pos, CAST(json_extract(e, '$.k') AS INTEGER) AS k
+FROM {_OBJECTS_SQL} o""")
+def json_object_rows(spark, sf):
+    rows = landing.object_rows(landed_bodies(spark, sf))
+    return rows.select("dataset_id", "skip", "pos", F.try_variant_get("v", "$.k", "int").alias("k"))
+
+
+@register("page_assembly", f"""
+SELECT skip, CAST(pos AS INTEGER) AS pos, CAST(json_extract(e, '$.k') AS INTEGER) AS k,
+       row_number() OVER (ORDER BY skip, pos) AS row_index
+FROM {_OBJECTS_SQL} o""")
+def page_assembly(spark, sf):
+    rows = landing.object_rows(landed_bodies(spark, sf))
+    rows = rows.select("skip", "pos", F.try_variant_get("v", "$.k", "int").alias("k"))
+    return landing.assembled_index(rows)
+
+
+def event_manifest(spark, sf):
+    """Landed pages per event type (1000 event ids per page), plus the empty
+    page each dataset's last probe returned."""
+    ev = read_table(spark, sf, "events")
+    m = ev.groupBy(F.col("event_type").alias("dataset_id"),
+                   (F.floor(F.col("event_id") / PAGE) * PAGE).cast("bigint").alias("skip")) \
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+    probe = m.groupBy("dataset_id").agg((F.max("skip") + PAGE).alias("skip")) \
+        .select("dataset_id", "skip", F.lit(0).cast("bigint").alias("n_rows"))
+    return m.unionByName(probe)
+
+
+_MANIFEST_SQL = """(
+  SELECT event_type AS dataset_id, CAST(floor(event_id / 1000) * 1000 AS BIGINT) AS skip, count(*) AS n_rows
+  FROM events GROUP BY 1, 2
+  UNION ALL
+  SELECT event_type, CAST(max(floor(event_id / 1000) * 1000) + 1000 AS BIGINT), 0 FROM events GROUP BY 1)"""
+
+
+@register("last_live_page", f"""
+SELECT dataset_id, CAST(floor(max(CASE WHEN n_rows > 0 THEN skip END) / 1000) * 1000 AS BIGINT) AS last_skip
+FROM {_MANIFEST_SQL} m GROUP BY dataset_id""")
+def last_live_page(spark, sf):
+    return landing.last_live_page(event_manifest(spark, sf))
+
+
+@register("page_gaps", f"""
+SELECT dataset_id, skip, n_rows, lead(skip) OVER (PARTITION BY dataset_id ORDER BY skip) AS next_skip,
+       lead(skip) OVER (PARTITION BY dataset_id ORDER BY skip) - (skip + n_rows) AS gap
+FROM {_MANIFEST_SQL} m""")
+def page_gaps(spark, sf):
+    return landing.page_gaps(event_manifest(spark, sf))
+
+
+@register("latest_snapshot", """
+SELECT dataset_id, file_name, resume_skip, snapshot_ts FROM (
+  SELECT event_type AS dataset_id,
+         'interruption_record_' || strftime(ts, '%Y%m%d_%H%M%S') || '.json' AS file_name,
+         CAST(floor(event_id / 1000) * 1000 AS BIGINT) AS resume_skip,
+         CAST(date_trunc('second', ts) AS TIMESTAMP) AS snapshot_ts,
+         row_number() OVER (PARTITION BY event_type ORDER BY date_trunc('second', ts) DESC,
+           'interruption_record_' || strftime(ts, '%Y%m%d_%H%M%S') || '.json' DESC,
+           floor(event_id / 1000) DESC) AS rn
+  FROM events) t WHERE rn = 1""")
+def latest_snapshot(spark, sf):
+    """Snapshot files named by time, one per event; newest per dataset wins."""
+    ev = read_table(spark, sf, "events")
+    snaps = ev.select(F.col("event_type").alias("dataset_id"),
+                      F.concat(F.lit(landing.SNAPSHOT_PREFIX), F.date_format("ts", "yyyyMMdd_HHmmss"),
+                               F.lit(".json")).alias("file_name"),
+                      (F.floor(F.col("event_id") / PAGE) * PAGE).cast("bigint").alias("resume_skip"))
+    return landing.latest_snapshot(snaps)
+
+
+_RESOLVE_SQL = """CASE WHEN href IS NULL THEN NULL
+  WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN href
+  WHEN starts_with(href, '//') THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*):', 1) || ':' || href
+  WHEN starts_with(href, '/') THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || href
+  WHEN href = '' THEN url
+  WHEN starts_with(href, '?') THEN regexp_extract(url, '^([^?#]*)', 1) || href
+  WHEN starts_with(href, '#') THEN regexp_extract(url, '^([^#]*)', 1) || href
+  WHEN regexp_extract(regexp_extract(url, '^([^?#]*)', 1), '^[A-Za-z][A-Za-z0-9+.-]*://[^/]*(/.*)?$', 1) = ''
+    THEN regexp_extract(url, '^([^?#]*)', 1) || '/' || href
+  ELSE regexp_extract(regexp_extract(url, '^([^?#]*)', 1), '^(.*/)', 1) || href END"""
+
+
+def _text_sql(x: str) -> str:
+    s = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
+    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&apos;", "''"),
+                    ("&nbsp;", " "), ("&amp;", "&")):
+        s = f"replace({s}, '{ent}', '{ch}')"
+    return f"regexp_replace({s}, '^\\s+|\\s+$', '', 'g')"
+
+
+@register("page_metadata", f"""
+SELECT page_id, url,
+  regexp_replace({_text_sql("NULLIF(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '')")},
+                 '\\s*-\\s*農業資料開放平臺\\s*', '', 'g') AS title,
+  {_text_sql("NULLIF(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1), '')")} AS heading,
+  {_RESOLVE_SQL} AS first_link,
+  CAST(NULL AS VARCHAR) AS category, CAST(NULL AS VARCHAR) AS provider, CAST(NULL AS VARCHAR) AS published,
+  CAST(NULL AS VARCHAR) AS frequency, CAST(NULL AS VARCHAR) AS description, CAST(NULL AS VARCHAR) AS source,
+  CAST(NULL AS VARCHAR) AS api_url, CAST(NULL AS VARCHAR) AS updated_at_src, false AS complete
+FROM (SELECT *, NULLIF(regexp_extract(html, '(?is)<a\\s[^>]*?href\\s*=\\s*["'']([^"'']*)["'']', 1), '') AS href
+      FROM pages) p""")
+def page_metadata(spark, sf):
+    """S10 over the landed pages (these pages carry no portal fields, so the
+    portal columns are NULL and ``complete`` is false; see the unit fixture)."""
+    return page_src.page_metadata(read_table(spark, sf, "pages"))
