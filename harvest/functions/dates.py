@@ -75,13 +75,20 @@ def canonical_date_text(col) -> Column:
 
 
 def parse_date(col) -> Column:
-    """string (or any value, cast to string) -> TIMESTAMP_NTZ or NULL."""
-    parts = F.split(canonical_date_text(col), ",")
+    """string (or any value, cast to string) -> TIMESTAMP_NTZ or NULL.
 
-    def part(i: int) -> Column:
-        return F.get(parts, i).try_cast("int")
+    The rewrite chain runs once per row: its split parts are bound to a lambda
+    variable (a one-element ``transform``), so filters -- where Spark does not
+    eliminate common subexpressions -- do not repeat it per date part.
+    """
+    parts = F.array(F.split(canonical_date_text(col), ","))
+
+    def build(p: Column) -> Column:
+        def part(i: int) -> Column:
+            return F.get(p, i).try_cast("int")
+        # A value no rule rewrote has no 7th part -> NULL.
+        return F.try_make_timestamp_ntz(
+            years=part(0) + part(6), months=part(1), days=part(2),
+            hours=part(3), mins=part(4), secs=part(5).cast("decimal(16,6)"))
 
-    # A value no rule rewrote has no 7th part -> NULL.
-    return F.try_make_timestamp_ntz(
-        years=part(0) + part(6), months=part(1), days=part(2),
-        hours=part(3), mins=part(4), secs=part(5).cast("decimal(16,6)"))
+    return F.get(F.transform(parts, build), 0)

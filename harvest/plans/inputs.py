@@ -18,14 +18,15 @@ STORE_BEFORE = _dt.datetime(2024, 1, 21)      # events already stored: ts before
 EVENTS_CUTOFF = (2024, 1, 11)                 # date filter applied to the landed batch
 ORDERS_SPLIT = _dt.datetime(1998, 1, 1)       # orders stored before / arriving from
 ORDERS_OVERLAP = _dt.datetime(1997, 1, 1)     # re-downloaded orders start here
-DATASET_ID = "1010001"                        # dataset id used for the landed events
 
 
 def landed_events(spark: SparkSession, sf: str) -> DataFrame:
     """Events as a landed batch: the event type is NULL for errors (a NULL key
-    part), and the date arrives as ROC-calendar text ``yyy/M/d``."""
+    part), and the date arrives as ROC-calendar text ``yyy/M/d``. Each event
+    belongs to a dataset (prefix 101, sequence = length of its type name)."""
     ev = read_table(spark, sf, "events")
     return ev.select(
+        F.concat(F.lit("101"), F.lpad(F.length("event_type").cast("string"), 4, "0")).alias("dataset_id"),
         "event_id", "user_id",
         F.when(F.col("event_type") != "error", F.col("event_type")).alias("kind"),
         "ts", "value",
@@ -40,7 +41,7 @@ def stored_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 LANDED_EVENTS_SQL = """
-  SELECT event_id, user_id,
+  SELECT '101' || lpad(CAST(length(event_type) AS VARCHAR), 4, '0') AS dataset_id, event_id, user_id,
          CASE WHEN event_type <> 'error' THEN event_type END AS kind,
          ts, value,
          CAST(year(ts) - 1911 AS VARCHAR) || '/' || CAST(month(ts) AS VARCHAR) || '/' || CAST(day(ts) AS VARCHAR) AS event_date

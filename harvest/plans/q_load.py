@@ -65,7 +65,7 @@ def date_cutoff_q(spark, sf):
 
 # --------------------------------------------------------------- incremental
 _NEW_EVENTS_SQL = f"""
-SELECT i.event_id, i.user_id, i.kind, i.ts, i.value, i.event_date
+SELECT i.dataset_id, i.event_id, i.user_id, i.kind, i.ts, i.value, i.event_date
 FROM ({LANDED_EVENTS_SQL}) i
 WHERE CAST(i.ts AS DATE) >= DATE '2024-01-11'
   AND NOT EXISTS (SELECT 1 FROM ({STORED_EVENTS_SQL}) s
@@ -96,17 +96,17 @@ def incremental_existing(spark, sf):
 
 def refresh_load(spark, sf):
     """Flagship: landed batch -> date parse + cutoff -> incremental anti-join -> ids."""
-    new = new_events(spark, sf).withColumn("dataset_id", F.lit(inputs.DATASET_ID))
-    store = inputs.stored_events(spark, sf).withColumn("dataset_id", F.lit(inputs.DATASET_ID))
-    start = ids.max_sequence(store, "seq", ["dataset_id"])
+    new = new_events(spark, sf)
+    start = ids.max_sequence(inputs.stored_events(spark, sf), "seq", ["dataset_id"])
     return ids.assign_ids(new, ["event_id"], "dataset_id", start=start)
 
 
 register("refresh_load", f"""
-SELECT n.*, '{inputs.DATASET_ID}' AS dataset_id,
-       (SELECT max(seq) FROM ({STORED_EVENTS_SQL}) s) + row_number() OVER (ORDER BY event_id) AS seq,
-       '{inputs.DATASET_ID}' || lpad(CAST((SELECT max(seq) FROM ({STORED_EVENTS_SQL}) s) + row_number() OVER (ORDER BY event_id) AS VARCHAR), 7, '0') AS row_id
-FROM ({_NEW_EVENTS_SQL}) n""")(refresh_load)
+WITH n AS ({_NEW_EVENTS_SQL}),
+m AS (SELECT dataset_id, max(seq) AS top FROM ({STORED_EVENTS_SQL}) s GROUP BY dataset_id),
+x AS (SELECT n.*, COALESCE(m.top, 0) + row_number() OVER (PARTITION BY n.dataset_id ORDER BY n.event_id) AS seq
+      FROM n LEFT JOIN m ON n.dataset_id = m.dataset_id)
+SELECT *, dataset_id || lpad(CAST(seq AS VARCHAR), 7, '0') AS row_id FROM x""")(refresh_load)
 
 
 @register("assign_ids", """
