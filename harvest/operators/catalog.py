@@ -204,3 +204,56 @@ def title_file_match(titles: DataFrame, files: DataFrame, title_col: str = "titl
     return (j.groupBy(title_col)
             .agg(F.min_by(F.struct(name_col, path_col), F.col(name_col)).alias("_m"))
             .select(title_col, F.col("_m")[name_col].alias(name_col), F.col("_m")[path_col].alias(path_col)))
+
+
+# ------------------------------------------------------------- table level
+# Physical tables of a dataset are named ``ds_<dataset id>`` (an identifier must
+# not be all digits for every catalog operation to accept it); the dataset id
+# stays the logical key everywhere else.
+TABLE_PREFIX = "ds_"
+
+
+def table_for(dataset_id: str, processed: bool = False) -> str:
+    return TABLE_PREFIX + dataset_id + (PROCESSED_SUFFIX if processed else "")
+
+
+def existing_tables(spark, database: str | None = None) -> DataFrame:
+    """Dataset tables that exist (from the session catalog), as names with
+    the prefix removed (``<id>`` or ``<id>_processed``), ready for ``reconcile``."""
+    names = [t.name for t in spark.catalog.listTables(database)
+             if not t.isTemporary and t.name.startswith(TABLE_PREFIX)]
+    return spark.createDataFrame([(n[len(TABLE_PREFIX):],) for n in names], "table_name string")
+
+
+def quoted(name: str) -> str:
+    """Backtick-quote a table name (dataset ids are all digits)."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def table_exists(spark, name: str) -> bool:
+    """S07."""
+    return spark.catalog.tableExists(quoted(name))
+
+
+def table_columns(spark, name: str) -> list[str]:
+    """S07."""
+    return [c.name for c in spark.catalog.listColumns(quoted(name))]
+
+
+def rename_dataset_tables(spark, old: str, new: str) -> bool:
+    """K12 (table level): rename the raw and processed tables of a dataset;
+    refused when the new dataset's table already exists."""
+    if old == new or table_exists(spark, table_for(new)):
+        return False
+    for processed in (False, True):
+        if table_exists(spark, table_for(old, processed)):
+            spark.sql(f"ALTER TABLE {quoted(table_for(old, processed))} RENAME TO {quoted(table_for(new, processed))}")
+    return True
+
+
+def drop_dataset_tables(spark, dataset_id: str, processed_only: bool = False) -> None:
+    """K13 (table level): drop the processed table, and the raw table unless
+    ``processed_only`` (then the catalog row is kept, Q25)."""
+    names = [table_for(dataset_id, True)] + ([] if processed_only else [table_for(dataset_id)])
+    for n in names:
+        spark.sql(f"DROP TABLE IF EXISTS {quoted(n)}")

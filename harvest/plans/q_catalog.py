@@ -118,6 +118,16 @@ def catalog_search(spark, sf):
     return cat_ops.catalog_search(nation_catalog(spark, sf), search_keywords(spark, sf))
 
 
+@register("catalog_category", f"""
+SELECT c.dataset_id, c.title, c.category, c.ord FROM {CATALOG_SQL} c
+WHERE c.category = (SELECT lower(r_name) FROM region WHERE r_regionkey = 2) ORDER BY c.dataset_id""")
+def catalog_category(spark, sf):
+    """The datasets of one category (the category named by region 2), ordered by id."""
+    name = read_table(spark, sf, "region").where(F.col("r_regionkey") == 2).select(F.lower("r_name").alias("category"))
+    cat = nation_catalog(spark, sf)
+    return cat.join(name, "category", "left_semi").orderBy("dataset_id").select("dataset_id", "title", "category", "ord")
+
+
 @register("row_text_search", """
 SELECT * FROM customer c WHERE strpos(lower(CAST(to_json(c) AS VARCHAR)), 'furniture') > 0""")
 def row_text_search(spark, sf):

@@ -75,3 +75,20 @@ def test_file_inventory(spark, tmp):
         f.write(b"y")
     rows = file_inventory(spark, d).collect()
     assert [(r.file_name, r.stem, r.bytes, r.file_size) for r in rows] == [("a.pdf", "a", 2048, "2.00 KB")]
+
+
+def test_table_level_catalog(spark, tmp):
+    from harvest.operators import catalog
+    t = catalog.table_for
+    spark.createDataFrame([(1,)], "x int").write.mode("overwrite").option("path", tmp + "/t1").saveAsTable(t("1010001"))
+    spark.createDataFrame([(1,)], "x int").write.mode("overwrite").option("path", tmp + "/t2").saveAsTable(t("1010001", True))
+    assert catalog.table_exists(spark, t("1010001")) and catalog.table_columns(spark, t("1010001")) == ["x"]
+    names = {r.table_name for r in catalog.existing_tables(spark).collect()}
+    assert {"1010001", "1010001_processed"} <= names
+    assert catalog.rename_dataset_tables(spark, "1010001", "1010009")
+    assert catalog.table_exists(spark, t("1010009", True)) and not catalog.table_exists(spark, t("1010001"))
+    assert not catalog.rename_dataset_tables(spark, "1010009", "1010009")
+    catalog.drop_dataset_tables(spark, "1010009", processed_only=True)
+    assert catalog.table_exists(spark, t("1010009")) and not catalog.table_exists(spark, t("1010009", True))
+    catalog.drop_dataset_tables(spark, "1010009")
+    assert not catalog.table_exists(spark, t("1010009"))
