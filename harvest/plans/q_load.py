@@ -219,3 +219,94 @@ SELECT p_partkey, p_type, p_size, row_number() OVER (ORDER BY p_type, p_size, p_
 def typed_sort(spark, sf):
     p = read_table(spark, sf, "part").select("p_partkey", "p_type", "p_size")
     return ordering.sort_positions(p, [["p_type", "text_asc"], ["p_size", "number_asc"]], "p_partkey")
+
+
+# ------------------------------------------------------- whole-catalog jobs
+def event_payload_rows(spark, sf):
+    """Every event as a row of dataset ``event_type`` with a VARIANT payload."""
+    ev = read_table(spark, sf, "events")
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    map_url = F.when(F.col("event_type") == "view", F.concat(F.lit("http://m/"), F.col("event_id").cast("string"))) \
+        .when((F.col("event_type") == "purchase") & (F.col("value") > 400),
+              F.concat(F.lit("http://m/"), F.col("event_id").cast("string")))
+    payload = F.struct(F.col("event_id"), F.col("user_id"), F.date_format("ts", "yyyy/MM/dd HH:mm:ss").alias("ts"),
+                       F.col("value"), k.alias("k"), map_url.alias("map_url"))
+    return ev.select(F.col("event_type").alias("dataset_id"), F.col("event_id").alias("_ord"), "ts",
+                     F.parse_json(F.to_json(payload)).alias("v"))
+
+
+def event_configs(spark, sf):
+    """One config row per dataset (event type), derived from the data."""
+    t = read_table(spark, sf, "events").select(F.col("event_type").alias("dataset_id")).distinct()
+    short = F.length("dataset_id") <= 5
+    return t.select(
+        "dataset_id",
+        F.when(short, F.array(F.lit("user_id"), F.lit("ts"))).otherwise(F.array(F.lit("event_id"))).alias("keys"),
+        F.when(F.col("dataset_id") == "click", F.lit("ts")).alias("date_col"),
+        F.concat("dataset_id", F.when(F.col("dataset_id").isin("signup", "view"), F.lit(" 代碼"))
+                 .otherwise(F.lit(""))).alias("title"),
+        F.when(short, F.array(F.lit("user_id"))).otherwise(F.array(F.lit("k"))).alias("sort_keys"),
+        F.when(F.col("dataset_id").isin("purchase", "signup"), F.array(F.lit("user_id")))
+        .when(F.col("dataset_id") == "view", F.array(F.lit("k"))).alias("merge_keys"),
+        F.when(F.col("dataset_id").isin("purchase", "view"), F.lit(True)).alias("auto_merge"))
+
+
+_EV_SQL = """(SELECT event_type AS dataset_id, event_id AS _ord, user_id, ts,
+   strftime(ts, '%Y/%m/%d %H:%M:%S') AS ts_text, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
+   CASE WHEN event_type = 'view' THEN 'http://m/' || CAST(event_id AS VARCHAR)
+        WHEN event_type = 'purchase' AND value > 400 THEN 'http://m/' || CAST(event_id AS VARCHAR) END AS map_url
+ FROM events)"""
+
+
+@register("refresh_all", f"""
+WITH r AS (SELECT * FROM {_EV_SQL} e
+           WHERE dataset_id <> 'click' OR date_trunc('second', ts) >= TIMESTAMP '2024-01-11 00:00:00'),
+s AS (SELECT *, _ord + 1 AS seq FROM {_EV_SQL} e WHERE ts < TIMESTAMP '2024-01-21 00:00:00'),
+first AS (SELECT dataset_id, arg_min(COALESCE(map_url, ''), _ord) AS m FROM r GROUP BY dataset_id),
+mode AS (SELECT f.dataset_id, CASE WHEN f.m <> '' OR f.dataset_id IN ('signup', 'view') THEN 'full' ELSE 'incremental' END AS mode
+         FROM first f),
+full_rows AS (SELECT r.dataset_id, r._ord, 'full' AS mode,
+                row_number() OVER (PARTITION BY r.dataset_id ORDER BY r._ord) AS seq
+              FROM r JOIN mode USING (dataset_id) WHERE mode.mode = 'full'),
+inc AS (SELECT r.* FROM r JOIN mode USING (dataset_id) WHERE mode.mode = 'incremental'
+          AND NOT EXISTS (SELECT 1 FROM s WHERE s.dataset_id = r.dataset_id AND (
+            CASE WHEN length(r.dataset_id) <= 5 THEN s.user_id = r.user_id AND s.ts_text = r.ts_text
+                 ELSE s._ord = r._ord END))),
+top AS (SELECT dataset_id, max(seq) AS top FROM s GROUP BY dataset_id),
+inc_rows AS (SELECT inc.dataset_id, inc._ord, 'incremental' AS mode,
+               COALESCE(top.top, 0) + row_number() OVER (PARTITION BY inc.dataset_id ORDER BY inc._ord) AS seq
+             FROM inc LEFT JOIN top USING (dataset_id)),
+u AS (SELECT * FROM full_rows UNION ALL SELECT * FROM inc_rows)
+SELECT dataset_id, _ord, mode, seq, dataset_id || lpad(CAST(seq AS VARCHAR), 7, '0') AS row_id FROM u""")
+def refresh_all_q(spark, sf):
+    """Lifecycle 3.1 over every dataset at once (see harvest.plans.refresh)."""
+    from harvest.plans.refresh import refresh_all
+    rows = event_payload_rows(spark, sf)
+    store = (rows.where(F.col("ts") < F.lit(inputs.STORE_BEFORE).cast("timestamp_ntz"))
+             .select("dataset_id", (F.col("_ord") + 1).alias("seq"), "v"))
+    out = refresh_all(rows.drop("ts"), store, event_configs(spark, sf), cutoff=F_CUTOFF)
+    return out.drop("record")
+
+
+F_CUTOFF = __import__("datetime").datetime(*inputs.EVENTS_CUTOFF)
+
+
+@register("dedup_all", f"""
+WITH s1 AS (SELECT * FROM (
+    SELECT e.*, row_number() OVER (PARTITION BY dataset_id,
+       CASE WHEN length(dataset_id) <= 5 THEN CAST(user_id AS VARCHAR) ELSE CAST(k AS VARCHAR) END ORDER BY _ord) AS rn
+    FROM {_EV_SQL} e) t WHERE rn = 1),
+s2 AS (SELECT * FROM (
+    SELECT s1.*, row_number() OVER (PARTITION BY dataset_id, user_id ORDER BY _ord DESC) AS rn2
+    FROM s1 WHERE dataset_id = 'purchase') t WHERE rn2 = 1)
+SELECT dataset_id, _ord AS row_id FROM s1 WHERE dataset_id <> 'purchase'
+UNION ALL SELECT dataset_id, _ord FROM s2""")
+def dedup_all_q(spark, sf):
+    """Lifecycle 3.2 over every dataset at once: keep-first on each dataset's
+    sort keys, then keep-last on merge keys where the merge is switched on
+    (purchase); signup has no decision (NULL), view is a code list (skipped)."""
+    from harvest.plans.refresh import dedup_all
+    rows = event_payload_rows(spark, sf).select("dataset_id", F.col("_ord").alias("row_id"), "v")
+    cfg = event_configs(spark, sf).select("dataset_id", F.col("sort_keys").alias("keys"), "merge_keys",
+                                           "auto_merge", "title")
+    return dedup_all(rows, cfg).select("dataset_id", "row_id")
