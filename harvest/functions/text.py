@@ -167,7 +167,7 @@ def strip_processed(col) -> Column:
 def snapshot_time(col) -> Column:
     """``..._yyyyMMdd_HHmmss.json`` in a file name -> timestamp."""
     v = F.regexp_extract(_c(col), r"(\d{8}_\d{6})\.json$", 1)
-    return F.try_to_timestamp(F.when(v != "", v), F.lit("yyyyMMdd_HHmmss")).cast("timestamp_ntz")
+    return F.try_to_timestamp(F.when(v != "", v), F.lit("yyyyMMdd_HHmmss")).cast("timestamp_ntz")  # same zone both ways
 
 
 def contains_ci(col, needle) -> Column:

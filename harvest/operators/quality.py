@@ -7,6 +7,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from harvest.functions.times import ts_lit
+
 from harvest.functions.dates import parse_date
 from harvest.functions.text import CODE_LIST_WORD, MAP_URL_FIELD, SPATIAL_WORD  # noqa: F401
 
@@ -52,7 +54,7 @@ def date_cutoff(df: DataFrame, year: int = DEFAULT_CUTOFF[0], month: int = DEFAU
     if col is None:
         return df
     cutoff = _dt.datetime(int(year), int(month), int(day))
-    return df.where(parse_date(F.col(col)) >= F.lit(cutoff).cast("timestamp_ntz"))
+    return df.where(parse_date(F.col(col)) >= ts_lit(cutoff))
 
 
 def category_table(spark) -> DataFrame:

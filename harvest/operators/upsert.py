@@ -23,6 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from harvest.functions.times import ts_lit
+
 from harvest.functions.sizes import human_size
 from harvest.functions.text import file_stem
 from harvest.operators.dedup import keep_last
@@ -35,7 +37,7 @@ UPDATED = "last_updated_at"
 def _lit_ts(now) -> Column:
     if isinstance(now, Column):
         return now
-    return F.lit(now if now is not None else _dt.datetime.now()).cast("timestamp_ntz")
+    return ts_lit(now if now is not None else _dt.datetime.now())
 
 
 def unique_batch(batch: DataFrame, keys: Sequence[str], ord_col: str | None) -> DataFrame:

@@ -11,6 +11,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from harvest.functions.times import ts_lit
+
 from harvest.session import read_table
 
 # Fixed split points of the test scenarios.
@@ -36,7 +38,7 @@ def landed_events(spark: SparkSession, sf: str) -> DataFrame:
 
 def stored_events(spark: SparkSession, sf: str) -> DataFrame:
     """The store: landed events before STORE_BEFORE, with their stored sequence."""
-    return (landed_events(spark, sf).where(F.col("ts") < F.lit(STORE_BEFORE).cast("timestamp_ntz"))
+    return (landed_events(spark, sf).where(F.col("ts") < ts_lit(STORE_BEFORE))
             .withColumn("seq", F.col("event_id") + 1))
 
 

@@ -6,6 +6,8 @@ import datetime as _dt
 
 from pyspark.sql import functions as F
 
+from harvest.functions.times import ts_lit
+
 from harvest.functions.text import compose_id, processed_name
 from harvest.operators import catalog as cat_ops
 from harvest.operators import quality, upsert
@@ -305,7 +307,7 @@ def stored_metadata(spark, sf):
     """Catalog of datasets seen before 1998: even sequences per category (gaps at the odd ones);
     fulfilled orders have a different stored update time."""
     m = quality.metadata_integrity(order_metadata(spark, sf), quality.category_table(spark))
-    m = m.where((F.col("o_orderdate") < F.lit(_dt.datetime(1998, 1, 1)).cast("timestamp_ntz"))
+    m = m.where((F.col("o_orderdate") < ts_lit(_dt.datetime(1998, 1, 1)))
                 & (F.col("status") == "ok"))
     from harvest.operators.numbering import consecutive_index
     m = consecutive_index(m, ["o_orderkey"], ["prefix"], name="_r")
@@ -384,7 +386,7 @@ def load_mode_apply(spark, sf):
     meta = order_metadata(spark, sf).select(F.col("o_orderkey").alias("l_orderkey"), "title")
     mode = meta.join(first, "l_orderkey").select("l_orderkey", quality.load_mode(F.col("title"), F.col("first_map")).alias("mode"))
     rows = li.join(mode, "l_orderkey")
-    cut = F.lit(_dt.datetime(1998, 1, 1)).cast("timestamp_ntz")
+    cut = ts_lit(_dt.datetime(1998, 1, 1))
     full = rows.where(F.col("mode") == "full")
     inc = rows.where((F.col("mode") == "incremental") & (F.col("l_shipdate") >= cut))
     store = li.where(F.col("l_shipdate") < cut)
@@ -403,8 +405,8 @@ def load_counters(spark, sf):
     """Downloaded / unique / new / total counters of one load, as one row."""
     from harvest.operators.incremental import new_rows
     li = read_table(spark, sf, "lineitem")
-    inc = li.where(F.col("l_shipdate") >= F.lit(_dt.datetime(1997, 1, 1)).cast("timestamp_ntz"))
-    st = li.where(F.col("l_shipdate") < F.lit(_dt.datetime(1998, 1, 1)).cast("timestamp_ntz"))
+    inc = li.where(F.col("l_shipdate") >= ts_lit(_dt.datetime(1997, 1, 1)))
+    st = li.where(F.col("l_shipdate") < ts_lit(_dt.datetime(1998, 1, 1)))
     new = new_rows(inc, st, ["l_orderkey", "l_linenumber", "l_partkey"])
     tag = lambda df, name: df.select(F.lit(name).alias("_k"))
     tagged = (tag(inc, "downloaded").unionByName(tag(inc.dropDuplicates(), "unique_rows"))
@@ -460,8 +462,8 @@ def customer_store(spark, sf):
     c = read_table(spark, sf, "customer")
     return c.select(F.col("c_custkey").cast("string").alias("dataset_id"), F.col("c_name").alias("title"),
                     F.col("c_mktsegment").alias("category"),
-                    F.lit(BEFORE).cast("timestamp_ntz").alias("created_at"),
-                    F.lit(BEFORE).cast("timestamp_ntz").alias("last_updated_at"))
+                    ts_lit(BEFORE).alias("created_at"),
+                    ts_lit(BEFORE).alias("last_updated_at"))
 
 
 def customer_batch(spark, sf):
@@ -573,7 +575,7 @@ def upsert_files(spark, sf):
         F.when(F.col("url").contains("#"), F.concat(F.lit("pages/"), F.col("page_id").cast("string"), F.lit(".html")))
         .otherwise(F.concat(F.lit("/srv/pages/"), F.col("page_id").cast("string"), F.lit(".html"))).alias("file_path"),
         F.col("page_id").cast("string").alias("file_name"), F.lit("html").alias("file_type"),
-        F.lit("1 KB").alias("file_size"), F.lit(BEFORE).cast("timestamp_ntz").alias("upload_date"),
+        F.lit("1 KB").alias("file_size"), ts_lit(BEFORE).alias("upload_date"),
         F.lit("old").alias("description"))
     batch = p.where(F.col("url").contains("#") | F.col("url").contains("?")).select(
         F.concat(F.lit("/srv/pages/"), F.col("page_id").cast("string"), F.lit(".html")).alias("file_path"),

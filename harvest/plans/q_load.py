@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from harvest.functions.times import ts_lit
+
 from harvest.functions.dates import parse_date
 from harvest.operators import dedup, ids, incremental, ordering
 from harvest.operators.quality import date_cutoff
@@ -183,8 +185,8 @@ def distinct_texts(spark, sf):
 def _orders_sides(spark, sf):
     o = read_table(spark, sf, "orders").withColumn(
         "o_orderpriority", F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")))
-    existing = o.where(F.col("o_orderdate") < F.lit(inputs.ORDERS_SPLIT).cast("timestamp_ntz"))
-    new = o.where(F.col("o_orderdate") >= F.lit(inputs.ORDERS_OVERLAP).cast("timestamp_ntz"))
+    existing = o.where(F.col("o_orderdate") < ts_lit(inputs.ORDERS_SPLIT))
+    new = o.where(F.col("o_orderdate") >= ts_lit(inputs.ORDERS_OVERLAP))
     return existing, new
 
 
@@ -282,7 +284,7 @@ def refresh_all_q(spark, sf):
     """Lifecycle 3.1 over every dataset at once (see harvest.plans.refresh)."""
     from harvest.plans.refresh import refresh_all
     rows = event_payload_rows(spark, sf)
-    store = (rows.where(F.col("ts") < F.lit(inputs.STORE_BEFORE).cast("timestamp_ntz"))
+    store = (rows.where(F.col("ts") < ts_lit(inputs.STORE_BEFORE))
              .select("dataset_id", (F.col("_ord") + 1).alias("seq"), "v"))
     out = refresh_all(rows.drop("ts"), store, event_configs(spark, sf), cutoff=F_CUTOFF)
     return out.drop("record")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from harvest.functions.times import ts_lit
+
 from harvest.functions import text as T
 from harvest.functions.sizes import human_size
 from harvest.functions.urls import page_url, replace_url_params
@@ -145,7 +147,7 @@ def append_evolve(spark, sf):
     missing on either side are filled with NULL."""
     from harvest.sinks import evolve_union
     ev = read_table(spark, sf, "events")
-    cut = F.lit("2024-01-21 00:00:00").cast("timestamp_ntz")
+    cut = ts_lit("2024-01-21 00:00:00")
     store = ev.where(F.col("ts") < cut).select("event_id", "ts", "user_id", "event_type")
     batch = ev.where(F.col("ts") >= cut).select(
         "event_id", "ts", "user_id", "event_type", F.col("value").alias("event value"),

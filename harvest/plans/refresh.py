@@ -22,6 +22,8 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from harvest.functions.times import ts_lit
+
 from harvest.functions.dates import parse_date
 from harvest.functions.text import CODE_LIST_WORD, compose_id
 from harvest.operators.dedup import keep_first, keep_last
@@ -58,7 +60,7 @@ def refresh_all(rows: DataFrame, store: DataFrame, configs: DataFrame,
     r = _with_config(rows, configs, ["keys", "date_col", "title"])
     if cutoff is not None:
         d = parse_date(F.element_at(payload_map(F.col("v")), F.col("date_col")))
-        r = r.where(F.col("date_col").isNull() | (d >= F.lit(cutoff).cast("timestamp_ntz")))
+        r = r.where(F.col("date_col").isNull() | (d >= ts_lit(cutoff)))
     first = (r.groupBy("dataset_id")
              .agg(F.min_by(F.element_at(payload_map(F.col("v")), F.lit("map_url")), F.col("_ord")).alias("_map")))
     r = r.join(first, "dataset_id").withColumn("mode", load_mode(F.col("title"), F.col("_map")))

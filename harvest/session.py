@@ -28,6 +28,7 @@ def get_spark(master: str | None = None, app: str = "harvest",
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    # An explicitly passed setting wins over the defaults.
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -86,7 +86,8 @@ def main():
     keys = sys.argv[2:]
     import __spark_entry__ as E
     from harvest.session import get_spark
-    spark = get_spark("local[8]", shuffle_partitions=8)
+    extra = {"spark.sql.session.timeZone": os.environ["ORACLE_TZ"]} if os.environ.get("ORACLE_TZ") else None
+    spark = get_spark("local[8]", shuffle_partitions=8, extra=extra)
     qs, sqls = E.queries(), E.oracle_sql()
     con = duck(sf_dir)
     bad = 0
