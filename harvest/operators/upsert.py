@@ -20,7 +20,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harvest.functions.times import ts_lit
@@ -112,27 +112,20 @@ def allocate_free(used: DataFrame, requests: DataFrame, group: str, seq_col: str
     """Give the request of rank r (1-based, per group) the r-th unused sequence >= 1.
 
     Equivalent to issuing the requests one by one, each taking the first gap.
-    Gaps between used numbers are listed with their running size; only the
-    first k free numbers of a group (k = its request count) are generated, so
-    the work is bounded by used + requested rows and no pairs are formed.
-    The per-group gap listing uses a window over that group's used numbers
-    (for files: the files of one record).
+    With the used numbers u_1 < u_2 < ... ranked i = 1, 2, ..., exactly
+    u_i - i free numbers lie below u_i. Merge the values (u_i - i) + 0.5 with
+    the request ranks r in one order per group: the 1-based position of
+    request r in that order is r + #{i : u_i - i < r}, which is the r-th free
+    number. Both rankings are skew-safe numberings (a hot group is spread over
+    many partitions); there is no window over data rows and no pair join.
     """
     u = used.select(group, F.col(seq_col).cast("bigint").alias("_s")).where(F.col("_s") >= 1).distinct()
-    k = requests.groupBy(group).agg(F.count(F.lit(1)).alias("_k"))
-    u = u.unionByName(k.select(group, F.lit(0).cast("bigint").alias("_s")))
-    w = Window.partitionBy(group).orderBy("_s")
-    gaps = (u.withColumn("_next", F.lead("_s").over(w))
-            .select(group, (F.col("_s") + 1).alias("_start"), (F.col("_next") - 1).alias("_end"))
-            .where(F.col("_end").isNull() | (F.col("_end") >= F.col("_start"))))
-    size = F.col("_end") - F.col("_start") + 1
-    wc = Window.partitionBy(group).orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
-    gaps = gaps.withColumn("_before", F.coalesce(F.sum(size).over(wc), F.lit(0)))
-    gaps = gaps.join(k, group).where(F.col("_before") < F.col("_k"))
-    last = F.col("_start") + (F.col("_k") - F.col("_before")) - 1
-    upto = F.when(F.col("_end").isNull(), last).otherwise(F.least(F.col("_end"), last))
-    free = gaps.select(group, "_before", F.posexplode(F.sequence(F.col("_start"), upto)).alias("_p", name))
-    free = free.select(group, name, (F.col("_before") + F.col("_p") + 1).alias(rank_col))
+    u = consecutive_index(u, ["_s"], [group], name="_i")
+    marks = u.select(group, ((F.col("_s") - F.col("_i")).cast("double") + F.lit(0.5)).alias("_v"),
+                     F.lit(None).cast("bigint").alias("_r"))
+    reqs = requests.select(group, F.col(rank_col).cast("double").alias("_v"), F.col(rank_col).cast("bigint").alias("_r"))
+    merged = consecutive_index(marks.unionByName(reqs), ["_v", F.col("_r").asc_nulls_first()], [group], name="_pos")
+    free = merged.where(F.col("_r").isNotNull()).select(group, F.col("_r").alias(rank_col), F.col("_pos").alias(name))
     return requests.join(free, [group, rank_col], "inner")
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harvest.functions.text import snapshot_time
@@ -77,12 +77,17 @@ def last_live_page(manifest: DataFrame, dataset_col: str = "dataset_id", page_si
 
 def page_gaps(manifest: DataFrame, dataset_col: str = "dataset_id") -> DataFrame:
     """Coverage audit of landed pages: per page, the next page's offset and
-    the gap (> 0: rows never fetched) or overlap (< 0) before it. The window
-    runs per dataset over its pages (rows / page size of them)."""
-    w = Window.partitionBy(dataset_col).orderBy("skip")
-    nxt = F.lead("skip").over(w)
-    return manifest.select(dataset_col, "skip", "n_rows", nxt.alias("next_skip"),
-                           (nxt - (F.col("skip") + F.col("n_rows"))).alias("gap"))
+    the gap (> 0: rows never fetched) or overlap (< 0) before it.
+
+    Pages are numbered per dataset (skew-safe numbering) and each page is
+    equi-joined to the page numbered one higher -- a ``lead`` without a
+    per-dataset window task."""
+    numbered = consecutive_index(manifest.select(dataset_col, "skip", "n_rows"), ["skip"], [dataset_col], name="_i")
+    nxt = numbered.select(F.col(dataset_col).alias("_d"), (F.col("_i") - 1).alias("_j"), F.col("skip").alias("next_skip"))
+    cond = [numbered[dataset_col].eqNullSafe(nxt["_d"]), numbered["_i"] == nxt["_j"]]
+    j = numbered.join(nxt, cond, "left")
+    return j.select(dataset_col, "skip", "n_rows", "next_skip",
+                    (F.col("next_skip") - (F.col("skip") + F.col("n_rows"))).alias("gap"))
 
 
 def latest_snapshot(snapshots: DataFrame, dataset_col: str = "dataset_id",
