@@ -62,8 +62,8 @@ def surplus_rows(df: DataFrame, keys: Sequence[str], order_col: str, keep: str =
     back null-safely; a hot key is split by adaptive skew-join handling.
     """
     pick = F.min if keep == "first" else F.max
-    ends = df.groupBy(*keys).agg(pick(order_col).alias("_keep"))
-    cond = [df[k].eqNullSafe(ends[k]) for k in keys]
+    ends = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(pick(order_col).alias("_keep"))
+    cond = [df[k].eqNullSafe(ends[f"_k{i}"]) for i, k in enumerate(keys)]
     j = df.join(ends, cond, "inner")
     cmp = (df[order_col] > ends["_keep"]) if keep == "first" else (df[order_col] < ends["_keep"])
     return j.where(cmp).select(df["*"])

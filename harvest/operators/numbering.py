@@ -50,7 +50,10 @@ def consecutive_index(df: DataFrame, order_by: Sequence, group_by: Sequence[str]
     w = Window.partitionBy(*group_by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     # stats has one row per (partition, group) run: bounded by partitions + groups.
     stats = stats.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    cond = [tagged["_pid"] == stats["_pid"]] + [tagged[g].eqNullSafe(stats[g]) for g in group_by]
+    # Fresh names on the stats side keep the self-join conditions unambiguous.
+    stats = stats.select(F.col("_pid").alias("_spid"), *[F.col(g).alias(f"_sg{i}") for i, g in enumerate(group_by)],
+                         (F.col("_off") - F.col("_first") + 1).alias("_shift"))
+    cond = [tagged["_pid"] == stats["_spid"]] + [tagged[g].eqNullSafe(stats[f"_sg{i}"]) for i, g in enumerate(group_by)]
     out = tagged.join(stats, cond, "inner").select(
-        tagged["*"], (stats["_off"] + tagged["_mid"] - stats["_first"] + 1).alias(name))
+        tagged["*"], (stats["_shift"] + tagged["_mid"]).alias(name))
     return out.drop("_mid", "_pid")
