@@ -41,8 +41,11 @@ def _store_exists(spark: SparkSession, path: str) -> bool:
 
 
 def start_ingest(spark: SparkSession, landing_dir: str, store_path: str, checkpoint: str,
-                 keys: Sequence[str], max_files_per_trigger: int | None = None):
-    """Start the availableNow ingest; returns the StreamingQuery (call awaitTermination())."""
+                 keys: Sequence[str], max_files_per_trigger: int | None = None, after_write=None):
+    """Start the availableNow ingest; returns the StreamingQuery (call awaitTermination()).
+
+    ``after_write(epoch_id)`` runs after a batch is stored and before the
+    stream commits it (a hook for failure-injection tests)."""
     keys = list(keys)
     reader = spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", "*.json")
     if max_files_per_trigger:
@@ -59,6 +62,8 @@ def start_ingest(spark: SparkSession, landing_dir: str, store_path: str, checkpo
             fresh, start = rows, None
         out = assign_ids(fresh, ["skip", "pos"], "dataset_id", start=start)
         out.write.mode("append").partitionBy("dataset_id").parquet(store_path)
+        if after_write is not None:
+            after_write(epoch_id)
 
     return (stream.writeStream.foreachBatch(load_batch)
             .option("checkpointLocation", checkpoint)
@@ -67,8 +72,8 @@ def start_ingest(spark: SparkSession, landing_dir: str, store_path: str, checkpo
 
 
 def run_ingest(spark: SparkSession, landing_dir: str, store_path: str, checkpoint: str,
-               keys: Sequence[str]) -> None:
-    q = start_ingest(spark, landing_dir, store_path, checkpoint, keys)
+               keys: Sequence[str], **kw) -> None:
+    q = start_ingest(spark, landing_dir, store_path, checkpoint, keys, **kw)
     q.awaitTermination()
 
 

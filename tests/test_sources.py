@@ -92,3 +92,16 @@ def test_table_level_catalog(spark, tmp):
     assert catalog.table_exists(spark, t("1010009")) and not catalog.table_exists(spark, t("1010009", True))
     catalog.drop_dataset_tables(spark, "1010009")
     assert not catalog.table_exists(spark, t("1010009"))
+
+
+def test_replace_datasets_and_observed_counts(spark, tmp):
+    from harvest.operators.report import observe_counts
+    from harvest.sinks import append, replace_datasets
+    path = os.path.join(tmp, "rows")
+    append(spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "dataset_id string, x int"), path)
+    replace_datasets(spark.createDataFrame([("a", 9)], "dataset_id string, x int"), path)   # K02: only dataset a
+    got = sorted((r.dataset_id, r.x) for r in spark.read.parquet(path).collect())
+    assert got == [("a", 9), ("b", 3)]
+    df, obs = observe_counts(spark.createDataFrame([(1,), (2,)], "x int"), "load")
+    df.write.format("noop").mode("overwrite").save()
+    assert obs.get["rows"] == 2
