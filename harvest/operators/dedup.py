@@ -76,3 +76,20 @@ def duplicate_preview(df: DataFrame, keys: Sequence[str], id_col: str, drop: Seq
     s = surplus_rows(df, keys, id_col).orderBy(id_col).limit(n)
     keep = [c for c in df.columns if c not in set(drop) and c != id_col]
     return s.select(right_chars(F.col(id_col)).alias(id_col), *keep)
+
+
+def distinct_records(rows: DataFrame, payload_col: str = "v", ord_col: str = "_ord",
+                     group_by: Sequence[str] = ()) -> DataFrame:
+    """A03 on raw records: one row per distinct payload, the first occurrence
+    kept (its ordinal and position restored by ``orderBy(ord_col)``).
+
+    The payload is a VARIANT object; its JSON text has sorted keys and keeps
+    explicit nulls, so key order does not matter while a missing key and a
+    NULL value stay different. Known difference: VARIANT stores ``1.0`` and
+    ``1`` as the same number, so those two records count as one (typed
+    columns keep them apart)."""
+    canon = F.to_json(F.col(payload_col)).alias("_canon")
+    rest = [c for c in rows.columns if c not in (*group_by, payload_col, ord_col)]
+    best = (rows.groupBy(*group_by, canon)
+            .agg(F.min_by(F.struct(F.col(ord_col), F.col(payload_col), *[F.col(c) for c in rest]), F.col(ord_col)).alias("_r")))
+    return best.select(*group_by, *[F.col("_r")[c].alias(c) for c in (ord_col, payload_col, *rest)])

@@ -73,3 +73,18 @@ def combine_batches(existing: DataFrame, new: DataFrame) -> DataFrame:
     if set(existing.columns) == set(new.columns):
         return existing.unionByName(fresh)
     return fresh
+
+
+def incremental_load(incoming: DataFrame, store: DataFrame, keys: Sequence[str],
+                     cutoff=None, date_col: str | None = None) -> DataFrame:
+    """J01 with the date filter: the incoming batch is cut at ``cutoff`` on its
+    date column; the stored side is cut too only when that column is one of the
+    keys (Q30) -- otherwise a stored row outside the cutoff would stop matching
+    its re-downloaded copy (Q31)."""
+    from harvest.operators.quality import date_cutoff, pick_date_column
+    if cutoff is None:
+        return new_rows(incoming, store, keys)
+    col = date_col or pick_date_column(incoming.columns)
+    inc = date_cutoff(incoming, cutoff.year, cutoff.month, cutoff.day, date_col=col)
+    st = date_cutoff(store, cutoff.year, cutoff.month, cutoff.day, date_col=col) if col in keys else store
+    return new_rows(inc, st, keys)
