@@ -17,18 +17,7 @@ from pyspark.sql import functions as F
 
 from harvest.functions.text import (PDF_STRIP_CHAR, PROCESSED_SUFFIX, clean_keyword,
                                     clean_table_name, is_processed, strip_processed)
-
-# Upper bound on rows for a side that is broadcast into a nested-loop
-# (substring) join. The catalog holds one row per dataset, far below this.
-THETA_BROADCAST_MAX_ROWS = 200_000
-
-
-def _bounded_broadcast(df: DataFrame, max_rows: int = THETA_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking its row count (one small aggregate).
-    Beyond the bound the join stays an ordinary (shuffled) nested-loop join."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
+from harvest.operators.joins import contains_join
 
 def catalog_counts(catalog: DataFrame, rows: DataFrame, id_col: str = "dataset_id",
                    fk_col: str = "dataset_id", name: str = "row_count") -> DataFrame:
@@ -57,7 +46,7 @@ def catalog_lookup(catalog: DataFrame, idents: DataFrame, ident_col: str = "iden
                          F.col(ord_col).alias("_ord"))
     exact = idents.join(cat, idents[ident_col] == cat["_id"], "inner") \
         .select(ident_col, "_id", F.lit(0).alias("_prio"), "_ord")
-    fuzzy = idents.join(_bounded_broadcast(cat), F.contains(cat["_title"], idents[ident_col]), "inner") \
+    fuzzy = contains_join(cat, "_title", idents.select(ident_col), ident_col) \
         .select(ident_col, "_id", F.lit(1).alias("_prio"), "_ord")
     best = (exact.unionByName(fuzzy).groupBy(ident_col)
             .agg(F.min_by(F.col("_id"), F.struct("_prio", "_ord")).alias(id_col)))
@@ -72,12 +61,16 @@ def catalog_search(catalog: DataFrame, keywords: DataFrame, kw_col: str = "keywo
     otherwise every fuzzy hit (title, id or category contains it, lower-case)
     is returned. Empty keywords match nothing."""
     kw = keywords.select(kw_col, clean_keyword(F.col(kw_col)).alias("_kw")).where(F.col("_kw") != "")
-    cat = catalog.select(F.col(id_col), F.col(title_col), F.col(category_col), F.col(ord_col))
-    j = kw.join(_bounded_broadcast(cat),
-                (F.col(title_col) == F.col("_kw")) | (F.col(id_col).cast("string") == F.col("_kw"))
-                | F.contains(F.lower(F.col(title_col)), F.col("_kw"))
-                | F.contains(F.col(id_col).cast("string"), F.col("_kw"))
-                | F.contains(F.coalesce(F.col(category_col), F.lit("")), F.col("_kw")), "inner")
+    cat = catalog.select(F.col(id_col), F.col(title_col), F.col(category_col), F.col(ord_col),
+                         F.lower(F.col(title_col)).alias("_lt"), F.col(id_col).cast("string").alias("_ids"),
+                         F.coalesce(F.col(category_col), F.lit("")).alias("_cat"))
+    # exact hits are equi-joins; fuzzy hits are substring joins (no cross product)
+    parts = [cat.join(kw, cat[title_col] == kw["_kw"]), cat.join(kw, cat["_ids"] == kw["_kw"])]
+    parts += [contains_join(cat, c, kw, "_kw") for c in ("_lt", "_ids", "_cat")]
+    j = parts[0]
+    for p in parts[1:]:
+        j = j.unionByName(p)
+    j = j.dropDuplicates([kw_col, id_col])
     exact = (F.col(title_col) == F.col("_kw")) | (F.col(id_col).cast("string") == F.col("_kw"))
     j = j.withColumn("_exact", exact)
     firsts = (j.where("_exact").groupBy(kw_col)
@@ -194,16 +187,23 @@ def title_file_match(titles: DataFrame, files: DataFrame, title_col: str = "titl
     """Per title, the first document file (by name) whose name
     contains the cleaned title (with '圖' removed) or the raw title.
 
-    A substring join has no equi key: the file inventory is broadcast after a
-    row-count check and the titles stream past it."""
+    The substring join broadcasts the smaller side after a row-count check and
+    otherwise becomes an exact substring equi-join (``contains_join``)."""
     f = files.where(F.col(name_col).endswith(suffix)).select(name_col, path_col)
     t = titles.select(title_col, F.replace(clean_table_name(F.col(title_col)), F.lit(PDF_STRIP_CHAR),
-                                           F.lit("")).alias("_clean"))
-    cond = F.contains(f[name_col], t["_clean"]) | F.contains(f[name_col], t[title_col])
-    j = t.join(_bounded_broadcast(f), cond, "left")
-    return (j.groupBy(title_col)
-            .agg(F.min_by(F.struct(name_col, path_col), F.col(name_col)).alias("_m"))
-            .select(title_col, F.col("_m")[name_col].alias(name_col), F.col("_m")[path_col].alias(path_col)))
+                                           F.lit("")).alias("_clean")).distinct()
+    hits = (contains_join(f, name_col, t.select(title_col, "_clean"), "_clean")
+            .unionByName(contains_join(f, name_col, t.select(title_col, "_clean"), title_col)))
+    best = (t.join(hits.select(title_col, name_col, path_col), title_col, "left")
+            .groupBy(title_col, "_clean")
+            .agg(F.min_by(F.struct(name_col, path_col), F.col(name_col)).alias("_m")))
+    # An empty cleaned title is contained in every name: its match is the first
+    # file overall, a scalar subquery evaluated once by Spark.
+    first_name = f.agg(F.min(name_col)).scalar()
+    first_path = f.agg(F.min_by(path_col, name_col)).scalar()
+    empty = F.col("_clean") == ""
+    return best.select(title_col, F.when(empty, first_name).otherwise(F.col("_m")[name_col]).alias(name_col),
+                       F.when(empty, first_path).otherwise(F.col("_m")[path_col]).alias(path_col))
 
 
 # ------------------------------------------------------------- table level

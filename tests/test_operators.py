@@ -209,3 +209,13 @@ def test_distinct_records_key_order_and_missing_vs_null(spark):
         .select("_ord", F.parse_json("t").alias("v"))
     kept = sorted(r._ord for r in dedup.distinct_records(df).collect())
     assert kept == [0, 2, 3]   # 1.0 folds into 1 in VARIANT (documented)
+
+
+def test_contains_join_expansion_matches_broadcast(spark):
+    from harvest.operators.joins import contains_join
+    hay = spark.createDataFrame([(i, t) for i, t in enumerate(["abcabc", "農業資料", "xyz", "", None, "aa"])],
+                                "hid int, h string")
+    needles = spark.createDataFrame([("a",), ("bc",), ("業資",), ("zz",), ("",), ("aa",)], "n string")
+    small = _rows(contains_join(hay, "h", needles, "n"), "hid", "n")
+    big = _rows(contains_join(hay, "h", needles, "n", force_expand=True), "hid", "n")
+    assert small == big == [(0, "a"), (0, "bc"), (1, "業資"), (5, "a"), (5, "aa")]

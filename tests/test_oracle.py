@@ -17,3 +17,13 @@ def con():
 def test_query_matches_oracle(spark, con, key):
     res = compare(spark, con, key, E.queries()[key], E.oracle_sql().get(key), SF)
     assert res["status"] in ("OK", "rows-only"), res
+
+
+@pytest.mark.parametrize("key", ["catalog_lookup", "catalog_search", "title_file_match"])
+def test_substring_joins_without_broadcast(spark, con, key, monkeypatch):
+    from harvest.operators import joins
+    monkeypatch.setattr(joins, "THETA_BROADCAST_MAX_ROWS", 0)   # force the substring equi-join path
+    res = compare(spark, con, key, E.queries()[key], E.oracle_sql().get(key), SF)
+    assert res["status"] == "OK", res
+    plan = E.queries()[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
