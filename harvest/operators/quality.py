@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harvest.functions.times import ts_lit
 
 from harvest.functions.dates import parse_date
-from harvest.functions.text import CODE_LIST_WORD, MAP_URL_FIELD, SPATIAL_WORD  # noqa: F401
+from harvest.functions.text import CODE_LIST_WORD, SPATIAL_WORD
 
 # Column-name words that mark a date column, and words that
 # mark a dataset without one (checked on the lower-cased column name).
@@ -62,7 +62,7 @@ def category_table(spark) -> DataFrame:
     return spark.createDataFrame(CATEGORY_PREFIXES, "category string, prefix string")
 
 
-def _blank(c) -> "F.Column":
+def _blank(c) -> Column:
     return c.isNull() | (F.trim(c.cast("string")) == "")
 
 
@@ -82,7 +82,7 @@ def metadata_integrity(meta: DataFrame, categories: DataFrame, required=("api_ur
     return j.withColumn("status", status)
 
 
-def load_mode(title, first_map_url) -> "F.Column":
+def load_mode(title, first_map_url) -> Column:
     """``full`` when the dataset's first row has a non-empty map URL or the
     title names a code list (or a spatial dataset, Q16); else ``incremental``."""
     t = F.coalesce(title, F.lit(""))

@@ -21,6 +21,24 @@ DEFAULT_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
+               max_partitions: int = 100_000) -> dict:
+    """Shuffle sizing for a run that reads about ``input_bytes``: enough initial
+    shuffle partitions that each holds ~``target_partition_bytes`` before AQE
+    coalesces the small ones, and scan splits of the same size. For 100 TB this
+    gives the 100,000-partition cap (~1 GB each before compression effects),
+    which AQE then coalesces or splits (skew) at runtime."""
+    n = max(200, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    size = f"{target_partition_bytes // (1 << 20)}m"
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": size,
+    }
+
+
 def get_spark(master: str | None = None, app: str = "harvest",
               shuffle_partitions: int | None = None,
               extra: dict | None = None) -> SparkSession:

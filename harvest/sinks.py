@@ -85,3 +85,20 @@ def write_keyed_layout(spark: SparkSession, df: DataFrame, table: str, keys: Seq
         w = w.option("path", path)
     w.saveAsTable(table)
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
+
+
+def ensure_table(spark: SparkSession, name: str, schema: T.StructType, path: str | None = None,
+                 partition_by: Sequence[str] = ()) -> bool:
+    """Create an empty parquet table with ``schema`` when it does not exist.
+    Returns True when it was created. Keys are enforced by checks (key_violations),
+    not by the storage."""
+    from harvest.operators.catalog import quoted
+    if spark.catalog.tableExists(quoted(name)):
+        return False
+    w = spark.createDataFrame([], schema).write.format("parquet")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(quoted(name))
+    return True

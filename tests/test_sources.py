@@ -105,3 +105,11 @@ def test_replace_datasets_and_observed_counts(spark, tmp):
     df, obs = observe_counts(spark.createDataFrame([(1,), (2,)], "x int"), "load")
     df.write.format("noop").mode("overwrite").save()
     assert obs.get["rows"] == 2
+
+
+def test_ensure_table_creates_once(spark, tmp):
+    from harvest.sinks import FILES_SCHEMA, ensure_table
+    assert ensure_table(spark, "ds_files_t", FILES_SCHEMA, path=os.path.join(tmp, "files"))
+    assert not ensure_table(spark, "ds_files_t", FILES_SCHEMA)
+    assert spark.table("ds_files_t").columns[:2] == ["file_id", "file_path"]
+    spark.sql("DROP TABLE ds_files_t")
