@@ -63,7 +63,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Only when the session has none (local tests) do we pick a scratch folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session: the server owns its checkpoint dir
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     path = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = tempfile.mkdtemp(prefix="harvest-ckpt-")
