@@ -86,9 +86,11 @@ def parse_date(col) -> Column:
     def build(p: Column) -> Column:
         def part(i: int) -> Column:
             return F.get(p, i).try_cast("int")
-        # A value no rule rewrote has no 7th part -> NULL.
+        # A value no rule rewrote has no 7th part -> NULL. Seconds must be
+        # 0..59 (make_timestamp would roll 60 into the next minute).
+        secs = F.when(part(5) < 60, part(5)).cast("decimal(16,6)")
         return F.try_make_timestamp_ntz(
             years=part(0) + part(6), months=part(1), days=part(2),
-            hours=part(3), mins=part(4), secs=part(5).cast("decimal(16,6)"))
+            hours=part(3), mins=part(4), secs=secs)
 
     return F.get(F.transform(parts, build), 0)
