@@ -88,9 +88,11 @@ def parse_date(col) -> Column:
             return F.get(p, i).try_cast("int")
         # A value no rule rewrote has no 7th part -> NULL. Seconds must be
         # 0..59 (make_timestamp would roll 60 into the next minute).
+        # Years start at 1, as in the original's calendar type.
         secs = F.when(part(5) < 60, part(5)).cast("decimal(16,6)")
+        year = part(0) + part(6)
         return F.try_make_timestamp_ntz(
-            years=part(0) + part(6), months=part(1), days=part(2),
+            years=F.when(year >= 1, year), months=part(1), days=part(2),
             hours=part(3), mins=part(4), secs=secs)
 
     return F.get(F.transform(parts, build), 0)

@@ -14,7 +14,7 @@ CASES = [
     ("", None), (None, None), ("text", None), (" 2025 / 1 / 2 ", D(2025, 1, 2)),
     ("2025-1-2 3:4:5", D(2025, 1, 2, 3, 4, 5)), ("113/2/29", D(2024, 2, 29)), ("2023/2/29", None),
     ("1,2,3,4,5,6,7", None), ("2025/13/01", None), ("0", D(1911, 1, 1)),
-    ("2025/1/2 3:4:60", None), ("2025/1/2 24:0:0", None), ("2025/1/2 3:60:0", None),
+    ("2025/1/2 3:4:60", None), ("0000/01/01", None), ("00000101", None), ("2025/1/2 24:0:0", None), ("2025/1/2 3:60:0", None),
 ]
 
 
