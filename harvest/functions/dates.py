@@ -37,22 +37,23 @@ def roc_to_ad(year: Column) -> Column:
 # Fixed patterns, in priority order, each with the template that rewrites a
 # match into "year,month,day,hour,minute,second,year_offset". The two
 # date-time forms apply to the trimmed value, the rest to the value with every
-# space removed. ROC years carry the 1911 offset.
+# space removed. ROC years carry the 1911 offset. Four-digit years exclude
+# 0000 and seconds stop at 59, as the original's calendar type does.
 _ON_TRIMMED = [
-    (r"^(\d{4})/(\d{1,2})/(\d{1,2})\s+(\d{1,2}):(\d{1,2}):(\d{1,2})$", "$1,$2,$3,$4,$5,$6,0"),
-    (r"^(\d{4})-(\d{1,2})-(\d{1,2})\s+(\d{1,2}):(\d{1,2}):(\d{1,2})$", "$1,$2,$3,$4,$5,$6,0"),
+    (r"^(?!0000)(\d{4})/(\d{1,2})/(\d{1,2})\s+(\d{1,2}):(\d{1,2}):([0-5]?\d)$", "$1,$2,$3,$4,$5,$6,0"),
+    (r"^(?!0000)(\d{4})-(\d{1,2})-(\d{1,2})\s+(\d{1,2}):(\d{1,2}):([0-5]?\d)$", "$1,$2,$3,$4,$5,$6,0"),
 ]
 _ON_SPACELESS = [
     (r"^(\d{1,3})$", "$1,1,1,0,0,0,1911"),                                # ROC year
     (r"^(\d{1,3})[./](\d{1,2})[./](\d{1,2})$", "$1,$2,$3,0,0,0,1911"),    # ROC date
-    (r"^(\d{4})/(\d{1,2})/(\d{1,2})$", "$1,$2,$3,0,0,0,0"),              # yyyy/M/d
-    (r"^(\d{4})-(\d{1,2})-(\d{1,2})$", "$1,$2,$3,0,0,0,0"),              # yyyy-M-d
-    (r"^(\d{4})(\d{2})(\d{2})$", "$1,$2,$3,0,0,0,0"),                   # yyyyMMdd
+    (r"^(?!0000)(\d{4})/(\d{1,2})/(\d{1,2})$", "$1,$2,$3,0,0,0,0"),              # yyyy/M/d
+    (r"^(?!0000)(\d{4})-(\d{1,2})-(\d{1,2})$", "$1,$2,$3,0,0,0,0"),              # yyyy-M-d
+    (r"^(?!0000)(\d{4})(\d{2})(\d{2})$", "$1,$2,$3,0,0,0,0"),                   # yyyyMMdd
     (r"^(\d{3})(\d{2})(\d{2})$", "$1,$2,$3,0,0,0,1911"),                # ROC yyyMMdd
-    (r"^(\d{4})(\d{2})$", "$1,$2,1,0,0,0,0"),                           # yyyyMM
-    (r"^(\d{4})-(\d{1,2})$", "$1,$2,1,0,0,0,0"),                        # yyyy-M
-    (r"^(\d{4})$", "$1,1,1,0,0,0,0"),                                    # yyyy
-    (r"^(\d{4})年$", "$1,1,1,0,0,0,0"),                                   # yyyy年
+    (r"^(?!0000)(\d{4})(\d{2})$", "$1,$2,1,0,0,0,0"),                           # yyyyMM
+    (r"^(?!0000)(\d{4})-(\d{1,2})$", "$1,$2,1,0,0,0,0"),                        # yyyy-M
+    (r"^(?!0000)(\d{4})$", "$1,1,1,0,0,0,0"),                                    # yyyy
+    (r"^(?!0000)(\d{4})年$", "$1,1,1,0,0,0,0"),                                   # yyyy年
 ]
 
 
@@ -86,13 +87,9 @@ def parse_date(col) -> Column:
     def build(p: Column) -> Column:
         def part(i: int) -> Column:
             return F.get(p, i).try_cast("int")
-        # A value no rule rewrote has no 7th part -> NULL. Seconds must be
-        # 0..59 (make_timestamp would roll 60 into the next minute).
-        # Years start at 1, as in the original's calendar type.
-        secs = F.when(part(5) < 60, part(5)).cast("decimal(16,6)")
-        year = part(0) + part(6)
+        # A value no rule rewrote has no 7th part -> NULL.
         return F.try_make_timestamp_ntz(
-            years=F.when(year >= 1, year), months=part(1), days=part(2),
-            hours=part(3), mins=part(4), secs=secs)
+            years=part(0) + part(6), months=part(1), days=part(2),
+            hours=part(3), mins=part(4), secs=part(5).cast("decimal(16,6)"))
 
     return F.get(F.transform(parts, build), 0)

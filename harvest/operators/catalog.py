@@ -94,13 +94,20 @@ def row_text_search(df: DataFrame, needle: str) -> DataFrame:
                                F.lower(F.lit(needle))))
 
 
+DATASET_ID_RE = r"^\d{7}$"   # dataset ids: 3-digit category prefix + 4-digit sequence
+
+
 def reconcile(catalog: DataFrame, table_names: DataFrame, id_col: str = "dataset_id",
-              title_col: str = "title", name_col: str = "table_name") -> DataFrame:
+              title_col: str = "title", name_col: str = "table_name",
+              id_pattern: str = DATASET_ID_RE) -> DataFrame:
     """Three-way full outer reconcile of catalog / raw tables / processed
-    tables on the dataset id; missing flags are false, missing text is ''."""
+    tables on the dataset id; missing flags are false, missing text is ''.
+    Only tables whose dataset id matches ``id_pattern`` count (service tables
+    such as the file registry or config tables are not datasets, Q20)."""
     t1 = catalog.select(F.col(id_col).cast("string").alias("_id"), F.col(title_col).alias("title"),
                         F.lit(True).alias("in_catalog"))
-    names = table_names.select(F.col(name_col).alias("_n"))
+    names = (table_names.select(F.col(name_col).alias("_n"))
+             .where(strip_processed(F.col("_n")).rlike(id_pattern)))
     t2 = names.where(~is_processed(F.col("_n"))).select(F.col("_n").alias("_id"), F.lit(True).alias("in_raw"))
     t3 = names.where(is_processed(F.col("_n"))).select(
         strip_processed(F.col("_n")).alias("_id"), F.col("_n").alias("processed_name"),

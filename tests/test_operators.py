@@ -159,11 +159,16 @@ def test_reconcile_all_seven_combinations(spark):
     cat = spark.createDataFrame([(i, f"t{i}") for i in ("A", "AB", "AC", "ABC")], "dataset_id string, title string")
     names = spark.createDataFrame([(n,) for n in ("B", "AB", "BC", "ABC", "C_processed", "AC_processed",
                                                   "BC_processed", "ABC_processed")], "table_name string")
-    got = {r.dataset_id: (r.in_catalog, r.in_raw, r.in_processed) for r in catalog.reconcile(cat, names).collect()}
+    got = {r.dataset_id: (r.in_catalog, r.in_raw, r.in_processed)
+           for r in catalog.reconcile(cat, names, id_pattern=".*").collect()}
     assert got == {"A": (True, False, False), "B": (False, True, False), "C": (False, False, True),
                    "AB": (True, True, False), "AC": (True, False, True), "BC": (False, True, True),
                    "ABC": (True, True, True)}
-    assert [r.dataset_id for r in catalog.orphan_entries(catalog.reconcile(cat, names)).collect()] == ["A"]
+    assert [r.dataset_id for r in catalog.orphan_entries(catalog.reconcile(cat, names, id_pattern=".*")).collect()] == ["A"]
+    svc = spark.createDataFrame([("files",), ("1010001",), ("1010001_processed",), ("all_sort_configs",)], "table_name string")
+    cat7 = spark.createDataFrame([("1010001", "t")], "dataset_id string, title string")
+    assert [(r.dataset_id, r.in_raw, r.in_processed) for r in catalog.reconcile(cat7, svc).collect()] == [
+        ("1010001", True, True)]
 
 
 def test_rekey_refuses_existing(spark):
