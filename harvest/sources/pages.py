@@ -40,8 +40,8 @@ TITLE_RE = r"(?is)<title[^>]*>(.*?)</title>"
 H1_RE = r"(?is)<h1[^>]*>(.*?)</h1>"
 FIRST_HREF_RE = r"""(?is)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""
 CONTENT_BLOCK_RE = r"""(?is)<div[^>]*class\s*=\s*["']data-search data-content["'][^>]*>(.*?)(?=<div[^>]*class\s*=\s*["']data-search data-content["']|$)"""
-PAIR_RE = (r"""(?is)<(?:label|span)[^>]*class\s*=\s*["']label["'][^>]*>(.*?)</(?:label|span)>"""
-           r"""\s*</div>\s*<div[^>]*class\s*=\s*["']search-input["'][^>]*>(.*?)</div>""")
+PAIR_RE = (r"""(?is)<(?:label|span)\b[^>]*class\s*=\s*["'](?:[^"']*\s)?label(?:\s[^"']*)?["'][^>]*>(.*?)</(?:label|span)>"""
+           r"""\s*</div>\s*<div[^>]*class\s*=\s*["'](?:[^"']*\s)?search-input(?:\s[^"']*)?["'][^>]*>(.*?)</div>""")
 VALUE_RE = r"(?is)<(p|a)\b[^>]*>(.*?)</\1>"
 WRAPPER_RE = r"""(?is)<div[^>]*class\s*=\s*["']data-title-wrapper["'][^>]*>(.*?)</div>"""
 UPDATE_SPAN_RE = r"(?is)<span[^>]*>([^<]*" + UPDATE_LABEL + r"[^<]*)</span>"
@@ -62,39 +62,53 @@ def _update_time(html: Column) -> Column:
     return F.coalesce(in_spans(wrapper), in_spans(html))
 
 
-def portal_fields(html: Column, url: Column) -> Column:
-    """Label -> value map of the portal's metadata block."""
-    blocks = F.regexp_extract_all(html, F.lit(CONTENT_BLOCK_RE), 1)
-    block = F.when(F.size(blocks) > 1, F.get(blocks, 1)).otherwise(F.get(blocks, 0))
-    keys = F.transform(F.regexp_extract_all(block, F.lit(PAIR_RE), 1), lambda k: tag_text(k))
-    vals = F.regexp_extract_all(block, F.lit(PAIR_RE), 2)
-    pairs = F.filter(F.arrays_zip(keys.alias("k"), vals.alias("v")), lambda p: p["k"] != RATING_LABEL)
-
-    def value(p):
-        div = p["v"]
-        text = tag_text(F.regexp_extract(div, VALUE_RE, 2))
-        has_tag = F.regexp_extract(div, VALUE_RE, 1) != ""
-        link = F.regexp_extract(div, FIRST_HREF_RE, 1)
-        plain = F.when(has_tag, text)
-        return F.when((p["k"] == API_LABEL) & (link != ""), resolve_link(url, link)).otherwise(plain)
-
-    entries = F.transform(pairs, lambda p: F.struct(p["k"].alias("key"), value(p).alias("value")))
-    return F.map_from_entries(entries)
+def _value(url: Column, p: Column) -> Column:
+    """Value of one (label, value-div) pair: the first <p>/<a> text; the API field
+    takes the div's first link, made absolute."""
+    div = p["v"]
+    text = tag_text(F.regexp_extract(div, VALUE_RE, 2))
+    has_tag = F.regexp_extract(div, VALUE_RE, 1) != ""
+    link = F.regexp_extract(div, FIRST_HREF_RE, 1)
+    return F.when((p["k"] == API_LABEL) & (link != ""), resolve_link(url, link)).otherwise(F.when(has_tag, text))
+
+
+def with_portal_fields(df: DataFrame, html_col: str = "html", url_col: str = "url",
+                       out_col: str = "_fields") -> DataFrame:
+    """Add the label -> value map of the portal's metadata block.
+
+    Built in stages (block, then pairs, then entries, then the map) so every
+    regex runs once per page: each stage is its own projection, and the
+    optimizer does not inline a non-cheap expression into several references.
+    """
+    blocks = F.regexp_extract_all(F.col(html_col), F.lit(CONTENT_BLOCK_RE), 1)
+    s1 = df.withColumn("_blocks", blocks)
+    s1 = s1.withColumn("_block", F.when(F.size("_blocks") > 1, F.get("_blocks", 1)).otherwise(F.get("_blocks", 0)))
+    s2 = (s1.withColumn("_keys", F.transform(F.regexp_extract_all("_block", F.lit(PAIR_RE), 1), lambda k: tag_text(k)))
+          .withColumn("_vals", F.regexp_extract_all("_block", F.lit(PAIR_RE), 2)))
+    pairs = F.filter(F.arrays_zip(F.col("_keys").alias("k"), F.col("_vals").alias("v")), lambda p: p["k"] != RATING_LABEL)
+    url = F.col(url_col)
+    s3 = s2.withColumn("_entries", F.transform(pairs, lambda p: F.struct(p["k"].alias("key"), _value(url, p).alias("value"))))
+    s4 = s3.withColumn("_names", F.transform("_entries", lambda e: e["key"]))
+    # A repeated label keeps its last value (later assignments win).
+    last = F.filter("_entries", lambda e, i: F.size("_names") - F.array_position(F.reverse("_names"), e["key"]) == i)
+    return s4.withColumn(out_col, F.map_from_entries(last)).drop("_blocks", "_block", "_keys", "_vals", "_entries", "_names")
 
 
 def page_metadata(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """All extracted fields per page (one row per page)."""
     html, url = F.col(html_col), F.col(url_col)
-    fields = portal_fields(html, url)
     href = _first(html, FIRST_HREF_RE)
     cols = [c for c in pages.columns if c != html_col]
-    out = pages.select(
+    staged = with_portal_fields(pages, html_col, url_col).select(
         *cols,
         strip_title_suffix(tag_text(_first(html, TITLE_RE))).alias("title"),
         tag_text(_first(html, H1_RE)).alias("heading"),
         resolve_link(url, href).alias("first_link"),
-        *[F.element_at(fields, F.lit(label)).alias(name) for label, name in FIELD_NAMES.items()],
+        "_fields",
         _update_time(html).alias("updated_at_src"))
+    out = staged.select(*cols, "title", "heading", "first_link",
+                        *[F.element_at(F.col("_fields"), F.lit(label)).alias(name) for label, name in FIELD_NAMES.items()],
+                        "updated_at_src")
     return out.withColumn("complete", F.col("updated_at_src").isNotNull())
 
 

@@ -15,7 +15,9 @@ PORTAL = """<html><head><title>農產品價格 - 農業資料開放平臺</title
 <div class="data-search data-content">
 <div class="search-input"><label class="label">資料分類</label></div><div class="search-input"><p>農糧</p></div>
 <div class="search-input"><span class="label">資料評分</span></div><div class="search-input"><p>5</p></div>
-<div class="search-input"><label class="label">提供單位</label></div><div class="search-input"><a href="/org">農業部</a></div>
+<div class="search-input"><label class="label bold">提供單位</label></div><div class="search-input wide"><a href="/org">農業部</a></div>
+<div class="search-input"><span class="labelled">不是標籤</span></div><div class="search-input"><p>x</p></div>
+<div class="search-input"><label class="label">資料分類</label></div><div class="search-input"><p>漁業</p></div>
 <div class="search-input"><label class="label">資料介接</label></div><div class="search-input"><a href="/api/v1/data?x=1">JSON</a></div>
 </div></body></html>"""
 
@@ -26,7 +28,7 @@ def test_portal_page_fields(spark):
                                   "page_id long, url string, html string")
     got = {r.page_id: r for r in page_metadata(pages).collect()}
     p = got[1]
-    assert p.title == "農產品價格" and p.category == "農糧" and p.provider == "農業部"
+    assert p.title == "農產品價格" and p.category == "漁業" and p.provider == "農業部"   # last label wins
     assert p.api_url == "https://data.example.gov/api/v1/data?x=1"
     assert p.updated_at_src == "2025/03/04 05:06:07" and p.complete
     assert got[2].updated_at_src is None and not got[2].complete
