@@ -36,9 +36,9 @@ def payload_map(v: Column) -> Column:
     return F.try_variant_get(v, "$", "map<string,string>")
 
 
-def key_text(v: Column, keys: Column) -> Column:
-    """JSON text of the key values named by ``keys`` (missing and NULL both -> null)."""
-    m = payload_map(v)
+def key_text(m: Column, keys: Column) -> Column:
+    """JSON text of the key values named by ``keys`` in the field map ``m``
+    (missing and NULL both -> null)."""
     return F.to_json(F.transform(keys, lambda k: F.element_at(m, k)))
 
 
@@ -57,18 +57,22 @@ def refresh_all(rows: DataFrame, store: DataFrame, configs: DataFrame,
     or only rows whose key is not stored, with ids after the stored maximum.
     Returns ``dataset_id, _ord, mode, seq, row_id, record``.
     """
-    r = _with_config(rows, configs, ["keys", "date_col", "title"])
+    # The payload's field map is built once per row; the fields every later step
+    # needs (date, map URL, key) are read from it and the map is dropped before
+    # anything is shuffled.
+    r = _with_config(rows, configs, ["keys", "date_col", "title"]).withColumn("_m", payload_map(F.col("v")))
+    r = r.select("*", F.element_at(F.col("_m"), F.col("date_col")).alias("_date"),
+                 F.element_at(F.col("_m"), F.lit("map_url")).alias("_map_url"),
+                 key_text(F.col("_m"), F.col("keys")).alias("_key")).drop("_m")
     if cutoff is not None:
-        d = parse_date(F.element_at(payload_map(F.col("v")), F.col("date_col")))
-        r = r.where(F.col("date_col").isNull() | (d >= ts_lit(cutoff)))
-    first = (r.groupBy("dataset_id")
-             .agg(F.min_by(F.element_at(payload_map(F.col("v")), F.lit("map_url")), F.col("_ord")).alias("_map")))
+        r = r.where(F.col("date_col").isNull() | (parse_date(F.col("_date")) >= ts_lit(cutoff)))
+    first = r.groupBy("dataset_id").agg(F.min_by(F.col("_map_url"), F.col("_ord")).alias("_map"))
     r = r.join(first, "dataset_id").withColumn("mode", load_mode(F.col("title"), F.col("_map")))
-    r = r.withColumn("_key", key_text(F.col("v"), F.col("keys")))
 
     full = r.where(F.col("mode") == "full")
     inc = r.where(F.col("mode") == "incremental")
-    s = _with_config(store, configs, ["keys"]).select("dataset_id", key_text(F.col("v"), F.col("keys")).alias("_key"))
+    s = (_with_config(store, configs, ["keys"]).withColumn("_m", payload_map(F.col("v")))
+         .select("dataset_id", key_text(F.col("_m"), F.col("keys")).alias("_key")))
     s_keys = s.distinct()
     inc = inc.join(s_keys, (inc["dataset_id"] == s_keys["dataset_id"]) & inc["_key"].eqNullSafe(s_keys["_key"]),
                    "left_anti")
@@ -87,7 +91,8 @@ def dedup_all(rows: DataFrame, configs: DataFrame, order_col: str = "row_id") ->
     the last row per (dataset, merge key). Datasets without keys are untouched."""
     r = _with_config(rows, configs, ["keys", "merge_keys", "auto_merge", "title"])
     has_keys = F.col("keys").isNotNull() & (F.size("keys") > 0)
-    keyed = r.where(has_keys).withColumn("_key", key_text(F.col("v"), F.col("keys")))
+    keyed = (r.where(has_keys).withColumn("_m", payload_map(F.col("v")))
+             .withColumn("_key", key_text(F.col("_m"), F.col("keys"))).drop("_m"))
     untouched = r.where(~has_keys | F.col("keys").isNull())
     cols = list(rows.columns)
     step1 = keep_first(keyed.select(*cols, "merge_keys", "auto_merge", "title", "_key"),
@@ -95,7 +100,8 @@ def dedup_all(rows: DataFrame, configs: DataFrame, order_col: str = "row_id") ->
     step1 = step1.unionByName(untouched.select(*cols, "merge_keys", "auto_merge", "title"))
     merge_on = (F.coalesce(F.col("auto_merge"), F.lit(False)) & F.col("merge_keys").isNotNull()
                 & (F.size("merge_keys") > 0) & ~F.contains(F.coalesce(F.col("title"), F.lit("")), F.lit(CODE_LIST_WORD)))
-    to_merge = step1.where(merge_on).withColumn("_mkey", key_text(F.col("v"), F.col("merge_keys")))
+    to_merge = (step1.where(merge_on).withColumn("_m", payload_map(F.col("v")))
+                .withColumn("_mkey", key_text(F.col("_m"), F.col("merge_keys"))).drop("_m"))
     kept = step1.where(~merge_on)
     merged = keep_last(to_merge.select(*cols, "_mkey"), ["dataset_id", "_mkey"], order_col).drop("_mkey")
     return kept.select(*cols).unionByName(merged.select(*cols))
