@@ -14,7 +14,8 @@ from harvest.plans.inputs import LANDED_EVENTS_SQL, STORED_EVENTS_SQL
 from harvest.plans.registry import register
 from harvest.session import read_table
 
-EVENT_KEYS = ["user_id", "kind", "ts"]
+# Identity key of a landed event within its dataset (keys never match across datasets).
+EVENT_KEYS = ["dataset_id", "user_id", "kind", "ts"]
 
 
 # --------------------------------------------------------------------- dates
@@ -71,7 +72,8 @@ SELECT i.dataset_id, i.event_id, i.user_id, i.kind, i.ts, i.value, i.event_date
 FROM ({LANDED_EVENTS_SQL}) i
 WHERE CAST(i.ts AS DATE) >= DATE '2024-01-11'
   AND NOT EXISTS (SELECT 1 FROM ({STORED_EVENTS_SQL}) s
-                  WHERE CAST(s.user_id AS VARCHAR) IS NOT DISTINCT FROM CAST(i.user_id AS VARCHAR)
+                  WHERE s.dataset_id = i.dataset_id
+                    AND CAST(s.user_id AS VARCHAR) IS NOT DISTINCT FROM CAST(i.user_id AS VARCHAR)
                     AND s.kind IS NOT DISTINCT FROM i.kind
                     AND s.ts IS NOT DISTINCT FROM i.ts)"""
 
@@ -89,7 +91,7 @@ def incremental_new(spark, sf):
 @register("incremental_existing", f"""
 SELECT i.event_id, s.seq
 FROM ({LANDED_EVENTS_SQL}) i JOIN ({STORED_EVENTS_SQL}) s
-  ON CAST(s.user_id AS VARCHAR) IS NOT DISTINCT FROM CAST(i.user_id AS VARCHAR)
+  ON s.dataset_id = i.dataset_id AND CAST(s.user_id AS VARCHAR) IS NOT DISTINCT FROM CAST(i.user_id AS VARCHAR)
  AND s.kind IS NOT DISTINCT FROM i.kind AND s.ts IS NOT DISTINCT FROM i.ts""")
 def incremental_existing(spark, sf):
     return incremental.matched_ids(inputs.landed_events(spark, sf), inputs.stored_events(spark, sf),

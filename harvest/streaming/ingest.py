@@ -56,7 +56,9 @@ def start_ingest(spark: SparkSession, landing_dir: str, store_path: str, checkpo
         rows = _flatten(batch, keys)
         if _store_exists(spark, store_path):
             store = spark.read.parquet(store_path)
-            fresh = new_rows(rows, store, keys)
+            # Keys are scoped by dataset; the dataset id is also the store's
+            # partition column, so only the batch's datasets are read.
+            fresh = new_rows(rows, store, ["dataset_id"] + keys)
             start = max_sequence(store, "seq", ["dataset_id"])
         else:
             fresh, start = rows, None

@@ -47,3 +47,15 @@ def test_replay_after_injected_failure_and_schema_drift(spark, tmp):
     rows = {r.id: r for r in spark.read.parquet(store).collect()}
     assert sorted(rows) == ["1", "2", "3"] and '"extra"' in rows["3"].record
     assert sorted(r.seq for r in rows.values()) == [1, 2, 3]
+
+
+def test_keys_are_scoped_by_dataset(spark, tmp):
+    landing, store, ck = (os.path.join(tmp, x) for x in ("landing", "store", "ck"))
+    os.makedirs(landing)
+    _land(landing, "dsA_0.json", [{"id": 1}, {"id": 2}])
+    run_ingest(spark, landing, store, ck, ["id"])
+    _land(landing, "dsB_0.json", [{"id": 1}])          # same key value, other dataset: new
+    _land(landing, "dsA_1000.json", [{"id": 2}, {"id": 3}])
+    run_ingest(spark, landing, store, ck, ["id"])
+    got = sorted((r.dataset_id, r.id, r.seq) for r in spark.read.parquet(store).collect())
+    assert got == [("dsA", "1", 1), ("dsA", "2", 2), ("dsA", "3", 3), ("dsB", "1", 1)]
