@@ -1,8 +1,10 @@
 """Sinks and DDL: K01 schema-evolving append, K02 full / per-dataset replace,
 K03 JSON snapshot, K08 CSV report, K11 table schemas, K14 keyed layout.
 
-Every write goes to a new version directory; the path being read is never
-overwritten (a job that reads version n writes version n+1).
+A table rewritten from itself (upsert, replace-by-key) is written to a
+directory other than the one it is read from (the caller names the next
+version); appends and per-dataset replacement write in place under Spark's
+commit protocol.
 """
 
 from __future__ import annotations
