@@ -47,3 +47,10 @@ def contains_join(hay: DataFrame, hay_col: str, needles: DataFrame, needle_col:
     lengths = sorted(r[0] for r in nd.select(F.length(needle_col)).distinct().collect())
     expanded = hay.withColumn("_sub", F.explode(_substrings(F.col(hay_col), lengths)))
     return expanded.join(nd, expanded["_sub"] == nd[needle_col], "inner").drop("_sub")
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Mark ``df`` for broadcast only after checking its row count; beyond the
+    bound the join strategy is left to the optimizer (AQE picks a shuffled join)."""
+    bound = THETA_BROADCAST_MAX_ROWS if max_rows is None else max_rows
+    return F.broadcast(df) if df.count() <= bound else df

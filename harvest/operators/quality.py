@@ -71,7 +71,8 @@ def metadata_integrity(meta: DataFrame, categories: DataFrame, required=("api_ur
     """P01 + J09: status per metadata record: ``ok`` when every required field
     is non-blank and the category is known (its prefix attached), else
     ``missing`` or ``unknown_category``. Rejects are kept, with their status."""
-    cat = F.broadcast(categories.select(F.col("category").alias("_cat"), "prefix"))
+    from harvest.operators.joins import bounded_broadcast
+    cat = bounded_broadcast(categories.select(F.col("category").alias("_cat"), "prefix"))
     j = meta.join(cat, meta["category"] == cat["_cat"], "left").drop("_cat")
     missing = None
     for c in required:

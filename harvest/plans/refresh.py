@@ -28,6 +28,7 @@ from harvest.functions.dates import parse_date
 from harvest.functions.text import CODE_LIST_WORD, compose_id
 from harvest.operators.dedup import keep_first, keep_last
 from harvest.operators.ids import assign_ids, max_sequence
+from harvest.operators.joins import bounded_broadcast
 from harvest.operators.quality import load_mode
 
 
@@ -43,8 +44,8 @@ def key_text(m: Column, keys: Column) -> Column:
 
 
 def _with_config(rows: DataFrame, configs: DataFrame, cols) -> DataFrame:
-    # One config row per dataset (the catalog's size): broadcast is bounded.
-    return rows.join(F.broadcast(configs.select("dataset_id", *cols)), "dataset_id", "left")
+    # One config row per dataset (the catalog's size); broadcast after a row-count check.
+    return rows.join(bounded_broadcast(configs.select("dataset_id", *cols)), "dataset_id", "left")
 
 
 def refresh_all(rows: DataFrame, store: DataFrame, configs: DataFrame,
