@@ -90,12 +90,40 @@ def page_gaps(manifest: DataFrame, dataset_col: str = "dataset_id") -> DataFrame
                     (F.col("next_skip") - (F.col("skip") + F.col("n_rows"))).alias("gap"))
 
 
-def latest_snapshot(snapshots: DataFrame, dataset_col: str = "dataset_id",
+def latest_snapshot(snapshots: DataFrame, dataset_col: str | None = "dataset_id",
                     name_col: str = "file_name") -> DataFrame:
-    """Per dataset, the snapshot whose file name carries the newest
-    ``yyyyMMdd_HHmmss`` stamp (ties broken by file name, then resume offset)."""
+    """The snapshot whose file name carries the newest
+    ``yyyyMMdd_HHmmss`` stamp -- per dataset, or overall when ``dataset_col``
+    is None (ties broken by file name, then the other columns)."""
     s = snapshots.withColumn("snapshot_ts", snapshot_time(F.col(name_col))).where(F.col("snapshot_ts").isNotNull())
-    rest = [c for c in s.columns if c != dataset_col]
-    key = F.struct("snapshot_ts", name_col, *[c for c in rest if c not in ("snapshot_ts", name_col)])
-    best = s.groupBy(dataset_col).agg(F.max_by(F.struct(*rest), key).alias("_b"))
-    return best.select(dataset_col, *[F.col("_b")[c].alias(c) for c in rest])
+    group = [dataset_col] if dataset_col else []
+    rest = [c for c in s.columns if c not in group]
+    key = F.struct("snapshot_ts", name_col, *[c for c in rest if c not in ("snapshot_ts", name_col)
+                                             and dict(s.dtypes)[c] != "variant"])
+    agg = F.max_by(F.struct(*rest), key).alias("_b")
+    best = s.groupBy(*group).agg(agg) if group else s.agg(agg)
+    return best.where(F.col("_b").isNotNull()).select(*group, *[F.col("_b")[c].alias(c) for c in rest])
+
+
+def read_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    """K10 files: ``interruption_record_<yyyyMMdd_HHmmss>.json`` holding the
+    run's date, dataset name, URL, the offset where it stopped and the rows
+    fetched so far. One row per file; the document stays a VARIANT."""
+    raw = (spark.read.option("pathGlobFilter", SNAPSHOT_PREFIX + "*.json").text(folder, wholetext=True)
+           .select(F.col("_metadata.file_name").alias("file_name"), F.try_parse_json("value").alias("doc")))
+    return raw.select("file_name",
+                      F.try_variant_get("doc", "$.name", "string").alias("name"),
+                      F.try_variant_get("doc", "$.url", "string").alias("url"),
+                      F.try_variant_get("doc", "$.date", "string").alias("date"),
+                      F.try_variant_get("doc", "$.false_at_skip", "int").alias("resume_skip"),
+                      "doc")
+
+
+def restore_snapshot_rows(snapshots: DataFrame, per_dataset: bool = False) -> DataFrame:
+    """Rows of the newest snapshot (overall, as the original restores one
+    run, or per dataset name), with their position; non-object elements and a
+    non-list record give no rows."""
+    latest = latest_snapshot(snapshots, "name" if per_dataset else None)
+    arr = F.try_variant_get("doc", "$.interruption_record", "array<variant>")
+    rows = latest.select("file_name", "name", "url", "resume_skip", F.posexplode(arr).alias("pos", "v"))
+    return rows.where(F.schema_of_variant(F.col("v")).startswith("OBJECT"))

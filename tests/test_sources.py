@@ -115,3 +115,24 @@ def test_ensure_table_creates_once(spark, tmp):
     assert not ensure_table(spark, "ds_files_t", FILES_SCHEMA)
     assert spark.table("ds_files_t").columns[:2] == ["file_id", "file_path"]
     spark.sql("DROP TABLE ds_files_t")
+
+
+def test_snapshot_restore(spark, tmp):
+    d = os.path.join(tmp, "hand")
+    os.makedirs(d)
+    docs = {"interruption_record_20250101_000000.json": {"date": "2025/01/01 00:00:00", "name": "a", "url": "u",
+                                                         "false_at_skip": 3000, "interruption_record": [{"x": 1}]},
+            "interruption_record_20250301_120000.json": {"date": "2025/03/01 12:00:00", "name": "b", "url": "u2",
+                                                         "false_at_skip": 1000,
+                                                         "interruption_record": [{"x": 2}, 5, {"x": 3}]},
+            "interruption_record_bad.json": {"name": "c"}, "other.json": {"name": "d"}}
+    for n, doc in docs.items():
+        with open(os.path.join(d, n), "w") as f:
+            f.write(json.dumps(doc))
+    snaps = landing.read_snapshots(spark, d)
+    assert snaps.count() == 3                     # the glob keeps snapshot files only
+    rows = landing.restore_snapshot_rows(snaps).select("name", "resume_skip", "pos",
+                                                       F.try_variant_get("v", "$.x", "int")).collect()
+    assert sorted(tuple(r) for r in rows) == [("b", 1000, 0, 2), ("b", 1000, 2, 3)]
+    per = landing.restore_snapshot_rows(snaps, per_dataset=True).select("name").distinct().collect()
+    assert sorted(r.name for r in per) == ["a", "b"]
