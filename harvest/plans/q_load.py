@@ -249,19 +249,30 @@ def event_configs(spark, sf):
         F.when(F.col("dataset_id") == "click", F.lit("ts")).alias("date_col"),
         F.concat("dataset_id", F.when(F.col("dataset_id").isin("signup", "view"), F.lit(" 代碼"))
                  .otherwise(F.lit(""))).alias("title"),
-        F.when(short, F.array(F.lit("user_id"))).otherwise(F.array(F.lit("k"))).alias("sort_keys"),
+        F.when(short, F.array(F.lit("user_id"))).otherwise(F.array(F.lit("k"))).alias("dedup_keys"),
+        F.when(short, F.array(F.array(F.lit("ts"), F.lit("date_asc")), F.array(F.lit("value"), F.lit("number_asc"))))
+        .otherwise(F.array(F.array(F.lit("k"), F.lit("number_asc")), F.array(F.lit("user_id"), F.lit("number_asc"))))
+        .alias("sort_keys"),
         F.when(F.col("dataset_id").isin("purchase", "signup"), F.array(F.lit("user_id")))
         .when(F.col("dataset_id") == "view", F.array(F.lit("k"))).alias("merge_keys"),
         F.when(F.col("dataset_id").isin("purchase", "view"), F.lit(True)).alias("auto_merge"))
 
 
-_EV_SQL = """(SELECT event_type AS dataset_id, event_id AS _ord, user_id, ts,
+_EV_SQL = """(SELECT event_type AS dataset_id, event_id AS _ord, user_id, ts, value,
    strftime(ts, '%Y/%m/%d %H:%M:%S') AS ts_text, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
    CASE WHEN event_type = 'view' THEN 'http://m/' || CAST(event_id AS VARCHAR)
         WHEN event_type = 'purchase' AND value > 400 THEN 'http://m/' || CAST(event_id AS VARCHAR) END AS map_url
  FROM events)"""
 
 
+# Per-dataset sort spec of the test configs, in SQL: short type names sort by
+# (ts, value), the others by (k, user_id); landing order breaks ties.
+_SPEC_ORDER_SQL = ("CASE WHEN length({t}.dataset_id) <= 5 THEN date_trunc('second', {t}.ts) END, "
+                   "CASE WHEN length({t}.dataset_id) <= 5 THEN {t}.value END, "
+                   "CASE WHEN length({t}.dataset_id) > 5 THEN {t}.k END, "
+                   "CASE WHEN length({t}.dataset_id) > 5 THEN {t}.user_id END, {t}._ord")
+
+
 @register("refresh_all", f"""
 WITH r AS (SELECT * FROM {_EV_SQL} e
            WHERE dataset_id <> 'click' OR date_trunc('second', ts) >= TIMESTAMP '2024-01-11 00:00:00'),
@@ -270,7 +281,7 @@ first AS (SELECT dataset_id, arg_min(COALESCE(map_url, ''), _ord) AS m FROM r GR
 mode AS (SELECT f.dataset_id, CASE WHEN f.m <> '' OR f.dataset_id IN ('signup', 'view') THEN 'full' ELSE 'incremental' END AS mode
          FROM first f),
 full_rows AS (SELECT r.dataset_id, r._ord, 'full' AS mode,
-                row_number() OVER (PARTITION BY r.dataset_id ORDER BY r._ord) AS seq
+                row_number() OVER (PARTITION BY r.dataset_id ORDER BY {_SPEC_ORDER_SQL.format(t="r")}) AS seq
               FROM r JOIN mode USING (dataset_id) WHERE mode.mode = 'full'),
 inc AS (SELECT r.* FROM r JOIN mode USING (dataset_id) WHERE mode.mode = 'incremental'
           AND NOT EXISTS (SELECT 1 FROM s WHERE s.dataset_id = r.dataset_id AND (
@@ -278,7 +289,7 @@ inc AS (SELECT r.* FROM r JOIN mode USING (dataset_id) WHERE mode.mode = 'increm
                  ELSE s._ord = r._ord END))),
 top AS (SELECT dataset_id, max(seq) AS top FROM s GROUP BY dataset_id),
 inc_rows AS (SELECT inc.dataset_id, inc._ord, 'incremental' AS mode,
-               COALESCE(top.top, 0) + row_number() OVER (PARTITION BY inc.dataset_id ORDER BY inc._ord) AS seq
+               COALESCE(top.top, 0) + row_number() OVER (PARTITION BY inc.dataset_id ORDER BY {_SPEC_ORDER_SQL.format(t="inc")}) AS seq
              FROM inc LEFT JOIN top USING (dataset_id)),
 u AS (SELECT * FROM full_rows UNION ALL SELECT * FROM inc_rows)
 SELECT dataset_id, _ord, mode, seq, dataset_id || lpad(CAST(seq AS VARCHAR), 7, '0') AS row_id FROM u""")
@@ -311,6 +322,6 @@ def dedup_all_q(spark, sf):
     (purchase); signup has no decision (NULL), view is a code list (skipped)."""
     from harvest.plans.refresh import dedup_all
     rows = event_payload_rows(spark, sf).select("dataset_id", F.col("_ord").alias("row_id"), "v")
-    cfg = event_configs(spark, sf).select("dataset_id", F.col("sort_keys").alias("keys"), "merge_keys",
+    cfg = event_configs(spark, sf).select("dataset_id", F.col("dedup_keys").alias("keys"), "merge_keys",
                                            "auto_merge", "title")
     return dedup_all(rows, cfg).select("dataset_id", "row_id")

@@ -6,6 +6,9 @@ settings come from a config table (one row per dataset, broadcast-sized by
 construction: it has as many rows as the catalog):
 
 * ``keys array<string>`` -- the identity key (the sort-key columns);
+* ``sort_keys array<array<string>>`` -- the typed sort spec ``[field, type]``;
+  rows are numbered in this order (then landing order), as the original sorts
+  each batch before assigning ids;
 * ``date_col string`` -- date column for the cutoff filter (NULL: no filter);
 * ``title string`` -- routes code-list / spatial datasets to full replace;
 * ``merge_keys array<string>``, ``auto_merge boolean`` -- keep-last merge.
@@ -29,6 +32,7 @@ from harvest.functions.text import CODE_LIST_WORD, compose_id
 from harvest.operators.dedup import keep_first, keep_last
 from harvest.operators.ids import assign_ids, max_sequence
 from harvest.operators.joins import bounded_broadcast
+from harvest.operators.ordering import spec_sort_key
 from harvest.operators.quality import load_mode
 
 
@@ -61,10 +65,12 @@ def refresh_all(rows: DataFrame, store: DataFrame, configs: DataFrame,
     # The payload's field map is built once per row; the fields every later step
     # needs (date, map URL, key) are read from it and the map is dropped before
     # anything is shuffled.
-    r = _with_config(rows, configs, ["keys", "date_col", "title"]).withColumn("_m", payload_map(F.col("v")))
+    spec_cols = ["sort_keys"] if "sort_keys" in configs.columns else []
+    r = _with_config(rows, configs, ["keys", "date_col", "title", *spec_cols]).withColumn("_m", payload_map(F.col("v")))
+    sort_key = spec_sort_key(F.col("_m"), F.col("sort_keys")) if spec_cols else F.array()
     r = r.select("*", F.element_at(F.col("_m"), F.col("date_col")).alias("_date"),
                  F.element_at(F.col("_m"), F.lit("map_url")).alias("_map_url"),
-                 key_text(F.col("_m"), F.col("keys")).alias("_key")).drop("_m")
+                 key_text(F.col("_m"), F.col("keys")).alias("_key"), sort_key.alias("_sk")).drop("_m")
     if cutoff is not None:
         r = r.where(F.col("date_col").isNull() | (parse_date(F.col("_date")) >= ts_lit(cutoff)))
     first = r.groupBy("dataset_id").agg(F.min_by(F.col("_map_url"), F.col("_ord")).alias("_map"))
@@ -78,9 +84,9 @@ def refresh_all(rows: DataFrame, store: DataFrame, configs: DataFrame,
     inc = inc.join(s_keys, (inc["dataset_id"] == s_keys["dataset_id"]) & inc["_key"].eqNullSafe(s_keys["_key"]),
                    "left_anti")
     start = max_sequence(store, "seq", ["dataset_id"])
-    cols = ["dataset_id", "_ord", "mode", "v"]
-    out_full = assign_ids(full.select(*cols), ["_ord"], "dataset_id")
-    out_inc = assign_ids(inc.select(*cols), ["_ord"], "dataset_id", start=start)
+    cols = ["dataset_id", "_ord", "mode", "v", "_sk"]
+    out_full = assign_ids(full.select(*cols), ["_sk", "_ord"], "dataset_id")
+    out_inc = assign_ids(inc.select(*cols), ["_sk", "_ord"], "dataset_id", start=start)
     out = out_full.unionByName(out_inc)
     return out.select("dataset_id", "_ord", "mode", "seq", "row_id", F.to_json("v").alias("record"))
 

@@ -224,3 +224,16 @@ def test_contains_join_expansion_matches_broadcast(spark):
     small = _rows(contains_join(hay, "h", needles, "n"), "hid", "n")
     big = _rows(contains_join(hay, "h", needles, "n", force_expand=True), "hid", "n")
     assert small == big == [(0, "a"), (0, "bc"), (1, "業資"), (5, "a"), (5, "aa")]
+
+
+def test_spec_sort_key_matches_typed_sort(spark):
+    rows = [(1, "下", "3", "2025/1/2"), (2, "上", "x", "111"), (3, "b", None, None), (4, "中", "10", "2024"),
+            (5, None, "2.5", "bad"), (6, "a", "-1", "99/1/1"), (7, "a", "-1", "2024")]
+    df = spark.createDataFrame(rows, "o int, t string, n string, d string")
+    for spec in ([["t", "text_asc"], ["n", "number_asc"]], [["d", "date_asc"], ["t", "text_asc"]],
+                 [["n", "number_asc"], ["d", "date_asc"]]):
+        want = [r.o for r in ordering.typed_sort(df, spec, "o", collation=None).collect()]
+        fields = F.create_map(*[x for c in ("t", "n", "d") for x in (F.lit(c), F.col(c))])
+        spec_col = F.array(*[F.array(F.lit(a), F.lit(b)) for a, b in spec])
+        got = [r.o for r in df.orderBy(ordering.spec_sort_key(fields, spec_col), "o").collect()]
+        assert got == want, (spec, got, want)
