@@ -264,3 +264,24 @@ def drop_dataset_tables(spark, dataset_id: str, processed_only: bool = False) ->
     names = [table_for(dataset_id, True)] + ([] if processed_only else [table_for(dataset_id)])
     for n in names:
         spark.sql(f"DROP TABLE IF EXISTS {quoted(n)}")
+
+
+def datasets_matching(catalog: DataFrame, ids: DataFrame | None = None, category: str | None = None,
+                      keyword: str | None = None, id_col: str = "dataset_id") -> DataFrame:
+    """Pick datasets for deletion (K13 by list, by category, by keyword): ids
+    given as a DataFrame, every dataset of a category, or the hits of a keyword
+    search (an exact hit alone, else every fuzzy hit). Returns distinct ids."""
+    parts = []
+    if ids is not None:
+        parts.append(ids.select(F.col(ids.columns[0]).alias(id_col)))
+    if category is not None:
+        parts.append(category_datasets(catalog, category).select(id_col))
+    if keyword is not None:
+        kw = catalog.sparkSession.createDataFrame([(keyword,)], "keyword string")
+        parts.append(catalog_search(catalog, kw).select(id_col))
+    if not parts:
+        return catalog.select(id_col).limit(0)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.distinct()

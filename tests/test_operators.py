@@ -237,3 +237,18 @@ def test_spec_sort_key_matches_typed_sort(spark):
         spec_col = F.array(*[F.array(F.lit(a), F.lit(b)) for a, b in spec])
         got = [r.o for r in df.orderBy(ordering.spec_sort_key(fields, spec_col), "o").collect()]
         assert got == want, (spec, got, want)
+
+
+def test_datasets_matching_for_deletes(spark):
+    cat = spark.createDataFrame([("1010001", "rice prices", "crops", 1), ("1010002", "fish catch", "fishery", 2),
+                                 ("1010003", "rice area", "crops", 3)], "dataset_id string, title string, category string, ord int")
+    pick = lambda **kw: sorted(r[0] for r in catalog.datasets_matching(cat, **kw).collect())
+    assert pick(category="crops") == ["1010001", "1010003"]
+    assert pick(keyword="Rice!") == ["1010001", "1010003"]          # fuzzy: every hit
+    assert pick(keyword="fish catch") == ["1010002"]                # exact title wins alone
+    ids = spark.createDataFrame([("1010002",)], "x string")
+    assert pick(ids=ids, category="crops") == ["1010001", "1010002", "1010003"]
+    doomed = catalog.datasets_matching(cat, keyword="rice")
+    rows = spark.createDataFrame([("1010001", 1), ("1010002", 2)], "dataset_id string, v int")
+    out = catalog.cascade_delete(cat, {"rows": (rows, "dataset_id")}, doomed)
+    assert _rows(out["parent"], "dataset_id") == [("1010002",)] and _rows(out["rows"], "v") == [(2,)]
