@@ -6,8 +6,11 @@ task; without ``PARTITION BY`` it sends the whole table to one task. Instead:
 1. range-partition and sort by (group, order) -- a hot group is split across
    many partitions because the order columns take part in the range bounds;
 2. tag rows with ``monotonically_increasing_id`` (partition id in the upper
-   31 bits, row index within the partition in the lower 33 bits) and
-   checkpoint, so partition contents are fixed even if executors are lost;
+   31 bits, row index within the partition in the lower 33 bits) and cut the
+   lineage with a reliable ``checkpoint()`` into ``spark.checkpoint.dir``
+   (compressed, see session defaults), or -- ``cut="parquet"`` -- by writing
+   the tagged rows as parquet there and reading them back; either way the tags
+   are stored with the rows, so the numbering never depends on recomputation;
 3. count rows per (partition, group) -- at most partitions + groups rows --
    and turn the counts into per-group prefix sums;
 4. position = prefix offset + (row index - first row index of the group in
@@ -16,6 +19,8 @@ task; without ``PARTITION BY`` it sends the whole table to one task. Instead:
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,6 +28,20 @@ from pyspark.sql import functions as F
 
 from harvest.session import checkpoint_dir
 
+_PARQUET_BAD_NAME = set(" ,;{}()\n\t=")
+
+
+def stable_cut(df: DataFrame, label: str = "cut") -> DataFrame:
+    """Cut the lineage of ``df`` reliably: write it as parquet into the shared
+    checkpoint folder and read it back (or ``checkpoint()`` when a column name
+    is not valid in parquet). Survives executor loss; never machine-local."""
+    base = checkpoint_dir(df.sparkSession)
+    if not base or any(ch in _PARQUET_BAD_NAME for c in df.columns for ch in c):
+        return df.checkpoint(eager=True)
+    path = os.path.join(base, "harvest", f"{label}-{uuid.uuid4().hex}")
+    df.write.mode("error").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
 _LOW_BITS = (1 << 33) - 1
 
 
@@ -31,7 +50,7 @@ def _cols(cs) -> list[Column]:
 
 
 def consecutive_index(df: DataFrame, order_by: Sequence, group_by: Sequence[str] = (),
-                      name: str = "seq", stable: bool = True) -> DataFrame:
+                      name: str = "seq", stable: bool = True, cut: str = "checkpoint") -> DataFrame:
     """Add ``name`` = 1-based position of each row within its group, in ``order_by`` order.
 
     ``order_by`` should make rows unique within a group (add the input ordinal
@@ -42,8 +61,11 @@ def consecutive_index(df: DataFrame, order_by: Sequence, group_by: Sequence[str]
     sorted_df = df.orderBy(*[F.col(g).asc_nulls_first() for g in group_by], *order_cols)
     tagged = sorted_df.withColumn("_mid", F.monotonically_increasing_id())
     if stable:
-        checkpoint_dir(df.sparkSession)
-        tagged = tagged.checkpoint(eager=True)
+        if cut == "parquet":
+            tagged = stable_cut(tagged, "number")
+        else:
+            checkpoint_dir(df.sparkSession)
+            tagged = tagged.checkpoint(eager=True)
     tagged = tagged.withColumn("_pid", F.shiftright(F.col("_mid"), 33))
     stats = (tagged.groupBy("_pid", *group_by)
              .agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first")))

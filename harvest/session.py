@@ -18,6 +18,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Checkpoints (the lineage cuts of gap-free numbering) are written compressed.
+    "spark.checkpoint.compress": "true",
 }
 
 

@@ -252,3 +252,10 @@ def test_datasets_matching_for_deletes(spark):
     rows = spark.createDataFrame([("1010001", 1), ("1010002", 2)], "dataset_id string, v int")
     out = catalog.cascade_delete(cat, {"rows": (rows, "dataset_id")}, doomed)
     assert _rows(out["parent"], "dataset_id") == [("1010002",)] and _rows(out["rows"], "v") == [(2,)]
+
+
+def test_numbering_parquet_cut_matches_checkpoint(spark):
+    df = _skewed(spark)
+    a = _rows(consecutive_index(df, ["rid"], ["k"], name="pos"), "rid", "pos")
+    b = _rows(consecutive_index(df, ["rid"], ["k"], name="pos", cut="parquet"), "rid", "pos")
+    assert a == b
