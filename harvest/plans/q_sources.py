@@ -151,3 +151,31 @@ def page_metadata(spark, sf):
     """S10 over the landed pages (these pages carry no portal fields, so the
     portal columns are NULL and ``complete`` is false; see the unit fixture)."""
     return page_src.page_metadata(read_table(spark, sf, "pages"))
+
+
+@register("stream_ingest", """
+SELECT event_type AS dataset_id, CAST(event_id AS VARCHAR) AS event_id,
+       row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS seq,
+       event_type || lpad(CAST(row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS VARCHAR), 7, '0') AS row_id
+FROM events""")
+def stream_ingest(spark, sf):
+    """T01 end to end: events are landed as JSON pages (one file per event type
+    and 1000-id page, under the shared checkpoint folder), a Structured
+    Streaming query (file source, availableNow, checkpointed) ingests them --
+    objects of each page, anti-join against the store, ids after the stored
+    maximum -- and the store is returned."""
+    import os
+    import uuid
+    from harvest.session import checkpoint_dir
+    from harvest.streaming.ingest import run_ingest
+    root = os.path.join(checkpoint_dir(spark), "harvest", f"stream-{uuid.uuid4().hex}")
+    ev = read_table(spark, sf, "events")
+    page = (F.floor(F.col("event_id") / PAGE) * PAGE).cast("int")
+    grouped = ev.groupBy(F.col("event_type").alias("dataset_id"), page.alias("skip")).agg(
+        F.array_sort(F.collect_list(F.struct("event_id", "user_id", "ts", "value"))).alias("_e"))
+    pages = grouped.select("dataset_id", "skip", F.to_json(F.transform("_e", lambda e: F.struct(
+        e["event_id"], e["user_id"], F.date_format(e["ts"], "yyyy/MM/dd HH:mm:ss").alias("ts"), e["value"]))).alias("body"))
+    landing.land_pages(pages.select("body", "dataset_id", "skip"), os.path.join(root, "landing"))
+    store = os.path.join(root, "store")
+    run_ingest(spark, os.path.join(root, "landing"), store, os.path.join(root, "ck"), ["event_id"], glob="*.txt")
+    return spark.read.parquet(store).select("dataset_id", "event_id", "seq", "row_id")

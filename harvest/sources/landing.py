@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harvest.functions.text import snapshot_time
@@ -21,14 +21,35 @@ from harvest.operators.numbering import consecutive_index
 PAGE_SIZE = 1000                   # fixed page size of the portal API
 SNAPSHOT_PREFIX = "interruption_record_"
 PAGE_FILE_RE = r"([^/]+)_(\d+)\.json$"
-
-
-def read_landed_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Whole-file text read of landed pages; dataset id and skip come from the file name."""
-    raw = spark.read.text(path, wholetext=True).select(
-        F.col("value").alias("body"), F.col("_metadata.file_path").alias("_path"))
-    return raw.select(F.regexp_extract("_path", PAGE_FILE_RE, 1).alias("dataset_id"),
-                      F.regexp_extract("_path", PAGE_FILE_RE, 2).cast("int").alias("skip"), "body")
+PAGE_DIR_DATASET_RE = r"/dataset_id=([^/]+)/"
+PAGE_DIR_SKIP_RE = r"/skip=(\d+)/"
+
+
+def page_address(path: Column) -> tuple[Column, Column]:
+    """(dataset id, skip) of a landed page file: from ``dataset_id=<id>/skip=<n>/``
+    directories when present, else from a ``<id>_<skip>.json`` file name."""
+    d_dir, s_dir = F.regexp_extract(path, PAGE_DIR_DATASET_RE, 1), F.regexp_extract(path, PAGE_DIR_SKIP_RE, 1)
+    dataset = F.when(d_dir != "", d_dir).otherwise(F.regexp_extract(path, PAGE_FILE_RE, 1))
+    skip = F.when(s_dir != "", s_dir).otherwise(F.regexp_extract(path, PAGE_FILE_RE, 2)).cast("int")
+    return dataset, skip
+
+
+def read_landed_pages(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """Whole-file text read of landed pages (one JSON document per file)."""
+    r = spark.read.option("recursiveFileLookup", "true")
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    raw = r.text(path, wholetext=True).select(F.col("value").alias("body"), F.col("_metadata.file_path").alias("_path"))
+    dataset, skip = page_address(F.col("_path"))
+    return raw.select(dataset.alias("dataset_id"), skip.alias("skip"), "body")
+
+
+def land_pages(pages: DataFrame, path: str) -> None:
+    """Write ``(dataset_id, skip, body)`` pages as one text file per page under
+    ``dataset_id=<id>/skip=<n>/`` (the layout ``read_landed_pages`` and the
+    streaming ingest read)."""
+    (pages.repartition("dataset_id", "skip").write.mode("error")
+     .partitionBy("dataset_id", "skip").text(path))
 
 
 def object_rows(pages: DataFrame, key_cols: Sequence[str] = ("dataset_id", "skip")) -> DataFrame:

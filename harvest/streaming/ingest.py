@@ -19,13 +19,12 @@ from pyspark.sql import functions as F
 
 from harvest.operators.ids import assign_ids, max_sequence
 from harvest.operators.incremental import new_rows
-from harvest.sources.landing import PAGE_FILE_RE, object_rows
+from harvest.sources.landing import object_rows, page_address
 
 
 def _flatten(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    pages = batch.select(F.regexp_extract("_path", PAGE_FILE_RE, 1).alias("dataset_id"),
-                         F.regexp_extract("_path", PAGE_FILE_RE, 2).cast("int").alias("skip"),
-                         F.col("value").alias("body"))
+    dataset, skip = page_address(F.col("_path"))
+    pages = batch.select(dataset.alias("dataset_id"), skip.alias("skip"), F.col("value").alias("body"))
     rows = object_rows(pages)
     return rows.select("dataset_id", "skip", "pos",
                        *[F.try_variant_get("v", f"$.{k}", "string").alias(k) for k in keys],
@@ -41,13 +40,15 @@ def _store_exists(spark: SparkSession, path: str) -> bool:
 
 
 def start_ingest(spark: SparkSession, landing_dir: str, store_path: str, checkpoint: str,
-                 keys: Sequence[str], max_files_per_trigger: int | None = None, after_write=None):
+                 keys: Sequence[str], max_files_per_trigger: int | None = None, after_write=None,
+                 glob: str = "*.json"):
     """Start the availableNow ingest; returns the StreamingQuery (call awaitTermination()).
 
     ``after_write(epoch_id)`` runs after a batch is stored and before the
     stream commits it (a hook for failure-injection tests)."""
     keys = list(keys)
-    reader = spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", "*.json")
+    reader = (spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", glob)
+              .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(landing_dir).select("value", F.col("_metadata.file_path").alias("_path"))
