@@ -325,3 +325,22 @@ def dedup_all_q(spark, sf):
     cfg = event_configs(spark, sf).select("dataset_id", F.col("dedup_keys").alias("keys"), "merge_keys",
                                            "auto_merge", "title")
     return dedup_all(rows, cfg).select("dataset_id", "row_id")
+
+
+@register("keyed_dedup", """
+SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS rn FROM events) t
+WHERE rn = 1""")
+def keyed_dedup(spark, sf):
+    """K14 + W01: events laid out bucketed and sorted by the match keys (the
+    index of the original, re-aimed), then de-duplicated: the aggregate reads
+    co-partitioned buckets, so it needs no shuffle."""
+    import os
+    import uuid
+    from harvest.session import checkpoint_dir
+    from harvest.sinks import write_keyed_layout
+    tag = uuid.uuid4().hex[:12]
+    name = f"harvest_layout_{tag}"
+    path = os.path.join(checkpoint_dir(spark), "harvest", f"layout-{tag}")
+    write_keyed_layout(spark, read_table(spark, sf, "events"), name, ["user_id", "event_type"], 8, path=path)
+    return dedup.keep_first(spark.table(name), ["user_id", "event_type"], "event_id")

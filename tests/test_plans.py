@@ -28,3 +28,8 @@ def test_core_operators_have_no_window(spark, key):
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() >= 0 and "row_id" in df.columns
+
+
+def test_keyed_layout_removes_the_shuffle(spark):
+    plan = _plan(E.queries()["keyed_dedup"](spark, SF))
+    assert "Exchange" not in plan
