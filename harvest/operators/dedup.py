@@ -22,7 +22,11 @@ def _keep_one(df: DataFrame, keys: Sequence[str], order_col: str, pick) -> DataF
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
     packed = F.struct(*[F.col(c) for c in rest])
-    agg = df.groupBy(*keys).agg(pick(packed, F.col(order_col)).alias("_row"))
+    # (is-null, value) never is NULL itself: a NULL ordinal ranks after every
+    # value, i.e. last ascending and first descending, as ROW_NUMBER orders it
+    # in the original's database.
+    order = F.struct(F.col(order_col).isNull(), F.col(order_col))
+    agg = df.groupBy(*keys).agg(pick(packed, order).alias("_row"))
     return agg.select(*[F.col(c) for c in keys], *[F.col("_row")[c].alias(c) for c in rest]).select(*df.columns)
 
 

@@ -259,3 +259,10 @@ def test_numbering_parquet_cut_matches_checkpoint(spark):
     a = _rows(consecutive_index(df, ["rid"], ["k"], name="pos"), "rid", "pos")
     b = _rows(consecutive_index(df, ["rid"], ["k"], name="pos", cut="parquet"), "rid", "pos")
     assert a == b
+
+
+def test_keep_first_last_with_null_ordinals(spark):
+    df = spark.createDataFrame([("a", None, "n"), ("a", 2, "two"), ("a", 5, "five"), ("b", None, "only")],
+                               "k string, o int, v string")
+    assert _rows(dedup.keep_first(df, ["k"], "o"), "k", "v") == [("a", "two"), ("b", "only")]
+    assert _rows(dedup.keep_last(df, ["k"], "o"), "k", "v") == [("a", "n"), ("b", "only")]
