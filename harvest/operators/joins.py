@@ -1,9 +1,10 @@
 """Substring ("contains") joins without a cross product.
 
 ``contains_join(hay, hay_col, needles, needle_col)`` returns every pair whose
-needle is a substring of the hay value. When one side is small (row count
-checked) it is broadcast into a nested-loop join. Beyond that bound the join
-becomes an exact equi-join: each hay value is expanded into its substrings of
+needle is a substring of the hay value. A nested-loop join costs
+|hay| x |needles| comparisons, so it is used only when one side is small
+(row count checked, at most ``THETA_BROADCAST_MAX_ROWS``) and that side is
+broadcast. Otherwise the join becomes an exact equi-join: each hay value is expanded into its substrings of
 exactly the lengths that occur among the needles (a small set of integers,
 read on the driver), and those are joined on equality with the needles. The
 expansion is linear in the hay size (length x distinct needle lengths), runs
@@ -15,7 +16,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-THETA_BROADCAST_MAX_ROWS = 200_000
+# A side this small is broadcast into a nested-loop substring join (each other
+# row is compared with at most this many values); larger inputs take the
+# linear substring-expansion equi-join.
+THETA_BROADCAST_MAX_ROWS = 2_000
 
 
 def _cut(text: Column, size: int):
@@ -49,8 +53,12 @@ def contains_join(hay: DataFrame, hay_col: str, needles: DataFrame, needle_col:
     return expanded.join(nd, expanded["_sub"] == nd[needle_col], "inner").drop("_sub")
 
 
+EQUI_BROADCAST_MAX_ROWS = 1_000_000
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Mark ``df`` for broadcast only after checking its row count; beyond the
-    bound the join strategy is left to the optimizer (AQE picks a shuffled join)."""
-    bound = THETA_BROADCAST_MAX_ROWS if max_rows is None else max_rows
+    """Mark ``df`` for broadcast (into an equi-join) only after checking its row
+    count; beyond the bound the join strategy is left to the optimizer (AQE
+    picks a shuffled join)."""
+    bound = EQUI_BROADCAST_MAX_ROWS if max_rows is None else max_rows
     return F.broadcast(df) if df.count() <= bound else df
