@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harvest.functions.times import ts_lit
-
 from harvest.functions.dates import parse_date
 from harvest.functions.text import CODE_LIST_WORD, SPATIAL_WORD
 

@@ -24,7 +24,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harvest.functions.times import ts_lit
-
 from harvest.functions.sizes import human_size
 from harvest.functions.text import file_stem
 from harvest.operators.dedup import keep_last
@@ -64,14 +63,16 @@ def upsert(store: DataFrame, batch: DataFrame, keys: Sequence[str] | str, now=No
     kept = kept.select(*[F.col(c) if c in store_cols else F.lit(None).alias(c) for c in out_cols])
 
     b = batch.alias("b")
-    s = store.alias("s")
+    s = store.withColumn("_in_store", F.lit(True)).alias("s")
     j = b.join(s, keys, "left")
+    stored = F.col("s._in_store").isNotNull()
 
     def pick(c: str) -> Column:
         if c in keys:
             return F.col(c)
         if c == CREATED and audit:
-            return (F.coalesce(F.col(f"s.{c}"), now_c) if c in store_cols else now_c).alias(c)
+            # kept as stored (even NULL) for an existing key, now for a new one
+            return (F.when(stored, F.col(f"s.{c}")).otherwise(now_c) if c in store_cols else now_c).alias(c)
         if c == UPDATED and audit:
             return now_c.alias(c)
         if c in supplied:

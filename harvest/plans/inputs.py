@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harvest.functions.times import ts_lit
-
 from harvest.session import read_table
 
 # Fixed split points of the test scenarios.

@@ -7,7 +7,6 @@ import datetime as _dt
 from pyspark.sql import functions as F
 
 from harvest.functions.times import ts_lit
-
 from harvest.functions.text import compose_id, processed_name
 from harvest.operators import catalog as cat_ops
 from harvest.operators import quality, upsert

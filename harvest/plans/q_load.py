@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from harvest.functions.times import ts_lit
-
 from harvest.functions.dates import parse_date
 from harvest.operators import dedup, ids, incremental, ordering
 from harvest.operators.quality import date_cutoff

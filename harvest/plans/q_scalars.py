@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from harvest.functions.times import ts_lit
-
 from harvest.functions import text as T
 from harvest.functions.sizes import human_size
 from harvest.functions.urls import page_url, replace_url_params

@@ -266,3 +266,12 @@ def test_keep_first_last_with_null_ordinals(spark):
                                "k string, o int, v string")
     assert _rows(dedup.keep_first(df, ["k"], "o"), "k", "v") == [("a", "two"), ("b", "only")]
     assert _rows(dedup.keep_last(df, ["k"], "o"), "k", "v") == [("a", "n"), ("b", "only")]
+
+
+def test_upsert_keeps_a_null_created_at(spark):
+    t0, now = dt.datetime(2025, 1, 1), dt.datetime(2025, 6, 1)
+    store = spark.createDataFrame([("1", "a", None, t0)],
+                                  "dataset_id string, title string, created_at timestamp_ntz, last_updated_at timestamp_ntz")
+    batch = spark.createDataFrame([("1", "A")], "dataset_id string, title string")
+    r = upsert.upsert(store, batch, "dataset_id", now=now).collect()[0]
+    assert r.title == "A" and r.created_at is None and r.last_updated_at == now
