@@ -34,62 +34,64 @@ def roc_to_ad(year: Column) -> Column:
     return _c(year).cast("string").try_cast("int") + F.lit(ROC_OFFSET)
 
 
-# Fixed patterns, in priority order, each with the template that rewrites a
-# match into "year,month,day,hour,minute,second,year_offset". The two
-# date-time forms apply to the trimmed value, the rest to the value with every
-# space removed. ROC years carry the 1911 offset. Four-digit years exclude
-# 0000 and seconds stop at 59, as the original's calendar type does.
-_ON_TRIMMED = [
-    (r"^(?!0000)(\d{4})/(\d{1,2})/(\d{1,2})\s+(\d{1,2}):(\d{1,2}):([0-5]?\d)$", "$1,$2,$3,$4,$5,$6,0"),
-    (r"^(?!0000)(\d{4})-(\d{1,2})-(\d{1,2})\s+(\d{1,2}):(\d{1,2}):([0-5]?\d)$", "$1,$2,$3,$4,$5,$6,0"),
-]
-_ON_SPACELESS = [
-    (r"^(\d{1,3})$", "$1,1,1,0,0,0,1911"),                                # ROC year
-    (r"^(\d{1,3})[./](\d{1,2})[./](\d{1,2})$", "$1,$2,$3,0,0,0,1911"),    # ROC date
-    (r"^(?!0000)(\d{4})/(\d{1,2})/(\d{1,2})$", "$1,$2,$3,0,0,0,0"),              # yyyy/M/d
-    (r"^(?!0000)(\d{4})-(\d{1,2})-(\d{1,2})$", "$1,$2,$3,0,0,0,0"),              # yyyy-M-d
-    (r"^(?!0000)(\d{4})(\d{2})(\d{2})$", "$1,$2,$3,0,0,0,0"),                   # yyyyMMdd
-    (r"^(\d{3})(\d{2})(\d{2})$", "$1,$2,$3,0,0,0,1911"),                # ROC yyyMMdd
-    (r"^(?!0000)(\d{4})(\d{2})$", "$1,$2,1,0,0,0,0"),                           # yyyyMM
-    (r"^(?!0000)(\d{4})-(\d{1,2})$", "$1,$2,1,0,0,0,0"),                        # yyyy-M
-    (r"^(?!0000)(\d{4})$", "$1,1,1,0,0,0,0"),                                    # yyyy
-    (r"^(?!0000)(\d{4})年$", "$1,1,1,0,0,0,0"),                                   # yyyy年
+# Fixed patterns. Date-times apply to the trimmed value (one separator, used
+# twice); everything else to the value with every space removed, as ordered
+# alternatives of one anchored regex -- the first alternative that matches the
+# whole value wins, which is the rule priority. Four-digit years exclude 0000
+# and seconds stop at 59, as the original's calendar type does.
+_DATETIME = r"^(?!0000)(\d{4})([/-])(\d{1,2})\2(\d{1,2})\s+(\d{1,2}):(\d{1,2}):([0-5]?\d)$"
+_DATETIME_OUT = "$1,$3,$4,$5,$6,$7"
+_DATE_RULES = [                                   # (alternative, year group(s), month, day)
+    r"(\d{1,3})",                                 # ROC year              g1
+    r"(\d{1,3})[./](\d{1,2})[./](\d{1,2})",       # ROC y.M.d / y/M/d     g2 g3 g4
+    r"(?!0000)(\d{4})/(\d{1,2})/(\d{1,2})",       # yyyy/M/d              g5 g6 g7
+    r"(?!0000)(\d{4})-(\d{1,2})-(\d{1,2})",       # yyyy-M-d              g8 g9 g10
+    r"(?!0000)(\d{4})(\d{2})(\d{2})",             # yyyyMMdd              g11 g12 g13
+    r"(\d{3})(\d{2})(\d{2})",                     # ROC yyyMMdd           g14 g15 g16
+    r"(?!0000)(\d{4})(\d{2})",                    # yyyyMM                g17 g18
+    r"(?!0000)(\d{4})-(\d{1,2})",                 # yyyy-M                g19 g20
+    r"(?!0000)(\d{4})",                           # yyyy                  g21
+    r"(?!0000)(\d{4})年",                          # yyyy年                g22
 ]
+_DATE = "^(?:" + "|".join(_DATE_RULES) + ")$"
+# Only the matched alternative's groups are non-empty: year, month, day, then a
+# midnight time. A 1-3 digit year is an ROC year (the only rules that take one).
+_DATE_OUT = "$1$2$5$8$11$14$17$19$21$22,$3$6$9$12$15$18$20,$4$7$10$13$16,0,0,0"
+ROC_MAX_YEAR_DIGITS = 3
 
 
 def canonical_date_text(col) -> Column:
-    """The value rewritten as ``y,m,d,h,mi,s,offset`` by the first matching rule.
+    """The value rewritten as ``y,m,d,h,mi,s`` by the first matching rule, or a
+    value without commas when none matches.
 
-    The rules are applied as a chain of anchored rewrites: a rule that does not
-    match leaves the text unchanged, and a rewritten text contains commas,
-    which no rule accepts, so only the first matching rule ever fires. Inputs
-    that already contain a comma are emptied first (no rule accepts them). The
-    input expression is referenced once, which keeps the generated code small.
-    """
+    Inputs that already contain a comma are emptied first (no rule accepts
+    them); a date-time rewrite contains commas, which the date rules never
+    accept, so only one rewrite can fire. The input is referenced once."""
     x = F.regexp_replace(F.trim(_c(col).cast("string")), r"^.*,.*$", "")
-    for pat, tpl in _ON_TRIMMED:
-        x = F.regexp_replace(x, pat, tpl)
+    x = F.regexp_replace(x, _DATETIME, _DATETIME_OUT)
     x = F.regexp_replace(x, " ", "")
-    for pat, tpl in _ON_SPACELESS:
-        x = F.regexp_replace(x, pat, tpl)
-    return x
+    return F.regexp_replace(x, _DATE, _DATE_OUT)
 
 
 def parse_date(col) -> Column:
     """string (or any value, cast to string) -> TIMESTAMP_NTZ or NULL.
 
-    The rewrite chain runs once per row: its split parts are bound to a lambda
+    The rewrite runs once per row: its split parts are bound to a lambda
     variable (a one-element ``transform``), so filters -- where Spark does not
     eliminate common subexpressions -- do not repeat it per date part.
     """
     parts = F.array(F.split(canonical_date_text(col), ","))
 
     def build(p: Column) -> Column:
-        def part(i: int) -> Column:
-            return F.get(p, i).try_cast("int")
-        # A value no rule rewrote has no 7th part -> NULL.
+        def part(i: int, default: int | None = None) -> Column:
+            v = F.get(p, i)
+            v = F.when(v != "", v)
+            return (F.coalesce(v, F.lit(str(default))) if default is not None else v).try_cast("int")
+        year_text = F.get(p, 0)
+        roc = F.when(F.length(year_text) <= ROC_MAX_YEAR_DIGITS, F.lit(ROC_OFFSET)).otherwise(F.lit(0))
+        # A value no rule rewrote has no 6th part -> NULL.
         return F.try_make_timestamp_ntz(
-            years=part(0) + part(6), months=part(1), days=part(2),
+            years=part(0) + roc, months=part(1, 1), days=part(2, 1),
             hours=part(3), mins=part(4), secs=part(5).cast("decimal(16,6)"))
 
     return F.get(F.transform(parts, build), 0)
