@@ -18,20 +18,37 @@ from pyspark.sql import functions as F
 from harvest.functions.text import key_text
 
 
-def _key_frame(df: DataFrame, keys: Sequence[str], prefix: str, extra: Sequence = ()) -> DataFrame:
-    return df.select(*[key_text(F.col(k)).alias(f"{prefix}{i}") for i, k in enumerate(keys)], *extra)
+# Types whose native equality equals equality of their text form.
+_EXACT_TYPES = ("string", "bigint", "int", "smallint", "tinyint", "boolean", "date", "timestamp", "timestamp_ntz")
+
+
+def _as_key(df_types: dict, other_types: dict, k: str):
+    """The key as compared: native when both sides have the same exact type,
+    else its text form (the original compares text)."""
+    t = df_types.get(k)
+    if t == other_types.get(k) and (t in _EXACT_TYPES or (t or "").startswith("decimal")):
+        return F.col(k)
+    return key_text(F.col(k))
+
+
+def _key_frame(df: DataFrame, other: DataFrame, keys: Sequence[str], prefix: str, extra: Sequence = ()) -> DataFrame:
+    mine, theirs = dict(df.dtypes), dict(other.dtypes)
+    return df.select(*[_as_key(mine, theirs, k).alias(f"{prefix}{i}") for i, k in enumerate(keys)], *extra)
 
 
 def new_rows(incoming: DataFrame, store: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Incoming rows whose text key tuple is absent from the store.
+    """Incoming rows whose key tuple (compared as text) is absent from the store.
 
     Duplicates inside the incoming batch are all kept. The stored side is
     reduced to its distinct key tuples first (partial aggregation), so a key
-    repeated many times in the store costs one row in the join.
+    repeated many times in the store costs one row in the join. Keys of the
+    same exact type on both sides are compared natively (same result as text,
+    cheaper hashing and smaller shuffle rows).
     """
     keys = list(keys)
-    skeys = _key_frame(store, keys, "_s").distinct()
-    inc = incoming.select("*", *[key_text(F.col(k)).alias(f"_i{i}") for i, k in enumerate(keys)])
+    skeys = _key_frame(store, incoming, keys, "_s").distinct()
+    mine, theirs = dict(incoming.dtypes), dict(store.dtypes)
+    inc = incoming.select("*", *[_as_key(mine, theirs, k).alias(f"_i{i}") for i, k in enumerate(keys)])
     cond = [inc[f"_i{i}"].eqNullSafe(skeys[f"_s{i}"]) for i in range(len(keys))]
     return inc.join(skeys, cond, "left_anti").select(*incoming.columns)
 
@@ -41,10 +58,10 @@ def matched_ids(incoming: DataFrame, store: DataFrame, keys: Sequence[str], id_c
     """For each incoming row whose key is stored, the stored id (the last
     stored duplicate of the key wins, by ``ord_col``)."""
     keys = list(keys)
-    last = (_key_frame(store, keys, "_s", [F.col(id_col).alias("_id"), F.col(ord_col).alias("_o")])
+    last = (_key_frame(store, incoming, keys, "_s", [F.col(id_col).alias("_id"), F.col(ord_col).alias("_o")])
             .groupBy(*[f"_s{i}" for i in range(len(keys))])
             .agg(F.max_by("_id", "_o").alias(id_col)))
-    inc = _key_frame(incoming, keys, "_i", [F.col(incoming_id)])
+    inc = _key_frame(incoming, store, keys, "_i", [F.col(incoming_id)])
     cond = [inc[f"_i{i}"].eqNullSafe(last[f"_s{i}"]) for i in range(len(keys))]
     return inc.join(last, cond, "inner").select(inc[incoming_id], last[id_col])
 

@@ -275,3 +275,12 @@ def test_upsert_keeps_a_null_created_at(spark):
     batch = spark.createDataFrame([("1", "A")], "dataset_id string, title string")
     r = upsert.upsert(store, batch, "dataset_id", now=now).collect()[0]
     assert r.title == "A" and r.created_at is None and r.last_updated_at == now
+
+
+def test_anti_join_text_compare_across_types(spark):
+    inc = spark.createDataFrame([(1, 5), (2, 6), (3, None)], "id int, k bigint")
+    store = spark.createDataFrame([("5",), ("06",), (None,)], "k string")   # text keys: '5' matches, '06' does not
+    assert _rows(incremental.new_rows(inc, store, ["k"]), "id") == [(2,)]
+    dbl = spark.createDataFrame([(1, 0.0), (2, 1.5)], "id int, k double")
+    st2 = spark.createDataFrame([(-0.0,), (1.5,)], "k double")           # doubles compare as text: '-0.0' != '0.0'
+    assert _rows(incremental.new_rows(dbl, st2, ["k"]), "id") == [(1,)]
