@@ -284,3 +284,9 @@ def test_anti_join_text_compare_across_types(spark):
     dbl = spark.createDataFrame([(1, 0.0), (2, 1.5)], "id int, k double")
     st2 = spark.createDataFrame([(-0.0,), (1.5,)], "k double")           # doubles compare as text: '-0.0' != '0.0'
     assert _rows(incremental.new_rows(dbl, st2, ["k"]), "id") == [(1,)]
+
+
+def test_anti_join_nested_key_values(spark):
+    inc = spark.createDataFrame([(1, (1, "x")), (2, (2, "y"))], "id int, k struct<a:int,b:string>")
+    store = spark.createDataFrame([((1, "x"),)], "k struct<a:int,b:string>")
+    assert _rows(incremental.new_rows(inc, store, ["k"]), "id") == [(2,)]
