@@ -53,7 +53,7 @@ def contains_join(hay: DataFrame, hay_col: str, needles: DataFrame, needle_col:
     return expanded.join(nd, expanded["_sub"] == nd[needle_col], "inner").drop("_sub")
 
 
-EQUI_BROADCAST_MAX_ROWS = 1_000_000
+EQUI_BROADCAST_MAX_ROWS = 100_000   # config / category rows are a few small fields each
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
