@@ -114,20 +114,28 @@ def allocate_free(used: DataFrame, requests: DataFrame, group: str, seq_col: str
 
     Equivalent to issuing the requests one by one, each taking the first gap.
     With the used numbers u_1 < u_2 < ... ranked i = 1, 2, ..., exactly
-    u_i - i free numbers lie below u_i. Merge the values (u_i - i) + 0.5 with
-    the request ranks r in one order per group: the 1-based position of
-    request r in that order is r + #{i : u_i - i < r}, which is the r-th free
-    number. Both rankings are skew-safe numberings (a hot group is spread over
-    many partitions); there is no window over data rows and no pair join.
+    c_i = u_i - i free numbers lie below u_i, and the r-th free number is
+    r + C(r - 1) where C(t) = #{i : c_i <= t}. C is constant (= i) on
+    [c_i, c_{i+1} - 1]; those ranges, clipped to the k requests of the group,
+    are expanded (at most k rows per group) and equi-joined to the requests on
+    (group, r - 1). The ranking is a skew-safe numbering; the next c comes from
+    an equi-join on (group, i + 1). No window over rows, no pair join.
     """
     u = used.select(group, F.col(seq_col).cast("bigint").alias("_s")).where(F.col("_s") >= 1).distinct()
     u = consecutive_index(u, ["_s"], [group], name="_i")
-    marks = u.select(group, ((F.col("_s") - F.col("_i")).cast("double") + F.lit(0.5)).alias("_v"),
-                     F.lit(None).cast("bigint").alias("_r"))
-    reqs = requests.select(group, F.col(rank_col).cast("double").alias("_v"), F.col(rank_col).cast("bigint").alias("_r"))
-    merged = consecutive_index(marks.unionByName(reqs), ["_v", F.col("_r").asc_nulls_first()], [group], name="_pos")
-    free = merged.where(F.col("_r").isNotNull()).select(group, F.col("_r").alias(rank_col), F.col("_pos").alias(name))
-    return requests.join(free, [group, rank_col], "inner")
+    k = requests.groupBy(group).agg(F.count(F.lit(1)).alias("_k"))
+    marks = (u.select(group, F.col("_i"), (F.col("_s") - F.col("_i")).alias("_c"))
+             .unionByName(k.select(group, F.lit(0).cast("bigint").alias("_i"), F.lit(0).cast("bigint").alias("_c"))))
+    nxt = marks.select(F.col(group).alias("_g"), (F.col("_i") - 1).alias("_j"), F.col("_c").alias("_cn"))
+    spans = (marks.join(nxt, (marks[group] == nxt["_g"]) & (marks["_i"] == nxt["_j"]), "left")
+             .join(k, group)
+             .select(group, "_i", F.col("_c").alias("_lo"),
+                     F.least(F.coalesce(F.col("_cn") - 1, F.col("_k") - 1), F.col("_k") - 1).alias("_hi"))
+             .where(F.col("_lo") <= F.col("_hi")))
+    cover = spans.select(group, "_i", F.explode(F.sequence(F.col("_lo"), F.col("_hi"))).alias("_t"))
+    req = requests.withColumn("_t", F.col(rank_col).cast("bigint") - 1)
+    out = req.join(cover, [group, "_t"], "inner")
+    return out.withColumn(name, F.col(rank_col).cast("bigint") + F.col("_i")).drop("_t", "_i")
 
 
 # ------------------------------------------------------------ file registry

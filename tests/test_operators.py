@@ -290,3 +290,21 @@ def test_anti_join_nested_key_values(spark):
     inc = spark.createDataFrame([(1, (1, "x")), (2, (2, "y"))], "id int, k struct<a:int,b:string>")
     store = spark.createDataFrame([((1, "x"),)], "k struct<a:int,b:string>")
     assert _rows(incremental.new_rows(inc, store, ["k"]), "id") == [(2,)]
+
+
+def test_allocate_free_random_densities(spark):
+    for seed, top, n_used, n_req in ((1, 20, 19, 5), (2, 200, 50, 120), (3, 30, 0, 3), (4, 10, 10, 1)):
+        random.seed(seed)
+        used = [("g", s) for s in random.sample(range(1, top + 1), n_used)] + [("g", 0), ("h", 7)]
+        reqs = [("g", r) for r in range(1, n_req + 1)] + [("h", 1), ("h", 2)]
+        got = upsert.allocate_free(spark.createDataFrame(used, "g string, s long"),
+                                   spark.createDataFrame(reqs, "g string, r long"), "g", "s", "r", "n").collect()
+        got = {(x.g, x.r): x.n for x in got}
+        for g in ("g", "h"):
+            taken = {s for gg, s in used if gg == g and s >= 1}
+            for r in range(1, 1 + sum(1 for gg, _ in reqs if gg == g)):
+                n = 1
+                while n in taken:
+                    n += 1
+                taken.add(n)
+                assert got[(g, r)] == n, (seed, g, r)
