@@ -33,3 +33,26 @@ def test_entry_runs(spark):
 def test_keyed_layout_removes_the_shuffle(spark):
     plan = _plan(E.queries()["keyed_dedup"](spark, SF))
     assert "Exchange" not in plan
+
+
+def test_scale_conf_sizes_partitions():
+    from harvest.session import scale_conf
+    big = scale_conf(100 * 1024 ** 4)
+    assert big["spark.sql.shuffle.partitions"] == "100000" and big["spark.sql.files.maxPartitionBytes"] == "256m"
+    assert scale_conf(1024 ** 3)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_bounded_broadcast_checks_the_size(spark):
+    from harvest.operators.joins import bounded_broadcast
+    big = spark.range(0, 50_000).withColumnRenamed("id", "k")
+    small = spark.range(0, 10).withColumnRenamed("id", "k")
+    hinted = big.join(bounded_broadcast(small), "k")
+    assert "BroadcastHashJoin" in _plan(hinted)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        unhinted = big.join(bounded_broadcast(small, max_rows=5), "k")   # over the bound: no hint
+        assert "BroadcastHashJoin" not in _plan(unhinted)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
