@@ -44,7 +44,7 @@ PAIR_RE = (r"""(?is)<(?:label|span)\b[^>]*class\s*=\s*["'](?:[^"']*\s)?label(?:\
            r"""\s*</div>\s*<div[^>]*class\s*=\s*["'](?:[^"']*\s)?search-input(?:\s[^"']*)?["'][^>]*>(.*?)</div>""")
 VALUE_RE = r"(?is)<(p|a)\b[^>]*>(.*?)</\1>"
 WRAPPER_RE = r"""(?is)<div[^>]*class\s*=\s*["']data-title-wrapper["'][^>]*>(.*?)</div>"""
-UPDATE_SPAN_RE = r"(?is)<span[^>]*>([^<]*" + UPDATE_LABEL + r"[^<]*)</span>"
+SPAN_RE = r"(?is)<span\b[^>]*>(.*?)</span>"
 STAMP_RE = r"(\d{4}/\d{2}/\d{2} \d{2}:\d{2}:\d{2})"
 
 
@@ -55,8 +55,10 @@ def _first(col: Column, pattern: str, group: int = 1) -> Column:
 
 def _update_time(html: Column) -> Column:
     def in_spans(block: Column) -> Column:
-        spans = F.regexp_extract_all(block, F.lit(UPDATE_SPAN_RE), 1)
-        stamps = F.filter(F.transform(spans, lambda s: F.regexp_extract(s, STAMP_RE, 1)), lambda s: s != "")
+        # span text (tags inside removed) that mentions the label, then its first stamp
+        texts = F.transform(F.regexp_extract_all(block, F.lit(SPAN_RE), 1), lambda t: tag_text(t))
+        labelled = F.filter(texts, lambda t: F.contains(t, F.lit(UPDATE_LABEL)))
+        stamps = F.filter(F.transform(labelled, lambda t: F.regexp_extract(t, STAMP_RE, 1)), lambda t: t != "")
         return F.get(stamps, 0)
     wrapper = F.regexp_extract(html, WRAPPER_RE, 1)
     return F.coalesce(in_spans(wrapper), in_spans(html))

@@ -9,7 +9,7 @@ from harvest.sources.files import file_inventory
 from harvest.sources.pages import page_metadata
 
 PORTAL = """<html><head><title>農產品價格 - 農業資料開放平臺</title></head><body>
-<div class="data-title-wrapper"><span>瀏覽次數 10</span><span>資料更新日期：2025/03/04 05:06:07</span></div>
+<div class="data-title-wrapper"><span>瀏覽次數 10</span><span>資料更新日期：無</span><span><b>資料更新日期</b>：2025/03/04 05:06:07</span></div>
 <div class="data-search data-content"><div class="search-input"><label class="label">無關</label></div>
 <div class="search-input"><p>skip me</p></div></div>
 <div class="data-search data-content">
