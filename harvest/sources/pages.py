@@ -61,7 +61,8 @@ def _update_time(html: Column) -> Column:
         stamps = F.filter(F.transform(labelled, lambda t: F.regexp_extract(t, STAMP_RE, 1)), lambda t: t != "")
         return F.get(stamps, 0)
     wrapper = F.regexp_extract(html, WRAPPER_RE, 1)
-    return F.coalesce(in_spans(wrapper), in_spans(html))
+    # A page that never mentions the label has no update time: skip the span scan.
+    return F.when(F.contains(html, F.lit(UPDATE_LABEL)), F.coalesce(in_spans(wrapper), in_spans(html)))
 
 
 def _value(url: Column, p: Column) -> Column:
@@ -82,7 +83,10 @@ def with_portal_fields(df: DataFrame, html_col: str = "html", url_col: str = "ur
     regex runs once per page: each stage is its own projection, and the
     optimizer does not inline a non-cheap expression into several references.
     """
-    blocks = F.regexp_extract_all(F.col(html_col), F.lit(CONTENT_BLOCK_RE), 1)
+    # Pages without the metadata block skip the block regex.
+    blocks = F.when(F.contains(F.col(html_col), F.lit("data-content")),
+                    F.regexp_extract_all(F.col(html_col), F.lit(CONTENT_BLOCK_RE), 1)) \
+        .otherwise(F.array().cast("array<string>"))
     s1 = df.withColumn("_blocks", blocks)
     s1 = s1.withColumn("_block", F.when(F.size("_blocks") > 1, F.get("_blocks", 1)).otherwise(F.get("_blocks", 0)))
     s2 = (s1.withColumn("_keys", F.transform(F.regexp_extract_all("_block", F.lit(PAIR_RE), 1), lambda k: tag_text(k)))
