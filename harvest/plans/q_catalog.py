@@ -581,3 +581,17 @@ def upsert_files(spark, sf):
         lang.alias("prefix"), F.lit("page").alias("file_type"), F.length("html").cast("bigint").alias("file_size"),
         F.concat(F.lit("page "), F.col("page_id").cast("string")).alias("description"))
     return upsert.upsert_files(files, batch, "/srv", now=NOW)
+
+
+@register("delete_by_keyword", f"""
+WITH hits AS (SELECT dataset_id FROM {CATALOG_SQL} c
+              WHERE c.title = 'nation_1' OR c.dataset_id = 'nation_1' OR strpos(lower(c.title), 'nation_1') > 0
+                 OR strpos(c.dataset_id, 'nation_1') > 0 OR strpos(c.category, 'nation_1') > 0)
+SELECT c_custkey, c_name, '101' || lpad(CAST(c_nationkey AS VARCHAR), 4, '0') AS dataset_id
+FROM customer WHERE '101' || lpad(CAST(c_nationkey AS VARCHAR), 4, '0') NOT IN (SELECT dataset_id FROM hits)""")
+def delete_by_keyword(spark, sf):
+    """K13 by keyword: the datasets a search for 'Nation_1' finds (every fuzzy hit:
+    NATION_1 and NATION_10..19) are deleted with their rows."""
+    cat = nation_catalog(spark, sf)
+    doomed = cat_ops.datasets_matching(cat, keyword="Nation_1")
+    return cat_ops.cascade_delete(cat, {"rows": (customer_rows(spark, sf), "dataset_id")}, doomed)["rows"]

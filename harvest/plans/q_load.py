@@ -343,3 +343,34 @@ def keyed_dedup(spark, sf):
     path = os.path.join(checkpoint_dir(spark), "harvest", f"layout-{tag}")
     write_keyed_layout(spark, read_table(spark, sf, "events"), name, ["user_id", "event_type"], 8, path=path)
     return dedup.keep_first(spark.table(name), ["user_id", "event_type"], "event_id")
+
+
+@register("distinct_records", """
+SELECT min(event_id) AS _ord FROM events GROUP BY user_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT)""")
+def distinct_records_q(spark, sf):
+    """A03 on raw records: each event landed as a JSON object (fields in two
+    different orders, depending on the event), distinct by content with the
+    first occurrence kept."""
+    ev = read_table(spark, sf, "events")
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    one = F.to_json(F.struct(F.col("user_id"), F.col("event_type"), k.alias("k")))
+    other = F.to_json(F.struct(k.alias("k"), F.col("event_type"), F.col("user_id")))
+    text = F.when(F.pmod(F.col("event_id"), F.lit(2)) == 0, one).otherwise(other)   # key order varies
+    rows = ev.select(F.col("event_id").alias("_ord"), F.parse_json(text).alias("v"))
+    return dedup.distinct_records(rows).select("_ord")
+
+
+@register("incremental_keyed_cut", f"""
+SELECT i.event_id FROM ({LANDED_EVENTS_SQL}) i
+WHERE CAST(i.ts AS DATE) >= DATE '2024-01-11'
+  AND NOT EXISTS (SELECT 1 FROM ({STORED_EVENTS_SQL}) s
+                  WHERE CAST(s.ts AS DATE) >= DATE '2024-01-11'
+                    AND s.dataset_id = i.dataset_id AND s.user_id = i.user_id AND s.event_date = i.event_date)""")
+def incremental_keyed_cut(spark, sf):
+    """J01 with the date filter when the date column is part of the key (Q30):
+    both sides are cut at the cutoff before the anti-join."""
+    incoming = inputs.landed_events(spark, sf)
+    store = inputs.stored_events(spark, sf)
+    new = incremental.incremental_load(incoming, store, ["dataset_id", "user_id", "event_date"],
+                                       cutoff=F_CUTOFF, date_col="event_date")
+    return new.select("event_id")
