@@ -7,20 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from harvest.llm import op01_substring_dedup as op1
+from harvest.llm import op02_bpe_lexicon as op2
 from harvest.llm import op04_suffix_dedup as op4
+from harvest.llm import op06_simhash_dedup as op6
 from harvest.llm._text import table
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op1.digest(op1.substring_dedup(table(spark, sf_dir, "documents")))
+    return op1.digest(op1.substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op2_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2.digest(op2.encode_and_decode(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op4.digest(op4.suffix_dedup(table(spark, sf_dir, "documents")))
+    return op4.digest(op4.suffix_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6.digest(op6.simhash_dedup(table(spark, sf_dir, "documents")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op4_suffix_dedup)}
+    f.__name__: f for f in (op1_substring_dedup, op2_bpe_lexicon, op4_suffix_dedup, op6_simhash_dedup)}
 
 #: None of these operators can be written as SQL of reasonable cost over whole tables; tests/llm holds each
 #: against a brute-force version, an exact round trip or held-out accuracy.
