@@ -130,7 +130,8 @@ def packed(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(blobs, pa.binary())], ["dk", "th", "id", "rest", "z"])
 
     kinds = dict(docs.dtypes)
-    return docs.mapInArrow(run, f"dk long, th long, id long, rest {kinds['rest']}, z binary").repartition("dk")
+    return (docs.mapInArrow(run, f"dk long, th long, id long, rest {kinds['rest']}, z binary")
+            .where("dk is not null").repartition("dk"))    # the filter that a join would put here, for all who share it
 
 
 def unpack(z: bytes) -> str:
@@ -217,24 +218,43 @@ def stretches(docs: DataFrame, found: DataFrame, kind: Words | Bytes, keep_first
                         route = xxhash.xxh64_intdigest(piece) - (1 << 63) if at & 1 else mark
                         group.setdefault((route, piece), []).append((ids[i] is None, dks[i], ths[i], s, m))
             rows: list = []
+            later: list = []
             for (route, piece), places in group.items():
                 places = sorted(set(places))
                 rows.append((route, piece, len(places), *places[0], False))
-                rows += [(x[2], None, 0, *x, True) for x in places[keep_first:] if len(places) > 1]
+                if len(places) > 1:
+                    later += [x[1:] for x in places[keep_first:]]
                 if len(rows) > 20_000:
                     yield batch(rows)
                     rows = []
-            if rows:
-                yield batch(rows)
+            later.sort()
+            for dk, th, start, n in joined(later):
+                rows.append((xxhash.xxh64_intdigest(b"%d %d" % (dk, start)) - (1 << 63), None, 0, False, dk, th, start, n, True))
+            for i in range(0, len(rows), 20_000):
+                yield batch(rows[i:i + 20_000])
 
     def batch(rows: list) -> pa.RecordBatch:
         kinds = (pa.int64(), pa.binary(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_())
         return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), kinds)], NAMES)
 
-    return (docs.join(found, "dk").select("dk", "th", "id", "z", "found")
+    return (docs.join(found, "dk").select("dk", "th", "id", "rest", "z", "found")
             .mapInArrow(read, "route long, piece binary, copies int, noid boolean, dk long, th long, start long, n int, later boolean"))
 
 
+def joined(spans: list[tuple]) -> Iterator[tuple]:
+    """Sorted spans (dk, th, start, n), with those that touch made one."""
+    now = None
+    for dk, th, start, n in spans:
+        if now and now[:2] == (dk, th) and start <= now[2] + now[3]:
+            now = (dk, th, now[2], max(now[3], start + n - now[2]))
+            continue
+        if now:
+            yield now
+        now = (dk, th, start, n)
+    if now:
+        yield now
+
+
 NAMES = ["route", "piece", "copies", "noid", "dk", "th", "start", "n", "later"]
 
 
@@ -291,7 +311,7 @@ def located(rows: DataFrame, repeats: Callable[[list[Piece]], Iterator[tuple]],
             else:
                 x = p.places[0]
                 out.append((x[1], x[2], x[3] + first, n))
-        return out
+        return list(joined(sorted(out)))
 
     def spans(out: list) -> pa.RecordBatch:
         cols = list(zip(*out)) or [()] * 4

@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 from harvest.llm._passages import Piece, Words, covered, keyed, located, marks, packed, spans_of, stretches, unpack
 
-#: Phrases of one automaton, and bytes of distinct text that a shard holds at once.
-AUTOMATON, ROOM = 20_000, 1 << 21
+#: Phrases of one automaton, and bytes of distinct text that share it: small ones stay in the processor's cache.
+AUTOMATON, ROOM = 20_000, 1 << 16
 SURROGATES = range(0xD800, 0xE000)
 
 
