@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from harvest.llm import op01_substring_dedup as op1
 from harvest.llm import op02_bpe_lexicon as op2
+from harvest.llm import op03_decontaminate as op3
 from harvest.llm import op04_suffix_dedup as op4
+from harvest.llm import op05_language_id as op5
 from harvest.llm import op06_simhash_dedup as op6
+from harvest.llm import op07_sharding as op7
+from harvest.llm import op08_quality_rules as op8
 from harvest.llm._text import table
 
 
@@ -21,16 +25,33 @@ def op2_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2.digest(op2.encode_and_decode(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op3.digest(op3.decontaminate(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4.digest(op4.suffix_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5.digest(op5.with_language(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")))
+
+
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6.digest(op6.simhash_dedup(table(spark, sf_dir, "documents")))
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7.digest(op7.shuffled(table(spark, sf_dir, "documents")))
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8.digest(op8.quality(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_bpe_lexicon, op4_suffix_dedup, op6_simhash_dedup)}
+    f.__name__: f for f in (op1_substring_dedup, op2_bpe_lexicon, op3_decontaminate, op4_suffix_dedup, op5_language_id,
+                             op6_simhash_dedup, op7_sharding, op8_quality_rules)}
 
 #: None of these operators can be written as SQL of reasonable cost over whole tables; tests/llm holds each
 #: against a brute-force version, an exact round trip or held-out accuracy.
