@@ -111,8 +111,9 @@ def repeated_strings(pieces: list[Piece], size: int, keep_first: bool) -> Iterat
 
 
 def suffix_dedup(docs: DataFrame, size: int = 200, gram: int = 32, doc_id: str = "doc_id", text: str = "text", keep_first: bool = False,
-                 hot: int = 1 << 16, batch_hot: int = 1 << 12, room: int = ROOM) -> DataFrame:
-    """id, rest (all columns but the text), n_bytes, n_removed, n_spans, kept (binary): a row for each row of ``docs``."""
+                 whole_characters: bool = False, hot: int = 1 << 16, batch_hot: int = 1 << 12, room: int = ROOM) -> DataFrame:
+    """id, rest (all columns but the text), n_bytes, n_removed, n_spans, kept (binary): a row for each row of ``docs``.
+    With ``whole_characters``, what is left of characters that a span cuts goes too, so that ``kept`` is valid UTF-8."""
     kind = Bytes(size, gram)
     keys = keyed(docs, doc_id, text)
     store = packed(keys)
@@ -126,6 +127,8 @@ def suffix_dedup(docs: DataFrame, size: int = 200, gram: int = 32, doc_id: str =
                 data = kind.tokens(unpack(zs[i].as_py()))
                 gone = covered(len(data), size, ths[i], found[i].as_py())
                 left = np.frombuffer(data, np.uint8)[~gone].tobytes() if gone.any() else data
+                if whole_characters and gone.any():
+                    left = left.decode("utf-8", "ignore").encode()
                 out.append((len(data), len(data) - len(left), len(runs(gone)), left))
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("rest"), *(pa.array(x, t) for x, t in zip(zip(*out), (*(pa.int64(),) * 3, pa.binary())))],
                                              ["id", "rest", "n_bytes", "n_removed", "n_spans", "kept"])

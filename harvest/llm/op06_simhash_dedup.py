@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harvest.llm._text import U64, WORD, cut, pieces
@@ -58,14 +58,18 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """id and fp (the fingerprint as a signed long), a row for each row of ``docs``."""
+    """id, th (a hash of the text) and fp (the fingerprint as a signed long), a row for each row of ``docs``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches):
             fps = np.array([fingerprint(t, shingle) for t in b.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(fps.view(np.int64))], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("th"), pa.array(fps.view(np.int64))], ["id", "th", "fp"])
 
-    return (docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-            .mapInArrow(run, "id long, fp long"))
+    return (docs.select(F.col(doc_id).cast("long").alias("id"), text_hash(text).alias("th"), F.col(text).cast("string").alias("text"))
+            .mapInArrow(run, "id long, th long, fp long"))
+
+
+def text_hash(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
 
 
 def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -197,15 +201,26 @@ def components(edges: DataFrame) -> DataFrame:
 
 def simhash_dedup(docs: DataFrame, shingle: int = 3, radius: int = 2, tree: int = 4096,
                   doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, fp, component_id: a row for each row of ``docs``."""
+    """id, th, fp, root (the least fingerprint of the component) and component_id: a row for each row of ``docs``."""
     rows = cut(fingerprints(docs, shingle, doc_id, text))
     classes = rows.groupBy("fp").agg(F.min("id").alias("least"))
     roots = components(stars(shards(classes.select("fp"), radius, tree), radius))
     named = classes.join(roots, classes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = cut(named)
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.join(least, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("id", "fp", "component_id")
+    named = named.join(least, "root").select("fp", "root", "component_id")
+    return rows.join(named, "fp").select("id", "th", "fp", "root", "component_id")
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that stay if one document of each component does: that of the least id (nulls last), of
+    documents with this id the one with the least text hash, and of copies of its row one."""
+    found = simhash_dedup(docs, doc_id=doc_id, text=text, **options)
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th")).alias("k"))
+    keep = first.select(F.col("k.id").alias("kid"), F.col("k.th").alias("kth")).distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(doc_id).cast("long").alias("id"), text_hash(text).alias("th"))
+    kept = rows.join(keep, (F.col("th") == F.col("kth")) & F.col("id").eqNullSafe(F.col("kid")), "left_semi")
+    return kept.dropDuplicates(["id", "th"]).select("row.*")
 
 
 def digest(found: DataFrame) -> DataFrame:

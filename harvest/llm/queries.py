@@ -14,6 +14,8 @@ from harvest.llm import op05_language_id as op5
 from harvest.llm import op06_simhash_dedup as op6
 from harvest.llm import op07_sharding as op7
 from harvest.llm import op08_quality_rules as op8
+from harvest.llm import op09_html_text as op9
+from harvest.llm import op10_chat_format as op10
 from harvest.llm._text import table
 
 
@@ -49,9 +51,17 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8.digest(op8.quality(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), table(spark, sf_dir, "labels")))
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9.digest(op9.extract(table(spark, sf_dir, "pages")))
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10.format_chat(op10.tool_use(table(spark, sf_dir, "conversations")), op10.tool_table(spark))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_substring_dedup, op2_bpe_lexicon, op3_decontaminate, op4_suffix_dedup, op5_language_id,
-                             op6_simhash_dedup, op7_sharding, op8_quality_rules)}
+                             op6_simhash_dedup, op7_sharding, op8_quality_rules, op9_html_text, op10_chat_format)}
 
 #: None of these operators can be written as SQL of reasonable cost over whole tables; tests/llm holds each
 #: against a brute-force version, an exact round trip or held-out accuracy.
