@@ -1,13 +1,14 @@
 """BPE encoding and decoding with a minimal acyclic transducer as lexicon.
 
-1. All words of all documents (the pieces that the tokenizer's split pattern makes) are counted; the
-   ``entries`` most frequent ones are the lexicon (a stated bound: it is the only thing sent around).
+1. All words of all documents (the pieces that the tokenizer's split pattern makes) are counted; those that make
+   at least one in ``share`` of all occurrences are the lexicon, at most ``share`` words by that rule.
 2. Each is merged exactly, and the words are compiled, in byte order, into a minimal acyclic automaton that
    shares suffixes as well as prefixes. Transitions carry numbers that add up along a path to the word's
    place in byte order, so one automaton without ids serves as the key; a second array holds the ids.
 3. The automaton is flat arrays in one file, which Spark hands to each executor and workers map into memory.
    A transition is found by binary search over (state, byte); all unknown words of a slice walk at once.
-4. Words that are not in the lexicon are merged exactly by rank, so the result does not depend on its size.
+4. Words that are not in the lexicon are merged exactly by rank, many at a time in arrays; so the result does
+   not depend on the lexicon.
 
 Decoding looks up the bytes of each id and joins them; bytes that are not UTF-8 become U+FFFD.
 
@@ -27,16 +28,19 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harvest.llm._text import pieces, rest_of
+from harvest.llm._text import cut, pieces, rest_of
 
-ENTRIES = 1 << 15
+#: A word is frequent if it makes at least one in SHARE of the words; so there are at most SHARE.
+SHARE = 1 << 16
+NO_PAIR = np.iinfo(np.int64).max
 #: Words that a worker remembers besides the lexicon.
-REMEMBERED = 200_000
+REMEMBERED = 800_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -66,6 +70,13 @@ class Vocabulary:
         self.bytes_of = {i: b for b, i in self.id_of.items()}
         self.added = {t["content"]: t["id"] for t in d["added_tokens"]}
         self.bytes_of |= {i: t.encode() for t, i in self.added.items()}
+        pairs = sorted((a << 32 | b, rank, new) for (a, b), (rank, new) in self.merge.items())
+        self.pair, self.rank, self.new = (np.array(x, np.int64) for x in zip(*pairs))
+        self.first = np.array(self.single, np.int64)
+        size = [len(self.bytes_of.get(i, b"")) for i in range(max(self.bytes_of) + 1)]
+        self.size = np.array(size, np.int64)
+        self.at = np.cumsum(self.size) - self.size
+        self.blob = np.frombuffer(b"".join(self.bytes_of.get(i, b"") for i in range(len(size))), np.uint8)
         self.split = regex.compile(public_tokenizers.PATTERN)
         strings = sorted(self.added, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, strings)) + ")") if strings else None
@@ -79,26 +90,67 @@ class Vocabulary:
             out += [part] if part in self.added else self.split.findall(part)
         return out
 
-    def merged(self, word: bytes) -> list[int]:
-        """Merge the pair of least rank, leftmost first, until no pair is left."""
-        ids = [self.single[b] for b in word]
-        while len(ids) > 1:
-            best = min((m for m in map(self.merge.get, zip(ids, ids[1:])) if m), default=None)
-            if best is None:
+    def merged(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word as int32 bytes. All words are merged at once: in each round, every word joins its
+        pair of least rank wherever it stands, leftmost first, until it has no pair left."""
+        out = [b""] * len(words)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        ids = self.first[np.frombuffer(b"".join(words), np.uint8)]
+        word = np.repeat(np.arange(len(words)), sizes)
+        rank, new = np.full(len(ids), NO_PAIR), np.zeros(len(ids), np.int64)   # of the pair that begins at each place
+        changed = np.arange(len(ids))
+        while len(ids):
+            changed = changed[changed + 1 < len(ids)]
+            key = ids[changed] << 32 | ids[changed + 1]
+            at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
+            found = (self.pair[at] == key) & (word[changed] == word[changed + 1])
+            rank[changed] = np.where(found, self.rank[at], NO_PAIR)
+            new[changed] = self.new[at]
+            begin = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+            sizes = np.diff(np.append(begin, len(ids)))
+            least = np.minimum.reduceat(rank, begin)
+            done = least == NO_PAIR
+            if done.any():
+                flat = ids.astype(np.int32).tobytes()
+                for w, i, n in zip(word[begin[done]].tolist(), begin[done].tolist(), sizes[done].tolist()):
+                    out[w] = flat[4 * i:4 * (i + n)]
+                live = np.repeat(~done, sizes)
+                ids, word, rank, new = ids[live], word[live], rank[live], new[live]
+                least, sizes = least[~done], sizes[~done]
+            if not len(ids):
                 break
-            out, i = [], 0
-            while i < len(ids):
-                if i + 1 < len(ids) and self.merge.get((ids[i], ids[i + 1])) == best:
-                    out.append(best[1])
-                    i += 2
-                else:
-                    out.append(ids[i])
-                    i += 1
-            ids = out
-        return ids
+            chosen = rank == np.repeat(least, sizes)
+            # of overlapping places (x x x), every other one from the left
+            place = np.arange(len(ids))
+            head = np.maximum.accumulate(np.where(chosen & ~np.concatenate(([False], chosen[:-1])), place, -1))
+            chosen &= (place - head) % 2 == 0
+            ids = np.where(chosen, new, ids)
+            stay = ~np.concatenate(([False], chosen[:-1]))
+            ids, word, rank, new, chosen = ids[stay], word[stay], rank[stay], new[stay], chosen[stay]
+            # pairs that begin or end with a merged token, and the last of each word, which lost its right side
+            rank[chosen] = NO_PAIR
+            chosen[:-1] |= chosen[1:]
+            changed = np.flatnonzero(chosen)
+        return out
+
+    def ids(self, words: list[str]) -> list[bytes]:
+        """The ids of each word, as int32 bytes."""
+        out: list[bytes] = []
+        for i in range(0, len(words), 8192):    # a few arrays that fit the processor's cache
+            out += self.merged([w.encode("utf-8", "surrogatepass") for w in words[i:i + 8192]])
+        if self.added:
+            for k, w in enumerate(words):
+                if w in self.added:
+                    out[k] = np.int32(self.added[w]).tobytes()
+        return out
 
-    def ids(self, word: str) -> list[int]:
-        return [self.added[word]] if word in self.added else self.merged(word.encode("utf-8", "surrogatepass"))
+    def text(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """The texts of runs of ids that end at ``ends``."""
+        n = self.size[ids]
+        stop = np.cumsum(n)
+        data = self.blob[np.arange(stop[-1] if len(stop) else 0) + np.repeat(self.at[ids] - (stop - n), n)].tobytes()
+        stop = np.concatenate(([0], stop))[ends].tolist()
+        return [data[a:b].decode("utf-8", "replace") for a, b in zip([0, *stop], stop)]
 
 
 @lru_cache(maxsize=2)
@@ -156,12 +208,12 @@ class Lexicon:
             at += n * np.dtype(kind).itemsize
 
     @classmethod
-    def write(cls, path: str, words: Iterable[bytes], ids: Iterable[list[int]]) -> None:
+    def write(cls, path: str, words: Iterable[bytes], ids: Iterable[bytes]) -> None:
         table = dict(zip(words, ids))
         keys = sorted(table)
         data = compile_transducer(keys)
-        data["ids"] = np.array([i for k in keys for i in table[k]], np.int32)
-        data["ids_at"] = np.cumsum([0, *(len(table[k]) for k in keys)]).astype(np.int32)
+        data["ids"] = np.frombuffer(b"".join(table[k] for k in keys), np.int32)
+        data["ids_at"] = np.cumsum([0, *(len(table[k]) // 4 for k in keys)]).astype(np.int32)
         with open(path, "wb") as f:
             np.array([len(data[n]) for n, _ in cls.FIELDS], np.int64).tofile(f)
             for n, kind in cls.FIELDS:
@@ -191,12 +243,14 @@ class Lexicon:
             live = live[lengths[live] > step]
         return out
 
-    def ids_of(self, place: int) -> list[int]:
-        return self.ids[self.ids_at[place]:self.ids_at[place + 1]].tolist()
+    def ids_of(self, place: int) -> bytes:
+        return self.ids[self.ids_at[place]:self.ids_at[place + 1]].tobytes()
 
 
-def word_counts(docs: DataFrame, vocabulary_path: str, text: str = "text") -> DataFrame:
-    """word, n over all documents: counted per slice first."""
+def frequent_words(docs: DataFrame, vocabulary_path: str, share: int, text: str = "text") -> list[bytes]:
+    """All words of all documents are counted, a slice of them (a task's, or up to REMEMBERED distinct words) at a time.
+    A word that makes one in ``share`` of all words does so in some slice: a slice hands on such words only, at most
+    ``share``, and those that sum up to one in ``share`` of the total are frequent: at most ``share`` again."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, seen = vocabulary(vocabulary_path), Counter()
         for b in pieces(batches):
@@ -209,24 +263,26 @@ def word_counts(docs: DataFrame, vocabulary_path: str, text: str = "text") -> Da
         yield rows(seen)
 
     def rows(seen: Counter) -> pa.RecordBatch:
-        keys = [w.encode("utf-8", "surrogatepass") for w in seen]
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
+        total = seen.total()
+        often = [(w.encode("utf-8", "surrogatepass"), n) for w, n in seen.items() if n * share >= total and n > 1]
+        often.append((None, total))
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*often), (pa.binary(), pa.int64()))], ["word", "n"])
 
-    return docs.select(text).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = cut(docs.select(text).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    total = counts.where("word is null").agg(F.sum("n")).first()[0] or 0
+    return [bytes(r.word) for r in counts.where(F.col("word").isNotNull() & (F.col("n") * share >= total)).select("word").collect()]
 
 
-def build_lexicon(docs: DataFrame, vocabulary_path: str, entries: int = ENTRIES, text: str = "text") -> str:
+def build_lexicon(docs: DataFrame, vocabulary_path: str, share: int = SHARE, text: str = "text") -> str:
     """Compile the frequent words and hand the file to all executors; returns its name."""
     v = vocabulary(vocabulary_path)
-    top = word_counts(docs, vocabulary_path, text).orderBy(F.desc("n"), "word").limit(entries)
-    words = [bytes(r.word) for r in top.collect()]
     added = {t.encode() for t in v.added}
-    words = [w for w in words if w not in added]
+    words = [w for w in frequent_words(docs, vocabulary_path, share, text) if w not in added]
     # Spark's own folder on the driver, kept while the application runs: executors, also new ones, fetch the file from it
     folder = os.path.join(SparkFiles.getRootDirectory(), "made")
     os.makedirs(folder, exist_ok=True)
     made = os.path.join(folder, f"lexicon-{uuid.uuid4().hex}")
-    Lexicon.write(made, words, map(v.merged, words))
+    Lexicon.write(made, words, v.merged(words))
     docs.sparkSession.sparkContext.addFile(made)
     return os.path.basename(made)
 
@@ -235,37 +291,45 @@ class Encoder:
     """Encodes texts: words of the lexicon by walking it, others by merging; both are remembered."""
 
     def __init__(self, v: Vocabulary, lexicon: Lexicon) -> None:
-        self.v, self.lexicon, self.known = v, lexicon, {}
+        self.v, self.lexicon = v, lexicon
+        self.known: dict[str, bytes] = {}
 
-    def learn(self, words: list[str]) -> None:
+    def learn(self, words: set[str]) -> None:
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        new = list({w for w in words if w not in self.known})
-        places = self.lexicon.places([w.encode("utf-8", "surrogatepass") for w in new])
-        for w, p in zip(new, places.tolist()):
-            self.known[w] = self.lexicon.ids_of(p) if p >= 0 and w not in self.v.added else self.v.ids(w)
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
+        new = list(words.difference(self.known))
+        places = self.lexicon.places([w.encode("utf-8", "surrogatepass") for w in new]).tolist()
+        unseen = []
+        for w, p in zip(new, places):
+            if p >= 0:
+                self.known[w] = self.lexicon.ids_of(p)
+            else:
+                unseen.append(w)
+        self.known.update(zip(unseen, self.v.ids(unseen)))
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text, as int32 bytes."""
         split = [self.v.words(t) if t else [] for t in texts]
-        words = set().union(*split)
-        self.learn(list(words))
-        get, out = self.known.__getitem__, []
-        for ws in split:
-            ids: list[int] = []
-            for w in map(get, ws):
-                ids += w
-            out.append(ids)
-        return out
+        self.learn(set().union(*split))
+        get = self.known.__getitem__
+        return [b"".join(map(get, ws)) for ws in split]
+
+
+@lru_cache(maxsize=1)
+def encoder(vocabulary_path: str, lexicon_path: str) -> Encoder:
+    """Kept by a worker for its next tasks, with what it remembers."""
+    return Encoder(vocabulary(vocabulary_path), Lexicon(lexicon_path))
 
 
 def encode(docs: DataFrame, vocabulary_path: str, lexicon: str, text: str = "text") -> DataFrame:
     """rest (all columns but the text) and ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = None
-        for b in pieces(batches, 500):
-            e = e or Encoder(vocabulary(vocabulary_path), Lexicon(SparkFiles.get(lexicon)))
+        for b in pieces(batches, 1000):
+            e = encoder(vocabulary_path, SparkFiles.get(lexicon))
             ids = e.encode(b.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([b.column("rest"), pa.array(ids, pa.list_(pa.int32()))], ["rest", "ids"])
+            ends = np.cumsum([0, *(len(i) // 4 for i in ids)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+            yield pa.RecordBatch.from_arrays([b.column("rest"), lists], ["rest", "ids"])
 
     frame = docs.select(rest_of(docs, text), F.col(text).cast("string").alias("text"))
     return frame.mapInArrow(run, f"rest {dict(frame.dtypes)['rest']}, ids array<int>")
@@ -274,17 +338,19 @@ def encode(docs: DataFrame, vocabulary_path: str, lexicon: str, text: str = "tex
 def decode(encoded: DataFrame, vocabulary_path: str) -> DataFrame:
     """rest, ids and the text that the ids stand for."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = vocabulary(vocabulary_path).bytes_of
-        for b in pieces(batches, 500):
-            texts = [b"".join(map(table.__getitem__, ids or ())).decode("utf-8", "replace") for ids in b.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("rest"), b.column("ids"), pa.array(texts, pa.string())], ["rest", "ids", "text"])
+        v = vocabulary(vocabulary_path)
+        for b in pieces(batches, 200):
+            lists = b.column("ids")
+            n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            texts = v.text(lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(n))
+            yield pa.RecordBatch.from_arrays([b.column("rest"), lists, pa.array(texts, pa.string())], ["rest", "ids", "text"])
 
     return encoded.mapInArrow(run, f"rest {dict(encoded.dtypes)['rest']}, ids array<int>, text string")
 
 
-def encode_and_decode(docs: DataFrame, vocabulary_path: str | None = None, entries: int = ENTRIES, text: str = "text") -> DataFrame:
+def encode_and_decode(docs: DataFrame, vocabulary_path: str | None = None, share: int = SHARE, text: str = "text") -> DataFrame:
     path = vocabulary_path or public_tokenizers.path("byte_bpe_50k.json")
-    return decode(encode(docs, path, build_lexicon(docs, path, entries, text), text), path)
+    return decode(encode(docs, path, build_lexicon(docs, path, share, text), text), path)
 
 
 def digest(found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
