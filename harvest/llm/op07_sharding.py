@@ -43,7 +43,8 @@ def shuffled(docs: DataFrame, shards: int = 8, doc_id: str = "doc_id", text: str
     counts = records.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
     ahead = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)     # over buckets, not records
     offsets = counts.select("shard", "bucket", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("first"))
-    # pass 2: the records of a bucket in a stated order, so that the seed alone decides, then Fisher-Yates
+    # pass 2: Spark draws from the seed and the task, so shards and buckets are the same in each run, but the order
+    # inside a bucket only with the same partitions. A bucket is always dealt by one task, also if that is repeated.
     gathered = (records.repartition("shard", "bucket").groupBy("shard", "bucket")
                 .agg(F.array_sort(F.collect_list(F.struct("key", "size", "grown_shard", "rest"))).alias("records")))
     dealt = gathered.join(offsets, ["shard", "bucket"]).select("shard", "bucket", "first", F.posexplode(F.expr(f"shuffle(records, {seed})")).alias("at", "r"))
