@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from harvest.llm._passages import Bytes, Piece, covered, keyed, located, marks, packed, spans_of, stretches, unpack
 
 #: Bytes of distinct text that a shard holds at once: three ranks of such a text fit one 64-bit key.
-ROOM = (1 << 21) - (1 << 17)
+ROOM = 3 << 18
 
 
 def dense(keys: np.ndarray) -> np.ndarray:
