@@ -141,8 +141,9 @@ def safe_float(col) -> Column:
 
 
 def compose_id(prefix, seq, width: int = 7) -> Column:
-    """prefix + zero-padded sequence."""
-    return F.concat(_c(prefix).cast("string"), F.lpad(_c(seq).cast("string"), width, "0"))
+    """prefix + sequence, zero-padded to ``width`` digits; a longer sequence keeps all its digits."""
+    digits = _c(seq).cast("string")
+    return F.concat(_c(prefix).cast("string"), F.when(F.length(digits) >= width, digits).otherwise(F.lpad(digits, width, "0")))
 
 
 def id_sequence(col, prefix_len: int) -> Column:

@@ -57,13 +57,13 @@ def first_free_sequence(seqs: DataFrame, seq_col: str, group_by: Sequence[str] =
 
 def next_dataset_ids(catalog: DataFrame, prefix_col: str = "prefix",
                      id_col: str = "dataset_id", prefixes: DataFrame | None = None) -> DataFrame:
-    """A06 applied to catalog ids: per 3-digit prefix, the first free 7-digit dataset id.
+    """A06 applied to catalog ids: per 3-digit prefix, the first free dataset id.
 
-    Ids that do not start with the prefix, are not 7 digits, or are not all
-    digits are ignored (as the original does).
+    Ids that do not start with the prefix, have under 7 digits, or are not all
+    digits are ignored; the sequence is everything after the prefix.
     """
-    ok = (F.col(id_col).rlike(r"^\d{7}$") & F.col(id_col).startswith(F.col(prefix_col)))
-    seqs = catalog.where(ok).select(prefix_col, F.substring(id_col, 4, 4).cast("bigint").alias("_seq"))
+    ok = (F.col(id_col).rlike(r"^\d{7,}$") & F.col(id_col).startswith(F.col(prefix_col)))
+    seqs = catalog.where(ok).select(prefix_col, F.substring(id_col, 4, 1 << 20).try_cast("bigint").alias("_seq"))
     free = first_free_sequence(seqs, "_seq", [prefix_col], "_next", groups=prefixes)
     return free.select(prefix_col, compose_id(F.col(prefix_col), F.col("_next"), DATASET_SEQ_WIDTH).alias("next_id"))
 
@@ -76,7 +76,7 @@ def assign_ids(df: DataFrame, order_by: Sequence, dataset_col: str | None = None
     ``start`` (optional, needs ``dataset_col``) holds the current max sequence
     per dataset (A05) and is joined on the dataset column (one row per
     dataset). Without a dataset column ``start_value`` is the single offset.
-    Row id = dataset id + 7-digit sequence.
+    Row id = dataset id + sequence of 7 digits, or more from 10,000,000 on.
     """
     group = [dataset_col] if dataset_col else []
     numbered = consecutive_index(df, order_by, group, name="_pos")

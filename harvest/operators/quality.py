@@ -102,8 +102,12 @@ def freshness_status(batch: DataFrame, catalog: DataFrame, categories: DataFrame
     from harvest.functions.text import compose_id
 
     checked = metadata_integrity(batch, categories, required=("title", "category", "updated_at_src"))
-    cat = catalog.select(F.col("title").alias("_t"), F.col("dataset_id").alias("_id"),
-                         F.col("updated_at_src").alias("_upd"))
+    # one row per title on both sides: the latest record of the batch (all without a title stay, as errors), and of
+    # the catalog the row with the least id
+    latest = checked.where("title is not null").groupBy("title").agg(F.max(F.struct("updated_at_src", "status", "prefix")).alias("_r"))
+    checked = latest.select("title", "_r.*").unionByName(checked.where("title is null").select("title", "updated_at_src", "status", "prefix"))
+    cat = (catalog.groupBy(F.col("title").alias("_t")).agg(F.min(F.struct("dataset_id", "updated_at_src")).alias("_c"))
+           .select("_t", F.col("_c.dataset_id").alias("_id"), F.col("_c.updated_at_src").alias("_upd")))
     j = checked.join(cat, checked["title"] == cat["_t"], "left").drop("_t")
     status = (F.when(F.col("status") != "ok", F.lit("error"))
               .when(F.col("_id").isNull(), F.lit("new"))
@@ -113,9 +117,9 @@ def freshness_status(batch: DataFrame, catalog: DataFrame, categories: DataFrame
     known = j.where(F.col("status") != "new").select("title", "status", F.col("_id").alias("dataset_id"))
     new = j.where(F.col("status") == "new").select("title", "status", "prefix")
     new = consecutive_index(new, ["title"], ["prefix"], name="_r")
-    ok_id = F.col("dataset_id").rlike(r"^\d{7}$")
+    ok_id = F.col("dataset_id").rlike(r"^\d{7,}$")
     used = (catalog.where(ok_id).select(F.substring("dataset_id", 1, 3).alias("prefix"),
-                                         F.substring("dataset_id", 4, 4).cast("bigint").alias("_n")))
+                                         F.substring("dataset_id", 4, 1 << 20).try_cast("bigint").alias("_n")))
     new = allocate_free(used, new, "prefix", "_n", "_r", name="_seq")
     new = new.select("title", "status", compose_id(F.col("prefix"), F.col("_seq"), 4).alias("dataset_id"))
     return known.unionByName(new)

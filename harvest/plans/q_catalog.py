@@ -316,7 +316,7 @@ def stored_metadata(spark, sf):
                     "category", upd.alias("updated_at_src"))
 
 
-_STORED_META_SQL = f"""(SELECT k.prefix || lpad(CAST(2 * row_number() OVER (PARTITION BY k.prefix ORDER BY m.o_orderkey) AS VARCHAR), 4, '0') AS dataset_id,
+_STORED_META_SQL = f"""(SELECT k.prefix || lpad(CAST(2 * row_number() OVER (PARTITION BY k.prefix ORDER BY m.o_orderkey) AS VARCHAR), CAST(greatest(4, length(CAST(2 * row_number() OVER (PARTITION BY k.prefix ORDER BY m.o_orderkey) AS VARCHAR))) AS INTEGER), '0') AS dataset_id,
    m.title, m.category,
    CASE WHEN m.o_orderstatus = 'F' THEN m.updated_at_src || ' (old)' ELSE m.updated_at_src END AS updated_at_src
  FROM {_ORDER_META_SQL} m JOIN {_CATEGORIES_SQL} k ON m.category = k.category
@@ -338,7 +338,7 @@ free AS (SELECT prefix, g AS n, row_number() OVER (PARTITION BY prefix ORDER BY
    WHERE NOT EXISTS (SELECT 1 FROM used u WHERE u.prefix = x.prefix AND u.n = x.g))
 SELECT title, status, dataset_id FROM st WHERE status <> 'new'
 UNION ALL
-SELECT req.title, 'new', req.prefix || lpad(CAST(free.n AS VARCHAR), 4, '0') FROM req JOIN free USING (prefix, r)""")
+SELECT req.title, 'new', req.prefix || lpad(CAST(free.n AS VARCHAR), CAST(greatest(4, length(CAST(free.n AS VARCHAR))) AS INTEGER), '0') FROM req JOIN free USING (prefix, r)""")
 def freshness_status(spark, sf):
     return quality.freshness_status(order_metadata(spark, sf), stored_metadata(spark, sf),
                                     quality.category_table(spark))

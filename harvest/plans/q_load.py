@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from harvest.functions.text import MAP_URL_FIELD
 from harvest.functions.times import ts_lit
 from harvest.functions.dates import parse_date
 from harvest.operators import dedup, ids, incremental, ordering
@@ -109,12 +110,12 @@ WITH n AS ({_NEW_EVENTS_SQL}),
 m AS (SELECT dataset_id, max(seq) AS top FROM ({STORED_EVENTS_SQL}) s GROUP BY dataset_id),
 x AS (SELECT n.*, COALESCE(m.top, 0) + row_number() OVER (PARTITION BY n.dataset_id ORDER BY n.event_id) AS seq
       FROM n LEFT JOIN m ON n.dataset_id = m.dataset_id)
-SELECT *, dataset_id || lpad(CAST(seq AS VARCHAR), 7, '0') AS row_id FROM x""")(refresh_load)
+SELECT *, dataset_id || lpad(CAST(seq AS VARCHAR), CAST(greatest(7, length(CAST(seq AS VARCHAR))) AS INTEGER), '0') AS row_id FROM x""")(refresh_load)
 
 
 @register("assign_ids", """
 SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS seq,
-       event_type || lpad(CAST(row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS VARCHAR), 7, '0') AS row_id
+       event_type || lpad(CAST(row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS VARCHAR), CAST(greatest(7, length(CAST(row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS VARCHAR))) AS INTEGER), '0') AS row_id
 FROM events""")
 def assign_ids_q(spark, sf):
     ev = read_table(spark, sf, "events").select("event_id", "event_type")
@@ -233,7 +234,7 @@ def event_payload_rows(spark, sf):
         .when((F.col("event_type") == "purchase") & (F.col("value") > 400),
               F.concat(F.lit("http://m/"), F.col("event_id").cast("string")))
     payload = F.struct(F.col("event_id"), F.col("user_id"), F.date_format("ts", "yyyy/MM/dd HH:mm:ss").alias("ts"),
-                       F.col("value"), k.alias("k"), map_url.alias("map_url"))
+                       F.col("value"), k.alias("k"), map_url.alias(MAP_URL_FIELD))
     return ev.select(F.col("event_type").alias("dataset_id"), F.col("event_id").alias("_ord"), "ts",
                      F.parse_json(F.to_json(payload)).alias("v"))
 
@@ -291,7 +292,7 @@ inc_rows AS (SELECT inc.dataset_id, inc._ord, 'incremental' AS mode,
                COALESCE(top.top, 0) + row_number() OVER (PARTITION BY inc.dataset_id ORDER BY {_SPEC_ORDER_SQL.format(t="inc")}) AS seq
              FROM inc LEFT JOIN top USING (dataset_id)),
 u AS (SELECT * FROM full_rows UNION ALL SELECT * FROM inc_rows)
-SELECT dataset_id, _ord, mode, seq, dataset_id || lpad(CAST(seq AS VARCHAR), 7, '0') AS row_id FROM u""")
+SELECT dataset_id, _ord, mode, seq, dataset_id || lpad(CAST(seq AS VARCHAR), CAST(greatest(7, length(CAST(seq AS VARCHAR))) AS INTEGER), '0') AS row_id FROM u""")
 def refresh_all_q(spark, sf):
     """Lifecycle 3.1 over every dataset at once (see harvest.plans.refresh)."""
     from harvest.plans.refresh import refresh_all

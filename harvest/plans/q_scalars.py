@@ -152,3 +152,17 @@ def append_evolve(spark, sf):
         "event_id", "ts", "user_id", "event_type", F.col("value").alias("event value"),
         F.from_json("props", "struct<k:bigint>").alias("props.json"))
     return evolve_union(store, batch)
+
+
+@register("wide_ids", """
+WITH s AS (SELECT row_number() OVER (ORDER BY o_orderkey) AS n FROM orders),
+     t AS (SELECT n + 9990 AS d, n + 9999990 AS r FROM s)
+SELECT CAST(d AS BIGINT) AS d, '101' || lpad(CAST(d AS VARCHAR), CAST(greatest(4, length(CAST(d AS VARCHAR))) AS INTEGER), '0') AS dataset_id,
+       '1010003' || lpad(CAST(r AS VARCHAR), CAST(greatest(7, length(CAST(r AS VARCHAR))) AS INTEGER), '0') AS row_id FROM t""")
+def wide_ids(spark, sf):
+    """Sequences that cross 9,999 and 9,999,999 keep all their digits, so ids stay distinct."""
+    from harvest.functions.text import compose_id
+    from harvest.operators.numbering import consecutive_index
+    n = consecutive_index(read_table(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"], name="n").select("n")
+    return n.select((F.col("n") + 9990).alias("d"), compose_id(F.lit("101"), F.col("n") + 9990, 4).alias("dataset_id"),
+                    compose_id(F.lit("1010003"), F.col("n") + 9_999_990, 7).alias("row_id"))

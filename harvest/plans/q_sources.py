@@ -156,7 +156,7 @@ def page_metadata(spark, sf):
 @register("stream_ingest", """
 SELECT event_type AS dataset_id, CAST(event_id AS VARCHAR) AS event_id,
        row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS seq,
-       event_type || lpad(CAST(row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS VARCHAR), 7, '0') AS row_id
+       event_type || lpad(CAST(row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS VARCHAR), CAST(greatest(7, length(CAST(row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS VARCHAR))) AS INTEGER), '0') AS row_id
 FROM events""")
 def stream_ingest(spark, sf):
     """T01 end to end: events are landed as JSON pages (one file per event type

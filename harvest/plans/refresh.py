@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from harvest.functions.times import ts_lit
 from harvest.functions.dates import parse_date
-from harvest.functions.text import CODE_LIST_WORD, compose_id
+from harvest.functions.text import CODE_LIST_WORD, MAP_URL_FIELD, compose_id
 from harvest.operators.dedup import keep_first, keep_last
 from harvest.operators.ids import assign_ids, max_sequence
 from harvest.operators.joins import bounded_broadcast
@@ -68,7 +68,7 @@ def refresh_all(rows: DataFrame, store: DataFrame, configs: DataFrame,
     r = _with_config(rows, configs, ["keys", "date_col", "title", *spec_cols]).withColumn("_m", payload_map(F.col("v")))
     sort_key = spec_sort_key(F.col("_m"), F.col("sort_keys")) if spec_cols else F.array()
     r = r.select("*", F.element_at(F.col("_m"), F.col("date_col")).alias("_date"),
-                 F.element_at(F.col("_m"), F.lit("map_url")).alias("_map_url"),
+                 F.element_at(F.col("_m"), F.lit(MAP_URL_FIELD)).alias("_map_url"),
                  key_text(F.col("_m"), F.col("keys")).alias("_key"), sort_key.alias("_sk")).drop("_m")
     if cutoff is not None:
         r = r.where(F.col("date_col").isNull() | (parse_date(F.col("_date")) >= ts_lit(cutoff)))

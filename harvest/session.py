@@ -63,14 +63,19 @@ def get_spark(master: str | None = None, app: str = "harvest",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) do we pick a scratch folder.
+    A local session that has none (tests) gets a scratch folder; on a cluster it must be set.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # a remote (Connect) session: the server owns its checkpoint dir
-        return spark.conf.get("spark.checkpoint.dir", None) or ""
+        path = spark.conf.get("spark.checkpoint.dir", None)
+        if not path:
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that driver and executors share")
+        return path
     path = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="harvest-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)

@@ -27,10 +27,11 @@ PAGE_DIR_SKIP_RE = r"/skip=(\d+)/"
 
 def page_address(path: Column) -> tuple[Column, Column]:
     """(dataset id, skip) of a landed page file: from ``dataset_id=<id>/skip=<n>/``
-    directories when present, else from a ``<id>_<skip>.json`` file name."""
+    directories when present, else from a ``<id>_<skip>.json`` file name. Other
+    addresses give an empty id and a NULL skip, for the reader to leave out."""
     d_dir, s_dir = F.regexp_extract(path, PAGE_DIR_DATASET_RE, 1), F.regexp_extract(path, PAGE_DIR_SKIP_RE, 1)
     dataset = F.when(d_dir != "", d_dir).otherwise(F.regexp_extract(path, PAGE_FILE_RE, 1))
-    skip = F.when(s_dir != "", s_dir).otherwise(F.regexp_extract(path, PAGE_FILE_RE, 2)).cast("int")
+    skip = F.when(s_dir != "", s_dir).otherwise(F.regexp_extract(path, PAGE_FILE_RE, 2)).try_cast("bigint")
     return dataset, skip
 
 

@@ -25,22 +25,22 @@ from harvest.sources.landing import object_rows, page_address
 def _flatten(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     dataset, skip = page_address(F.col("_path"))
     pages = batch.select(dataset.alias("dataset_id"), skip.alias("skip"), F.col("value").alias("body"))
-    rows = object_rows(pages)
+    rows = object_rows(pages.where("dataset_id <> '' and skip is not null"))   # a file at any other address is no page
     return rows.select("dataset_id", "skip", "pos",
                        *[F.try_variant_get("v", f"$.{k}", "string").alias(k) for k in keys],
                        F.to_json("v").alias("record"))
 
 
 def _store_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        return len(spark.read.parquet(path).schema.fields) > 0   # file listing only, no job
-    except Exception:  # no store yet
-        return False
+    """Whether the store has any file; a read error is not taken for a missing store."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(p) and any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
 
 
 def start_ingest(spark: SparkSession, landing_dir: str, store_path: str, checkpoint: str,
                  keys: Sequence[str], max_files_per_trigger: int | None = None, after_write=None,
-                 glob: str = "*.json"):
+                 glob: str = "*"):
     """Start the availableNow ingest; returns the StreamingQuery (call awaitTermination()).
 
     ``after_write(epoch_id)`` runs after a batch is stored and before the

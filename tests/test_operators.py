@@ -308,3 +308,21 @@ def test_allocate_free_random_densities(spark):
                     n += 1
                 taken.add(n)
                 assert got[(g, r)] == n, (seed, g, r)
+
+
+def test_ids_widen_instead_of_being_cut(spark):
+    from harvest.functions.text import compose_id
+    df = spark.createDataFrame([(n,) for n in (7, 9_999_999, 10_000_000, 10_000_001, 10_000_009)], "n long")
+    got = [r[0] for r in df.select(compose_id(F.lit("1010003"), F.col("n"))).collect()]
+    assert got == ["10100030000007", "10100039999999", "101000310000000", "101000310000001", "101000310000009"]
+
+
+def test_freshness_with_repeated_titles(spark):
+    from harvest.operators.quality import freshness_status, category_table
+    cats = category_table(spark)
+    c = cats.first()
+    batch = spark.createDataFrame([("a", c.category, "1"), ("a", c.category, "2"), ("b", c.category, "1"), ("b", c.category, "1")],
+                                  "title string, category string, updated_at_src string")
+    catalog = spark.createDataFrame([("b", c.prefix + "0001", "1"), ("b", c.prefix + "0002", "0")], "title string, dataset_id string, updated_at_src string")
+    got = sorted(tuple(r) for r in freshness_status(batch, catalog, cats).select("title", "status", "dataset_id").collect())
+    assert got == [("a", "new", c.prefix + "0003"), ("b", "unchanged", c.prefix + "0001")]
