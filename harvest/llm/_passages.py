@@ -46,7 +46,7 @@ class WordCodes(dict):
     """A 64-bit hash for each word seen of late."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         code = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
         return code

@@ -43,7 +43,7 @@ SHARE = 1 << 16
 SPLIT = r" ?\p{L}++|'(?:s|t|re|ve|m|ll|d)| ?[^\s\p{L}\p{N}]++| ?\p{N}++|\s+(?!\S)|\s+"
 NO_PAIR = np.iinfo(np.int64).max
 #: Words that a worker remembers besides the lexicon.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 
 def byte_letters() -> dict[str, int]:

@@ -65,7 +65,7 @@ class Lexer(dict):
 
     def read(self, text: str | None) -> tuple[list[str], np.ndarray, np.ndarray]:
         """words, token hashes and kinds."""
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         words = WORD.findall(text) if text else []
         code = np.fromiter(map(self.__getitem__, words), np.int64, len(words))

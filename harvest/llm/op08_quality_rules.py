@@ -70,7 +70,7 @@ def count_facts(text: str | None, known: Codes) -> tuple[int, ...]:
     words = WORD.findall(text) if text else []
     if not words:
         return 0, 0, 0, 0, 0
-    if len(known) > 400_000:
+    if len(known) > 200_000:
         known.clear()
     lines = [x for x in text.split("\n") if x.strip("\t\n\x0b\x0c\r ")]
     return (len(words), len(text) - sum(map(text.count, WHITE)), len(SYMBOL.findall(text)), len(lines) - len(set(lines)),
