@@ -302,12 +302,8 @@ class Encoder:
             self.known.clear()
         new = list(words.difference(self.known))
         places = self.lexicon.places([w.encode("utf-8", "surrogatepass") for w in new]).tolist()
-        unseen = []
-        for w, p in zip(new, places):
-            if p >= 0:
-                self.known[w] = self.lexicon.ids_of(p)
-            else:
-                unseen.append(w)
+        self.known.update((w, self.lexicon.ids_of(p)) for w, p in zip(new, places) if p >= 0)
+        unseen = [w for w, p in zip(new, places) if p < 0]
         self.known.update(zip(unseen, self.v.ids(unseen)))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -318,37 +314,46 @@ class Encoder:
         return [b"".join(map(get, ws)) for ws in split]
 
 
-def encode(docs: DataFrame, vocabulary_path: str, lexicon: str, text: str = "text") -> DataFrame:
-    """rest (all columns but the text) and ids."""
+def id_lists(e: Encoder, texts: pa.Array) -> pa.ListArray:
+    ids = e.encode(texts.to_pylist())
+    ends = np.cumsum([0, *(len(i) // 4 for i in ids)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+
+
+def decoded(v: Vocabulary, lists: pa.ListArray) -> pa.Array:
+    n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    return pa.array(v.text(lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(n)), pa.string())
+
+
+def encode(docs: DataFrame, vocabulary_path: str, lexicon: str, text: str = "text", decode_too: bool = False) -> DataFrame:
+    """rest (all columns but the text) and ids; with ``decode_too`` also the text that the ids decode to, in the same pass."""
+    names = ["rest", "ids", "text"] if decode_too else ["rest", "ids"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = None
-        for b in pieces(batches, 1000):
+        for b in pieces(batches, 500):
             e = e or Encoder(vocabulary(vocabulary_path), Lexicon(SparkFiles.get(lexicon)))
-            ids = e.encode(b.column("text").to_pylist())
-            ends = np.cumsum([0, *(len(i) // 4 for i in ids)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))
-            yield pa.RecordBatch.from_arrays([b.column("rest"), lists], ["rest", "ids"])
+            lists = id_lists(e, b.column("text"))
+            yield pa.RecordBatch.from_arrays([b.column("rest"), lists, *([decoded(e.v, lists)] if decode_too else [])], names)
 
     frame = docs.select(rest_of(docs, text), F.col(text).cast("string").alias("text"))
-    return frame.mapInArrow(run, f"rest {dict(frame.dtypes)['rest']}, ids array<int>")
+    return frame.mapInArrow(run, f"rest {dict(frame.dtypes)['rest']}, ids array<int>" + ", text string" * decode_too)
 
 
 def decode(encoded: DataFrame, vocabulary_path: str) -> DataFrame:
     """rest, ids and the text that the ids stand for."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = vocabulary(vocabulary_path)
         for b in pieces(batches, 200):
             lists = b.column("ids")
-            n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            texts = v.text(lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(n))
-            yield pa.RecordBatch.from_arrays([b.column("rest"), lists, pa.array(texts, pa.string())], ["rest", "ids", "text"])
+            yield pa.RecordBatch.from_arrays([b.column("rest"), lists, decoded(vocabulary(vocabulary_path), lists)], ["rest", "ids", "text"])
 
     return encoded.mapInArrow(run, f"rest {dict(encoded.dtypes)['rest']}, ids array<int>, text string")
 
 
 def encode_and_decode(docs: DataFrame, vocabulary_path: str | None = None, share: int = SHARE, text: str = "text") -> DataFrame:
+    """rest (all columns but the text), ids and the text that they decode to."""
     path = vocabulary_path or public_tokenizers.path("byte_bpe_50k.json")
-    return decode(encode(docs, path, build_lexicon(docs, path, share, text), text), path)
+    return encode(docs, path, build_lexicon(docs, path, share, text), text, decode_too=True)
 
 
 def digest(found: DataFrame, doc_id: str = "doc_id") -> DataFrame:

@@ -164,6 +164,11 @@ def test_op2_transducer(tmp_path):
     assert len(lexicon.key) < sum(map(len, words)) / 3      # suffixes are shared
 
 
+def test_op2_decode_alone(docs, rows):
+    name = op2.build_lexicon(docs, PATH)
+    assert sorted((r.rest.doc_id, r.text) for r in op2.decode(op2.encode(docs, PATH, name), PATH).collect()) == rows
+
+
 def test_op2_odd_rows(spark, odd):
     got = op2.digest(op2.encode_and_decode(odd)).collect()
     assert len(got) == 12 and {r.n_tokens for r in got if r.decoded_sha256 == sha(b"")} == {0}
