@@ -10,6 +10,10 @@
 4. Words that are not in the lexicon are merged exactly by rank, many at a time in arrays; so the result does
    not depend on the lexicon.
 
+Texts are split in arrays: every code point has a kind (letter, number, white space, other), words begin where the
+split pattern says, and the words of a slice become one Arrow array over the texts' own bytes, which is counted, or
+encoded as a dictionary, so that Python meets distinct words only. A slice holds about two megabytes, or one longer text.
+
 Decoding looks up the bytes of each id and joins them; bytes that are not UTF-8 become U+FFFD.
 
 Defined cases: null and empty texts give no ids; the added token's string becomes its id, as in the tokenizers
@@ -21,7 +25,6 @@ from __future__ import annotations
 import json
 import os
 import uuid
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -38,12 +41,60 @@ from harvest.llm._text import cut, pieces, rest_of
 
 #: A word is frequent if it makes at least one in SHARE of the words; so there are at most SHARE.
 SHARE = 1 << 16
-#: The split pattern of public_tokenizers.PATTERN, with the frequent kinds first: no two kinds but those of white space
-#: can begin at the same place, so their order does not matter.
-SPLIT = r" ?\p{L}++|'(?:s|t|re|ve|m|ll|d)| ?[^\s\p{L}\p{N}]++| ?\p{N}++|\s+(?!\S)|\s+"
+#: The kinds of code points that the split pattern (public_tokenizers.PATTERN) tells apart.
+KINDS = LETTER, NUMBER, SPACE, OTHER = range(4)
+#: What the split pattern takes with an apostrophe that begins a word.
+ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 NO_PAIR = np.iinfo(np.int64).max
 #: Words that a worker remembers besides the lexicon.
 REMEMBERED = 250_000
+#: Bytes of text that are split at once, and words that are counted at once.
+SLICE_BYTES = 1 << 21
+SLICE_WORDS = 1 << 21
+
+
+def slices(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """The batches in slices whose texts sum up to at most SLICE_BYTES; a longer text is a slice of its own."""
+    for b in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        i = 0
+        while i < b.num_rows:
+            j = max(i + 1, int(np.searchsorted(ends, SLICE_BYTES + (ends[i - 1] if i else 0), "right")))
+            yield b.slice(i, j - i)
+            i = j
+
+
+@lru_cache(maxsize=1)
+def kinds() -> np.ndarray:
+    """The kind of each code point."""
+    every = "".join(chr(c) if not 0xD800 <= c < 0xE000 else "?" for c in range(0x110000))
+    out = np.full(len(every), OTHER, np.uint8)
+    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
+        for m in regex.finditer(pattern, every):
+            out[m.start():m.end()] = kind
+    return out
+
+
+def word_begins(code: np.ndarray, edge: np.ndarray) -> np.ndarray:
+    """Where words begin in code points of texts that begin at ``edge``, as the split pattern has it: runs of one kind;
+    the last of a run of white space stands apart if another kind follows, and a blank joins what follows; an
+    apostrophe that begins a word takes one of ENDINGS with it."""
+    kind = kinds()[code]
+    begin = edge.copy()
+    begin[1:] |= kind[1:] != kind[:-1]
+    space = kind == SPACE
+    last = np.flatnonzero(space[:-1] & ~space[1:] & ~edge[1:])
+    begin[last] = True
+    begin[last[code[last] == ord(" ")] + 1] = False
+    marks = np.flatnonzero((code == ord("'")) & begin)
+    for ending in ENDINGS:
+        at = marks[marks + len(ending) < len(code)]
+        for step, letter in enumerate(ending, 1):
+            at = at[(code[at + step] == ord(letter)) & ~edge[at + step]]
+        begin[at + 1] = False
+        at = at + len(ending) + 1
+        begin[at[at < len(code)]] = True
+    return begin
 
 
 def byte_letters() -> dict[str, int]:
@@ -80,18 +131,44 @@ class Vocabulary:
         self.size = np.array(size, np.int64)
         self.at = np.cumsum(self.size) - self.size
         self.blob = np.frombuffer(b"".join(self.bytes_of.get(i, b"") for i in range(len(size))), np.uint8)
-        self.split = regex.compile(SPLIT)
         strings = sorted(self.added, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, strings)) + ")") if strings else None
 
-    def words(self, text: str) -> list[str]:
-        """The words of a text; added tokens are words of their own."""
-        if self.special is None or not self.special.search(text):
-            return self.split.findall(text)
-        out = []
-        for part in self.special.split(text):
-            out += [part] if part in self.added else self.split.findall(part)
-        return out
+    def words(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The words of all texts, as one binary array, and how many words end with or before each text. Null is empty;
+        added tokens are words of their own."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        sizes = pc.utf8_length(texts).to_numpy(zero_copy_only=False)
+        stop = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+        if not stop[-1]:
+            return pa.array([], pa.binary()), np.zeros(len(texts), np.int64)
+        _, offsets, data = texts.buffers()
+        offsets = np.frombuffer(offsets, np.int32)[texts.offset:texts.offset + len(texts) + 1]
+        data = data.slice(int(offsets[0]), int(offsets[-1] - offsets[0]))
+        whole = str(data, "utf-8")
+        code = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
+        edge = np.zeros(len(code) + 1, np.bool_)
+        edge[stop] = True
+        found = self.specials(whole, stop)
+        for a, b in found:
+            edge[[a, b]] = True
+        begin = word_begins(code, edge[:-1])
+        for a, b in found:
+            begin[a + 1:b] = False
+        first = np.flatnonzero(begin)
+        at = first
+        if len(data) > len(code):
+            width = 1 + (code >= 0x80).astype(np.int32) + (code >= 0x800) + (code >= 0x10000)
+            at = (np.cumsum(width, dtype=np.int32) - width)[first]
+        at = np.append(at, len(data)).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(at), data]), np.searchsorted(first, stop[1:])
+
+    def specials(self, whole: str, stop: np.ndarray) -> list[tuple[int, int]]:
+        """Where added tokens stand in texts that end at ``stop``; none reaches from a text into the next."""
+        if self.special is None or not self.special.search(whole):
+            return []
+        ends = stop.tolist()
+        return [m.span() for a, b in zip(ends, ends[1:]) for m in self.special.finditer(whole, a, b)]
 
     def merged(self, words: list[bytes]) -> list[bytes]:
         """The ids of each word as int32 bytes. All words are merged at once: in each round, every word joins its
@@ -136,15 +213,14 @@ class Vocabulary:
             changed = np.flatnonzero(chosen)
         return out
 
-    def ids(self, words: list[str]) -> list[bytes]:
+    def ids(self, words: list[bytes]) -> list[bytes]:
         """The ids of each word, as int32 bytes."""
         out: list[bytes] = []
         for i in range(0, len(words), 8192):    # a few arrays that fit the processor's cache
-            out += self.merged([w.encode("utf-8", "surrogatepass") for w in words[i:i + 8192]])
-        if self.added:
-            for k, w in enumerate(words):
-                if w in self.added:
-                    out[k] = np.int32(self.added[w]).tobytes()
+            out += self.merged(words[i:i + 8192])
+        for content, i in self.added.items():
+            if content.encode() in words:
+                out[words.index(content.encode())] = np.int32(i).tobytes()
         return out
 
     def text(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
@@ -251,27 +327,26 @@ class Lexicon:
 
 
 def frequent_words(docs: DataFrame, vocabulary_path: str, share: int, text: str = "text") -> list[bytes]:
-    """All words of all documents are counted, a slice of them (a task's, or up to REMEMBERED distinct words) at a time.
+    """All words of all documents are counted, a slice of them (a task's, or about SLICE_WORDS words) at a time.
     A word that makes one in ``share`` of all words does so in some slice: a slice hands on such words only, at most
     ``share``, and those that sum up to one in ``share`` of the total are frequent: at most ``share`` again."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, seen = vocabulary(vocabulary_path), Counter()
-        for b in pieces(batches):
-            for t in b.column(0).to_pylist():
-                if t:
-                    seen.update(v.words(t))
-            if len(seen) > REMEMBERED:
-                yield rows(seen)
-                seen = Counter()
-        yield rows(seen)
-
-    def rows(seen: Counter) -> pa.RecordBatch:
-        total = seen.total()
-        often = [(w.encode("utf-8", "surrogatepass"), n) for w, n in seen.items() if n * share >= total and n > 1]
-        often.append((None, total))
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*often), (pa.binary(), pa.int64()))], ["word", "n"])
-
-    counts = cut(docs.select(text).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
+        v, waiting = vocabulary(vocabulary_path), []
+        for b in slices(batches, text):
+            waiting.append(v.words(b.column(0))[0])
+            if sum(map(len, waiting)) > SLICE_WORDS:
+                yield rows(waiting)
+                waiting = []
+        yield rows(waiting)
+
+    def rows(waiting: list[pa.Array]) -> pa.RecordBatch:
+        found = pc.value_counts(pa.chunked_array(waiting, pa.binary()))
+        n = found.field("counts").to_numpy(zero_copy_only=False)
+        often = np.flatnonzero((n * share >= n.sum()) & (n > 1))
+        words = pa.concat_arrays([found.field("values").take(pa.array(often)), pa.nulls(1, pa.binary())])
+        return pa.RecordBatch.from_arrays([words, pa.array(np.append(n[often], n.sum()), pa.int64())], ["word", "n"])
+
+    counts = cut(docs.select(F.col(f"`{text}`").cast("string").alias(text)).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
     total = counts.where("word is null").agg(F.sum("n")).first()[0] or 0
     return [bytes(r.word) for r in counts.where(F.col("word").isNotNull() & (F.col("n") * share >= total)).select("word").collect()]
 
@@ -295,29 +370,30 @@ class Encoder:
 
     def __init__(self, v: Vocabulary, lexicon: Lexicon) -> None:
         self.v, self.lexicon = v, lexicon
-        self.known: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
 
-    def learn(self, words: set[str]) -> None:
+    def learn(self, words: list[bytes]) -> None:
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        new = list(words.difference(self.known))
-        places = self.lexicon.places([w.encode("utf-8", "surrogatepass") for w in new]).tolist()
+        new = [w for w in words if w not in self.known]
+        places = self.lexicon.places(new).tolist()
         self.known.update((w, self.lexicon.ids_of(p)) for w, p in zip(new, places) if p >= 0)
         unseen = [w for w, p in zip(new, places) if p < 0]
         self.known.update(zip(unseen, self.v.ids(unseen)))
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text, as int32 bytes."""
-        split = [self.v.words(t) if t else [] for t in texts]
-        self.learn(set().union(*split))
-        get = self.known.__getitem__
-        return [b"".join(map(get, ws)) for ws in split]
-
-
-def id_lists(e: Encoder, texts: pa.Array) -> pa.ListArray:
-    ids = e.encode(texts.to_pylist())
-    ends = np.cumsum([0, *(len(i) // 4 for i in ids)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+    def encode(self, texts: pa.Array) -> pa.ListArray:
+        """The ids of each text."""
+        words, ends = self.v.words(texts)
+        words = words.dictionary_encode()
+        distinct, which = words.dictionary.to_pylist(), words.indices.to_numpy(zero_copy_only=False)
+        self.learn(distinct)
+        ids = [self.known[w] for w in distinct]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        first, n = np.cumsum(size) - size, size[which]
+        stop = np.concatenate(([0], np.cumsum(n)))
+        flat = np.frombuffer(b"".join(ids), np.int32)
+        flat = flat[np.arange(stop[-1]) + np.repeat(first[which] - stop[:-1], n)]
+        return pa.ListArray.from_arrays(pa.array(stop[np.concatenate(([0], ends))].astype(np.int32)), pa.array(flat))
 
 
 def decoded(v: Vocabulary, lists: pa.ListArray) -> pa.Array:
@@ -331,9 +407,9 @@ def encode(docs: DataFrame, vocabulary_path: str, lexicon: str, text: str = "tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = None
-        for b in pieces(batches, 500):
+        for b in slices(batches, "text"):
             e = e or Encoder(vocabulary(vocabulary_path), Lexicon(SparkFiles.get(lexicon)))
-            lists = id_lists(e, b.column("text"))
+            lists = e.encode(b.column("text"))
             yield pa.RecordBatch.from_arrays([b.column("rest"), lists, *([decoded(e.v, lists)] if decode_too else [])], names)
 
     frame = docs.select(rest_of(docs, text), F.col(text).cast("string").alias("text"))

@@ -11,6 +11,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import xxhash
@@ -146,11 +147,12 @@ def test_op2_random_strings(tmp_path):
     op2.Lexicon.write(str(tmp_path / "x"), words, v.merged(words))
     e, rnd = op2.Encoder(v, op2.Lexicon(str(tmp_path / "x"))), random.Random(1)
     alphabet = [*"aaabcde's  \n\t0123 ,.!<|>", "<|endoftext|>", "é", "日本", "\U0001F600", "\x00", "\x85", "\xa0", "½", "'re", "haha", " the", "　"]
-    for _ in range(2000):
-        s = "".join(rnd.choice(alphabet) for _ in range(rnd.randrange(30)))
-        ids = np.frombuffer(e.encode([s])[0], np.int32)
-        assert ids.tolist() == t.encode(s, add_special_tokens=False).ids
-        assert v.text(ids, np.array([len(ids)])) == [s]
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randrange(30))) for _ in range(4000)] + ["<|endof", "text|>", "'", "s", " ", "x", None, ""]
+    at_once = e.encode(pa.array(texts)).to_pylist()
+    for s, ids in zip(texts, at_once):
+        assert ids == t.encode(s or "", add_special_tokens=False).ids
+        assert e.encode(pa.array([s])).to_pylist() == [ids]
+        assert v.text(np.array(ids, np.int64), np.array([len(ids)])) == [s or ""]
 
 
 def test_op2_transducer(tmp_path):
