@@ -75,12 +75,25 @@ def page_url(col, skip) -> Column:
     return F.concat(u, sep, F.lit(SKIP_PARAM + "="), s.cast("string"))
 
 
+def fold_dots(link: Column) -> Column:
+    """A link's path, which begins with a slash, without ``.`` and ``..`` segments; query and fragment stay."""
+    path = F.regexp_extract(link, r"^([^?#]*)", 1)
+    parts = F.split(F.substr(path, F.lit(2)), "/")
+    parts = F.when(F.element_at(parts, -1).isin(".", ".."), F.concat(parts, F.array(F.lit("")))).otherwise(parts)
+    folded = F.aggregate(parts, F.array().cast("array<string>"), lambda done, part: (
+        F.when(part == ".", done)
+        .when(part == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
+        .otherwise(F.concat(done, F.array(part)))))
+    whole = F.concat(F.lit("/"), F.array_join(folded, "/"), F.substr(link, F.length(path) + 1))
+    return F.when(path.rlike(r"/\.\.?(/|$)"), whole).otherwise(link)
+
+
 def resolve_link(base_col, link_col) -> Column:
     """make a link absolute against its page URL.
 
     Absolute links stay; ``//host`` takes the page scheme; ``/path`` takes
     scheme and host; ``?q`` / ``#f`` attach to the page path; anything else is
-    resolved against the page's directory (no dot-segment folding).
+    resolved against the page's directory. ``.`` and ``..`` segments are folded.
     """
     b, l = _c(base_col), _c(link_col)
     origin = F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
@@ -92,8 +105,8 @@ def resolve_link(base_col, link_col) -> Column:
     return (F.when(l.isNull(), F.lit(None).cast("string"))
             .when(l.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), l)
             .when(l.startswith("//"), F.concat(scheme, F.lit(":"), l))
-            .when(l.startswith("/"), F.concat(origin, l))
+            .when(l.startswith("/"), F.concat(origin, fold_dots(l)))
             .when(l == "", b)
             .when(l.startswith("?"), F.concat(page, l))
             .when(l.startswith("#"), F.concat(page_noq, l))
-            .otherwise(F.concat(dir_, l)))
+            .otherwise(F.concat(origin, fold_dots(F.concat(F.substr(dir_, F.length(origin) + 1), l)))))

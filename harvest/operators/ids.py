@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harvest.functions.text import compose_id
+from harvest.operators.joins import bounded_broadcast
 from harvest.operators.numbering import consecutive_index
+from harvest.session import checkpoint_dir
 
 ROW_SEQ_WIDTH = 7
 DATASET_SEQ_WIDTH = 4
@@ -81,7 +83,9 @@ def assign_ids(df: DataFrame, order_by: Sequence, dataset_col: str | None = None
     group = [dataset_col] if dataset_col else []
     numbered = consecutive_index(df, order_by, group, name="_pos")
     if start is not None and group:
-        s = start.select(*group, F.col(start_col).alias("_base"))
+        # one row per dataset: broadcast behind a size check, so a dataset with most rows is not one task
+        checkpoint_dir(df.sparkSession)
+        s = bounded_broadcast(start.select(*group, F.col(start_col).alias("_base")).checkpoint())
         numbered = numbered.join(s, group, "left")
     else:
         numbered = numbered.withColumn("_base", F.lit(int(start_value)).cast("bigint"))

@@ -3,8 +3,8 @@
 ``contains_join(hay, hay_col, needles, needle_col)`` returns every pair whose
 needle is a substring of the hay value. A nested-loop join costs
 |hay| x |needles| comparisons, so it is used only when one side is small
-(row count checked, at most ``THETA_BROADCAST_MAX_ROWS``) and that side is
-broadcast. Otherwise the join becomes an exact equi-join: each hay value is expanded into its substrings of
+(rows and bytes checked, at most ``THETA_BROADCAST_MAX_ROWS`` and
+``BROADCAST_MAX_BYTES``) and that side is broadcast. Otherwise the join becomes an exact equi-join: each hay value is expanded into its substrings of
 exactly the lengths that occur among the needles (a small set of integers,
 read on the driver), and those are joined on equality with the needles. The
 expansion is linear in the hay size (length x distinct needle lengths), runs
@@ -20,6 +20,14 @@ from pyspark.sql import functions as F
 # row is compared with at most this many values); larger inputs take the
 # linear substring-expansion equi-join.
 THETA_BROADCAST_MAX_ROWS = 2_000
+BROADCAST_MAX_BYTES = 64 << 20
+
+
+def is_small(df: DataFrame, max_rows: int) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows that take at most ``BROADCAST_MAX_BYTES``
+    as JSON text (one aggregate; only two numbers reach the driver)."""
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))).first()
+    return rows <= max_rows and (size or 0) <= BROADCAST_MAX_BYTES
 
 
 def _cut(text: Column, size: int):
@@ -42,11 +50,9 @@ def contains_join(hay: DataFrame, hay_col: str, needles: DataFrame, needle_col:
         max_broadcast_rows = THETA_BROADCAST_MAX_ROWS
     nd = needles.where(F.col(needle_col).isNotNull() & (F.length(needle_col) > 0))
     if not force_expand:
-        n_needles = nd.count()
-        if n_needles <= max_broadcast_rows:
+        if is_small(nd, max_broadcast_rows):
             return hay.join(F.broadcast(nd), F.contains(hay[hay_col], nd[needle_col]), "inner")
-        n_hay = hay.count()
-        if n_hay <= max_broadcast_rows:
+        if is_small(hay, max_broadcast_rows):
             return F.broadcast(hay).join(nd, F.contains(hay[hay_col], nd[needle_col]), "inner")
     lengths = sorted(r[0] for r in nd.select(F.length(needle_col)).distinct().collect())
     expanded = hay.withColumn("_sub", F.explode(_substrings(F.col(hay_col), lengths)))
@@ -57,8 +63,8 @@ EQUI_BROADCAST_MAX_ROWS = 100_000   # config / category rows are a few small fie
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Mark ``df`` for broadcast (into an equi-join) only after checking its row
-    count; beyond the bound the join strategy is left to the optimizer (AQE
+    """Mark ``df`` for broadcast (into an equi-join) only after checking its rows
+    and bytes; beyond the bound the join strategy is left to the optimizer (AQE
     picks a shuffled join)."""
     bound = EQUI_BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    return F.broadcast(df) if df.count() <= bound else df
+    return F.broadcast(df) if is_small(df, bound) else df

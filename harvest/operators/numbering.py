@@ -12,7 +12,9 @@ task; without ``PARTITION BY`` it sends the whole table to one task. Instead:
    the tagged rows as parquet there and reading them back; either way the tags
    are stored with the rows, so the numbering never depends on recomputation;
 3. count rows per (partition, group) -- at most partitions + groups rows --
-   and turn the counts into per-group prefix sums;
+   and turn the counts into per-group prefix sums, which are cut from their
+   lineage and broadcast behind a size check, so the numbered rows are not
+   shuffled again;
 4. position = prefix offset + (row index - first row index of the group in
    that partition) + 1.
 """
@@ -26,6 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from harvest.operators.joins import bounded_broadcast
 from harvest.session import checkpoint_dir
 
 _PARQUET_BAD_NAME = set(" ,;{}()\n\t=")
@@ -75,6 +78,8 @@ def consecutive_index(df: DataFrame, order_by: Sequence, group_by: Sequence[str]
     # Fresh names on the stats side keep the self-join conditions unambiguous.
     stats = stats.select(F.col("_pid").alias("_spid"), *[F.col(g).alias(f"_sg{i}") for i, g in enumerate(group_by)],
                          (F.col("_off") - F.col("_first") + 1).alias("_shift"))
+    if stable:
+        stats = bounded_broadcast(stats.checkpoint(eager=True))
     cond = [tagged["_pid"] == stats["_spid"]] + [tagged[g].eqNullSafe(stats[f"_sg{i}"]) for i, g in enumerate(group_by)]
     out = tagged.join(stats, cond, "inner").select(
         tagged["*"], (stats["_shift"] + tagged["_mid"]).alias(name))

@@ -79,24 +79,25 @@ def spec_sort_key(fields: Column, spec: Column) -> Column:
     """Per-row sort key for a per-row spec: ``fields`` is a map of field name ->
     text, ``spec`` an ``array<array<string>>`` of ``[field, type]``. Returns an
     array of structs whose lexicographic order is the typed order of
-    ``sort_key_columns`` (rank words first, numbers before text, unparseable
-    dates first), so rows of datasets with different specs can share one sort.
-    Text compares by code point here (a struct field carries no collation)."""
+    ``sort_key_columns`` (rank words first, then text in the same collation;
+    numbers before text, unparseable dates first), so rows of datasets with
+    different specs can share one sort."""
+    def key(cls, d=None, n=None, r=None, t=None, s=None):
+        return F.struct(cls.alias("c"), (F.lit(None).cast("timestamp_ntz") if d is None else d).alias("d"),
+                        (F.lit(None).cast("double") if n is None else n).alias("n"),
+                        (F.lit(None).cast("int") if r is None else r).alias("r"),
+                        F.collate(F.lit(None).cast("string") if t is None else t, TEXT_COLLATION).alias("t"),
+                        (F.lit(None).cast("string") if s is None else s).alias("s"))
+
     def one(entry):
         name, kind = F.get(entry, 0), F.get(entry, 1)
         v = F.element_at(fields, name)
         d = parse_date(v)
         r = rank_word(v)
         x = safe_float(v)
-        date_key = F.struct(F.when(d.isNull(), 0).otherwise(1).alias("c"), d.alias("d"),
-                            F.lit(None).cast("double").alias("n"), F.lit(None).cast("int").alias("r"),
-                            F.lit(None).cast("string").alias("t"))
-        text_key = F.struct(F.when(r.isNotNull(), 0).otherwise(1).alias("c"), F.lit(None).cast("timestamp_ntz").alias("d"),
-                            F.lit(None).cast("double").alias("n"), r.alias("r"),
-                            F.when(r.isNull(), F.coalesce(v, F.lit(""))).alias("t"))
-        num_key = F.struct(F.when(x.isNotNull(), 0).when(v.isNotNull(), 1).otherwise(2).alias("c"),
-                           F.lit(None).cast("timestamp_ntz").alias("d"), x.alias("n"), F.lit(None).cast("int").alias("r"),
-                           F.when(x.isNull(), v).alias("t"))
+        date_key = key(F.when(d.isNull(), 0).otherwise(1), d=d)
+        text_key = key(F.when(r.isNotNull(), 0).otherwise(1), r=r, t=F.when(r.isNull(), F.coalesce(v, F.lit(""))))
+        num_key = key(F.when(x.isNotNull(), 0).when(v.isNotNull(), 1).otherwise(2), n=x, s=F.when(x.isNull(), v))
         return (F.when(kind == "date_asc", date_key).when(kind == "text_asc", text_key)
                 .when(kind == "number_asc", num_key))
     return F.transform(F.coalesce(spec, F.array().cast("array<array<string>>")), one)

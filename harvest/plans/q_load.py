@@ -273,11 +273,12 @@ _SPEC_ORDER_SQL = ("CASE WHEN length({t}.dataset_id) <= 5 THEN date_trunc('secon
                    "CASE WHEN length({t}.dataset_id) > 5 THEN {t}.user_id END, {t}._ord")
 
 
-@register("refresh_all", f"""
+_REFRESH_SQL = f"""
 WITH r AS (SELECT * FROM {_EV_SQL} e
            WHERE dataset_id <> 'click' OR date_trunc('second', ts) >= TIMESTAMP '2024-01-11 00:00:00'),
 s AS (SELECT *, _ord + 1 AS seq FROM {_EV_SQL} e WHERE ts < TIMESTAMP '2024-01-21 00:00:00'),
-first AS (SELECT dataset_id, arg_min(COALESCE(map_url, ''), _ord) AS m FROM r GROUP BY dataset_id),
+first AS (SELECT dataset_id, m FROM (SELECT r.dataset_id, COALESCE(r.map_url, '') AS m,
+            row_number() OVER (PARTITION BY r.dataset_id ORDER BY {_SPEC_ORDER_SQL.format(t="r")}) AS rn FROM r) t WHERE rn = 1),
 mode AS (SELECT f.dataset_id, CASE WHEN f.m <> '' OR f.dataset_id IN ('signup', 'view') THEN 'full' ELSE 'incremental' END AS mode
          FROM first f),
 full_rows AS (SELECT r.dataset_id, r._ord, 'full' AS mode,
@@ -290,9 +291,21 @@ inc AS (SELECT r.* FROM r JOIN mode USING (dataset_id) WHERE mode.mode = 'increm
 top AS (SELECT dataset_id, max(seq) AS top FROM s GROUP BY dataset_id),
 inc_rows AS (SELECT inc.dataset_id, inc._ord, 'incremental' AS mode,
                COALESCE(top.top, 0) + row_number() OVER (PARTITION BY inc.dataset_id ORDER BY {_SPEC_ORDER_SQL.format(t="inc")}) AS seq
-             FROM inc LEFT JOIN top USING (dataset_id)),
+             FROM inc LEFT JOIN top USING (dataset_id))"""
+_ROW_ID_SQL = "u.dataset_id || lpad(CAST(seq AS VARCHAR), CAST(greatest(7, length(CAST(seq AS VARCHAR))) AS INTEGER), '0') AS row_id"
+
+
+def record_fields():
+    """The fields of a stored record, read back from its JSON text."""
+    return [F.get_json_object("record", f"$.{name}").cast(kind).alias(f"rec_{name}")
+            for name, kind in (("event_id", "bigint"), ("user_id", "bigint"), ("ts", "string"), ("value", "double"), ("k", "bigint"))]
+
+
+@register("refresh_all", f"""{_REFRESH_SQL},
 u AS (SELECT * FROM full_rows UNION ALL SELECT * FROM inc_rows)
-SELECT dataset_id, _ord, mode, seq, dataset_id || lpad(CAST(seq AS VARCHAR), CAST(greatest(7, length(CAST(seq AS VARCHAR))) AS INTEGER), '0') AS row_id FROM u""")
+SELECT u.dataset_id, u._ord, mode, seq, {_ROW_ID_SQL}, e._ord AS rec_event_id, e.user_id AS rec_user_id,
+  e.ts_text AS rec_ts, e.value AS rec_value, e.k AS rec_k
+FROM u JOIN {_EV_SQL} e ON e._ord = u._ord""")
 def refresh_all_q(spark, sf):
     """Lifecycle 3.1 over every dataset at once (see harvest.plans.refresh)."""
     from harvest.plans.refresh import refresh_all
@@ -300,7 +313,30 @@ def refresh_all_q(spark, sf):
     store = (rows.where(F.col("ts") < ts_lit(inputs.STORE_BEFORE))
              .select("dataset_id", (F.col("_ord") + 1).alias("seq"), "v"))
     out = refresh_all(rows.drop("ts"), store, event_configs(spark, sf), cutoff=F_CUTOFF)
-    return out.drop("record")
+    return out.select("dataset_id", "_ord", "mode", "seq", "row_id", *record_fields())
+
+
+@register("refresh_store", f"""{_REFRESH_SQL},
+u AS (SELECT dataset_id, _ord, seq FROM full_rows UNION ALL SELECT dataset_id, _ord, seq FROM inc_rows
+      UNION ALL SELECT dataset_id, _ord, seq FROM s WHERE dataset_id NOT IN (SELECT dataset_id FROM mode WHERE mode = 'full'))
+SELECT u.dataset_id, seq, {_ROW_ID_SQL}, e._ord AS rec_event_id, e.user_id AS rec_user_id,
+  e.ts_text AS rec_ts, e.value AS rec_value, e.k AS rec_k
+FROM u JOIN {_EV_SQL} e ON e._ord = u._ord""")
+def refresh_store_q(spark, sf):
+    """Lifecycle 3.1 with its writes (K01, K02, P05): a store is written, the landed rows are refreshed into it
+    twice, and the stored table is returned; the second run finds nothing new."""
+    import os
+    import uuid
+    from harvest.plans.refresh import dataset_row_id, read_store, refresh_store
+    from harvest.session import checkpoint_dir
+    from harvest.sinks import append
+    path = os.path.join(checkpoint_dir(spark), "harvest", f"store-{uuid.uuid4().hex}")
+    rows, configs = event_payload_rows(spark, sf), event_configs(spark, sf)
+    stored = rows.where(F.col("ts") < ts_lit(inputs.STORE_BEFORE)).withColumn("seq", F.col("_ord") + 1)
+    append(stored.select("seq", dataset_row_id("dataset_id", "seq").alias("row_id"), F.to_json("v").alias("record"), "dataset_id"), path)
+    for _ in range(2):
+        refresh_store(rows.drop("ts"), path, configs, cutoff=F_CUTOFF)
+    return read_store(spark, path).select("dataset_id", "seq", "row_id", *record_fields())
 
 
 F_CUTOFF = __import__("datetime").datetime(*inputs.EVENTS_CUTOFF)

@@ -1,4 +1,5 @@
-"""Whole-catalog jobs: refresh every dataset in one plan (lifecycle 3.1) and
+"""Whole-catalog jobs: refresh every dataset in one plan (lifecycle 3.1), write
+the refresh into the store, and
 de-duplicate / merge every dataset in one aggregate each (lifecycle 3.2).
 
 All datasets share one row table ``(dataset_id, _ord, v VARIANT)``; per-dataset
@@ -21,8 +22,10 @@ every dataset at once -- no loop over tables.
 from __future__ import annotations
 
 import datetime as _dt
+import os
+import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harvest.functions.times import ts_lit
@@ -33,6 +36,11 @@ from harvest.operators.ids import assign_ids, max_sequence
 from harvest.operators.joins import bounded_broadcast
 from harvest.operators.ordering import spec_sort_key
 from harvest.operators.quality import load_mode
+from harvest.session import checkpoint_dir
+from harvest.sinks import append, path_exists, replace_datasets
+
+#: The stored form of dataset rows: what refresh_all returns is appended to it and read back from it.
+STORE_SCHEMA = "seq bigint, row_id string, record string, dataset_id string"
 
 
 def payload_map(v: Column) -> Column:
@@ -56,11 +64,15 @@ def refresh_all(rows: DataFrame, store: DataFrame, configs: DataFrame,
     """Lifecycle 3.1 for every dataset together.
 
     ``rows``: landed ``(dataset_id, _ord, v)``; ``store``: stored ``(dataset_id,
-    seq, v)``. Per dataset: date cutoff on its date column, load mode from its
-    title and first row, then either every row with ids from 1 (full replace)
-    or only rows whose key is not stored, with ids after the stored maximum.
+    seq, record)``, the record as JSON text as this function returns it, or as
+    a VARIANT ``v``. Per dataset: date cutoff on its date column, load mode
+    from its title and its first row after cut and sort, then either every row
+    with ids from 1 (full replace) or only rows whose key is not stored, with
+    ids after the stored maximum.
     Returns ``dataset_id, _ord, mode, seq, row_id, record``.
     """
+    if "v" not in store.columns:
+        store = store.select("dataset_id", "seq", F.try_parse_json("record").alias("v"))
     # The payload's field map is built once per row; the fields every later step
     # needs (date, map URL, key) are read from it and the map is dropped before
     # anything is shuffled.
@@ -72,8 +84,11 @@ def refresh_all(rows: DataFrame, store: DataFrame, configs: DataFrame,
                  key_text(F.col("_m"), F.col("keys")).alias("_key"), sort_key.alias("_sk")).drop("_m")
     if cutoff is not None:
         r = r.where(F.col("date_col").isNull() | (parse_date(F.col("_date")) >= ts_lit(cutoff)))
-    first = r.groupBy("dataset_id").agg(F.min_by(F.col("_map_url"), F.col("_ord")).alias("_map"))
-    r = r.join(first, "dataset_id").withColumn("mode", load_mode(F.col("title"), F.col("_map")))
+    # One row per dataset, made once; broadcast behind a size check, so that landed rows are not shuffled by dataset.
+    checkpoint_dir(rows.sparkSession)
+    first = (r.groupBy("dataset_id").agg(F.min_by(F.struct("title", "_map_url"), F.struct("_sk", "_ord")).alias("_f"))
+             .select("dataset_id", load_mode(F.col("_f.title"), F.col("_f._map_url")).alias("mode")).checkpoint())
+    r = r.join(bounded_broadcast(first), "dataset_id")
 
     full = r.where(F.col("mode") == "full")
     inc = r.where(F.col("mode") == "incremental")
@@ -90,6 +105,27 @@ def refresh_all(rows: DataFrame, store: DataFrame, configs: DataFrame,
     return out.select("dataset_id", "_ord", "mode", "seq", "row_id", F.to_json("v").alias("record"))
 
 
+def read_store(spark: SparkSession, path: str) -> DataFrame:
+    """The stored rows of all datasets; no rows where nothing is stored yet."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], STORE_SCHEMA)
+    return spark.read.schema(STORE_SCHEMA).parquet(path)
+
+
+def refresh_store(rows: DataFrame, store_path: str, configs: DataFrame, cutoff: _dt.datetime | None = None) -> DataFrame:
+    """Lifecycle 3.1 with its writes: the rows of datasets in ``full`` mode replace what is stored of them, the new rows
+    of the others are appended (K01, K02). The result is first written to the shared checkpoint folder, as it is
+    computed from the store; a run that broke off can simply be run again, since appended rows are then known and
+    replaced ones are replaced once more. Returns ``dataset_id, mode, n`` per dataset that got rows (A07)."""
+    spark = rows.sparkSession
+    staged = os.path.join(checkpoint_dir(spark), "harvest", f"refresh-{uuid.uuid4().hex}")
+    refresh_all(rows, read_store(spark, store_path), configs, cutoff).drop("_ord").write.parquet(staged)
+    new = spark.read.parquet(staged)
+    append(new.where("mode = 'incremental'").drop("mode"), store_path)
+    replace_datasets(new.where("mode = 'full'").drop("mode"), store_path)
+    return new.groupBy("dataset_id", "mode").agg(F.count(F.lit(1)).alias("n"))
+
+
 def dedup_all(rows: DataFrame, configs: DataFrame, order_col: str = "row_id") -> DataFrame:
     """Lifecycle 3.2 for every dataset together: keep the first row (by
     ``order_col``) per (dataset, sort key); then, for datasets whose merge is

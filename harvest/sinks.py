@@ -50,13 +50,31 @@ def clean_columns(df: DataFrame) -> DataFrame:
 
 
 def evolve_union(store: DataFrame, batch: DataFrame) -> DataFrame:
-    """The store plus a drifting batch; the column set is the union, NULL-filled."""
-    return store.unionByName(clean_columns(batch), allowMissingColumns=True)
+    """The store plus a drifting batch; the column set is the union, NULL-filled.
+    Columns whose types differ become text on both sides."""
+    batch = clean_columns(batch)
+    have, new = dict(store.dtypes), dict(batch.dtypes)
+    drifted = {c for c in have.keys() & new.keys() if have[c] != new[c]}
+
+    def as_text(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(f"`{c}`").cast("string").alias(c) if c in drifted else F.col(f"`{c}`") for c in df.columns])
+
+    return as_text(store).unionByName(as_text(batch), allowMissingColumns=True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def read_evolved(spark: SparkSession, path: str) -> DataFrame:
+    """A table that was appended to with drifting columns, with all of them (schemas are merged on read)."""
+    return spark.read.option("mergeSchema", "true").parquet(path)
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ("dataset_id",)) -> None:
-    """One distributed append (schema merge on read)."""
-    w = df.write.mode("append").option("mergeSchema", "true")
+    """One distributed append (``read_evolved`` merges the schemas)."""
+    w = df.write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -74,7 +92,8 @@ def write_json_snapshot(df: DataFrame, path: str) -> None:
 
 
 def write_csv_report(df: DataFrame, path: str) -> None:
-    """CSV report with a header row (a BOM, if wanted, is added by the consumer)."""
+    """CSV report; each file begins with a byte order mark and a header row."""
+    df = df.toDF(*["\ufeff" * (i == 0) + c for i, c in enumerate(df.columns)])
     df.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
 
 

@@ -73,15 +73,20 @@ def assembled_index(rows: DataFrame, group_by: Sequence[str] = (), name: str = "
 
 
 def read_json_records(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """A JSON file holding a list of objects or one object; anything else
-    gives no rows (PERMISSIVE parsing, corrupt records dropped)."""
-    r = spark.read.option("multiLine", True).option("mode", "PERMISSIVE")
-    if schema is not None:
-        r = r.schema(schema)
-    df = r.json(path)
-    if "_corrupt_record" in df.columns:
-        df = df.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    return df
+    """JSON files holding a list of objects or one object; anything else --
+    other elements of a list, other values, text that is not JSON -- gives no
+    rows. Without a schema, one is inferred from all objects."""
+    v = F.try_parse_json(F.col("value"))
+    kind = F.schema_of_variant(v)
+    found = F.when(kind.startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>")).when(kind.startswith("OBJECT"), F.array(v))
+    rows = spark.read.text(path, wholetext=True).select(F.explode(found).alias("v"))
+    rows = rows.where(F.schema_of_variant("v").startswith("OBJECT"))
+    if schema is None:
+        kinds = rows.agg(F.schema_of_variant_agg("v")).first()[0] or ""
+        if not kinds.startswith("OBJECT<") or kinds == "OBJECT<>":
+            return rows.select()
+        schema = kinds.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING")
+    return rows.select(F.from_json(F.to_json("v"), schema).alias("r")).select("r.*")
 
 
 def page_manifest(rows: DataFrame, dataset_col: str = "dataset_id", skip_col: str = "skip") -> DataFrame:

@@ -1,3 +1,4 @@
+import json
 import datetime as dt
 import random
 from collections import Counter
@@ -228,11 +229,12 @@ def test_contains_join_expansion_matches_broadcast(spark):
 
 def test_spec_sort_key_matches_typed_sort(spark):
     rows = [(1, "下", "3", "2025/1/2"), (2, "上", "x", "111"), (3, "b", None, None), (4, "中", "10", "2024"),
-            (5, None, "2.5", "bad"), (6, "a", "-1", "99/1/1"), (7, "a", "-1", "2024")]
+            (5, None, "2.5", "bad"), (6, "a", "-1", "99/1/1"), (7, "a", "-1", "2024"),
+            (8, "中文", "7", "2025"), (9, "一月", "七", "2025"), (10, "丁", "一", "2025"), (11, "B", "y", None), (12, "業", "Y", "2023")]
     df = spark.createDataFrame(rows, "o int, t string, n string, d string")
     for spec in ([["t", "text_asc"], ["n", "number_asc"]], [["d", "date_asc"], ["t", "text_asc"]],
                  [["n", "number_asc"], ["d", "date_asc"]]):
-        want = [r.o for r in ordering.typed_sort(df, spec, "o", collation=None).collect()]
+        want = [r.o for r in ordering.typed_sort(df, spec, "o").collect()]
         fields = F.create_map(*[x for c in ("t", "n", "d") for x in (F.lit(c), F.col(c))])
         spec_col = F.array(*[F.array(F.lit(a), F.lit(b)) for a, b in spec])
         got = [r.o for r in df.orderBy(ordering.spec_sort_key(fields, spec_col), "o").collect()]
@@ -326,3 +328,29 @@ def test_freshness_with_repeated_titles(spark):
     catalog = spark.createDataFrame([("b", c.prefix + "0001", "1"), ("b", c.prefix + "0002", "0")], "title string, dataset_id string, updated_at_src string")
     got = sorted(tuple(r) for r in freshness_status(batch, catalog, cats).select("title", "status", "dataset_id").collect())
     assert got == [("a", "new", c.prefix + "0003"), ("b", "unchanged", c.prefix + "0001")]
+
+
+def test_refresh_store_runs_twice(spark, tmp_path):
+    """Map and code datasets restart at 1, others go on after the stored maximum; a second run adds nothing."""
+    from harvest.plans.refresh import read_store, refresh_store
+    store = str(tmp_path / "store")
+    rows = [("1010001", 0, '{"id": "a", "n": 1}'), ("1010001", 1, '{"id": "b", "n": 2}'),
+            ("1010002", 0, '{"id": "z", "分布圖Url": ""}'), ("1010002", 1, '{"id": "y", "分布圖Url": "http://m"}'),
+            ("1010003", 0, '{"id": "c"}'), ("1010003", 1, '{"id": "d"}')]
+    configs = spark.createDataFrame([("1010001", ["id"], None, "rows", [["id", "text_asc"]]), ("1010002", ["id"], None, "map", [["id", "text_asc"]]),
+                                     ("1010003", ["id"], None, "甲代碼", None)],
+                                    "dataset_id string, keys array<string>, date_col string, title string, sort_keys array<array<string>>")
+
+    def run(part):
+        landed = spark.createDataFrame(part, "dataset_id string, _ord int, t string").select("dataset_id", "_ord", F.parse_json("t").alias("v"))
+        counts = {r.dataset_id: (r.mode, r.n) for r in refresh_store(landed, store, configs).collect()}
+        return counts, sorted((r.row_id, json.loads(r.record)["id"]) for r in read_store(spark, store).collect())
+
+    first = run(rows)
+    assert first[0] == {"1010001": ("incremental", 2), "1010002": ("full", 2), "1010003": ("full", 2)}     # after the sort, the map row is first
+    assert first[1] == [("10100010000001", "a"), ("10100010000002", "b"), ("10100020000001", "y"), ("10100020000002", "z"),
+                        ("10100030000001", "c"), ("10100030000002", "d")]
+    again = run(rows)
+    assert "1010001" not in again[0] and again[1] == first[1]
+    third = run([("1010001", 0, '{"id": "0"}'), ("1010003", 0, '{"id": "e"}')])
+    assert third[1] == sorted([*[x for x in first[1] if x[0][:7] != "1010003"], ("10100010000003", "0"), ("10100030000001", "e")])

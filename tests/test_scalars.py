@@ -111,3 +111,15 @@ def test_small_helpers(spark):
     assert _one(spark, ["1.5", "x", None], T.safe_float) == [1.5, None, None]
     assert _one(spark, ["1010001", "12"], T.right_chars) == ["1010001", "12"]
     assert _one(spark, ["interruption_record_20250102_030405.json", "x.json"], T.snapshot_time)[1] is None
+
+
+def test_links_fold_dot_segments(spark):
+    from urllib.parse import urljoin
+
+    from harvest.functions.urls import resolve_link
+    bases = ["http://h/p/q/r.html", "https://h.tw/p/?a=../b", "http://h", "http://h/"]
+    links = ["../api/x.json", "./x", "x/../y?z=../w#../v", "../../../up", "/a/./b/../c", "/..", ".", "..", "a/b/..", "x...y", "..x/y", "q?p=/../"]
+    got = spark.createDataFrame([(b, li) for b in bases for li in links], "b string, l string").select(
+        "b", "l", resolve_link("b", "l").alias("u")).collect()
+    for r in got:
+        assert r.u == urljoin(r.b, r.l), r

@@ -51,6 +51,14 @@ def test_landed_pages_shapes(spark, tmp):
     with open(os.path.join(tmp, "one.json"), "w") as f:
         f.write(json.dumps({"k": 1}))
     assert landing.read_json_records(spark, os.path.join(tmp, "one.json")).count() == 1
+    for name, text in (("list", '[{"k": 2, "x": {"y": null}}, 5, "junk", null, {"k": 3}]'), ("bad", "not json"), ("value", "7"), ("nothing", "")):
+        with open(os.path.join(tmp, f"{name}.json"), "w") as f:
+            f.write(text)
+    some = landing.read_json_records(spark, [os.path.join(tmp, f"{n}.json") for n in ("one", "list", "bad", "value", "nothing")])
+    assert sorted(r.k for r in some.collect()) == [1, 2, 3]
+    typed = landing.read_json_records(spark, [os.path.join(tmp, f"{n}.json") for n in ("list", "bad")], "k int")
+    assert sorted(tuple(r) for r in typed.collect()) == [(2,), (3,)]
+    assert landing.read_json_records(spark, os.path.join(tmp, "bad.json")).count() == 0
 
 
 def test_sinks_round_trip(spark, tmp):
@@ -58,11 +66,15 @@ def test_sinks_round_trip(spark, tmp):
     batch = spark.createDataFrame([(2, "b", 1.5)], "id long, `v` string, `new col` double")
     out = evolve_union(store, batch)
     assert out.columns == ["id", "v", "new_col"] and out.count() == 2
+    drifted = evolve_union(store, spark.createDataFrame([(3, 7)], "id long, v long"))     # text meets a number: text
+    assert sorted(tuple(r) for r in drifted.collect()) == [(1, "a"), (3, "7")]
     write_json_snapshot(out, os.path.join(tmp, "snap"))
     back = spark.read.json(os.path.join(tmp, "snap"))
     assert back.count() == 2 and "new_col" in back.columns
     write_csv_report(out, os.path.join(tmp, "csv"))
     assert spark.read.option("header", True).csv(os.path.join(tmp, "csv")).count() == 2
+    parts = [p for p in os.listdir(os.path.join(tmp, "csv")) if p.startswith("part")]
+    assert all(open(os.path.join(tmp, "csv", p), "rb").read().startswith(b"\xef\xbb\xbfid,") for p in parts)
     write_keyed_layout(spark, out, "layout_t", ["id"], 4, path=os.path.join(tmp, "layout"))
     assert spark.table("layout_t").count() == 2
     spark.sql("DROP TABLE layout_t")
