@@ -82,9 +82,12 @@ def catalog_search(catalog: DataFrame, keywords: DataFrame, kw_col: str = "keywo
     return firsts.unionByName(fuzzy)
 
 
-def category_datasets(catalog: DataFrame, category: str, category_col: str = "category",
+def category_datasets(catalog: DataFrame, category: str | DataFrame, category_col: str = "category",
                       id_col: str = "dataset_id") -> DataFrame:
-    """Datasets of one category, ordered by id."""
+    """Datasets of one category, or of those in a one-column frame, ordered by id."""
+    if isinstance(category, DataFrame):
+        wanted = category.select(F.col(category.columns[0]).alias(category_col))
+        return catalog.join(wanted, category_col, "left_semi").orderBy(id_col).select(*catalog.columns)
     return catalog.where(F.col(category_col) == F.lit(category)).orderBy(id_col)
 
 
@@ -94,7 +97,7 @@ def row_text_search(df: DataFrame, needle: str) -> DataFrame:
                                F.lower(F.lit(needle))))
 
 
-DATASET_ID_RE = r"^\d{7}$"   # dataset ids: 3-digit category prefix + 4-digit sequence
+DATASET_ID_RE = r"^\d{7,}$"   # dataset ids: 3-digit category prefix + sequence of 4 digits or more
 
 
 def reconcile(catalog: DataFrame, table_names: DataFrame, id_col: str = "dataset_id",

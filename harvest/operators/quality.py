@@ -101,6 +101,20 @@ def freshness_status(batch: DataFrame, catalog: DataFrame, categories: DataFrame
     from harvest.operators.numbering import consecutive_index
     from harvest.functions.text import compose_id
 
+    j = title_outcomes(batch, catalog, categories)
+    known = j.where(F.col("status") != "new").select("title", "status", F.col("_id").alias("dataset_id"))
+    new = j.where(F.col("status") == "new").select("title", "status", "prefix")
+    new = consecutive_index(new, ["title"], ["prefix"], name="_r")
+    ok_id = F.col("dataset_id").rlike(r"^\d{7,}$")
+    used = (catalog.where(ok_id).select(F.substring("dataset_id", 1, 3).alias("prefix"),
+                                         F.substring("dataset_id", 4, 1 << 20).try_cast("bigint").alias("_n")))
+    new = allocate_free(used, new, "prefix", "_n", "_r", name="_seq")
+    new = new.select("title", "status", compose_id(F.col("prefix"), F.col("_seq"), 4).alias("dataset_id"))
+    return known.unionByName(new)
+
+
+def title_outcomes(batch: DataFrame, catalog: DataFrame, categories: DataFrame) -> DataFrame:
+    """The outcome of each title (A07 counts them): ``title, status, prefix`` and ``_id``, the stored dataset id, if any."""
     checked = metadata_integrity(batch, categories, required=("title", "category", "updated_at_src"))
     # one row per title on both sides: the latest record of the batch (all without a title stay, as errors), and of
     # the catalog the row with the least id
@@ -113,13 +127,4 @@ def freshness_status(batch: DataFrame, catalog: DataFrame, categories: DataFrame
               .when(F.col("_id").isNull(), F.lit("new"))
               .when(F.col("_upd") == F.col("updated_at_src"), F.lit("unchanged"))
               .otherwise(F.lit("update")))
-    j = j.withColumn("status", status)
-    known = j.where(F.col("status") != "new").select("title", "status", F.col("_id").alias("dataset_id"))
-    new = j.where(F.col("status") == "new").select("title", "status", "prefix")
-    new = consecutive_index(new, ["title"], ["prefix"], name="_r")
-    ok_id = F.col("dataset_id").rlike(r"^\d{7,}$")
-    used = (catalog.where(ok_id).select(F.substring("dataset_id", 1, 3).alias("prefix"),
-                                         F.substring("dataset_id", 4, 1 << 20).try_cast("bigint").alias("_n")))
-    new = allocate_free(used, new, "prefix", "_n", "_r", name="_seq")
-    new = new.select("title", "status", compose_id(F.col("prefix"), F.col("_seq"), 4).alias("dataset_id"))
-    return known.unionByName(new)
+    return j.withColumn("status", status)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from harvest.operators.numbering import consecutive_index
@@ -41,3 +41,17 @@ def observe_counts(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Count rows as a side effect of the action that writes ``df`` (no extra pass)."""
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def load_counters(rows: DataFrame, incoming: Column, stored: Column, keys: Sequence[str]) -> DataFrame:
+    """Downloaded / unique / new / total counts of a load, in one pass over rows flagged as incoming, as stored, or
+    as both: counted by distinct row, then by key, then in all, so that a frequent row or key is one row after the
+    map-side aggregate. Null keys are equal, as in ``new_rows``."""
+    by_row = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_n"))
+    n = F.col("_n")
+    by_key = by_row.groupBy(*keys).agg(F.sum(F.when(incoming, n).otherwise(0)).alias("_in"), F.count_if(incoming).alias("_unique"),
+                                       F.sum(F.when(stored, n).otherwise(0)).alias("_stored"))
+    new = F.when(F.col("_stored") == 0, F.col("_in")).otherwise(0)
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    return by_key.agg(total("_in").alias("downloaded"), total("_unique").alias("unique_rows"),
+                      total(new).alias("new_rows"), total(F.col("_stored") + new).alias("total_rows"))

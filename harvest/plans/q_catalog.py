@@ -10,7 +10,6 @@ from harvest.functions.times import ts_lit
 from harvest.functions.text import compose_id, processed_name
 from harvest.operators import catalog as cat_ops
 from harvest.operators import quality, upsert
-from harvest.operators.dedup import keep_first, keep_last
 from harvest.plans.registry import register
 from harvest.plans.sqltext import human_size_sql
 from harvest.session import read_table
@@ -125,8 +124,7 @@ WHERE c.category = (SELECT lower(r_name) FROM region WHERE r_regionkey = 2) ORDE
 def catalog_category(spark, sf):
     """The datasets of one category (the category named by region 2), ordered by id."""
     name = read_table(spark, sf, "region").where(F.col("r_regionkey") == 2).select(F.lower("r_name").alias("category"))
-    cat = nation_catalog(spark, sf)
-    return cat.join(name, "category", "left_semi").orderBy("dataset_id").select("dataset_id", "title", "category", "ord")
+    return cat_ops.category_datasets(nation_catalog(spark, sf), name).select("dataset_id", "title", "category", "ord")
 
 
 @register("row_text_search", """
@@ -172,24 +170,36 @@ def customer_rows(spark, sf):
     return c.select("c_custkey", "c_name", compose_id(F.lit("101"), F.col("c_nationkey"), 4).alias("dataset_id"))
 
 
-@register("cascade_delete", """
-SELECT c_custkey, c_name, '101' || lpad(CAST(c_nationkey AS VARCHAR), 4, '0') AS dataset_id
+def both_frames(parent, rows, key, name):
+    """The catalog and the rows that hang on it, one below the other."""
+    return (parent.select(F.lit("parent").alias("frame"), F.lit(None).cast("bigint").alias("row_key"), F.col("title").alias("name"), "dataset_id")
+            .unionByName(rows.select(F.lit("rows").alias("frame"), F.col(key).cast("bigint").alias("row_key"), F.col(name).alias("name"), "dataset_id")))
+
+
+@register("cascade_delete", f"""
+SELECT 'parent' AS frame, CAST(NULL AS BIGINT) AS row_key, c.title AS name, c.dataset_id FROM {CATALOG_SQL} c
+WHERE c.category <> 'africa'
+UNION ALL
+SELECT 'rows', CAST(c_custkey AS BIGINT), c_name, '101' || lpad(CAST(c_nationkey AS VARCHAR), 4, '0') AS dataset_id
 FROM customer WHERE c_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 0)""")
 def cascade_delete(spark, sf):
     catalog = nation_catalog(spark, sf)
     doomed = catalog.where(F.col("category") == "africa")
     out = cat_ops.cascade_delete(catalog, {"rows": (customer_rows(spark, sf), "dataset_id")}, doomed)
-    return out["rows"]
+    return both_frames(out["parent"], out["rows"], "c_custkey", "c_name")
 
 
-@register("rekey", """
-SELECT s_suppkey, CASE WHEN dataset_id = '1010003' THEN '1010099' ELSE dataset_id END AS dataset_id
+@register("rekey", f"""
+SELECT 'parent' AS frame, CAST(NULL AS BIGINT) AS row_key, c.title AS name,
+  CASE WHEN c.dataset_id = '1010003' THEN '1010099' ELSE c.dataset_id END AS dataset_id FROM {CATALOG_SQL} c
+UNION ALL
+SELECT 'rows', CAST(s_suppkey AS BIGINT), NULL, CASE WHEN dataset_id = '1010003' THEN '1010099' ELSE dataset_id END AS dataset_id
 FROM (SELECT s_suppkey, '101' || lpad(CAST(s_nationkey AS VARCHAR), 4, '0') AS dataset_id FROM supplier) t""")
 def rekey(spark, sf):
     catalog = nation_catalog(spark, sf)
     out = cat_ops.rekey({"catalog": (catalog, "dataset_id"), "rows": (supplier_rows(spark, sf), "dataset_id")},
                         "1010003", "1010099", catalog.select("dataset_id"))
-    return out["rows"]
+    return both_frames(out["catalog"], out["rows"].withColumn("_name", F.lit(None).cast("string")), "s_suppkey", "_name")
 
 
 @register("key_violations", """
@@ -330,7 +340,7 @@ st AS (SELECT b.title, b.prefix, s.dataset_id,
    CASE WHEN b.prefix IS NULL THEN 'error' WHEN s.dataset_id IS NULL THEN 'new'
         WHEN s.updated_at_src = b.updated_at_src THEN 'unchanged' ELSE 'update' END AS status
    FROM b LEFT JOIN s ON b.title = s.title),
-used AS (SELECT substr(dataset_id, 1, 3) AS prefix, CAST(substr(dataset_id, 4, 4) AS BIGINT) AS n FROM s),
+used AS (SELECT substr(dataset_id, 1, 3) AS prefix, CAST(substr(dataset_id, 4) AS BIGINT) AS n FROM s),
 req AS (SELECT title, prefix, row_number() OVER (PARTITION BY prefix ORDER BY title) AS r FROM st WHERE status = 'new'),
 lim AS (SELECT prefix, count(*) + COALESCE((SELECT max(n) FROM used u WHERE u.prefix = req.prefix), 0) AS top FROM req GROUP BY prefix),
 free AS (SELECT prefix, g AS n, row_number() OVER (PARTITION BY prefix ORDER BY g) AS r FROM (
@@ -353,7 +363,7 @@ SELECT status, count(*) AS n_datasets FROM (
   FROM b LEFT JOIN s ON b.title = s.title) t GROUP BY status""")
 def refresh_summary(spark, sf):
     """Datasets per outcome (titles stay in the freshness listing; no list column)."""
-    st = freshness_status(spark, sf)
+    st = quality.title_outcomes(order_metadata(spark, sf), stored_metadata(spark, sf), quality.category_table(spark))
     return st.groupBy("status").agg(F.count(F.lit(1)).alias("n_datasets"))
 
 
@@ -402,18 +412,11 @@ SELECT (SELECT count(*) FROM inc) AS downloaded, (SELECT count(*) FROM (SELECT D
        (SELECT count(*) FROM new) AS new_rows, (SELECT count(*) FROM st) + (SELECT count(*) FROM new) AS total_rows""")
 def load_counters(spark, sf):
     """Downloaded / unique / new / total counters of one load, as one row."""
-    from harvest.operators.incremental import new_rows
+    from harvest.operators.report import load_counters as counters
     li = read_table(spark, sf, "lineitem")
-    inc = li.where(F.col("l_shipdate") >= ts_lit(_dt.datetime(1997, 1, 1)))
-    st = li.where(F.col("l_shipdate") < ts_lit(_dt.datetime(1998, 1, 1)))
-    new = new_rows(inc, st, ["l_orderkey", "l_linenumber", "l_partkey"])
-    tag = lambda df, name: df.select(F.lit(name).alias("_k"))
-    tagged = (tag(inc, "downloaded").unionByName(tag(inc.dropDuplicates(), "unique_rows"))
-              .unionByName(tag(new, "new_rows")).unionByName(tag(st, "_stored")))
-    names = ["downloaded", "unique_rows", "new_rows", "_stored"]
-    out = tagged.groupBy().pivot("_k", names).agg(F.count(F.lit(1)))
-    out = out.select(*[F.coalesce(F.col(n), F.lit(0)).cast("bigint").alias(n) for n in names])
-    return out.select("downloaded", "unique_rows", "new_rows", (F.col("_stored") + F.col("new_rows")).alias("total_rows"))
+    incoming = F.col("l_shipdate") >= ts_lit(_dt.datetime(1997, 1, 1))
+    stored = F.col("l_shipdate") < ts_lit(_dt.datetime(1998, 1, 1))
+    return counters(li, incoming, stored, ["l_orderkey", "l_linenumber", "l_partkey"])
 
 
 # ------------------------------------------------------------------ config
@@ -451,9 +454,7 @@ GROUP BY file_name""")
 def config_lookup(spark, sf):
     """Per dataset name, the first and the last stored config."""
     c = part_configs(spark, sf)
-    first = keep_first(c, ["file_name"], "ord").select("file_name", F.col("sort_keys").alias("first_keys"))
-    last = keep_last(c, ["file_name"], "ord").select("file_name", F.col("sort_keys").alias("last_keys"))
-    return first.join(last, "file_name")
+    return c.groupBy("file_name").agg(F.min_by("sort_keys", "ord").alias("first_keys"), F.max_by("sort_keys", "ord").alias("last_keys"))
 
 
 # ------------------------------------------------------------------ upserts
@@ -587,11 +588,15 @@ def upsert_files(spark, sf):
 WITH hits AS (SELECT dataset_id FROM {CATALOG_SQL} c
               WHERE c.title = 'nation_1' OR c.dataset_id = 'nation_1' OR strpos(lower(c.title), 'nation_1') > 0
                  OR strpos(c.dataset_id, 'nation_1') > 0 OR strpos(c.category, 'nation_1') > 0)
-SELECT c_custkey, c_name, '101' || lpad(CAST(c_nationkey AS VARCHAR), 4, '0') AS dataset_id
+SELECT 'parent' AS frame, CAST(NULL AS BIGINT) AS row_key, c.title AS name, c.dataset_id FROM {CATALOG_SQL} c
+WHERE c.dataset_id NOT IN (SELECT dataset_id FROM hits)
+UNION ALL
+SELECT 'rows', CAST(c_custkey AS BIGINT), c_name, '101' || lpad(CAST(c_nationkey AS VARCHAR), 4, '0') AS dataset_id
 FROM customer WHERE '101' || lpad(CAST(c_nationkey AS VARCHAR), 4, '0') NOT IN (SELECT dataset_id FROM hits)""")
 def delete_by_keyword(spark, sf):
     """K13 by keyword: the datasets a search for 'Nation_1' finds (every fuzzy hit:
     NATION_1 and NATION_10..19) are deleted with their rows."""
     cat = nation_catalog(spark, sf)
     doomed = cat_ops.datasets_matching(cat, keyword="Nation_1")
-    return cat_ops.cascade_delete(cat, {"rows": (customer_rows(spark, sf), "dataset_id")}, doomed)["rows"]
+    out = cat_ops.cascade_delete(cat, {"rows": (customer_rows(spark, sf), "dataset_id")}, doomed)
+    return both_frames(out["parent"], out["rows"], "c_custkey", "c_name")

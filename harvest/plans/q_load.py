@@ -178,9 +178,8 @@ def distinct_rows(spark, sf):
 @register("distinct_texts", """
 SELECT text, min(doc_id) AS first_doc_id, count(*) AS copies FROM documents GROUP BY text""")
 def distinct_texts(spark, sf):
-    d = read_table(spark, sf, "documents").select("text", F.col("doc_id").alias("first_doc_id"))
-    return (dedup.distinct_rows(d, "first_doc_id")
-            .join(d.groupBy("text").agg(F.count(F.lit(1)).alias("copies")), "text"))
+    d = read_table(spark, sf, "documents")
+    return d.groupBy("text").agg(F.min("doc_id").alias("first_doc_id"), F.count(F.lit(1)).alias("copies"))
 
 
 # ------------------------------------------------------------ set difference

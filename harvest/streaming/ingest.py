@@ -16,12 +16,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from harvest.operators.ids import assign_ids, max_sequence
 from harvest.operators.incremental import new_rows
 from harvest.sources.landing import object_rows, page_address
 
 
+#: Datasets of a batch that are named in a filter on the store's partitions; beyond, they are joined.
+PRUNE_MAX_DATASETS = 1000
+
+
 def _flatten(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     dataset, skip = page_address(F.col("_path"))
     pages = batch.select(dataset.alias("dataset_id"), skip.alias("skip"), F.col("value").alias("body"))
@@ -38,6 +43,19 @@ def _store_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p) and any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
 
 
+def _store_of(spark: SparkSession, path: str, batch: DataFrame) -> DataFrame:
+    """The stored rows of the batch's datasets. Keys are scoped by dataset, and the dataset id (text) is the store's
+    partition column: for a batch of few datasets it is a filter on partitions, else a semi-join."""
+    schema = spark.read.parquet(path).schema
+    schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == "dataset_id" else f.dataType) for f in schema])
+    store = spark.read.schema(schema).parquet(path)
+    ids = batch.select(page_address(F.col("_path"))[0].alias("dataset_id")).where("dataset_id <> ''").distinct()
+    few = [r.dataset_id for r in ids.limit(PRUNE_MAX_DATASETS + 1).collect()]
+    if len(few) <= PRUNE_MAX_DATASETS:
+        return store.where(F.col("dataset_id").isin(few))
+    return store.join(ids, "dataset_id", "left_semi")
+
+
 def start_ingest(spark: SparkSession, landing_dir: str, store_path: str, checkpoint: str,
                  keys: Sequence[str], max_files_per_trigger: int | None = None, after_write=None,
                  glob: str = "*"):
@@ -55,9 +73,7 @@ def start_ingest(spark: SparkSession, landing_dir: str, store_path: str, checkpo
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
         rows = _flatten(batch, keys)
         if _store_exists(spark, store_path):
-            store = spark.read.parquet(store_path)
-            # Keys are scoped by dataset; the dataset id is also the store's
-            # partition column, so only the batch's datasets are read.
+            store = _store_of(spark, store_path, batch)
             fresh = new_rows(rows, store, ["dataset_id"] + keys)
             start = max_sequence(store, "seq", ["dataset_id"])
         else:

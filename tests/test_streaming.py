@@ -59,3 +59,19 @@ def test_keys_are_scoped_by_dataset(spark, tmp):
     run_ingest(spark, landing, store, ck, ["id"])
     got = sorted((r.dataset_id, r.id, r.seq) for r in spark.read.parquet(store).collect())
     assert got == [("dsA", "1", 1), ("dsA", "2", 2), ("dsA", "3", 3), ("dsB", "1", 1)]
+
+
+def test_store_is_read_by_partition(spark, tmp):
+    """A batch reads the stored rows of its own datasets, whose ids stay text; beyond PRUNE_MAX_DATASETS by a semi-join."""
+    from harvest.streaming import ingest
+    path = os.path.join(tmp, "pruned")
+    spark.createDataFrame([("1010001", 1), ("1010002", 2), ("0990003", 3)], "dataset_id string, seq long").write.partitionBy("dataset_id").parquet(path)
+    batch = spark.createDataFrame([("file:/l/dataset_id=0990003/skip=0/x.txt", "[]"), ("file:/l/stray.txt", "")], "_path string, value string")
+    got = ingest._store_of(spark, path, batch)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dataset_id" in plan and [tuple(r) for r in got.collect()] == [(3, "0990003")]
+    bound, ingest.PRUNE_MAX_DATASETS = ingest.PRUNE_MAX_DATASETS, 0
+    try:
+        assert [(r.seq, r.dataset_id) for r in ingest._store_of(spark, path, batch).collect()] == [(3, "0990003")]
+    finally:
+        ingest.PRUNE_MAX_DATASETS = bound
