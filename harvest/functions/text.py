@@ -177,13 +177,33 @@ def contains_ci(col, needle) -> Column:
     return F.contains(F.lower(_c(col)), F.lower(n))
 
 
+# The named character references that are decoded (a no-break space becomes a blank).
+NAMED_REFERENCES = {
+    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "amp": "&", "copy": "©", "reg": "®", "trade": "™",
+    "deg": "°", "plusmn": "±", "middot": "·", "bull": "•", "hellip": "…", "ndash": "–", "mdash": "—", "lsquo": "‘",
+    "rsquo": "’", "ldquo": "“", "rdquo": "”", "laquo": "«", "raquo": "»", "times": "×", "divide": "÷", "euro": "€",
+    "pound": "£", "yen": "¥", "sect": "§", "para": "¶", "larr": "←", "rarr": "→"}
+
+
 def html_unescape(col) -> Column:
-    """Decode the character references that appear in page text."""
+    """Decode numeric and the common named character references; others stay. The text is split at ``&``, so that
+    what a reference decodes to is not read again."""
     s = _c(col)
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                    ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        s = F.replace(s, F.lit(ent), F.lit(ch))
-    return s
+    names = F.create_map(*[F.lit(x) for pair in NAMED_REFERENCES.items() for x in pair])
+
+    def decoded(part: Column) -> Column:
+        name = F.regexp_extract(part, r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z]{2,8});", 1)
+        digits = F.regexp_extract(name, r"^#[xX]?(.+)$", 1)
+        code = F.when(name.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).try_cast("int")
+        sound = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+        char = F.when(name.startswith("#"), F.when(sound, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))) \
+            .otherwise(F.element_at(names, name))
+        return F.coalesce(F.concat(F.when(code == 160, F.lit(" ")).otherwise(char), F.substr(part, F.length(name) + 2)),
+                          F.concat(F.lit("&"), part))
+
+    parts = F.split(s, "&")
+    whole = F.concat(F.get(parts, 0), F.array_join(F.transform(F.slice(parts, 2, 1 << 30), decoded), ""))
+    return F.when(F.contains(s, F.lit("&")), whole).otherwise(s)
 
 
 def strip_tags(col) -> Column:
@@ -191,5 +211,5 @@ def strip_tags(col) -> Column:
 
 
 def tag_text(col) -> Column:
-    """Text of an HTML fragment the way ``get_text(strip=True)`` gives it."""
-    return F.regexp_replace(html_unescape(strip_tags(_c(col))), r"(?U)^\s+|\s+$", "")
+    """Text of an HTML fragment the way ``get_text(strip=True)`` gives it: each piece between tags is trimmed."""
+    return F.array_join(F.transform(F.split(_c(col), r"<[^>]*>"), lambda t: F.regexp_replace(html_unescape(t), r"(?U)^\s+|\s+$", "")), "")

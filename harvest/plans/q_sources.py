@@ -129,11 +129,12 @@ _RESOLVE_SQL = """CASE WHEN href IS NULL THEN NULL
 
 
 def _text_sql(x: str) -> str:
-    s = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
+    s = "t"
     for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&apos;", "''"),
                     ("&nbsp;", " "), ("&amp;", "&")):
         s = f"replace({s}, '{ent}', '{ch}')"
-    return f"regexp_replace({s}, '^\\s+|\\s+$', '', 'g')"
+    return (f"array_to_string(list_transform(string_split_regex({x}, '<[^>]*>'), "
+            f"lambda t: regexp_replace({s}, '^\\s+|\\s+$', '', 'g')), '')")
 
 
 @register("page_metadata", f"""

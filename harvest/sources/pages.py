@@ -8,8 +8,9 @@ Extracted per page (all JVM-side, no parser library, no UDF):
 * portal fields: inside the ``data-search data-content`` blocks (the second
   block when there are two or more, else the first) every ``label``/``span``
   with class ``label`` names a field; its value is the first ``<p>`` or
-  ``<a>`` of the next ``search-input`` div; the API field takes the first link
-  of that div, made absolute; the rating field is skipped;
+  ``<a>`` of the next ``search-input`` div before another label, divs inside
+  it included; the API field takes the first link of that div, made absolute;
+  the rating field is skipped;
 * ``updated_at_src``: the first ``yyyy/MM/dd HH:mm:ss`` inside a span that
   mentions the update-date label, searched in the ``data-title-wrapper``
   block first and then in the whole page (F12).
@@ -40,10 +41,12 @@ TITLE_RE = r"(?is)<title[^>]*>(.*?)</title>"
 H1_RE = r"(?is)<h1[^>]*>(.*?)</h1>"
 FIRST_HREF_RE = r"""(?is)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""
 CONTENT_BLOCK_RE = r"""(?is)<div[^>]*class\s*=\s*["']data-search data-content["'][^>]*>(.*?)(?=<div[^>]*class\s*=\s*["']data-search data-content["']|$)"""
-PAIR_RE = (r"""(?is)<(?:label|span)\b[^>]*class\s*=\s*["'](?:[^"']*\s)?label(?:\s[^"']*)?["'][^>]*>(.*?)</(?:label|span)>"""
-           r"""\s*</div>\s*<div[^>]*class\s*=\s*["'](?:[^"']*\s)?search-input(?:\s[^"']*)?["'][^>]*>(.*?)</div>""")
+LABEL_START_RE = r"""(?is)<(?:label|span)\b[^>]*class\s*=\s*["'](?:[^"']*\s)?label(?:\s[^"']*)?["'][^>]*>"""
+LABEL_RE = r"(?is)^(.*?)</(?:label|span)>"
+INPUT_RE = r"""(?is)<div[^>]*class\s*=\s*["'](?:[^"']*\s)?search-input(?:\s[^"']*)?["'][^>]*>(.*)$"""
+DIV_START_RE, DIV_END_RE = r"(?i)<div\b", r"(?i)</div\s*>"
 VALUE_RE = r"(?is)<(p|a)\b[^>]*>(.*?)</\1>"
-WRAPPER_RE = r"""(?is)<div[^>]*class\s*=\s*["']data-title-wrapper["'][^>]*>(.*?)</div>"""
+WRAPPER_RE = r"""(?is)<div[^>]*class\s*=\s*["']data-title-wrapper["'][^>]*>(.*)$"""
 SPAN_RE = r"(?is)<span\b[^>]*>(.*?)</span>"
 STAMP_RE = r"(\d{4}/\d{2}/\d{2} \d{2}:\d{2}:\d{2})"
 
@@ -53,6 +56,16 @@ def _first(col: Column, pattern: str, group: int = 1) -> Column:
     return F.when(v != "", v)
 
 
+def _inside_div(rest: Column) -> Column:
+    """What of the text after a div's start tag lies inside it: up to the end tag that closes as many divs as begin."""
+    def step(done: Column, part: Column) -> Column:
+        more = F.struct((done["depth"] + F.size(F.split(part, DIV_START_RE)) - 2).alias("depth"), F.concat(done["text"], part).alias("text"))
+        return F.when(done["depth"] > 0, more).otherwise(done)
+
+    start = F.struct(F.lit(1).alias("depth"), F.lit("").alias("text"))
+    return F.aggregate(F.split(rest, DIV_END_RE), start, step)["text"]
+
+
 def _update_time(html: Column) -> Column:
     def in_spans(block: Column) -> Column:
         # span text (tags inside removed) that mentions the label, then its first stamp
@@ -60,7 +73,7 @@ def _update_time(html: Column) -> Column:
         labelled = F.filter(texts, lambda t: F.contains(t, F.lit(UPDATE_LABEL)))
         stamps = F.filter(F.transform(labelled, lambda t: F.regexp_extract(t, STAMP_RE, 1)), lambda t: t != "")
         return F.get(stamps, 0)
-    wrapper = F.regexp_extract(html, WRAPPER_RE, 1)
+    wrapper = _inside_div(F.regexp_extract(html, WRAPPER_RE, 1))
     # A page that never mentions the label has no update time: skip the span scan.
     return F.when(F.contains(html, F.lit(UPDATE_LABEL)), F.coalesce(in_spans(wrapper), in_spans(html)))
 
@@ -89,15 +102,16 @@ def with_portal_fields(df: DataFrame, html_col: str = "html", url_col: str = "ur
         .otherwise(F.array().cast("array<string>"))
     s1 = df.withColumn("_blocks", blocks)
     s1 = s1.withColumn("_block", F.when(F.size("_blocks") > 1, F.get("_blocks", 1)).otherwise(F.get("_blocks", 0)))
-    s2 = (s1.withColumn("_keys", F.transform(F.regexp_extract_all("_block", F.lit(PAIR_RE), 1), lambda k: tag_text(k)))
-          .withColumn("_vals", F.regexp_extract_all("_block", F.lit(PAIR_RE), 2)))
-    pairs = F.filter(F.arrays_zip(F.col("_keys").alias("k"), F.col("_vals").alias("v")), lambda p: p["k"] != RATING_LABEL)
+    after_labels = F.slice(F.split("_block", LABEL_START_RE), 2, 1 << 30)
+    s2 = s1.withColumn("_pairs", F.transform(F.filter(after_labels, lambda t: t.rlike(INPUT_RE)), lambda t: F.struct(
+        tag_text(F.regexp_extract(t, LABEL_RE, 1)).alias("k"), _inside_div(F.regexp_extract(t, INPUT_RE, 1)).alias("v"))))
+    pairs = F.filter("_pairs", lambda p: p["k"] != RATING_LABEL)
     url = F.col(url_col)
     s3 = s2.withColumn("_entries", F.transform(pairs, lambda p: F.struct(p["k"].alias("key"), _value(url, p).alias("value"))))
     s4 = s3.withColumn("_names", F.transform("_entries", lambda e: e["key"]))
     # A repeated label keeps its last value (later assignments win).
     last = F.filter("_entries", lambda e, i: F.size("_names") - F.array_position(F.reverse("_names"), e["key"]) == i)
-    return s4.withColumn(out_col, F.map_from_entries(last)).drop("_blocks", "_block", "_keys", "_vals", "_entries", "_names")
+    return s4.withColumn(out_col, F.map_from_entries(last)).drop("_blocks", "_block", "_pairs", "_entries", "_names")
 
 
 def page_metadata(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:

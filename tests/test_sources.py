@@ -148,3 +148,18 @@ def test_snapshot_restore(spark, tmp):
     assert sorted(tuple(r) for r in rows) == [("b", 1000, 0, 2), ("b", 1000, 2, 3)]
     per = landing.restore_snapshot_rows(snaps, per_dataset=True).select("name").distinct().collect()
     assert sorted(r.name for r in per) == ["a", "b"]
+
+
+def test_portal_fields_by_structure(spark):
+    """Divs inside a value, elements between label and value, labels without a value, references, pieces of text."""
+    def field(label, value, between=""):
+        return (f'<div class="row"><div><span class="x label">{label}</span>{between}</div>'
+                f'<div class="search-input">{value}</div></div>')
+    html = ('<title>甲 <b> 乙 </b>&#20013;&#x6587;&copy;&amp;lt;&unknown;&#xD800;</title><div class="data-title-wrapper"><div><i>x</i></div>'
+            '<span>資料更新日期：<b>2025/01/02 03:04:05</b></span></div><div class="data-search data-content">'
+            + field("資料分類", "<div><div>x</div></div><p>糧食</p>") + field("提供單位", "<div><p>農糧 <b>署</b></p></div>", "<i>?</i>")
+            + '<div><span class="label">資料描述</span></div>' + field("更新頻率", "<em>none</em>") + "<p>outside</p>"
+            + field("資料介接", '<div><a href="../api/x.json">x</a></div>') + "</div>")
+    r = page_metadata(spark.createDataFrame([("http://h/p/q/r.html", html)], "url string, html string")).first()
+    assert (r.title, r.category, r.provider, r.description, r.frequency) == ("甲乙中文©&lt;&unknown;&#xD800;", "糧食", "農糧署", None, None)
+    assert r.api_url == "http://h/p/api/x.json" and r.updated_at_src == "2025/01/02 03:04:05" and r.complete
