@@ -95,7 +95,7 @@ def spec_sort_key(fields: Column, spec: Column) -> Column:
         d = parse_date(v)
         r = rank_word(v)
         x = safe_float(v)
-        date_key = key(F.when(d.isNull(), 0).otherwise(1), d=d)
+        date_key = key(F.lit(0), d=d)     # a null field sorts first; the date is parsed once
         text_key = key(F.when(r.isNotNull(), 0).otherwise(1), r=r, t=F.when(r.isNull(), F.coalesce(v, F.lit(""))))
         num_key = key(F.when(x.isNotNull(), 0).when(v.isNotNull(), 1).otherwise(2), n=x, s=F.when(x.isNull(), v))
         return (F.when(kind == "date_asc", date_key).when(kind == "text_asc", text_key)

@@ -97,11 +97,11 @@ def refresh_all(rows: DataFrame, store: DataFrame, configs: DataFrame,
     s_keys = s.distinct()
     inc = inc.join(s_keys, (inc["dataset_id"] == s_keys["dataset_id"]) & inc["_key"].eqNullSafe(s_keys["_key"]),
                    "left_anti")
-    start = max_sequence(store, "seq", ["dataset_id"])
+    # One numbering for both modes: datasets in full mode start after 0.
+    going_on = first.where("mode = 'incremental'").select("dataset_id")
+    start = max_sequence(store.join(bounded_broadcast(going_on), "dataset_id", "left_semi"), "seq", ["dataset_id"])
     cols = ["dataset_id", "_ord", "mode", "v", "_sk"]
-    out_full = assign_ids(full.select(*cols), ["_sk", "_ord"], "dataset_id")
-    out_inc = assign_ids(inc.select(*cols), ["_sk", "_ord"], "dataset_id", start=start)
-    out = out_full.unionByName(out_inc)
+    out = assign_ids(full.select(*cols).unionByName(inc.select(*cols)), ["_sk", "_ord"], "dataset_id", start=start)
     return out.select("dataset_id", "_ord", "mode", "seq", "row_id", F.to_json("v").alias("record"))
 
 
