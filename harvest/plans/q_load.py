@@ -377,7 +377,8 @@ def keyed_dedup(spark, sf):
     tag = uuid.uuid4().hex[:12]
     name = f"harvest_layout_{tag}"
     path = os.path.join(checkpoint_dir(spark), "harvest", f"layout-{tag}")
-    write_keyed_layout(spark, read_table(spark, sf, "events"), name, ["user_id", "event_type"], 8, path=path)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))     # session.scale_conf sizes it from the input
+    write_keyed_layout(spark, read_table(spark, sf, "events"), name, ["user_id", "event_type"], buckets, path=path)
     return dedup.keep_first(spark.table(name), ["user_id", "event_type"], "event_id")
 
 
