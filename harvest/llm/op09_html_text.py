@@ -4,18 +4,20 @@
    space. Scripts, styles, comments, forms and the like are skipped. Each block knows whether it stands in the
    page's main element (article, main), in an element that is boilerplate by its name, role or class (nav, header,
    footer, aside, ad, cookie notice, comments ...), or neither.
-2. Pages are numbered by (host, path, query, page) over the whole table, without a window over a host. Each is paired
-   with that neighbour in the numbering, on its host, whose path shares more leading characters (ties: the one before).
-3. The blocks of both pages outside their main elements are aligned by longest common subsequence. Blocks that both
-   pages share are the site's, not the page's, and are deleted.
-4. The text is the main element's blocks, without boilerplate inside it; blocks that neighbours share stay there, as
-   copies of an article are still articles. Of a page without a main element, it is the blocks that are neither
-   boilerplate nor shared. Blocks stay in page order, joined by an empty line.
-
-Only blocks outside the main element travel to the neighbour, so pages are shuffled once.
+2. Pages are numbered by (host, path, query, page) over the whole table, without a window over a host. Each is compared
+   with the pages up to ``REACH`` places away on its host, those first whose path shares more leading characters
+   (ties: the nearer, then the one before).
+3. The blocks of both whole pages are aligned by longest common subsequence. Blocks that both pages share are the
+   site's, not the page's. Where that leaves under a tenth of the characters that are not boilerplate by their
+   element, the other page is a near copy (a mirror, a print version, the same page with another query): the next
+   page is taken, and the first that is not a near copy decides.
+4. The text is the blocks that are neither boilerplate by their element nor shared, inside the main element or not.
+   Blocks stay in page order, joined by an empty line.
+
+Blocks travel to the neighbours as 64-bit hashes, in ranges of the numbering, so pages are shuffled once.
 
 Defined cases: null html has no text; a null or broken URL is of the host '' (pages of it are neighbours too); copies of a
-row get the same result; with no neighbour nothing is shared; unclosed elements end with the page or with the
+row get the same result; with no neighbour, or none within reach but near copies, nothing is shared; unclosed elements end with the page or with the
 element that encloses them. Other columns are carried in ``rest``.
 """
 
@@ -26,6 +28,7 @@ from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,6 +55,8 @@ COMMENTS = frozenset("comment comments ad ads advert advertisement sponsored pro
 WORDS = re.compile(r"[A-Za-z]+")
 SPACE = re.compile(r"\s+")
 OUTSIDE, INSIDE, SITE = range(3)
+#: Pages of a range of the numbering, how far a page looks for one that is not its near copy, and the share of characters that it leaves.
+RANGE, REACH, LEFT = 256, 16, 0.1
 
 
 def is_boilerplate(name: str, attributes: str) -> bool:
@@ -119,7 +124,7 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
     return out
 
 
-def shared(a: list[str], b: list[str]) -> set[int]:
+def shared(a: list, b: list) -> set[int]:
     """The places in ``a`` of a longest common subsequence of both, by bit-parallel dynamic programming."""
     low = 0
     while low < min(len(a), len(b)) and a[low] == b[low]:
@@ -129,7 +134,7 @@ def shared(a: list[str], b: list[str]) -> set[int]:
         high += 1
     out = {*range(low), *range(len(a) - high, len(a))}
     a, b = a[low:len(a) - high], b[low:len(b) - high]
-    where: dict[str, int] = {}
+    where: dict = {}
     for j, x in enumerate(b):
         where[x] = where.get(x, 0) | 1 << j
     full = (1 << len(b)) - 1
@@ -166,21 +171,43 @@ def key_of(pages: DataFrame, page_id: str) -> list:
 
 
 def neighbours(lines: DataFrame) -> DataFrame:
-    """pid, ph and the places of the lines that a page shares with its neighbour. lines: pid, ph, host, path, place, lines."""
-    def beside(step: int, name: str) -> DataFrame:
-        return lines.select((F.col("place") + step).alias("place"), F.struct("host", "path", "lines").alias(name))
-
+    """pid, ph and the places of the lines that a page shares with its neighbour. lines: pid, ph, host, path, place, lines
+    (hashes) and sizes (characters, 0 for boilerplate)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pages: list[tuple] = []
+        now = None
         for b in pieces(batches, 500):
-            cols = [b.column(n).to_pylist() for n in ("host", "path", "lines", "before", "after")]
-            out = []
-            for host, path, own, before, after in zip(*cols):
-                near = [(common(path, x["path"]), -k, x["lines"]) for k, x in enumerate((before, after)) if x and x["host"] == host]
-                out.append(sorted(shared(own, max(near)[2])) if near else [])
-            yield pa.RecordBatch.from_arrays([b.column("pid"), b.column("ph"), pa.array(out, pa.list_(pa.int32()))], ["pid", "ph", "gone"])
+            for row in zip(*(b.column(n).to_pylist() for n in ("range", "place", "pid", "ph", "host", "path", "lines", "sizes"))):
+                if row[0] != now:
+                    yield from settle(now, pages)
+                    now, pages = row[0], []
+                pages.append(row[1:])
+        yield from settle(now, pages)
+
+    def settle(now: int | None, pages: list[tuple]) -> Iterator[pa.RecordBatch]:
+        out = []
+        for k, (place, pid, ph, host, path, own, sizes) in enumerate(pages):
+            if place // RANGE != now:
+                continue
+            near = [(-common(path, x[4]), abs(x[0] - place), x[0], x[5]) for x in pages[max(0, k - REACH):k + REACH + 1] if x[3] == host and x[0] != place]
+            if gone := site_lines(own, sizes, [x[3] for x in sorted(near, key=lambda x: x[:3])]):
+                out.append((pid, ph, gone))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.string(), pa.int64(), pa.list_(pa.int32())))], ["pid", "ph", "gone"])
+
+    ranges = F.array_distinct(F.transform(F.array(F.lit(0), F.lit(-REACH), F.lit(REACH)), lambda d: F.floor((F.col("place") + d) / RANGE)))
+    return (lines.withColumn("range", F.explode(ranges)).repartition("range").sortWithinPartitions("range", "place")
+            .mapInArrow(run, "pid string, ph long, gone array<int>"))
+
 
-    both = lines.join(beside(1, "before"), "place", "left").join(beside(-1, "after"), "place", "left")
-    return both.mapInArrow(run, "pid string, ph long, gone array<int>").where("size(gone) > 0")
+def site_lines(own: list, sizes: list[int], near: list[list]) -> list[int]:
+    """The places of the lines shared with the first of the ``near`` pages that is not a near copy."""
+    for other in near:
+        found = shared(own, other)
+        total = sum(sizes)
+        if total and total - sum(sizes[i] for i in found) >= LEFT * total:
+            return sorted(found)
+    return []
 
 
 def common(a: str, b: str) -> int:
@@ -191,19 +218,20 @@ def common(a: str, b: str) -> int:
 
 
 def main_text(found: list[tuple[int, str]], gone: list[int] | None) -> str:
-    """The text of a page, given the places of shared lines among those outside its main element."""
-    if any(p == INSIDE for p, _ in found):
-        return "\n\n".join(t for p, t in found if p == INSIDE)
+    """The text of a page, given the places of the lines it shares with its neighbour."""
     drop = set(gone or ())
-    return "\n\n".join(t for k, (p, t) in enumerate(found) if p == OUTSIDE and k not in drop)
+    return "\n\n".join(t for k, (p, t) in enumerate(found) if p != SITE and k not in drop)
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """rest (all columns but the html) and text: a row for each row of ``pages``."""
-    def outside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, 500):
-            lines = [[t for p, t in blocks(h) if p != INSIDE] for h in b.column("html").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("pid"), b.column("ph"), pa.array(lines, pa.list_(pa.string()))], ["pid", "ph", "lines"])
+            found = [blocks(h) for h in b.column("html").to_pylist()]
+            lines = [[xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) - (1 << 63) for _, t in x] for x in found]
+            sizes = [[0 if p == SITE else len(t) for p, t in x] for x in found]
+            yield pa.RecordBatch.from_arrays([b.column("pid"), b.column("ph"), pa.array(lines, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int32()))],
+                                             ["pid", "ph", "lines", "sizes"])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdCompressor(level=3)
@@ -220,7 +248,7 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
 
     keyed = pages.select(*key_of(pages, page_id), rest_of(pages, html), F.col(html).cast("string").alias("html"))
     rest = dict(keyed.dtypes)["rest"]
-    lines = keyed.select("pid", "ph", "html").mapInArrow(outside, "pid string, ph long, lines array<string>").dropDuplicates(["pid", "ph"])
+    lines = keyed.select("pid", "ph", "html").mapInArrow(read, "pid string, ph long, lines array<long>, sizes array<int>").dropDuplicates(["pid", "ph"])
     gone = neighbours(lines.join(numbered(pages, page_id, url), ["pid", "ph"]))
     return (keyed.mapInArrow(pack, f"pid string, ph long, rest {rest}, z binary").join(gone, ["pid", "ph"], "left").select("rest", "z", "gone")
             .mapInArrow(finish, f"rest {rest}, text string"))

@@ -355,6 +355,13 @@ def test_op9_articles_and_differences(spark):
     assert op9.extract(pages.limit(0)).count() == 0
 
 
+def test_op9_differencing_decides_inside_and_outside(spark):
+    page = "<p>Teaser of {0}</p><main><p>Subscribe to us</p><p>Body of {0}</p></main><p>Site line</p>"
+    pages = spark.createDataFrame([(k, f"http://h.example/a/{k}", page.format(w)) for k, w in enumerate(("one", "two", "three"))], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in op9.digest(op9.extract(pages)).collect()}
+    assert got == {k: f"Teaser of {w}\n\nBody of {w}" for k, w in enumerate(("one", "two", "three"))}
+
+
 # 10 -----------------------------------------------------------------------------------------------------------------
 
 def test_op10_links_order_and_errors(spark):
