@@ -4,7 +4,8 @@
    space. Scripts, styles, comments, forms and the like are skipped. Each block knows whether it stands in the
    page's main element (article, main), in an element that is boilerplate by its name, role or class (nav, header,
    footer, aside, ad, cookie notice, comments ...), or neither.
-2. Pages are numbered by (host, path, query, page) over the whole table, without a window over a host. Each is compared
+2. Pages are numbered by (host, path, query) over the whole table, without a window over a host; those of equal html
+   that differ in the query at most are one page, however many they are. Each is compared
    with the pages up to ``REACH`` places away on its host, those first whose path shares more leading characters
    (ties: the nearer, then the one before).
 3. The blocks of both whole pages are aligned by longest common subsequence. Blocks that both pages share are the
@@ -17,7 +18,7 @@
 Blocks travel to the neighbours as 64-bit hashes, in ranges of the numbering, so pages are shuffled once.
 
 Defined cases: null html has no text; a null or broken URL is of the host '' (pages of it are neighbours too); copies of a
-row get the same result; with no neighbour, or none within reach but near copies, nothing is shared; unclosed elements end with the page or with the
+page get the same result; with no neighbour, or none within reach but near copies, nothing is shared; unclosed elements end with the page or with the
 element that encloses them. Other columns are carried in ``rest``.
 """
 
@@ -30,7 +31,7 @@ from html import unescape
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harvest.llm._text import cut, pieces, rest_of
@@ -55,6 +56,7 @@ COMMENTS = frozenset("comment comments ad ads advert advertisement sponsored pro
 WORDS = re.compile(r"[A-Za-z]+")
 SPACE = re.compile(r"\s+")
 OUTSIDE, INSIDE, SITE = range(3)
+KEY = ["host", "path", "ph"]
 #: Pages of a range of the numbering, how far a page looks for one that is not its near copy, and the share of characters that it leaves.
 RANGE, REACH, LEFT = 256, 16, 0.1
 
@@ -157,27 +159,30 @@ def shared(a: list, b: list) -> set[int]:
     return out
 
 
-def numbered(pages: DataFrame, page_id: str, url: str) -> DataFrame:
-    """key, host, path and place of each distinct page in the order of (host, path, query, page)."""
+def key_of(url: str, html: str) -> list:
+    """host, path and a hash of the html: pages that differ in the query at most are one page."""
+    return [F.lower(part_of(url, 1)).alias("host"), part_of(url, 2).alias("path"), F.xxhash64(F.col(html).cast("string")).alias("ph")]
+
+
+def part_of(url: str, k: int) -> Column:
     link = F.coalesce(F.col(url).cast("string"), F.lit(""))
-    part = lambda k: F.regexp_extract(link, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#]*)([^?#]*)(.*)$", k)
-    rows = pages.select(*key_of(pages, page_id), F.lower(part(1)).alias("host"), part(2).alias("path"), part(3).alias("query")).distinct()
-    return cut(consecutive_index(rows, ["host", "path", "query", "pid", "ph"], name="place").select("pid", "ph", "host", "path", "place"))
+    return F.regexp_extract(link, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#]*)([^?#]*)(.*)$", k)
 
 
-def key_of(pages: DataFrame, page_id: str) -> list:
-    """The id and a hash of the whole row: copies of a row are one page."""
-    return [F.coalesce(F.col(page_id).cast("string"), F.lit("")).alias("pid"), F.xxhash64(*[F.col(f"`{c}`") for c in pages.columns]).alias("ph")]
+def numbered(pages: DataFrame, url: str, html: str) -> DataFrame:
+    """host, path, ph and place of each distinct page in the order of (host, path, least query, hash)."""
+    rows = pages.select(*key_of(url, html), part_of(url, 3).alias("query")).groupBy(*KEY).agg(F.min("query").alias("query"))
+    return cut(consecutive_index(rows, ["host", "path", "query", "ph"], name="place").select(*KEY, "place"))
 
 
 def neighbours(lines: DataFrame) -> DataFrame:
-    """pid, ph and the places of the lines that a page shares with its neighbour. lines: pid, ph, host, path, place, lines
+    """host, path, ph and the places of the lines that a page shares with its neighbour. lines: host, path, ph, place, lines
     (hashes) and sizes (characters, 0 for boilerplate)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pages: list[tuple] = []
         now = None
         for b in pieces(batches, 500):
-            for row in zip(*(b.column(n).to_pylist() for n in ("range", "place", "pid", "ph", "host", "path", "lines", "sizes"))):
+            for row in zip(*(b.column(n).to_pylist() for n in ("range", "place", *KEY, "lines", "sizes"))):
                 if row[0] != now:
                     yield from settle(now, pages)
                     now, pages = row[0], []
@@ -186,18 +191,18 @@ def neighbours(lines: DataFrame) -> DataFrame:
 
     def settle(now: int | None, pages: list[tuple]) -> Iterator[pa.RecordBatch]:
         out = []
-        for k, (place, pid, ph, host, path, own, sizes) in enumerate(pages):
+        for k, (place, host, path, ph, own, sizes) in enumerate(pages):
             if place // RANGE != now:
                 continue
-            near = [(-common(path, x[4]), abs(x[0] - place), x[0], x[5]) for x in pages[max(0, k - REACH):k + REACH + 1] if x[3] == host and x[0] != place]
+            near = [(-common(path, x[2]), abs(x[0] - place), x[0], x[4]) for x in pages[max(0, k - REACH):k + REACH + 1] if x[1] == host and x[0] != place]
             if gone := site_lines(own, sizes, [x[3] for x in sorted(near, key=lambda x: x[:3])]):
-                out.append((pid, ph, gone))
+                out.append((host, path, ph, gone))
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.string(), pa.int64(), pa.list_(pa.int32())))], ["pid", "ph", "gone"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.string(), pa.string(), pa.int64(), pa.list_(pa.int32())))], [*KEY, "gone"])
 
     ranges = F.array_distinct(F.transform(F.array(F.lit(0), F.lit(-REACH), F.lit(REACH)), lambda d: F.floor((F.col("place") + d) / RANGE)))
     return (lines.withColumn("range", F.explode(ranges)).repartition("range").sortWithinPartitions("range", "place")
-            .mapInArrow(run, "pid string, ph long, gone array<int>"))
+            .mapInArrow(run, "host string, path string, ph long, gone array<int>"))
 
 
 def site_lines(own: list, sizes: list[int], near: list[list]) -> list[int]:
@@ -223,21 +228,21 @@ def main_text(found: list[tuple[int, str]], gone: list[int] | None) -> str:
     return "\n\n".join(t for k, (p, t) in enumerate(found) if p != SITE and k not in drop)
 
 
-def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+def extract(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """rest (all columns but the html) and text: a row for each row of ``pages``."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, 500):
             found = [blocks(h) for h in b.column("html").to_pylist()]
             lines = [[xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) - (1 << 63) for _, t in x] for x in found]
             sizes = [[0 if p == SITE else len(t) for p, t in x] for x in found]
-            yield pa.RecordBatch.from_arrays([b.column("pid"), b.column("ph"), pa.array(lines, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int32()))],
-                                             ["pid", "ph", "lines", "sizes"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(lines, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int32()))],
+                                             [*KEY, "lines", "sizes"])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdCompressor(level=3)
         for b in pieces(batches, 500):
             blobs = [z.compress(h.encode("utf-8", "surrogatepass")) if h else b"" for h in b.column("html").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("pid"), b.column("ph"), b.column("rest"), pa.array(blobs, pa.binary())], ["pid", "ph", "rest", "z"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(blobs, pa.binary())], [*KEY, "rest", "z"])
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdDecompressor()
@@ -246,11 +251,12 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
                      for x, g in zip(b.column("z").to_pylist(), b.column("gone").to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column("rest"), pa.array(texts, pa.string())], ["rest", "text"])
 
-    keyed = pages.select(*key_of(pages, page_id), rest_of(pages, html), F.col(html).cast("string").alias("html"))
+    keyed = pages.select(*key_of(url, html), rest_of(pages, html), F.col(html).cast("string").alias("html"))
     rest = dict(keyed.dtypes)["rest"]
-    lines = keyed.select("pid", "ph", "html").mapInArrow(read, "pid string, ph long, lines array<long>, sizes array<int>").dropDuplicates(["pid", "ph"])
-    gone = neighbours(lines.join(numbered(pages, page_id, url), ["pid", "ph"]))
-    return (keyed.mapInArrow(pack, f"pid string, ph long, rest {rest}, z binary").join(gone, ["pid", "ph"], "left").select("rest", "z", "gone")
+    key = "host string, path string, ph long"
+    lines = keyed.select(*KEY, "html").mapInArrow(read, f"{key}, lines array<long>, sizes array<int>").dropDuplicates(KEY)
+    gone = neighbours(lines.join(numbered(pages, url, html), KEY))
+    return (keyed.mapInArrow(pack, f"{key}, rest {rest}, z binary").join(gone, KEY, "left").select("rest", "z", "gone")
             .mapInArrow(finish, f"rest {rest}, text string"))
 
 

@@ -362,6 +362,17 @@ def test_op9_differencing_decides_inside_and_outside(spark):
     assert got == {k: f"Teaser of {w}\n\nBody of {w}" for k, w in enumerate(("one", "two", "three"))}
 
 
+def test_op9_copies_do_not_empty_each_other(spark):
+    page = "<p>Site line</p><p>A body that is about {0} and goes on for a while, as it has much to say about {0}</p><p>{1}</p><p>Last line</p>"
+    rows = [*((k, f"http://h.example/a/1?utm_source={k}", page.format("one", "")) for k in range(40)), (40, "http://h.example/a/1/print", page.format("one", "Print")),
+            (41, "http://h.example/b/2", page.format("two", "")), (42, "http://alone.example/x", page.format("one", "")), (43, "http://alone.example/y", page.format("one", ""))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in op9.digest(op9.extract(pages)).collect()}
+    body = "A body that is about {0} and goes on for a while, as it has much to say about {0}"
+    assert {got[k] for k in range(40)} == {body.format("one")} and got[40] == body.format("one") + "\n\nPrint" and got[41] == body.format("two")
+    assert got[42] == got[43] == f"Site line\n\n{body.format('one')}\n\nLast line"
+
+
 # 10 -----------------------------------------------------------------------------------------------------------------
 
 def test_op10_links_order_and_errors(spark):
