@@ -7,11 +7,11 @@ every window belongs to exactly one stretch, so what is found for stretches with
 found for all windows.
 
     marks()      documents -> one narrow row per stretch; marks that occur once are dropped, the rest
-                 is gathered per document (a list no longer than the document)
+                 is gathered per document, that is per dk and th (a list no longer than the document)
     stretches()  those documents again -> the text of each stretch that is left, routed by its mark;
                  copies inside a batch go as one row
     located()    a shuffle by mark, and a function over groups of stretches that gives spans
-    spans_of()   the spans, gathered per document
+    spans_of()   the spans, gathered per document as well
 
 Hashes only route: whether windows are equal is decided on their tokens.
 
@@ -121,7 +121,7 @@ def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 
 
 def packed(docs: DataFrame) -> DataFrame:
-    """keyed() with the text compressed, dealt out by dk: one shuffle that both joins on dk share."""
+    """keyed() with the text compressed, dealt out by dk and th: one shuffle that both joins on them share."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdCompressor(level=3)
         for b in batches:
@@ -131,7 +131,7 @@ def packed(docs: DataFrame) -> DataFrame:
 
     kinds = dict(docs.dtypes)
     return (docs.mapInArrow(run, f"dk long, th long, id long, rest {kinds['rest']}, z binary")
-            .where("dk is not null").repartition("dk"))    # the filter that a join would put here, for all who share it
+            .where("dk is not null and th is not null").repartition("dk", "th"))    # the filter that a join would put here, for all who share it
 
 
 def unpack(z: bytes) -> str:
@@ -139,39 +139,40 @@ def unpack(z: bytes) -> str:
 
 
 def marks(docs: DataFrame, kind: Words | Bytes, hot: int, batch_hot: int) -> DataFrame:
-    """dk and the list of its stretches (mark, at) whose mark repeats in the corpus.
+    """dk, th and the list of its stretches (mark, at) whose mark repeats in the corpus.
 
     ``at`` holds the first window, the number of windows and whether the mark is hot."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordCodes()
         for b in batches:
-            keys, texts, found = b.column("dk").to_numpy(zero_copy_only=False), b.column("text"), []
+            keys, ths = (b.column(n).to_numpy(zero_copy_only=False) for n in ("dk", "th"))
+            texts, found = b.column("text"), []
             for i in range(b.num_rows):
                 m, start, n, weight = stretches_of(kind.codes(kind.tokens(texts[i].as_py()), known), kind.size, kind.gram)
                 if len(m):
-                    found.append((m.view(np.int64), np.full(len(m), keys[i]), start << 14 | n << 1, weight))
+                    found.append((m.view(np.int64), np.full(len(m), keys[i]), np.full(len(m), ths[i]), start << 14 | n << 1, weight))
             if not found:
                 continue
-            mark, dk, at, weight = (np.concatenate(x) for x in zip(*found))
+            mark, dk, th, at, weight = (np.concatenate(x) for x in zip(*found))
             route = mark.copy()
             values, inverse, count = np.unique(mark, return_inverse=True, return_counts=True)
             if count.max() > batch_hot:
                 sure = count[inverse] > batch_hot
-                route[sure] = mix(dk[sure].view(np.uint64)).view(np.int64)
+                route[sure] = mix(dk[sure].view(np.uint64) ^ mix(th[sure].view(np.uint64))).view(np.int64)
                 weight[sure] = -1
                 known_hot = values[count > batch_hot]
                 k = len(known_hot)
                 route, mark = np.concatenate((route, known_hot)), np.concatenate((mark, known_hot))
-                dk, at = np.concatenate((dk, np.zeros(k, np.int64))), np.concatenate((at, np.zeros(k, np.int64)))
+                dk, th, at = (np.concatenate((x, np.zeros(k, np.int64))) for x in (dk, th, at))
                 weight = np.concatenate((weight, np.full(k, -2)))
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (route, mark, dk, at, weight.astype(np.int32))],
-                                             ["route", "mark", "dk", "at", "weight"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (route, mark, dk, th, at, weight.astype(np.int32))],
+                                             ["route", "mark", "dk", "th", "at", "weight"])
 
     def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows sorted by mark: keep those of marks that occur twice. weight -1: sure already; -2: a summary."""
         tail = None
         for b in batches:
-            cols = [b.column(n).to_numpy(zero_copy_only=False) for n in ("mark", "dk", "at", "weight")]
+            cols = [b.column(n).to_numpy(zero_copy_only=False) for n in ("mark", "dk", "th", "at", "weight")]
             if tail is not None:
                 cols = [np.concatenate(x) for x in zip(tail, cols)]
             last = np.searchsorted(cols[0], cols[0][-1])     # the last mark may go on in the next batch
@@ -181,7 +182,7 @@ def marks(docs: DataFrame, kind: Words | Bytes, hot: int, batch_hot: int) -> Dat
             yield from keep(tail)
 
     def keep(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        mark, dk, at, weight = cols
+        mark, dk, th, at, weight = cols
         if not len(mark):
             return
         first = np.flatnonzero(np.concatenate(([True], mark[1:] != mark[:-1])))
@@ -190,12 +191,12 @@ def marks(docs: DataFrame, kind: Words | Bytes, hot: int, batch_hot: int) -> Dat
         summary = np.logical_or.reduceat(weight == -2, first)
         is_hot = np.repeat(summary | (total > hot), size) | (weight == -1)
         good = (weight != -2) & ((weight == -1) | np.repeat(summary | (total > 1), size))
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (dk[good], mark[good], at[good] | is_hot[good])], ["dk", "mark", "at"])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (dk[good], th[good], mark[good], at[good] | is_hot[good])], ["dk", "th", "mark", "at"])
 
-    rows = (docs.select("dk", "text").mapInArrow(scan, "route long, mark long, dk long, at long, weight int")
+    rows = (docs.select("dk", "th", "text").mapInArrow(scan, "route long, mark long, dk long, th long, at long, weight int")
             .repartition("route").sortWithinPartitions("mark")
-            .mapInArrow(repeated, "dk long, mark long, at long"))
-    return rows.groupBy("dk").agg(F.collect_list(F.struct("mark", "at")).alias("found"))
+            .mapInArrow(repeated, "dk long, th long, mark long, at long"))
+    return rows.groupBy("dk", "th").agg(F.collect_list(F.struct("mark", "at")).alias("found"))
 
 
 def stretches(docs: DataFrame, found: DataFrame, kind: Words | Bytes, keep_first: bool = True) -> DataFrame:
@@ -211,8 +212,6 @@ def stretches(docs: DataFrame, found: DataFrame, kind: Words | Bytes, keep_first
                 here = lists[i].values.flatten()
                 for mark, at in zip(here[0].to_pylist(), here[1].to_pylist()):
                     start, n = at >> 14, at >> 1 & 0x1FFF
-                    if start + n + kind.size - 1 > len(tokens):
-                        continue    # of another text with this id
                     for s, m in ((x, 1) for x in range(start, start + n)) if at & 1 else ((start, n),):
                         piece = kind.piece(tokens, s, s + m + kind.size - 1)
                         route = xxhash.xxh64_intdigest(piece) - (1 << 63) if at & 1 else mark
@@ -237,7 +236,7 @@ def stretches(docs: DataFrame, found: DataFrame, kind: Words | Bytes, keep_first
         kinds = (pa.int64(), pa.binary(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_())
         return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), kinds)], NAMES)
 
-    return (docs.join(found, "dk").select("dk", "th", "id", "rest", "z", "found")
+    return (docs.join(found, ["dk", "th"]).select("dk", "th", "id", "rest", "z", "found")
             .mapInArrow(read, "route long, piece binary, copies int, noid boolean, dk long, th long, start long, n int, later boolean"))
 
 
@@ -321,14 +320,13 @@ def located(rows: DataFrame, repeats: Callable[[list[Piece]], Iterator[tuple]],
 
 
 def spans_of(spans: DataFrame) -> DataFrame:
-    """The spans of each dk, as lists (no longer than its documents)."""
-    return spans.groupBy("dk").agg(F.collect_list(F.struct("th", "start", "n")).alias("spans"))
+    """The spans of each document, as lists (no longer than it)."""
+    return spans.groupBy("dk", "th").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
 
 
-def covered(length: int, size: int, th: int, spans: list | None) -> np.ndarray:
-    """Which tokens of the document with this ``th`` lie in a window of its spans."""
+def covered(length: int, size: int, spans: list | None) -> np.ndarray:
+    """Which tokens of a document lie in a window of its spans."""
     edge = np.zeros(length + 1, np.int32)
     for s in spans or ():
-        if s["th"] == th:
-            np.add.at(edge, [s["start"], min(length, s["start"] + s["n"] + size - 1)], [1, -1])
+        np.add.at(edge, [s["start"], min(length, s["start"] + s["n"] + size - 1)], [1, -1])
     return np.cumsum(edge[:-1]) > 0

@@ -107,17 +107,17 @@ def substring_dedup(docs: DataFrame, size: int = 20, gram: int = 8, doc_id: str
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            zs, found, ths, out = b.column("z"), b.column("spans"), b.column("th").to_pylist(), []
+            zs, found, out = b.column("z"), b.column("spans"), []
             for i in range(b.num_rows):
                 tokens = kind.tokens(unpack(zs[i].as_py()))
-                gone = covered(len(tokens), size, ths[i], found[i].as_py())
+                gone = covered(len(tokens), size, found[i].as_py())
                 left = [t for t, g in zip(tokens, gone.tolist()) if not g] if gone.any() else tokens
                 out.append((len(tokens), len(tokens) - len(left), " ".join(left)))
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("rest"), *(pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.string())))],
                                              ["id", "rest", "n_words", "n_removed", "kept_text"])
 
     rest = dict(store.dtypes)["rest"]
-    return (store.join(spans, "dk", "left").select("id", "rest", "th", "z", "spans")
+    return (store.join(spans, ["dk", "th"], "left").select("id", "rest", "z", "spans")
             .mapInArrow(keep, f"id long, rest {rest}, n_words long, n_removed long, kept_text string"))
 
 

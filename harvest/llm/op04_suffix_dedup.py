@@ -122,10 +122,10 @@ def suffix_dedup(docs: DataFrame, size: int = 200, gram: int = 32, doc_id: str =
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            zs, found, ths, out = b.column("z"), b.column("spans"), b.column("th").to_pylist(), []
+            zs, found, out = b.column("z"), b.column("spans"), []
             for i in range(b.num_rows):
                 data = kind.tokens(unpack(zs[i].as_py()))
-                gone = covered(len(data), size, ths[i], found[i].as_py())
+                gone = covered(len(data), size, found[i].as_py())
                 left = np.frombuffer(data, np.uint8)[~gone].tobytes() if gone.any() else data
                 if whole_characters and gone.any():
                     left = left.decode("utf-8", "ignore").encode()
@@ -134,7 +134,7 @@ def suffix_dedup(docs: DataFrame, size: int = 200, gram: int = 32, doc_id: str =
                                              ["id", "rest", "n_bytes", "n_removed", "n_spans", "kept"])
 
     rest = dict(store.dtypes)["rest"]
-    return (store.join(spans, "dk", "left").select("id", "rest", "th", "z", "spans")
+    return (store.join(spans, ["dk", "th"], "left").select("id", "rest", "z", "spans")
             .mapInArrow(keep, f"id long, rest {rest}, n_bytes long, n_removed long, n_spans long, kept binary"))
 
 

@@ -118,6 +118,20 @@ def test_op1_op4_odd_rows(spark, odd):
     assert op1.substring_dedup(empty(spark)).count() == 0 and op4.suffix_dedup(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("options", [{}, {"hot": 5, "batch_hot": 2}])
+def test_op1_op4_texts_of_one_id(spark, options):
+    words = [f"w{i}" for i in range(200)]
+    texts = [" ".join(words), " ".join(["x0", *words]), " ".join(words[100:]) + " y"]
+    data = spark.createDataFrame([(7, t) for t in texts], "doc_id long, text string")
+    order = {r.text: r.th for r in data.selectExpr("text", "xxhash64(text) th").collect()}
+    rows = [((k, t), t) for k, t in enumerate(sorted(texts, key=order.get))]
+    got = sorted((r.n_words, r.n_removed, r.kept_text) for r in op1.substring_dedup(data, **options).collect())
+    assert [(n, g, sha(t.encode())) for n, g, t in got] == sorted(((n, g, h) for n, g, h in first_stays(rows).values()), key=lambda x: x[:2])
+    for first in (False, True):
+        got = sorted((r.n_bytes, r.n_removed, r.n_spans, sha(bytes(r.kept))) for r in op4.suffix_dedup(data, keep_first=first, **options).collect())
+        assert got == sorted(none_stays(rows, keep_first=first).values())
+
+
 def test_suffix_ranks_and_factors():
     rnd = random.Random(3)
     for depth in (3, 8, 20, 24, 50):
