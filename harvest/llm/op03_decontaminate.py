@@ -4,7 +4,8 @@
    (capitalised words that neither begin a sentence nor are all capitals) and units become typed placeholders, whose words are the
    slots' values; other words stand for themselves.
 2. All windows of ``size`` template tokens of benchmark and documents are hashed and joined on the hash. An item
-   shorter than that is one window of its own length. A bit map of fixed size over the benchmark's hashes goes to
+   shorter than that is one window of its own length. Windows with slots are joined as the literal words too, so that copies
+   match whatever they consist of; as templates, windows of an item count only if half their tokens are words. A bit map of fixed size over the benchmark's hashes goes to
    the tasks that read documents, so that windows that cannot join are never sent; the join itself is exact
    in its other steps: it compares the windows' tokens again.
 3. Matches of a document and an item at one offset are an alignment (at most one window for each place of the
@@ -43,28 +44,29 @@ PLACE = np.array([0, *(xxhash.xxh64_intdigest(f"<{k}>") for k in ("number", "nam
 
 
 class Lexer(dict):
-    """Number of each word seen of late; for that number, arrays of its token hash, kind and whether it ends a sentence."""
+    """Number of each word seen of late; for that number, arrays of its word and token hash, kind and whether it ends a sentence."""
 
     def __init__(self, room: int = 1 << 19) -> None:
         super().__init__()
-        self.hash, self.kind = np.zeros(room, np.uint64), np.zeros(room, np.int8)
+        self.word, self.hash, self.kind = np.zeros(room, np.uint64), np.zeros(room, np.uint64), np.zeros(room, np.int8)
         self.capital, self.ends = np.zeros(room, bool), np.zeros(room, bool)
 
     def __missing__(self, word: str) -> int:
         n = len(self)
         if n == len(self.hash):
-            for name in ("hash", "kind", "capital", "ends"):
+            for name in ("word", "hash", "kind", "capital", "ends"):
                 setattr(self, name, np.concatenate((getattr(self, name), np.zeros_like(getattr(self, name)))))
         core = EDGE.sub("", word)
         small = core.lower()
         kind = NOTHING if not core else NUM if NUMBER.match(core) else UNIT if small in UNITS else PLAIN
-        self.hash[n] = PLACE[kind] if kind else xxhash.xxh64_intdigest(small.encode("utf-8", "surrogatepass"))
+        self.word[n] = xxhash.xxh64_intdigest(small.encode("utf-8", "surrogatepass"))
+        self.hash[n] = PLACE[kind] if kind else self.word[n]
         self.kind[n], self.capital[n], self.ends[n] = kind, core[:1].isupper() and not core.isupper() and kind == PLAIN, word.rstrip("\"')]»”").endswith((".", "!", "?", ":"))
         self[word] = n
         return n
 
-    def read(self, text: str | None) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """words, token hashes and kinds."""
+    def read(self, text: str | None) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """words, their hashes, token hashes and kinds."""
         if len(self) > 200_000:
             self.clear()
         words = WORD.findall(text) if text else []
@@ -73,30 +75,30 @@ class Lexer(dict):
         begins = np.concatenate(([True], self.ends[code[:-1]])) if len(code) else np.empty(0, bool)
         name = self.capital[code] & ~begins
         kind = np.where(name, NAME, kind)
-        hashes = np.where(name, PLACE[NAME], self.hash[code])
+        literal, hashes = self.word[code], np.where(name, PLACE[NAME], self.hash[code])
         real = kind != NOTHING
         if not real.all():
             words = [w for w, r in zip(words, real.tolist()) if r]
-            kind, hashes = kind[real], hashes[real]
-        return words, hashes, kind
+            kind, literal, hashes = kind[real], literal[real], hashes[real]
+        return words, literal, hashes, kind
 
 
 def core(word: str) -> str:
     return EDGE.sub("", word).lower()
 
 
-def windows(words: list[str], hashes: np.ndarray, kind: np.ndarray, size: int, at: list[int]) -> Iterator[tuple[int, list[str], list[str]]]:
-    """place, template tokens and slot values of the windows at these places."""
+def windows(words: list[str], kind: np.ndarray, size: int, at: list[int], literal: bool) -> Iterator[tuple[int, list[str], list[str]]]:
+    """place, template tokens (or the words themselves) and values of all slots of the windows at these places."""
     for i in at:
         part = [core(w) for w in words[i:i + size]]
         kinds = kind[i:i + size].tolist()
-        yield i, [f"<{k}>" if k else w for w, k in zip(part, kinds)], [w for w, k in zip(part, kinds) if k]
+        yield i, part if literal else [f"<{k}>" if k else w for w, k in zip(part, kinds)], [w for w, k in zip(part, kinds) if k]
 
 
-def plain_enough(kind: np.ndarray, size: int) -> np.ndarray:
-    """Windows of which half the tokens at least are words: others are templates of nothing but slots."""
+def plain_words(kind: np.ndarray, size: int) -> np.ndarray:
+    """How many tokens of each window are words. Templates of an item with under half are left out: they are nothing but slots."""
     plain = np.concatenate(([0], np.cumsum(kind == PLAIN)))
-    return 2 * (plain[size:] - plain[:-size]) >= size
+    return plain[size:] - plain[:-size]
 
 
 WINDOW = "h long, pos int, tokens array<string>, slots array<string>"
@@ -110,14 +112,15 @@ def item_windows(benchmark: DataFrame, size: int, item_id: str, text: str) -> Da
         for b in pieces(batches, 500):
             rows = []
             for item, t in zip(b.column("item").to_pylist(), b.column("text").to_pylist()):
-                words, hashes, kind = lexer.read(t)
+                words, literal, hashes, kind = lexer.read(t)
                 k = min(size, len(words))
                 if not k:
                     continue
-                h = gram_hashes(hashes, k).view(np.int64)
                 key = xxhash.xxh64_intdigest(" ".join(map(core, words)).encode("utf-8", "surrogatepass")) - (1 << 63)
-                at = np.flatnonzero(plain_enough(kind, k)).tolist()
-                rows += [(item, key, len(words), int(h[i]), i, tokens, slots) for i, tokens, slots in windows(words, hashes, kind, k, at)]
+                plain = plain_words(kind, k)
+                for h, good, as_is in ((hashes, 2 * plain >= k, False), (literal, plain < k, True)):
+                    h = gram_hashes(h, k).view(np.int64)
+                    rows += [(item, key, len(words), int(h[i]), i, tokens, slots) for i, tokens, slots in windows(words, kind, k, np.flatnonzero(good).tolist(), as_is)]
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows) if rows else [()] * 7, (pa.int64(), pa.int64(), pa.int32(), *WINDOW_TYPES))],
                                              ["item", "item_key", "n", "h", "pos", "tokens", "slots"])
 
@@ -140,22 +143,24 @@ def matches(docs: DataFrame, items: DataFrame, size: int, coverage: float) -> Da
         for b in pieces(batches):
             rows = []
             for dk, th, t in zip(b.column("dk").to_pylist(), b.column("th").to_pylist(), b.column("text").to_pylist()):
-                words, hashes, kind = lexer.read(t)
+                words, literal, hashes, kind = lexer.read(t)
                 for k in lengths:
                     if len(words) < k:
                         break
-                    h = gram_hashes(hashes, k)
-                    cell = (h >> U64(64 - BITS)).astype(np.int64)
-                    hit = np.flatnonzero(bits[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1)
-                    if len(hit):
-                        at = hit[plain_enough(kind, k)[hit]].tolist()
-                        rows += [(dk, th, int(h[i].view(np.int64)), i, tokens, slots) for i, tokens, slots in windows(words, hashes, kind, k, at)]
+                    for h, as_is in ((hashes, False), (literal, True)):
+                        h = gram_hashes(h, k)
+                        cell = (h >> U64(64 - BITS)).astype(np.int64)
+                        hit = np.flatnonzero(bits[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1)
+                        if len(hit):
+                            plain = plain_words(kind, k)[hit]
+                            at = hit[plain < k if as_is else 2 * plain >= k].tolist()    # without slots, both are the same
+                            rows += [(dk, th, int(h[i].view(np.int64)), i, tokens, None if as_is else slots or None) for i, tokens, slots in windows(words, kind, k, at, as_is)]
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows) if rows else [()] * 6, (pa.int64(), pa.int64(), *WINDOW_TYPES))],
                                              ["dk", "th", "h", "pos", "tokens", "slots"])
 
     found = docs.mapInArrow(run, f"dk long, th long, {WINDOW}").distinct()
     items = items.select("h", "item", "item_key", "n", F.col("pos").alias("item_pos"), F.col("tokens").alias("item_tokens"), F.col("slots").alias("item_slots"))
-    pairs = found.join(items, "h").where("tokens = item_tokens")
+    pairs = found.join(items, "h").where("tokens = item_tokens").withColumn("slots", F.coalesce("slots", "item_slots"))    # null: tokens are words, with equal values
     aligned = (pairs.groupBy("dk", "th", "item_key", (F.col("pos") - F.col("item_pos")).alias("offset"))
                .agg(F.min("item").alias("item"), F.first("n").alias("n"),
                     F.collect_list(F.struct("item_pos", F.size("tokens").alias("size"), "item_slots", "slots")).alias("w")))

@@ -208,6 +208,15 @@ def test_op3_exact_reworked_and_clean(spark):
     assert op3.decontaminate(docs.limit(0), bench).count() == 0
 
 
+def test_op3_copies_of_little_but_slots(spark):
+    items = ["What is 12 * 7 - 3 * 4 + 9?", "Which of Paris, Rome, Oslo, Bern, Kyiv, Prague is largest", "Wie weit fährt der Zug von Bonn nach Köln am Tag der Ankunft von Peter und Anna in Ulm"]
+    docs = spark.createDataFrame([*((k, f"Some words, then: {x} And some more") for k, x in enumerate(items)), (3, "What is 1 * 2 - 3 * 4 + 5?"), (4, "of Lyon, Rome, Nice, Bern, Metz, Prague is largest")],
+                                 "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {r.rest.doc_id: (r.kind, r["items"]) for r in op3.decontaminate(docs, bench).collect()}
+    assert got == {0: ("exact", [0]), 1: ("exact", [1]), 2: ("exact", [2]), 3: (None, None), 4: (None, None)}
+
+
 def test_op3_finds_all_planted_passages(spark, docs, rows):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     items = {r.item_id: " ".join(r.text.lower().split()) for r in bench.collect()}
