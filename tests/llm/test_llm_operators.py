@@ -236,6 +236,17 @@ def test_op5_held_out_accuracy(spark):
     assert lang[:3] == ["und"] * 3 and rejected.tolist()[:4] == [True] * 4 and not rejected[4] and lang[4] == "en" and (score >= 0).all() and (score <= 1).all()
 
 
+@pytest.mark.parametrize("other", ["de", "en", "es", "fr"])
+def test_op5_rejects_a_language_it_has_not_learned(spark, other):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang")
+    model = op5.fit(docs, ~op5.held_out() & (docs.lang != other))
+    rejected = lambda texts: float(model.predict(texts)[2].mean())
+    texts = {held: [r.text for r in docs.where(docs.lang == other if held else (docs.lang != other) & op5.held_out()).collect()] for held in (True, False)}
+    assert rejected(texts[True]) > 0.9 and rejected(texts[False]) < 0.02
+    for n in (5, 20):
+        assert rejected([" ".join(w[10:10 + n]) for w in map(str.split, texts[False]) if len(w) >= 10 + n]) < 0.04
+
+
 def test_op5_odd_rows(spark, odd):
     assert {r.lang_pred for r in op5.with_language(odd).where("text is null or trim(text) = ''").collect()} == {"und"}
     got = op5.with_language(odd.withColumn("lang", odd.lang.substr(9, 2)).where("false"))
