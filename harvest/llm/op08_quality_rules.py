@@ -3,18 +3,22 @@
 Base facts of each text are counted (``facts``). Rules reject a text whose measure is on the wrong side of a cutoff
 (``RULES``); which cutoffs are used is decided on labelled holdout rows:
 
-1. For each stratum (language), rule and candidate cutoff, Spark counts the good rows (quality 1) and those that
+1. For each stratum (language), rule and candidate cutoff, Spark counts the good rows (quality 1) and the others that
    the cutoff would reject. Only these counts, whose number is strata x rules x candidates, reach the driver.
-2. The exact (Clopper-Pearson) upper bound on a cutoff's false rejection rate is taken at the confidence that the
-   Bonferroni correction over all tested cutoffs of all rules and strata leaves, so that all bounds hold at once.
-3. A rule takes its strictest cutoff whose bound is within the rule's share of ``risk``: all rules together
-   reject at most ``risk`` of a stratum's good texts, with probability 1 - ``delta``. A rule for which no cutoff
-   qualifies (too few labels) rejects nothing.
+2. For each rule and each of a few shares of ``risk``, the cutoffs are tested in fixed sequence from lax to strict: a
+   cutoff holds if the exact (Clopper-Pearson) upper bound on its false rejection rate is within the share, and the first
+   that does not ends the sequence. So the error is divided by strata, rules and shares, not by cutoffs (Bonferroni), and
+   all sequences hold at once, whichever are used.
+3. Rules get the shares, of ``risk`` in all, that reject most rows that are not good: what one rule does not need, others get.
+   All rules together reject at most ``risk`` of a stratum's good texts, with probability 1 - ``delta``. A rule without a
+   share rejects nothing.
+4. Strata with too few labels for all rules at once (even without any false rejection) are pooled: they share cutoffs, and
+   what is bounded is the rate over all of them together. If even the pool is too small for one rule, all strata are pooled for them.
 
 A text is kept if it passes the base rule and no chosen rule rejects it.
 
 Defined cases: null and empty texts have no words and fail the base rule; a text whose stratum is null is of the stratum
-''; a stratum without labels has no rules; several labels of one id: it is good only if all non-null ones are 1;
+''; a stratum without labels has no rules, one with only bad labels is pooled; several labels of one id: it is good only if all non-null ones are 1;
 labels without id or quality are not used; ratios with nothing below the line are 0. Rows with one id are separate rows.
 Other columns are carried in ``rest``.
 """
@@ -146,22 +150,48 @@ def binomial_cdf(k: int, n: int, p: float) -> float:
 
 def choose(labelled: DataFrame, risk: float = 0.03, delta: float = 0.05, strata: int = 1000) -> dict[str, dict[str, float]]:
     """stratum -> rule -> cutoff. labelled: stratum, good, facts, base_failed. More than ``strata`` strata are refused."""
-    good = labelled.where("good")
     tests = [(rule, c) for rule, (_, _, candidates) in RULES.items() for c in candidates]
-    counts = good.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *[F.count_if(rejects(r, F.lit(c))).alias(f"t{i}") for i, (r, c) in enumerate(tests)])
+    counts = labelled.groupBy("stratum").agg(F.count_if("good").alias("n"), *[F.count_if(side & rejects(r, F.lit(c))).alias(f"{name}{i}")
+                                             for name, side in (("t", F.col("good")), ("b", ~F.col("good"))) for i, (r, c) in enumerate(tests)])
     rows = counts.limit(strata + 1).collect()
     if len(rows) > strata:
         raise ValueError(f"over {strata} strata")
-    error = delta / max(1, len(rows) * len(tests))
-    out: dict[str, dict[str, float]] = {}
-    for r in rows:
-        chosen = out.setdefault(r.stratum, {})
-        for i, (rule, cutoff) in enumerate(tests):     # strict to lax: the first that qualifies stays
-            if rule not in chosen and upper_bound(r[f"t{i}"], r.n, error) <= risk / len(RULES):
-                chosen[rule] = cutoff
+    error = delta / ((len(rows) + 1) * len(RULES) * len(SHARES))
+    groups = {r.stratum: r.asDict() for r in rows}
+    few = [s for s, r in groups.items() if upper_bound(0, r["n"], error) > risk / len(RULES)]
+    total = lambda names: {k: sum(groups[s][k] for s in names) for k in rows[0].asDict() if k != "stratum"}
+    out = {s: cutoffs(r, tests, risk, error) for s, r in groups.items() if s not in few}
+    if few:
+        pool = total(few)
+        pool = cutoffs(pool if upper_bound(0, pool["n"], error) <= risk else total(groups), tests, risk, error)
+        out |= {s: pool for s in few}
     return out
 
 
+#: Parts of the risk that a rule can get.
+UNITS = 12
+SHARES = (1, 2, 3, 4, 6, 12)
+
+
+def cutoffs(counts: dict[str, int], tests: list[tuple[str, float]], risk: float, error: float) -> dict[str, float]:
+    """rule -> cutoff. counts: n, and the good (t) and other (b) rows that each test rejects."""
+    best: list[tuple[int, int, dict[str, float]]] = [(0, 0, {})] * (UNITS + 1)     # by parts spent: other rows rejected, strictness, cutoffs
+    for rule in RULES:
+        mine = [(i, c) for i, (r, c) in enumerate(tests) if r == rule][::-1]      # lax to strict
+        now = list(best)
+        for share in SHARES:
+            held = 0
+            while held < len(mine) and upper_bound(counts[f"t{mine[held][0]}"], counts["n"], error) <= risk * share / UNITS:
+                held += 1
+            if held:
+                i, c = mine[held - 1]
+                for spent in range(share, UNITS + 1):
+                    others, strict, chosen = best[spent - share]
+                    now[spent] = max(now[spent], (others + counts[f"b{i}"], strict + held, chosen | {rule: c}), key=lambda x: x[:2])
+        best = now
+    return max(best, key=lambda x: x[:2])[2]
+
+
 def quality(docs: DataFrame, labels: DataFrame, risk: float = 0.03, delta: float = 0.05, doc_id: str = "doc_id", text: str = "text",
             stratum: str = "lang") -> DataFrame:
     """rest (all columns but the text), the facts, base_failed, rejected_by (the rules' names) and kept."""

@@ -356,6 +356,25 @@ def test_op8_keeps_good_and_limits_risk(spark):
     assert sum(r.kept for r in got if r.quality == 0) < 0.4 * sum(r.quality == 0 for r in got)
 
 
+def test_op8_rules_fire_in_small_strata(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    got = op8.digest(op8.quality(docs, labels)).join(labels, "doc_id").join(docs.select("doc_id", "lang"), "doc_id").collect()
+    for lang in ("en", "de", "fr", "es"):
+        good, bad = ([r.kept for r in got if r.lang == lang and r.quality == q and not (q and r.base_failed)] for q in (1, 0))
+        print(lang, len(good), 1 - sum(good) / len(good), len(bad), sum(bad))
+        assert sum(good) / len(good) > 0.97 and sum(bad) < 0.25 * len(bad)
+
+
+def test_op8_cutoffs_in_fixed_sequence():
+    tests = [(rule, c) for rule, (_, _, candidates) in op8.RULES.items() for c in candidates]
+    counts = lambda n, bad: {"n": n, **{f"t{i}": n if k else 0 for i, k in enumerate(bad)}, **{f"b{i}": 1 for i in range(len(tests))}}
+    none, first = [False] * len(tests), [c == op8.RULES[r][2][-1] for r, c in tests]
+    strictest = {r: op8.RULES[r][2][0] for r in op8.RULES}
+    assert op8.cutoffs(counts(5000, none), tests, 0.03, 1e-4) == strictest
+    assert len(op8.cutoffs(counts(500, none), tests, 0.03, 1e-4)) == 1      # one rule gets the whole risk
+    assert op8.cutoffs(counts(5000, first), tests, 0.03, 1e-4) == {} == op8.cutoffs(counts(100, none), tests, 0.03, 1e-4)
+
+
 def test_op8_odd_rows(spark, odd):
     labels = spark.createDataFrame([(1, 1, None), (4, None, 0), (None, 1, 0), (4, 1, 1), (4, 0, 1)], "doc_id long, quality int, toxic int")
     got = op8.digest(op8.quality(odd, labels)).collect()
