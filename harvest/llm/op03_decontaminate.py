@@ -1,17 +1,19 @@
 """Benchmark decontamination by template canonicalisation.
 
-1. Words (white space and punctuation around them stripped, lower case) become template tokens: numbers, names
-   (capitalised words that neither begin a sentence nor are all capitals) and units become typed placeholders, whose words are the
-   slots' values; other words stand for themselves.
+1. Words (white space and punctuation around them stripped, lower case) become template tokens: runs of numbers (also in
+   words), names (capitalised words that are not all capitals, and do not begin a sentence unless they occur as a name, and
+   never in lower case, elsewhere in the text) and units (also behind a number without a space) become one typed placeholder
+   each, whose words are the slot's value; other words stand for themselves.
 2. All windows of ``size`` template tokens of benchmark and documents are hashed and joined on the hash. An item
    shorter than that is one window of its own length. Windows with slots are joined as the literal words too, so that copies
-   match whatever they consist of; as templates, windows of an item count only if half their tokens are words. A bit map of fixed size over the benchmark's hashes goes to
+   match whatever they consist of; as templates, windows of an item count only if half their
+   words stand for themselves, or half their tokens and half of ``size``. A bit map of fixed size over the benchmark's hashes goes to
    the tasks that read documents, so that windows that cannot join are never sent; the join itself is exact
    in its other steps: it compares the windows' tokens again.
-3. Matches of a document and an item at one offset are an alignment (at most one window for each place of the
-   item). Slot consistency: numbers, names and units of the item must map one to one to values in the document. An
-   alignment holds if its consistent windows cover ``coverage`` of the item's tokens: ``exact`` if all values are
-   the same, else ``reworked``.
+3. Matches of a document and an item at one offset, or at offsets within ``DRIFT`` / 2 tokens in the item's order (words were put in
+   or left out), are an alignment. Slot consistency: numbers, names and units of the item must map one to one to values
+   in the document. An alignment holds if its consistent windows cover ``coverage`` of the item's words: ``exact`` if all
+   values are the same, else ``reworked``.
 
 Defined cases: null texts have no tokens; items without tokens match nothing; items with the same template text count
 as one, named by the least item_id; documents with the same id are told apart by their text, and rows with the same
@@ -34,6 +36,12 @@ from harvest.llm._text import U64, WORD, cut, gram_hashes, mix, pieces, rest_of
 BITS = 24       # of the bit map: 2 MB, whatever the benchmark's size
 EDGE = re.compile(r"^\W+|\W+$")
 NUMBER = re.compile(r"[+-]?[\d][\d.,:/]*(st|nd|rd|th|%)?$")
+NUMBER_WORDS = frozenset("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen "
+                         "nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion dozen "
+                         "zwei drei vier fünf sechs sieben acht neun zehn elf zwölf hundert tausend deux trois quatre cinq sept huit neuf dix onze douze "
+                         "mille dos tres cuatro cinco seis siete ocho nueve diez doce cien mil".split())
+GLUED = re.compile(r"([+-]?\d[\d.,]*)([^\W\d_]+|°[cfCF])$")
+DRIFT = 16
 #: Fixed list of units, also behind a number without a space.
 UNITS = frozenset("km m cm mm mi mile miles ft foot feet inch inches yd yards kg g mg lb lbs oz ton tons tonnes l ml liter liters litre litres "
                   "gallon gallons s sec second seconds min minute minutes h hr hour hours day days week weeks month months year years "
@@ -49,19 +57,20 @@ class Lexer(dict):
     def __init__(self, room: int = 1 << 19) -> None:
         super().__init__()
         self.word, self.hash, self.kind = np.zeros(room, np.uint64), np.zeros(room, np.uint64), np.zeros(room, np.int8)
-        self.capital, self.ends = np.zeros(room, bool), np.zeros(room, bool)
+        self.capital, self.ends, self.glued = np.zeros(room, bool), np.zeros(room, bool), np.zeros(room, bool)
 
     def __missing__(self, word: str) -> int:
         n = len(self)
         if n == len(self.hash):
-            for name in ("word", "hash", "kind", "capital", "ends"):
+            for name in ("word", "hash", "kind", "capital", "ends", "glued"):
                 setattr(self, name, np.concatenate((getattr(self, name), np.zeros_like(getattr(self, name)))))
         core = EDGE.sub("", word)
         small = core.lower()
-        kind = NOTHING if not core else NUM if NUMBER.match(core) else UNIT if small in UNITS else PLAIN
+        kind = NOTHING if not core else NUM if NUMBER.match(core) or small in NUMBER_WORDS else UNIT if small in UNITS else PLAIN
         self.word[n] = xxhash.xxh64_intdigest(small.encode("utf-8", "surrogatepass"))
         self.hash[n] = PLACE[kind] if kind else self.word[n]
         self.kind[n], self.capital[n], self.ends[n] = kind, core[:1].isupper() and not core.isupper() and kind == PLAIN, word.rstrip("\"')]»”").endswith((".", "!", "?", ":"))
+        self.glued[n] = bool((m := GLUED.match(small)) and m[2] in UNITS)
         self[word] = n
         return n
 
@@ -71,9 +80,16 @@ class Lexer(dict):
             self.clear()
         words = WORD.findall(text) if text else []
         code = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        if self.glued[code].any():
+            words = [x for w, g in zip(words, self.glued[code].tolist()) for x in (parted(w) if g else (w,))]
+            code = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         kind = self.kind[code]
         begins = np.concatenate(([True], self.ends[code[:-1]])) if len(code) else np.empty(0, bool)
-        name = self.capital[code] & ~begins
+        capital, name = self.capital[code], self.capital[code] & ~begins
+        opener = capital & begins
+        if opener.any() and name.any():
+            word = self.word[code]
+            name[opener] = np.isin(word[opener], word[name]) & ~np.isin(word[opener], word[~capital])
         kind = np.where(name, NAME, kind)
         literal, hashes = self.word[code], np.where(name, PLACE[NAME], self.hash[code])
         real = kind != NOTHING
@@ -87,22 +103,41 @@ def core(word: str) -> str:
     return EDGE.sub("", word).lower()
 
 
-def windows(words: list[str], kind: np.ndarray, size: int, at: list[int], literal: bool) -> Iterator[tuple[int, list[str], list[str]]]:
-    """place, template tokens (or the words themselves) and values of all slots of the windows at these places."""
+def parted(word: str) -> tuple[str, str]:
+    """A number and the unit behind it."""
+    bare = EDGE.sub("", word)
+    at = word.index(bare) + GLUED.match(bare).end(1)
+    return word[:at], word[at:]
+
+
+def slots_of(kind: np.ndarray) -> np.ndarray:
+    """The first word of each token: a run of words of one placeholder is one. The number of words follows."""
+    return np.append(np.flatnonzero(np.concatenate(([True], (kind[1:] != kind[:-1]) | (kind[1:] == PLAIN)))) if len(kind) else [], len(kind)).astype(np.int64)
+
+
+def templates(words: list[str], kind: np.ndarray, first: np.ndarray, size: int, at: list[int]) -> Iterator[tuple]:
+    """place, its first word and the word after its last, template tokens and slot values of the windows at these tokens."""
     for i in at:
-        part = [core(w) for w in words[i:i + size]]
-        kinds = kind[i:i + size].tolist()
-        yield i, part if literal else [f"<{k}>" if k else w for w, k in zip(part, kinds)], [w for w, k in zip(part, kinds) if k]
+        ends = first[i:i + size + 1].tolist()
+        parts = [(int(kind[a]), " ".join(map(core, words[a:b]))) for a, b in zip(ends, ends[1:])]
+        yield i, ends[0], ends[-1], [f"<{k}>" if k else w for k, w in parts], [w for k, w in parts if k]
 
 
-def plain_words(kind: np.ndarray, size: int) -> np.ndarray:
-    """How many tokens of each window are words. Templates of an item with under half are left out: they are nothing but slots."""
-    plain = np.concatenate(([0], np.cumsum(kind == PLAIN)))
-    return plain[size:] - plain[:-size]
+def literals(words: list[str], first: np.ndarray, size: int, at: list[int]) -> Iterator[tuple]:
+    """The same of the windows at these words, as they are."""
+    place = (np.searchsorted(first, at, "right") - 1).tolist()
+    for i, p in zip(at, place):
+        yield p, i, i + size, list(map(core, words[i:i + size])), []
 
 
-WINDOW = "h long, pos int, tokens array<string>, slots array<string>"
-WINDOW_TYPES = (pa.int64(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.string()))
+def counts(flags: np.ndarray, size: int) -> np.ndarray:
+    """How many flags are set in each window."""
+    n = np.concatenate(([0], np.cumsum(flags)))
+    return n[size:] - n[:-size]
+
+
+WINDOW = "h long, pos int, begin int, end int, tokens array<string>, slots array<string>"
+WINDOW_TYPES = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.string()))
 
 
 def item_windows(benchmark: DataFrame, size: int, item_id: str, text: str) -> DataFrame:
@@ -113,26 +148,30 @@ def item_windows(benchmark: DataFrame, size: int, item_id: str, text: str) -> Da
             rows = []
             for item, t in zip(b.column("item").to_pylist(), b.column("text").to_pylist()):
                 words, literal, hashes, kind = lexer.read(t)
-                k = min(size, len(words))
-                if not k:
+                if not words:
                     continue
                 key = xxhash.xxh64_intdigest(" ".join(map(core, words)).encode("utf-8", "surrogatepass")) - (1 << 63)
-                plain = plain_words(kind, k)
-                for h, good, as_is in ((hashes, 2 * plain >= k, False), (literal, plain < k, True)):
-                    h = gram_hashes(h, k).view(np.int64)
-                    rows += [(item, key, len(words), int(h[i]), i, tokens, slots) for i, tokens, slots in windows(words, kind, k, np.flatnonzero(good).tolist(), as_is)]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows) if rows else [()] * 7, (pa.int64(), pa.int64(), pa.int32(), *WINDOW_TYPES))],
-                                             ["item", "item_key", "n", "h", "pos", "tokens", "slots"])
+                first = slots_of(kind)
+                k = min(size, len(first) - 1)
+                plain = counts(kind[first[:-1]] == PLAIN, k)
+                good = (2 * plain >= first[k:] - first[:-k]) | (2 * plain >= max(k, size))
+                h = gram_hashes(hashes[first[:-1]], k).view(np.int64)
+                rows += [(item, key, len(words), int(h[x[0]]), *x) for x in templates(words, kind, first, k, np.flatnonzero(good).tolist())]
+                k = min(size, len(words))
+                h = gram_hashes(literal, k).view(np.int64)
+                rows += [(item, key, len(words), int(h[x[1]]), *x) for x in literals(words, first, k, np.flatnonzero(counts(kind != PLAIN, k)).tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows) if rows else [()] * 9, (pa.int64(), pa.int64(), pa.int32(), *WINDOW_TYPES))],
+                                             ["item", "item_key", "n", "h", "pos", "begin", "end", "tokens", "slots"])
 
     rows = (benchmark.select(F.col(item_id).cast("long").alias("item"), F.col(text).cast("string").alias("text"))
             .mapInArrow(run, f"item long, item_key long, n int, {WINDOW}"))
-    return rows.groupBy("item_key", "pos", "h").agg(F.min("item").alias("item"), F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("slots").alias("slots"))
+    return rows.groupBy("item_key", "pos", "begin", "end", "h").agg(F.min("item").alias("item"), F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("slots").alias("slots"))
 
 
 def matches(docs: DataFrame, items: DataFrame, size: int, coverage: float) -> DataFrame:
     """dk, th, item, kind, covered: the alignments that hold. docs: dk, th, text."""
     spark = docs.sparkSession
-    lengths = sorted(r[0] for r in items.select(F.least("n", F.lit(size))).distinct().collect())     # at most ``size`` of them
+    lengths = sorted(r[0] for r in items.select(F.size("tokens")).distinct().collect())     # at most ``size`` of them
     cells = items.select(F.expr(f"shiftrightunsigned(h, {64 - BITS})").alias("c")).distinct().toPandas()["c"].to_numpy()    # at most 2**BITS
     bitmap = np.zeros(1 << BITS, np.bool_)
     bitmap[cells.astype(np.int64)] = True
@@ -144,32 +183,33 @@ def matches(docs: DataFrame, items: DataFrame, size: int, coverage: float) -> Da
             rows = []
             for dk, th, t in zip(b.column("dk").to_pylist(), b.column("th").to_pylist(), b.column("text").to_pylist()):
                 words, literal, hashes, kind = lexer.read(t)
+                first = slots_of(kind)
+                short = hashes[first[:-1]]
                 for k in lengths:
                     if len(words) < k:
                         break
-                    for h, as_is in ((hashes, False), (literal, True)):
-                        h = gram_hashes(h, k)
-                        cell = (h >> U64(64 - BITS)).astype(np.int64)
-                        hit = np.flatnonzero(bits[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1)
-                        if len(hit):
-                            plain = plain_words(kind, k)[hit]
-                            at = hit[plain < k if as_is else 2 * plain >= k].tolist()    # without slots, both are the same
-                            rows += [(dk, th, int(h[i].view(np.int64)), i, tokens, None if as_is else slots or None) for i, tokens, slots in windows(words, kind, k, at, as_is)]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows) if rows else [()] * 6, (pa.int64(), pa.int64(), *WINDOW_TYPES))],
-                                             ["dk", "th", "h", "pos", "tokens", "slots"])
-
-    found = docs.mapInArrow(run, f"dk long, th long, {WINDOW}").distinct()
-    items = items.select("h", "item", "item_key", "n", F.col("pos").alias("item_pos"), F.col("tokens").alias("item_tokens"), F.col("slots").alias("item_slots"))
-    pairs = found.join(items, "h").where("tokens = item_tokens").withColumn("slots", F.coalesce("slots", "item_slots"))    # null: tokens are words, with equal values
-    aligned = (pairs.groupBy("dk", "th", "item_key", (F.col("pos") - F.col("item_pos")).alias("offset"))
-               .agg(F.min("item").alias("item"), F.first("n").alias("n"),
-                    F.collect_list(F.struct("item_pos", F.size("tokens").alias("size"), "item_slots", "slots")).alias("w")))
+                    h = gram_hashes(short, k)
+                    rows += [(dk, th, int(h[x[0]].view(np.int64)), *x) for x in templates(words, kind, first, k, hits(h, bits))]
+                    if kind.any():      # without slots, both are the same
+                        h = gram_hashes(literal, k)
+                        at = [i for i in hits(h, bits) if kind[i:i + k].any()]
+                        rows += [(dk, th, int(h[x[1]].view(np.int64)), *x) for x in literals(words, first, k, at)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows) if rows else [()] * 8, (pa.int64(), pa.int64(), *WINDOW_TYPES))],
+                                             ["dk", "th", "h", "pos", "begin", "end", "tokens", "slots"])
+
+    found = docs.mapInArrow(run, f"dk long, th long, {WINDOW}").drop("begin", "end").distinct()
+    items = items.select("h", "item", "item_key", "n", "begin", "end", F.col("pos").alias("item_pos"), F.col("tokens").alias("item_tokens"), F.col("slots").alias("item_slots"))
+    offset = F.col("pos") - F.col("item_pos")
+    near = F.array(2 * F.floor(offset / DRIFT), 2 * F.floor((offset + DRIFT // 2) / DRIFT) + 1)     # offsets within DRIFT / 2 share one
+    pairs = found.join(items, "h").where("tokens = item_tokens")
+    aligned = (pairs.withColumn("near", F.explode(near)).groupBy("dk", "th", "item_key", "near")
+               .agg(F.min("item").alias("item"), F.first("n").alias("n"), F.collect_list(F.struct("item_pos", "pos", "begin", "end", "item_slots", "slots")).alias("w")))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, 500):
             rows = []
             for r in b.to_pylist():
-                covered, exact = consistent(sorted(r["w"], key=lambda w: w["item_pos"]), r["n"])
+                covered, exact = best(r["w"], r["n"])
                 if covered >= coverage * r["n"]:
                     rows.append((r["dk"], r["th"], r["item"], r["item_key"], "exact" if exact else "reworked", covered / r["n"]))
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows) if rows else [()] * 6, (*(pa.int64(),) * 4, pa.string(), pa.float64()))],
@@ -178,20 +218,37 @@ def matches(docs: DataFrame, items: DataFrame, size: int, coverage: float) -> Da
     return aligned.mapInArrow(judge, "dk long, th long, item long, item_key long, kind string, covered double")
 
 
+def hits(h: np.ndarray, bits: np.ndarray) -> list[int]:
+    cell = (h >> U64(64 - BITS)).astype(np.int64)
+    return np.flatnonzero(bits[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1).tolist()
+
+
+def best(found: list[dict], n: int) -> tuple[int, bool]:
+    """The largest cover of windows with equal values, at one offset, or at all offsets that rise in the document as in the item."""
+    found = sorted(found, key=lambda w: (w["item_pos"], w["pos"], w["begin"]))
+    offsets = sorted({w["pos"] - w["item_pos"] for w in found})
+    ways = [[w for w in found if w["slots"] == w["item_slots"]], found]
+    if len(offsets) > 1:
+        ways += [[w for w in found if w["pos"] - w["item_pos"] == o] for o in offsets]
+    return max(consistent(way, n) for way in ways)
+
+
 def consistent(found: list[dict], n: int) -> tuple[int, bool]:
     """How many of the item's tokens lie in windows whose slots map one to one, and whether all values are the same.
-    A window that contradicts those before it is left out."""
+    A window that contradicts those before it, or stands before them in the document, is left out."""
     forth: dict[str, str] = {}
     back: dict[str, str] = {}
-    covered, exact = np.zeros(n, bool), True
+    covered, exact, at = np.zeros(n, bool), True, 0
     for w in found:
+        if w["pos"] < at:
+            continue
         pairs = list(zip(w["item_slots"], w["slots"]))
         f, b = dict(forth), dict(back)
         if any(f.setdefault(x, y) != y or b.setdefault(y, x) != x for x, y in pairs):
             continue
-        forth, back = f, b
+        forth, back, at = f, b, w["pos"]
         exact &= all(x == y for x, y in pairs)
-        covered[w["item_pos"]:w["item_pos"] + w["size"]] = True
+        covered[w["begin"]:w["end"]] = True
     return int(covered.sum()), exact
 
 

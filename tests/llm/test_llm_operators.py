@@ -217,6 +217,18 @@ def test_op3_copies_of_little_but_slots(spark):
     assert got == {0: ("exact", [0]), 1: ("exact", [1]), 2: ("exact", [2]), 3: (None, None), 4: (None, None)}
 
 
+def test_op3_values_of_other_lengths(spark):
+    items = ["A train goes from New York to Paris and takes 1 500 passengers over 5km of track", "Maria has three apples and gives two of them to Peter and then Maria sleeps",
+             " ".join(f"w{x}" for x in "abcdefghijklmnopqrstuvwxyz")]
+    docs = spark.createDataFrame([(0, "A train goes from Boston to Los Angeles and takes 20 passengers over 7km of track"),
+                                  (1, "Anna has four apples and gives five of them to Paul and then Anna sleeps"),
+                                  (2, items[2].replace("wj", "extra wj").replace("wr", "two more wr")),
+                                  (3, "A train goes from Boston to Boston and takes 20 passengers over 20km of track")], "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {r.rest.doc_id: (r.kind, r["items"]) for r in op3.decontaminate(docs, bench).collect()}
+    assert got[0] == ("reworked", [0]) and got[1] == ("reworked", [1]) and got[2][1] == [2] and got[3] == (None, None)
+
+
 def test_op3_finds_all_planted_passages(spark, docs, rows):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     items = {r.item_id: " ".join(r.text.lower().split()) for r in bench.collect()}
