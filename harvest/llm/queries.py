@@ -16,6 +16,9 @@ from harvest.llm import op07_sharding as op7
 from harvest.llm import op08_quality_rules as op8
 from harvest.llm import op09_html_text as op9
 from harvest.llm import op10_chat_format as op10
+from harvest.llm import op11_url_filter as op11
+from harvest.llm import op12_whitening as op12
+from harvest.llm import op13_merkle_manifest as op13
 from harvest.llm._text import table
 
 
@@ -59,10 +62,22 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10.format_chat(op10.tool_use(table(spark, sf_dir, "conversations")), op10.tool_table(spark))
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11.digest(op11.judged(table(spark, sf_dir, "pages").select("page_id", "url")))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13.digest(op13.manifest(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_substring_dedup, op2_bpe_lexicon, op3_decontaminate, op4_suffix_dedup, op5_language_id,
-                             op6_simhash_dedup, op7_sharding, op8_quality_rules, op9_html_text, op10_chat_format)}
+                             op6_simhash_dedup, op7_sharding, op8_quality_rules, op9_html_text, op10_chat_format, op11_url_filter, op12_whitening, op13_merkle_manifest)}
 
-#: None of these operators can be written as SQL of reasonable cost over whole tables; tests/llm holds each
+#: The other operators can't be written as SQL of reasonable cost over whole tables; tests/llm holds each
 #: against a brute-force version, an exact round trip or held-out accuracy.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op11_url_filter": op11.oracle(), "op13_merkle_manifest": op13.oracle()}
