@@ -92,12 +92,17 @@ def contained(nodes: DataFrame, parents: DataFrame, width: int) -> DataFrame:
     return c.join(p, F.expr("c.tree <=> p.tree AND c.bucket = p.bucket AND c.lo >= p.lo AND c.hi <= p.hi"))
 
 
-def descend(leaves: DataFrame, levels: list[DataFrame], tops: DataFrame, fanout: int) -> DataFrame:
+def descend(leaves: DataFrame, levels: list[DataFrame], tops: DataFrame | str | None, fanout: int) -> DataFrame:
     """All columns of ``leaves`` with ``top`` (its tree's top node) and ``path`` (left and right siblings, from the leaf's level
-    up to the root). ``tops`` has tree, top and path: the path of each tree's top node to the root."""
+    up to the root). ``tops`` has tree, top and path: the path of each tree's top node to the root. Where there is one tree, it is the root."""
+    def with_tops(nodes: DataFrame) -> DataFrame:
+        if not isinstance(tops, DataFrame):
+            return nodes.select("*", F.lit(tops).cast("string").alias("top"), F.array().cast("array<struct<left:string,right:string>>").alias("path"))
+        return nodes.alias("c").join(tops.alias("p"), F.expr("c.tree <=> p.tree")).select("c.*", "p.top", "p.path")
+
     if not levels:      # trees of one leaf
-        return leaves.alias("c").join(tops.alias("p"), F.expr("c.tree <=> p.tree")).select("c.*", "p.top", "p.path")
-    above = levels[-1].alias("c").join(tops.alias("p"), F.expr("c.tree <=> p.tree")).select("c.tree", "c.lo", "c.hi", "c.kids", "p.top", "p.path")
+        return with_tops(leaves)
+    above = with_tops(levels[-1]).drop("digest")
     for level in range(len(levels) - 1, 0, -1):
         below = contained(levels[level - 1], above, fanout ** (level + 1))
         above = below.select("c.tree", "c.lo", "c.hi", "c.kids", "p.top", F.concat(step("c", "p"), F.col("p.path")).alias("path"))
@@ -114,8 +119,7 @@ def manifest(docs: DataFrame, fanout: int = 16, **columns) -> DataFrame:
     over = grow(subroots, fanout)
     peak = (over[-1].select("digest") if over else subroots.select(F.col("leaf").alias("digest"))).first()
     root = peak["digest"] if peak else None
-    start = F.array().cast("array<struct<left:string,right:string>>").alias("path")
-    paths = descend(subroots, over, docs.sparkSession.range(1).select(F.lit(0).alias("tree"), F.lit(root).alias("top"), start), fanout)
+    paths = descend(subroots, over, root, fanout)
     tops = cut(paths.select(F.col("source").alias("tree"), F.col("leaf").alias("top"), "path"))
     found = descend(leaves, levels, tops, fanout)
     return found.select("doc_id", F.col("tree").alias("source"), F.col("lo").alias("rank"), "leaf", "forged", F.col("top").alias("subroot"), F.lit(root).alias("root"), "path")
