@@ -28,6 +28,15 @@ def catalog_counts(catalog: DataFrame, rows: DataFrame, id_col: str = "dataset_i
     return j.withColumn(name, F.coalesce(F.col(name), F.lit(0).cast("bigint")))
 
 
+def with_totals(catalog: DataFrame, totals: DataFrame, id_col: str = "dataset_id") -> DataFrame:
+    """Every catalog row with ``row_count`` and ``max_seq`` from a store's running totals
+    (``Store.totals``), 0 for datasets without rows. No dataset row is read."""
+    t = totals.select(F.col("dataset_id").alias("_fk"), "row_count", "max_seq")
+    zero = F.lit(0).cast("bigint")
+    j = catalog.join(t, catalog[id_col] == t["_fk"], "left")
+    return j.select(*[catalog[c] for c in catalog.columns], F.coalesce("row_count", zero).alias("row_count"), F.coalesce("max_seq", zero).alias("max_seq"))
+
+
 def catalog_listing(catalog: DataFrame, processed_ids: DataFrame, id_col: str = "dataset_id",
                     columns: Sequence[str] = ("title", "category", "dataset_id", "row_count"),
                     flag: str = "has_processed") -> DataFrame:
@@ -65,8 +74,8 @@ def catalog_search(catalog: DataFrame, keywords: DataFrame, kw_col: str = "keywo
                          F.lower(F.col(title_col)).alias("_lt"), F.col(id_col).cast("string").alias("_ids"),
                          F.coalesce(F.col(category_col), F.lit("")).alias("_cat"))
     # exact hits are equi-joins; fuzzy hits are substring joins (no cross product)
-    parts = [cat.join(kw, cat[title_col] == kw["_kw"]), cat.join(kw, cat["_ids"] == kw["_kw"])]
-    parts += [contains_join(cat, c, kw, "_kw") for c in ("_lt", "_ids", "_cat")]
+    values = cat.withColumn("_text", F.explode(F.array("_lt", "_ids", "_cat")))
+    parts = [cat.join(kw, cat[title_col] == kw["_kw"]), cat.join(kw, cat["_ids"] == kw["_kw"]), contains_join(values, "_text", kw, "_kw").drop("_text")]
     j = parts[0]
     for p in parts[1:]:
         j = j.unionByName(p)
@@ -197,13 +206,12 @@ def title_file_match(titles: DataFrame, files: DataFrame, title_col: str = "titl
     """Per title, the first document file (by name) whose name
     contains the cleaned title (with '圖' removed) or the raw title.
 
-    The substring join broadcasts the smaller side after a row-count check and
-    otherwise becomes an exact substring equi-join (``contains_join``)."""
+    Both needles of a title go through one substring join (``contains_join``)."""
     f = files.where(F.col(name_col).endswith(suffix)).select(name_col, path_col)
     t = titles.select(title_col, F.replace(clean_table_name(F.col(title_col)), F.lit(PDF_STRIP_CHAR),
                                            F.lit("")).alias("_clean")).distinct()
-    hits = (contains_join(f, name_col, t.select(title_col, "_clean"), "_clean")
-            .unionByName(contains_join(f, name_col, t.select(title_col, "_clean"), title_col)))
+    needles = t.select(title_col, F.explode(F.array_distinct(F.array("_clean", title_col))).alias("_needle_text"))
+    hits = contains_join(f, name_col, needles, "_needle_text")
     best = (t.join(hits.select(title_col, name_col, path_col), title_col, "left")
             .groupBy(title_col, "_clean")
             .agg(F.min_by(F.struct(name_col, path_col), F.col(name_col)).alias("_m")))

@@ -5,7 +5,8 @@ Upsert semantics (K04): for a key present in the batch, every column the batch
 supplies overwrites the stored value (NULLs included), other stored columns
 are kept, ``created_at`` is kept and ``last_updated_at`` becomes ``now``; a new
 key is inserted with both audit columns ``now``. Batch keys are made unique
-first (last ordinal wins), matching repeated single-row upserts.
+first (last ordinal wins), matching repeated single-row upserts. A NULL key is
+a key like any other, here and in all operators of this module.
 
 Plan shape: stored rows whose key is not in the batch pass through a
 left-anti join against the batch keys, and only the batch is left-joined to
@@ -27,6 +28,7 @@ from harvest.functions.times import ts_lit
 from harvest.functions.sizes import human_size
 from harvest.functions.text import file_stem
 from harvest.operators.dedup import keep_last
+from harvest.operators.joins import same_keys
 from harvest.operators.numbering import consecutive_index
 
 CREATED = "created_at"
@@ -58,18 +60,17 @@ def upsert(store: DataFrame, batch: DataFrame, keys: Sequence[str] | str, now=No
     if audit:
         out_cols += [c for c in (CREATED, UPDATED) if c not in out_cols]
 
-    bkeys = batch.select(*keys)
-    kept = store.join(bkeys, keys, "left_anti")
+    kept = _without(store, batch, keys)
     kept = kept.select(*[F.col(c) if c in store_cols else F.lit(None).alias(c) for c in out_cols])
 
     b = batch.alias("b")
     s = store.withColumn("_in_store", F.lit(True)).alias("s")
-    j = b.join(s, keys, "left")
+    j = b.join(s, same_keys(keys, "b", "s"), "left")
     stored = F.col("s._in_store").isNotNull()
 
     def pick(c: str) -> Column:
         if c in keys:
-            return F.col(c)
+            return F.col(f"b.`{c}`").alias(c)
         if c == CREATED and audit:
             # kept as stored (even NULL) for an existing key, now for a new one
             return (F.when(stored, F.col(f"s.{c}")).otherwise(now_c) if c in store_cols else now_c).alias(c)
@@ -88,23 +89,26 @@ def upsert(store: DataFrame, batch: DataFrame, keys: Sequence[str] | str, now=No
     return kept.unionByName(merged)
 
 
+def _without(store: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The stored rows whose key is not in the batch."""
+    return store.alias("s").join(batch.select(*keys).distinct().alias("b"), same_keys(keys, "s", "b"), "left_anti")
+
+
 def replace_by_key(store: DataFrame, batch: DataFrame, keys: Sequence[str] | str) -> DataFrame:
     """Drop stored rows whose key is in the batch, append the batch."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    kept = store.join(batch.select(*keys).distinct(), keys, "left_anti")
-    return kept.unionByName(batch, allowMissingColumns=True)
+    return _without(store, batch, keys).unionByName(batch, allowMissingColumns=True)
 
 
 def delete_by_key(store: DataFrame, doomed: DataFrame, keys: Sequence[str] | str) -> DataFrame:
     keys = [keys] if isinstance(keys, str) else list(keys)
-    return store.join(doomed.select(*keys).distinct(), keys, "left_anti")
+    return _without(store, doomed, keys)
 
 
 def insert_if_absent(store: DataFrame, batch: DataFrame, keys: Sequence[str] | str | None = None) -> DataFrame:
     """Add batch rows whose key (default: the whole row) is not stored."""
     keys = [keys] if isinstance(keys, str) else list(keys or store.columns)
-    fresh = batch.dropDuplicates(keys).join(store.select(*keys), keys, "left_anti")
-    return store.unionByName(fresh)
+    return store.unionByName(_without(batch.dropDuplicates(keys), store, keys))
 
 
 # ------------------------------------------------------------ free sequences

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from harvest.functions.text import MAP_URL_FIELD
@@ -168,6 +172,53 @@ def dup_preview(spark, sf):
                                    "event_id", drop=["props"])
 
 
+# Ordinals with gaps and ties: every seventh event has none, the others share one with up to ten events.
+_ORDINALS_SQL = """(SELECT *, CASE WHEN event_id % 7 <> 0 THEN CAST(floor(event_id / 10) AS BIGINT) END AS ordinal,
+  CASE WHEN event_type <> 'error' THEN event_type END AS kind FROM events)"""
+
+
+def ordinal_events(spark, sf):
+    ordinal = F.when(F.col("event_id") % 7 != 0, F.floor(F.col("event_id") / 10).cast("bigint"))
+    return read_table(spark, sf, "events").select("*", ordinal.alias("ordinal"), F.when(F.col("event_type") != "error", F.col("event_type")).alias("kind"))
+
+
+@register("dedup_ties", f"""
+SELECT 'first' AS kept, event_id, user_id, kind, ordinal FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, kind ORDER BY ordinal NULLS LAST, event_id) AS rn FROM {_ORDINALS_SQL} e) t WHERE rn = 1
+UNION ALL
+SELECT 'last', event_id, user_id, kind, ordinal FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, kind ORDER BY ordinal DESC NULLS FIRST, event_id DESC) AS rn FROM {_ORDINALS_SQL} e) t WHERE rn = 1
+UNION ALL
+SELECT 'surplus', event_id, user_id, kind, ordinal FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, kind ORDER BY ordinal NULLS LAST, event_id) AS rn FROM {_ORDINALS_SQL} e) t WHERE rn > 1""")
+def dedup_ties(spark, sf):
+    """W01 + W02 + W03 with NULL keys, NULL ordinals and ordinals that repeat: first rows, last rows, and what keeping the first deletes."""
+    ev, args = ordinal_events(spark, sf), (["user_id", "kind"], "ordinal")
+    cols = ["event_id", "user_id", "kind", "ordinal"]
+    parts = (("first", dedup.keep_first(ev, *args, tie_break=["event_id"])), ("last", dedup.keep_last(ev, *args, tie_break=["event_id"])),
+             ("surplus", dedup.surplus_rows(ev, *args, tie_break=["event_id"])))
+    out = [df.select(F.lit(kept).alias("kept"), *cols) for kept, df in parts]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+@register("dedup_located", """
+SELECT side, event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, 'first' AS side, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS rn FROM events) t WHERE rn = 1
+UNION ALL
+SELECT 'surplus', event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS rn FROM events) t WHERE rn > 1
+UNION ALL
+SELECT 'last', event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY ts ORDER BY event_id DESC) AS rn FROM events) t WHERE rn = 1""")
+def dedup_located(spark, sf):
+    """W01 + W02 + W03 with late materialisation: rows chosen by their place in the files, payloads read once more by place."""
+    ev = read_table(spark, sf, "events")
+    args = (["user_id", "event_type"], "event_id")
+    parts = (("first", dedup.keep_first_located(ev, *args)), ("surplus", dedup.surplus_located(ev, *args)), ("last", dedup.keep_last_located(ev, ["ts"], "event_id")))
+    out = [df.select(F.lit(side).alias("side"), *ev.columns) for side, df in parts]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 @register("distinct_rows", "SELECT DISTINCT * FROM lineitem")
 def distinct_rows(spark, sf):
     li = read_table(spark, sf, "lineitem")
@@ -306,36 +357,112 @@ SELECT u.dataset_id, u._ord, mode, seq, {_ROW_ID_SQL}, e._ord AS rec_event_id, e
   e.ts_text AS rec_ts, e.value AS rec_value, e.k AS rec_k
 FROM u JOIN {_EV_SQL} e ON e._ord = u._ord""")
 def refresh_all_q(spark, sf):
-    """Lifecycle 3.1 over every dataset at once (see harvest.plans.refresh)."""
+    """Lifecycle 3.1 over every dataset at once (see harvest.plans.refresh), against a store's key index and ledger."""
     from harvest.plans.refresh import refresh_all
-    rows = event_payload_rows(spark, sf)
-    store = (rows.where(F.col("ts") < ts_lit(inputs.STORE_BEFORE))
-             .select("dataset_id", (F.col("_ord") + 1).alias("seq"), "v"))
-    out = refresh_all(rows.drop("ts"), store, event_configs(spark, sf), cutoff=F_CUTOFF)
-    return out.select("dataset_id", "_ord", "mode", "seq", "row_id", *record_fields())
+    rows, configs = event_payload_rows(spark, sf), event_configs(spark, sf)
+    with event_store(spark, sf) as store:
+        out = refresh_all(rows.drop("ts"), store, configs, cutoff=F_CUTOFF)
+        return out.select("dataset_id", "_ord", "mode", "seq", "row_id", *record_fields()).checkpoint()
+
+
+@contextmanager
+def event_store(spark, sf):
+    """A store in the shared folder that holds the events before STORE_BEFORE; deleted at the end."""
+    from harvest.plans.refresh import load_store
+    from harvest.session import checkpoint_dir
+    from harvest.store import Store
+    store = Store(spark, os.path.join(checkpoint_dir(spark), "harvest", f"store-{uuid.uuid4().hex}"))
+    try:
+        stored = event_payload_rows(spark, sf).where(F.col("ts") < ts_lit(inputs.STORE_BEFORE)).withColumn("seq", F.col("_ord") + 1)
+        load_store(store, stored, event_configs(spark, sf))
+        yield store
+    finally:
+        store.remove()
 
 
-@register("refresh_store", f"""{_REFRESH_SQL},
+_STORED_SQL = f"""{_REFRESH_SQL},
 u AS (SELECT dataset_id, _ord, seq FROM full_rows UNION ALL SELECT dataset_id, _ord, seq FROM inc_rows
-      UNION ALL SELECT dataset_id, _ord, seq FROM s WHERE dataset_id NOT IN (SELECT dataset_id FROM mode WHERE mode = 'full'))
+      UNION ALL SELECT dataset_id, _ord, seq FROM s WHERE dataset_id NOT IN (SELECT dataset_id FROM mode WHERE mode = 'full'))"""
+
+
+@register("refresh_store", f"""{_STORED_SQL}
 SELECT u.dataset_id, seq, {_ROW_ID_SQL}, e._ord AS rec_event_id, e.user_id AS rec_user_id,
   e.ts_text AS rec_ts, e.value AS rec_value, e.k AS rec_k
 FROM u JOIN {_EV_SQL} e ON e._ord = u._ord""")
 def refresh_store_q(spark, sf):
-    """Lifecycle 3.1 with its writes (K01, K02, P05): a store is written, the landed rows are refreshed into it
+    """Lifecycle 3.1 with its writes (K01, K02, P05): the landed rows are refreshed into a store
     twice, and the stored table is returned; the second run finds nothing new."""
-    import os
-    import uuid
-    from harvest.plans.refresh import dataset_row_id, read_store, refresh_store
-    from harvest.session import checkpoint_dir
-    from harvest.sinks import append
-    path = os.path.join(checkpoint_dir(spark), "harvest", f"store-{uuid.uuid4().hex}")
+    from harvest.plans.refresh import refresh_store
     rows, configs = event_payload_rows(spark, sf), event_configs(spark, sf)
-    stored = rows.where(F.col("ts") < ts_lit(inputs.STORE_BEFORE)).withColumn("seq", F.col("_ord") + 1)
-    append(stored.select("seq", dataset_row_id("dataset_id", "seq").alias("row_id"), F.to_json("v").alias("record"), "dataset_id"), path)
-    for _ in range(2):
-        refresh_store(rows.drop("ts"), path, configs, cutoff=F_CUTOFF)
-    return read_store(spark, path).select("dataset_id", "seq", "row_id", *record_fields())
+    with event_store(spark, sf) as store:
+        for _ in range(2):
+            refresh_store(rows.drop("ts"), store, configs, cutoff=F_CUTOFF)
+        return store.rows().select("dataset_id", "seq", "row_id", *record_fields()).checkpoint()
+
+
+# Rows that are landed twice: purchases of even value. Datasets without key columns: signups (a code list) and errors.
+_LANDED_TWICE_SQL = "dataset_id = 'purchase' AND CAST(floor(value) AS BIGINT) % 2 = 0"
+
+
+@register("refresh_status", f"""{_REFRESH_SQL},
+d AS (SELECT dataset_id, count(*) AS unique_rows, CAST(count(*) FILTER ({_LANDED_TWICE_SQL}) AS BIGINT) AS twice FROM {_EV_SQL} e GROUP BY dataset_id),
+n AS (SELECT dataset_id, count(*) AS n FROM (SELECT dataset_id FROM full_rows UNION ALL SELECT dataset_id FROM inc_rows) x GROUP BY dataset_id),
+t AS (SELECT dataset_id, count(*) AS n FROM s GROUP BY dataset_id),
+o AS (SELECT d.dataset_id, COALESCE(mode.mode, 'incremental') AS mode, unique_rows + twice AS downloaded, unique_rows, COALESCE(n.n, 0) AS fresh, COALESCE(t.n, 0) AS stored
+      FROM d LEFT JOIN mode USING (dataset_id) LEFT JOIN n USING (dataset_id) LEFT JOIN t USING (dataset_id))
+SELECT run, dataset_id, mode, CASE WHEN dataset_id = 'error' THEN 'error' WHEN new_rows > 0 THEN 'updated' ELSE 'unchanged' END AS status, downloaded, unique_rows, new_rows,
+       CASE WHEN mode = 'full' AND new_rows > 0 THEN new_rows ELSE stored + CASE WHEN dataset_id = 'error' THEN 0 ELSE fresh END END AS total_rows
+FROM (SELECT o.*, run, CASE WHEN dataset_id = 'error' OR (run = 2 AND mode <> 'full') THEN 0 ELSE fresh END AS new_rows FROM o, (VALUES (1), (2)) v(run)) x""")
+def refresh_status(spark, sf):
+    """A07 + A08: the outcome of each dataset in two refreshes of the same landed rows, some of them landed twice; one dataset has no key
+    columns and is not compared, another has none and is replaced."""
+    from harvest.plans.refresh import refresh_store
+    rows = event_payload_rows(spark, sf).drop("ts")
+    value = F.try_variant_get("v", "$.value", "double")
+    twice = rows.where((F.col("dataset_id") == "purchase") & (F.floor(value) % 2 == 0)).withColumn("_ord", F.col("_ord") + (1 << 40))
+    configs = event_configs(spark, sf).withColumn("keys", F.when(~F.col("dataset_id").isin("signup", "error"), F.col("keys")))
+    out = None
+    with event_store(spark, sf) as store:
+        for run in (1, 2):
+            got = refresh_store(rows.unionByName(twice), store, configs, cutoff=F_CUTOFF).select(F.lit(run).alias("run"), "*")
+            out = got if out is None else out.unionByName(got)
+        return out.checkpoint()
+
+
+_TOTALS_SQL = f"""{_STORED_SQL},
+moved AS (SELECT CASE WHEN dataset_id = 'click' THEN 'clicks' ELSE dataset_id END AS dataset_id, _ord, seq, {_ROW_ID_SQL} FROM u WHERE dataset_id <> 'error')"""
+
+
+@register("store_moves", f"""{_TOTALS_SQL}
+SELECT m.dataset_id, m.seq, m.row_id, m._ord AS rec_event_id FROM moved m""")
+def store_moves(spark, sf):
+    """K12 + K13 on the store: a refresh, then a dataset renamed, another deleted, the rest merged into one piece each; rows keep their ids."""
+    with moved_store(spark, sf) as store:
+        return store.rows().select("dataset_id", "seq", "row_id", F.get_json_object("record", "$.event_id").cast("bigint").alias("rec_event_id")).checkpoint()
+
+
+@register("store_totals", f"""{_TOTALS_SQL}
+SELECT e.dataset_id, COALESCE(count(m.seq), 0) AS row_count, COALESCE(max(m.seq), 0) AS max_seq
+FROM (SELECT DISTINCT event_type AS dataset_id FROM events UNION SELECT 'clicks') e LEFT JOIN moved m USING (dataset_id) GROUP BY e.dataset_id""")
+def store_totals(spark, sf):
+    """S08 + A01 + A05: row counts and largest sequences of all datasets, from the ledger; datasets without rows have 0."""
+    from harvest.operators.catalog import with_totals
+    named = read_table(spark, sf, "events").select(F.col("event_type").alias("dataset_id")).distinct()
+    ids_ = named.unionByName(spark.createDataFrame([("clicks",)], "dataset_id string"))
+    with moved_store(spark, sf) as store:
+        return with_totals(ids_, store.totals()).checkpoint()
+
+
+@contextmanager
+def moved_store(spark, sf):
+    from harvest.plans.refresh import refresh_store
+    with event_store(spark, sf) as store:
+        refresh_store(event_payload_rows(spark, sf).drop("ts"), store, event_configs(spark, sf), cutoff=F_CUTOFF)
+        store.rename("click", "clicks")
+        store.delete(spark.createDataFrame([("error",)], "dataset_id string"))
+        store.compact(over=1)
+        store.sweep()
+        yield store
 
 
 F_CUTOFF = __import__("datetime").datetime(*inputs.EVENTS_CUTOFF)

@@ -223,7 +223,7 @@ def test_contains_join_expansion_matches_broadcast(spark):
                                 "hid int, h string")
     needles = spark.createDataFrame([("a",), ("bc",), ("業資",), ("zz",), ("",), ("aa",)], "n string")
     small = _rows(contains_join(hay, "h", needles, "n"), "hid", "n")
-    big = _rows(contains_join(hay, "h", needles, "n", force_expand=True), "hid", "n")
+    big = _rows(contains_join(hay, "h", needles, "n", literal_needles=0), "hid", "n")
     assert small == big == [(0, "a"), (0, "bc"), (1, "業資"), (5, "a"), (5, "aa")]
 
 

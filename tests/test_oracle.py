@@ -23,9 +23,9 @@ def test_query_matches_oracle(spark, con, key):
 
 
 @pytest.mark.parametrize("key", ["catalog_lookup", "catalog_search", "title_file_match"])
-def test_substring_joins_without_broadcast(spark, con, key, monkeypatch):
+def test_substring_joins_by_the_gram_index(spark, con, key, monkeypatch):
     from harvest.operators import joins
-    monkeypatch.setattr(joins, "THETA_BROADCAST_MAX_ROWS", 0)   # force the substring equi-join path
+    monkeypatch.setattr(joins, "LITERAL_NEEDLES", 0)   # all needles go through the index
     res = compare(spark, con, key, E.queries()[key], E.oracle_sql().get(key), SF)
     assert res["status"] == "OK", res
     plan = E.queries()[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
