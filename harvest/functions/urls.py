@@ -75,17 +75,24 @@ def page_url(col, skip) -> Column:
     return F.concat(u, sep, F.lit(SKIP_PARAM + "="), s.cast("string"))
 
 
+def _let(value: Column, then) -> Column:
+    """``then(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), lambda v: then(v)), 0)
+
+
 def fold_dots(link: Column) -> Column:
     """A link's path, which begins with a slash, without ``.`` and ``..`` segments; query and fragment stay."""
-    path = F.regexp_extract(link, r"^([^?#]*)", 1)
-    parts = F.split(F.substr(path, F.lit(2)), "/")
-    parts = F.when(F.element_at(parts, -1).isin(".", ".."), F.concat(parts, F.array(F.lit("")))).otherwise(parts)
-    folded = F.aggregate(parts, F.array().cast("array<string>"), lambda done, part: (
-        F.when(part == ".", done)
-        .when(part == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
-        .otherwise(F.concat(done, F.array(part)))))
-    whole = F.concat(F.lit("/"), F.array_join(folded, "/"), F.substr(link, F.length(path) + 1))
-    return F.when(path.rlike(r"/\.\.?(/|$)"), whole).otherwise(link)
+    def folded(whole: Column, path: Column) -> Column:
+        parts = F.split(F.substr(path, F.lit(2)), "/")
+        parts = F.when(F.element_at(parts, -1).isin(".", ".."), F.concat(parts, F.array(F.lit("")))).otherwise(parts)
+        kept = F.aggregate(parts, F.array().cast("array<string>"), lambda done, part: (
+            F.when(part == ".", done)
+            .when(part == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
+            .otherwise(F.concat(done, F.array(part)))))
+        return F.when(path.rlike(r"/\.\.?(/|$)"), F.concat(F.lit("/"), F.array_join(kept, "/"), F.substr(whole, F.length(path) + 1))).otherwise(whole)
+
+    # most links have no dot behind a slash and are left alone
+    return _let(link, lambda l: F.when(F.contains(l, F.lit("/.")), _let(F.regexp_extract(l, r"^([^?#]*)", 1), lambda path: folded(l, path))).otherwise(l))
 
 
 def resolve_link(base_col, link_col) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from harvest.functions.text import compose_id
 from harvest.operators.joins import bounded_broadcast
-from harvest.operators.numbering import consecutive_index
+from harvest.operators.numbering import consecutive_index, running
 from harvest.session import checkpoint_dir
 
 ROW_SEQ_WIDTH = 7
@@ -57,6 +57,48 @@ def first_free_sequence(seqs: DataFrame, seq_col: str, group_by: Sequence[str] =
     return free.agg(F.coalesce(F.min("_c"), F.lit(1).cast("bigint")).alias(name))
 
 
+def free_intervals(seqs: DataFrame, seq_col: str, group: str) -> DataFrame:
+    """The unused numbers >= 1 of each group as intervals (``group``, lo, hi, ahead): hi is NULL for the last one, which has no
+    end, and ahead is how many free numbers the group has before lo.
+
+    A free interval begins at 1 or after a used number whose successor is free, and ends before a used number
+    whose predecessor is free. Both kinds of edges come from anti-joins on unique keys; in their order each begin is followed by
+    its end, and a running sum of ends less begins is the number of free numbers passed. Only the gaps are sorted, not
+    the used numbers. The intervals can be stored: ``allocate`` returns what is left of them, so that later allocations
+    need no used numbers."""
+    used = seqs.select(group, F.col(seq_col).cast("bigint").alias("_s")).where(F.col("_s") >= 1).distinct()
+    taken = used.select(F.col(group).alias("_g"), F.col("_s").alias("_t"))
+    first = used.select(group).distinct().select(group, F.lit(1).cast("bigint").alias("_e"), F.lit(False).alias("_end"))
+    edges = (used.select(group, F.explode(F.array(F.struct((F.col("_s") + 1).alias("_e"), F.lit(False).alias("_end")), F.struct((F.col("_s") - 1).alias("_e"), F.lit(True).alias("_end")))).alias("_x"))
+             .select(group, "_x._e", "_x._end").where("_e >= 1").unionByName(first))
+    edges = edges.join(taken, edges[group].eqNullSafe(taken["_g"]) & (edges["_e"] == taken["_t"]), "left_anti")
+    passed = F.when(F.col("_end"), F.col("_e") + 1).otherwise(-F.col("_e"))
+    scanned = running(edges, passed, ["_e", "_end"], [group], "_sum", how="sum", before="_ahead", following={"hi": "_e"})
+    return scanned.where(~F.col("_end")).select(group, F.col("_e").alias("lo"), "hi", F.coalesce("_ahead", F.lit(0).cast("bigint")).alias("ahead"))
+
+
+def allocate(free: DataFrame, requests: DataFrame, group: str, rank_col: str, name: str = "alloc") -> tuple[DataFrame, DataFrame]:
+    """Give the request of rank r (1, 2, ... per group) the r-th free number, as issuing the requests one by one, each taking
+    the first gap, would. Groups without intervals have all numbers free. Returns the requests with ``name``, and the intervals
+    that are left.
+
+    An interval serves the ranks from ``ahead`` + 1 on; those that are asked for, at most as many as there are requests,
+    are listed and joined to the requests on (group, rank)."""
+    zero = F.lit(0).cast("bigint")
+    w = requests.groupBy(group).agg(F.max(F.col(rank_col).cast("bigint")).alias("_k")).alias("w")
+    unknown = w.join(free.select(group).distinct().alias("f"), F.expr(f"w.`{group}` <=> f.`{group}`"), "left_anti").select(
+        F.col(group), F.lit(1).cast("bigint").alias("lo"), F.lit(None).cast("bigint").alias("hi"), zero.alias("ahead"))
+    f = free.select(group, "lo", "hi", "ahead").unionByName(unknown).alias("f")
+    served = f.join(w, F.expr(f"f.`{group}` <=> w.`{group}`"), "left").select("f.*", F.coalesce("_k", zero).alias("_k"))
+    upto = F.col("ahead") + F.col("hi") - F.col("lo") + 1               # NULL for the interval without an end
+    left = served.where(F.col("hi").isNull() | (upto > F.col("_k"))).select(
+        group, (F.col("lo") + F.greatest(F.col("_k") - F.col("ahead"), zero)).alias("lo"), "hi", F.greatest(F.col("ahead") - F.col("_k"), zero).alias("ahead"))
+    top = F.least(upto, "_k")               # leaves NULL out
+    ranks = served.where(F.col("ahead") < top).select(F.col(group).alias("_g"), F.explode(F.sequence(F.col("ahead") + 1, top)).alias("_at"), (F.col("lo") - F.col("ahead") - 1).alias("_shift"))
+    got = requests.join(ranks, requests[group].eqNullSafe(ranks["_g"]) & (requests[rank_col].cast("bigint") == ranks["_at"]))
+    return got.select(*[requests[c] for c in requests.columns], (F.col("_at") + F.col("_shift")).alias(name)), left
+
+
 def next_dataset_ids(catalog: DataFrame, prefix_col: str = "prefix",
                      id_col: str = "dataset_id", prefixes: DataFrame | None = None) -> DataFrame:
     """A06 applied to catalog ids: per 3-digit prefix, the first free dataset id.

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from harvest.functions.times import ts_lit
 from harvest.functions.dates import parse_date
 from harvest.functions.text import CODE_LIST_WORD, SPATIAL_WORD
+from harvest.session import checkpoint_dir
 
 # Column-name words that mark a date column, and words that
 # mark a dataset without one (checked on the lower-cased column name).
@@ -91,26 +92,37 @@ def load_mode(title, first_map_url) -> Column:
     return F.when(full, F.lit("full")).otherwise(F.lit("incremental"))
 
 
-def freshness_status(batch: DataFrame, catalog: DataFrame, categories: DataFrame) -> DataFrame:
+def free_dataset_numbers(catalog: DataFrame) -> DataFrame:
+    """The unused sequences of each category prefix as intervals (prefix, lo, hi), to be stored and handed on."""
+    from harvest.operators.ids import free_intervals
+    ok_id = F.col("dataset_id").rlike(r"^\d{7,}$")
+    used = catalog.where(ok_id).select(F.substring("dataset_id", 1, 3).alias("prefix"), F.substring("dataset_id", 4, 1 << 20).try_cast("bigint").alias("_n"))
+    return free_intervals(used, "_n", "prefix")
+
+
+def freshness_status(batch: DataFrame, catalog: DataFrame, categories: DataFrame, free: DataFrame | None = None) -> DataFrame:
     """Per incoming metadata record (by title): ``error`` when key fields
     are missing or the category is unknown (Q28), ``new`` when the title is
     not catalogued (gets the next free dataset id of its category, A06),
     ``unchanged`` when the stored update text equals the incoming one (string
-    equality), else ``update`` (keeps the stored id)."""
-    from harvest.operators.upsert import allocate_free
+    equality), else ``update`` (keeps the stored id). ``free``: the free numbers
+    (``free_dataset_numbers``) as they were stored, found from the catalog if not given."""
+    return freshness_and_free(batch, catalog, categories, free)[0]
+
+
+def freshness_and_free(batch: DataFrame, catalog: DataFrame, categories: DataFrame, free: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """``freshness_status``, and the free numbers that are left after it."""
+    from harvest.operators.ids import allocate
     from harvest.operators.numbering import consecutive_index
     from harvest.functions.text import compose_id
 
-    j = title_outcomes(batch, catalog, categories)
+    checkpoint_dir(batch.sparkSession)
+    j = title_outcomes(batch, catalog, categories).select("title", "status", "prefix", "_id").checkpoint()
     known = j.where(F.col("status") != "new").select("title", "status", F.col("_id").alias("dataset_id"))
-    new = j.where(F.col("status") == "new").select("title", "status", "prefix")
-    new = consecutive_index(new, ["title"], ["prefix"], name="_r")
-    ok_id = F.col("dataset_id").rlike(r"^\d{7,}$")
-    used = (catalog.where(ok_id).select(F.substring("dataset_id", 1, 3).alias("prefix"),
-                                         F.substring("dataset_id", 4, 1 << 20).try_cast("bigint").alias("_n")))
-    new = allocate_free(used, new, "prefix", "_n", "_r", name="_seq")
+    new = consecutive_index(j.where(F.col("status") == "new").select("title", "status", "prefix"), ["title"], ["prefix"], name="_r")
+    new, left = allocate(free_dataset_numbers(catalog) if free is None else free, new, "prefix", "_r", name="_seq")
     new = new.select("title", "status", compose_id(F.col("prefix"), F.col("_seq"), 4).alias("dataset_id"))
-    return known.unionByName(new)
+    return known.unionByName(new), left
 
 
 def title_outcomes(batch: DataFrame, catalog: DataFrame, categories: DataFrame) -> DataFrame:

@@ -28,6 +28,7 @@ from harvest.functions.times import ts_lit
 from harvest.functions.sizes import human_size
 from harvest.functions.text import file_stem
 from harvest.operators.dedup import keep_last
+from harvest.operators.ids import allocate, free_intervals
 from harvest.operators.joins import same_keys
 from harvest.operators.numbering import consecutive_index
 
@@ -111,37 +112,6 @@ def insert_if_absent(store: DataFrame, batch: DataFrame, keys: Sequence[str] | s
     return store.unionByName(_without(batch.dropDuplicates(keys), store, keys))
 
 
-# ------------------------------------------------------------ free sequences
-def allocate_free(used: DataFrame, requests: DataFrame, group: str, seq_col: str,
-                  rank_col: str, name: str = "alloc") -> DataFrame:
-    """Give the request of rank r (1-based, per group) the r-th unused sequence >= 1.
-
-    Equivalent to issuing the requests one by one, each taking the first gap.
-    With the used numbers u_1 < u_2 < ... ranked i = 1, 2, ..., exactly
-    c_i = u_i - i free numbers lie below u_i, and the r-th free number is
-    r + C(r - 1) where C(t) = #{i : c_i <= t}. C is constant (= i) on
-    [c_i, c_{i+1} - 1]; those ranges, clipped to the k requests of the group,
-    are expanded (at most k rows per group) and equi-joined to the requests on
-    (group, r - 1). The ranking is a skew-safe numbering; the next c comes from
-    an equi-join on (group, i + 1). No window over rows, no pair join.
-    """
-    u = used.select(group, F.col(seq_col).cast("bigint").alias("_s")).where(F.col("_s") >= 1).distinct()
-    u = consecutive_index(u, ["_s"], [group], name="_i")
-    k = requests.groupBy(group).agg(F.count(F.lit(1)).alias("_k"))
-    marks = (u.select(group, F.col("_i"), (F.col("_s") - F.col("_i")).alias("_c"))
-             .unionByName(k.select(group, F.lit(0).cast("bigint").alias("_i"), F.lit(0).cast("bigint").alias("_c"))))
-    nxt = marks.select(F.col(group).alias("_g"), (F.col("_i") - 1).alias("_j"), F.col("_c").alias("_cn"))
-    spans = (marks.join(nxt, (marks[group] == nxt["_g"]) & (marks["_i"] == nxt["_j"]), "left")
-             .join(k, group)
-             .select(group, "_i", F.col("_c").alias("_lo"),
-                     F.least(F.coalesce(F.col("_cn") - 1, F.col("_k") - 1), F.col("_k") - 1).alias("_hi"))
-             .where(F.col("_lo") <= F.col("_hi")))
-    cover = spans.select(group, "_i", F.explode(F.sequence(F.col("_lo"), F.col("_hi"))).alias("_t"))
-    req = requests.withColumn("_t", F.col(rank_col).cast("bigint") - 1)
-    out = req.join(cover, [group, "_t"], "inner")
-    return out.withColumn(name, F.col(rank_col).cast("bigint") + F.col("_i")).drop("_t", "_i")
-
-
 # ------------------------------------------------------------ file registry
 def upsert_files(files: DataFrame, batch: DataFrame, base_dir: str, now=None) -> DataFrame:
     """K06 + J11: register files by path.
@@ -175,7 +145,7 @@ def upsert_files(files: DataFrame, batch: DataFrame, base_dir: str, now=None) ->
     num = F.regexp_extract(F.col("file_id"), r"^(.*)file(\d+)$", 2)
     used = files.select(F.regexp_extract(F.col("file_id"), r"^(.*)file(\d+)$", 1).alias("prefix"),
                         F.when(num != "", num.cast("bigint")).alias("_n")).where(F.col("_n").isNotNull())
-    new = allocate_free(used, new, "prefix", "_n", "_r", name="_num")
+    new, _ = allocate(free_intervals(used, "_n", "prefix"), new, "prefix", "_r", name="_num")
     inserts = new.select(
         F.concat(F.col("prefix"), F.lit("file"), F.col("_num").cast("string")).alias("file_id"),
         "file_path", file_stem(F.col("file_path")).alias("file_name"), "file_type",

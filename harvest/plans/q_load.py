@@ -138,6 +138,26 @@ def next_ids(spark, sf):
     return free.join(top, "c_mktsegment")
 
 
+@register("free_numbers", """
+WITH used AS (SELECT DISTINCT c_mktsegment AS g, c_custkey AS n FROM customer WHERE c_acctbal >= 5000 AND c_custkey >= 1),
+req AS (SELECT c_mktsegment AS g, c_custkey, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) AS r FROM customer WHERE c_acctbal < 0),
+top AS (SELECT g, max(n) + (SELECT count(*) FROM customer) AS top FROM used GROUP BY g),
+free AS (SELECT g, n, row_number() OVER (PARTITION BY g ORDER BY n) AS r FROM (SELECT g, unnest(generate_series(1, top)) AS n FROM top) x
+  WHERE NOT EXISTS (SELECT 1 FROM used u WHERE u.g = x.g AND u.n = x.n))
+SELECT req.g AS segment, req.c_custkey, free.n AS given FROM req JOIN free USING (g, r)""")
+def free_numbers(spark, sf):
+    """A06 with stored intervals: the free numbers are found once; two batches of requests (even and odd ranks' halves) are served one
+    after the other, the second from what the first left."""
+    c = read_table(spark, sf, "customer").select(F.col("c_mktsegment").alias("segment"), "c_custkey", "c_acctbal")
+    free = ids.free_intervals(c.where("c_acctbal >= 5000"), "c_custkey", "segment")
+    ranked = ids.consecutive_index(c.where("c_acctbal < 0").select("segment", "c_custkey"), ["c_custkey"], ["segment"], name="r")
+    half = ranked.groupBy("segment").agg(F.floor(F.max("r") / 2).alias("half"))
+    ranked = ranked.join(half, "segment").checkpoint()
+    first, left = ids.allocate(free, ranked.where("r <= half"), "segment", "r", name="given")
+    second, _ = ids.allocate(left.checkpoint(), ranked.where("r > half").withColumn("r", F.col("r") - F.col("half")), "segment", "r", name="given")
+    return first.unionByName(second).select("segment", "c_custkey", "given")
+
+
 # -------------------------------------------------------------------- de-dup
 @register("dedup_first", """
 SELECT event_id, ts, user_id, event_type, value, props FROM (

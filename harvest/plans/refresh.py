@@ -19,7 +19,7 @@ payload, so one equi-join / one aggregate on ``(dataset_id, key)`` serves
 every dataset at once -- no loop over tables.
 
 A refresh reads each landed payload once for a narrow frame (key, sort key,
-date, content hash), which is cut; distinct rows, load mode, anti-join and
+date, content hash), which is reduced to distinct rows and cut; load mode, anti-join and
 numbering work on that, and only rows that are stored in the end fetch their
 payload again, by ordinal.
 """
@@ -48,30 +48,36 @@ def _with_config(rows: DataFrame, configs: DataFrame, cols) -> DataFrame:
     return rows.join(bounded_broadcast(configs.select("dataset_id", *cols)), "dataset_id", "left")
 
 
+def _cut(small: DataFrame) -> DataFrame:
+    checkpoint_dir(small.sparkSession)
+    return small.checkpoint()
+
+
 def narrow_rows(rows: DataFrame, configs: DataFrame, cutoff: _dt.datetime | None) -> DataFrame:
     """What a refresh needs of the landed rows but their payload: dataset_id, _ord, _hash (of the content), title, _spec (the
-    dataset's key columns as text, NULL without any), _key, _sk (sort key), _map_url and _in (on or after the cutoff). Cut."""
+    dataset's key columns as text, NULL without any), _key, _sk (sort key), _map_url and _in (on or after the cutoff)."""
     spec_cols = ["sort_keys"] if "sort_keys" in configs.columns else []
     r = _with_config(rows, configs, ["keys", "date_col", "title", *spec_cols]).withColumn("_m", payload_map(F.col("v")))
     sort_key = spec_sort_key(F.col("_m"), F.col("sort_keys")) if spec_cols else F.array()
     inside = F.lit(True) if cutoff is None else F.col("date_col").isNull() | F.coalesce(parse_date(F.element_at("_m", F.col("date_col"))) >= ts_lit(cutoff), F.lit(False))
-    checkpoint_dir(rows.sparkSession)
     return r.select("dataset_id", "_ord", F.sha2(F.to_json("v"), 256).alias("_hash"), "title", key_spec(F.col("keys")).alias("_spec"),
                     key_text(F.col("_m"), F.col("keys")).alias("_key"), sort_key.alias("_sk"),
-                    F.element_at("_m", F.lit(MAP_URL_FIELD)).alias("_map_url"), inside.alias("_in")).checkpoint()
+                    F.element_at("_m", F.lit(MAP_URL_FIELD)).alias("_map_url"), inside.alias("_in"))
 
 
-def plan_refresh(rows: DataFrame, configs: DataFrame, known: DataFrame, totals: DataFrame, cutoff: _dt.datetime | None = None) -> tuple[DataFrame, DataFrame]:
+def plan_refresh(rows: DataFrame, configs: DataFrame, known: DataFrame, totals: DataFrame, cutoff: _dt.datetime | None = None,
+                 replace: bool = True) -> tuple[DataFrame, DataFrame]:
     """Which landed rows go into the store, and what becomes of each dataset.
 
     ``rows``: landed ``(dataset_id, _ord, v)``, no ordinal twice in a dataset; ``known``: stored (dataset_id, key); ``totals``: stored
     (dataset_id, row_count, max_seq). Exact copies of a row go first (A03). Per dataset: date cutoff on its date column, load mode
     from its title and its first row after cut and sort, then either every row with ids from 1 (full replace) or only rows whose key is not
     stored, with ids after the stored maximum. A dataset without key columns can be replaced, but not compared: unless its mode
-    is ``full``, nothing of it is stored and its status is ``error``.
+    is ``full``, nothing of it is stored and its status is ``error``. Without ``replace``, no dataset is in full mode.
 
     Returns (dataset_id, _ord, _key, _spec, mode, seq, row_id) of the rows to store, and (dataset_id, mode, status, downloaded, unique_rows,
     stored_rows) of each landed dataset; status ``error``, ``ok`` otherwise."""
+    checkpoint_dir(rows.sparkSession)
     n = narrow_rows(rows, configs, cutoff)
     rest = [c for c in n.columns if c not in ("dataset_id", "_hash")]
     first_copies = (n.groupBy("dataset_id", "_hash").agg(F.min_by(F.struct(*rest), "_ord").alias("_r"), F.count(F.lit(1)).alias("_n"))
@@ -81,7 +87,7 @@ def plan_refresh(rows: DataFrame, configs: DataFrame, known: DataFrame, totals:
     head = kept.groupBy("dataset_id").agg(F.min_by(F.col("_map_url"), F.struct("_sk", "_ord")).alias("_url"))
     sizes = first_copies.groupBy("dataset_id").agg(F.sum("_n").alias("downloaded"), F.count(F.lit(1)).alias("unique_rows"),
                                                    F.any_value("title").alias("title"), F.any_value("_spec").alias("_spec"))
-    mode = load_mode(F.col("title"), F.col("_url"))
+    mode = load_mode(F.col("title"), F.col("_url")) if replace else F.lit("incremental")
     status = F.when((mode != "full") & F.col("_spec").isNull(), "error").otherwise("ok")
     datasets = (sizes.join(head, "dataset_id", "left").join(totals.select("dataset_id", F.col("row_count").alias("stored_rows"), "max_seq"), "dataset_id", "left")
                 .select("dataset_id", mode.alias("mode"), status.alias("status"), "downloaded", "unique_rows", F.coalesce("stored_rows", F.lit(0)).alias("stored_rows"),
@@ -89,6 +95,7 @@ def plan_refresh(rows: DataFrame, configs: DataFrame, known: DataFrame, totals:
     kept = kept.join(bounded_broadcast(datasets.where("status = 'ok'").select("dataset_id", "mode")), "dataset_id")
     cols = ["dataset_id", "_ord", "_key", "_spec", "mode", "_sk"]
     inc = kept.where("mode = 'incremental'")
+    known = _of_datasets(known, datasets.where("status = 'ok' AND mode = 'incremental'").select("dataset_id"))
     new = inc.join(known, (inc["dataset_id"] == known["dataset_id"]) & (inc["_key"] == known["key"]), "left_anti")
     # One numbering for both modes: datasets in full mode start after 0.
     start = datasets.where("mode = 'incremental' AND max_seq IS NOT NULL").select("dataset_id", "max_seq")
@@ -96,6 +103,17 @@ def plan_refresh(rows: DataFrame, configs: DataFrame, known: DataFrame, totals:
     return out.drop("_sk"), datasets.drop("max_seq")
 
 
+#: Datasets that are named in a filter on the key index, whose files are sorted by dataset; beyond, they are joined.
+PRUNE_MAX_DATASETS = 1000
+
+
+def _of_datasets(known: DataFrame, ids: DataFrame) -> DataFrame:
+    few = [r["dataset_id"] for r in ids.limit(PRUNE_MAX_DATASETS + 1).collect()]
+    if len(few) <= PRUNE_MAX_DATASETS:
+        return known.where(F.col("dataset_id").isin(few))
+    return known.join(ids, "dataset_id", "left_semi")
+
+
 def with_records(rows: DataFrame, chosen: DataFrame) -> DataFrame:
     """``chosen`` (dataset_id, _ord, ...) with the payload of each row as JSON text."""
     return chosen.join(rows.select("dataset_id", "_ord", "v"), ["dataset_id", "_ord"]).withColumn("record", F.to_json("v")).drop("v")
@@ -106,6 +124,7 @@ def refresh_all(rows: DataFrame, store: Store | DataFrame, configs: DataFrame, c
 
     ``store``: a Store, of which only the key index and the ledger are read, or a frame of stored rows ``(dataset_id, seq, record)``, the record
     as JSON text or as a VARIANT ``v``. Returns ``dataset_id, _ord, mode, seq, row_id, record``."""
+    configs = _cut(configs)
     if isinstance(store, Store):
         store.reindex(configs)
         known, totals = store.known_keys(), store.totals()
@@ -119,18 +138,21 @@ def refresh_all(rows: DataFrame, store: Store | DataFrame, configs: DataFrame, c
     return with_records(rows, new).select("dataset_id", "_ord", "mode", "seq", "row_id", "record")
 
 
-def refresh_store(rows: DataFrame, store: Store, configs: DataFrame, cutoff: _dt.datetime | None = None, source: tuple[str, int] | None = None) -> DataFrame:
+def refresh_store(rows: DataFrame, store: Store, configs: DataFrame, cutoff: _dt.datetime | None = None, source: tuple[str, int] | None = None,
+                  replace: bool = True) -> DataFrame:
     """Lifecycle 3.1 with its writes, as one commit: the rows of datasets in ``full`` mode replace what is stored of them, the new rows
     of the others are added (K01, K02), with their keys. A run that broke off left nothing that counts and can be run again.
     ``source`` (name, batch number) is noted with the commit; a batch that the store has from that source is left out.
 
     Returns the outcome of each landed dataset, as stored with the commit (A07, A08): dataset_id, mode, status (``updated``, ``unchanged``,
     ``error``), downloaded, unique_rows, new_rows, total_rows."""
-    if source and (store.last_batch(source[0]) or -1) >= source[1]:
+    last = store.last_batch(source[0]) if source else None
+    if last is not None and last >= source[1]:
         return store.outcomes()
+    configs = _cut(configs)
     store.reindex(configs)
     version = store.version()
-    new, datasets = plan_refresh(rows, configs, store.known_keys(version), store.totals(version), cutoff)
+    new, datasets = plan_refresh(rows, configs, store.known_keys(version), store.totals(version), cutoff, replace)
     added = new.groupBy("dataset_id").agg(F.count(F.lit(1)).alias("n"), F.max("seq").alias("max_seq"), F.any_value("_spec").alias("key_spec")).checkpoint()
     expected = added.agg(F.sum("n")).first()[0] or 0
     pieces = store.pieces(version)
@@ -155,8 +177,8 @@ def refresh_store(rows: DataFrame, store: Store, configs: DataFrame, cutoff: _dt
 def load_store(store: Store, rows: DataFrame, configs: DataFrame) -> None:
     """Put rows with known sequences, (dataset_id, seq, v), into the store as they are: the first load of an existing table."""
     version = store.version()
-    r = _with_config(rows, configs, ["keys"]).select("dataset_id", "seq", "v", key_spec(F.col("keys")).alias("key_spec"), key_text(payload_map(F.col("v")), F.col("keys")).alias("key"))
-    c = store.stage_rows(r.select("dataset_id", "seq", dataset_row_id("dataset_id", "seq").alias("row_id"), F.to_json("v").alias("record")))
+    r = _cut(_with_config(rows, configs, ["keys"]).select("dataset_id", "seq", key_spec(F.col("keys")).alias("key_spec"), key_text(payload_map(F.col("v")), F.col("keys")).alias("key")))
+    c = store.stage_rows(rows.select("dataset_id", "seq", dataset_row_id("dataset_id", "seq").alias("row_id"), F.to_json("v").alias("record")))
     store.stage_keys(r.where("key_spec IS NOT NULL"), c)
     indexed = F.col("key_spec").isNotNull()
     fresh = (r.groupBy("dataset_id").agg(F.count(F.lit(1)).alias("n"), F.max("seq").alias("max_seq"), F.any_value("key_spec").alias("key_spec"))

@@ -67,6 +67,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def read_evolved(spark: SparkSession, path: str) -> DataFrame:
     """A table that was appended to with drifting columns, with all of them (schemas are merged on read)."""
     return spark.read.option("mergeSchema", "true").parquet(path)

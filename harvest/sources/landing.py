@@ -1,8 +1,9 @@
 """Landed JSON pages -> object rows (S01, S02/U02, S04, R02), the page
 manifest audit (S03, W06) and crash-resume snapshots (S05, K10, O04, F23).
 
-A landed page is one JSON document per file named ``<dataset>_<skip>.json``
-(or a DataFrame ``dataset_id, skip, body``). Only JSON objects inside a JSON
+A landed page is one JSON document per file named ``<dataset>_<skip>.json``,
+or a row ``dataset_id, skip, body`` of a page log: files that take as many pages
+as fit, so that the number of files follows the bytes and not the pages. Only JSON objects inside a JSON
 array become rows; a non-array page or a non-JSON page yields nothing. Rows
 carry ``_ord = (skip, pos)`` so that the original page order can be restored
 without collecting anything.
@@ -16,11 +17,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harvest.functions.text import snapshot_time
-from harvest.operators.numbering import consecutive_index
+from harvest.operators.numbering import consecutive_index, running
 
 PAGE_SIZE = 1000                   # fixed page size of the portal API
 SNAPSHOT_PREFIX = "interruption_record_"
 PAGE_FILE_RE = r"([^/]+)_(\d+)\.json$"
+PAGE_LOG = "dataset_id string, skip bigint, body string"
+PAGE_LOG_COLUMNS = ("dataset_id", "skip", "body")
 PAGE_DIR_DATASET_RE = r"/dataset_id=([^/]+)/"
 PAGE_DIR_SKIP_RE = r"/skip=(\d+)/"
 
@@ -46,11 +49,16 @@ def read_landed_pages(spark: SparkSession, path: str, glob: str | None = None) -
 
 
 def land_pages(pages: DataFrame, path: str) -> None:
-    """Write ``(dataset_id, skip, body)`` pages as one text file per page under
-    ``dataset_id=<id>/skip=<n>/`` (the layout ``read_landed_pages`` and the
-    streaming ingest read)."""
-    (pages.repartition("dataset_id", "skip").write.mode("error")
-     .partitionBy("dataset_id", "skip").text(path))
+    """Append ``(dataset_id, skip, body)`` pages to a page log. Files are filled up to the session's advisory partition
+    size; many pages go into one file."""
+    pages.select(*PAGE_LOG_COLUMNS).hint("rebalance").write.mode("append").parquet(path)
+
+
+def read_page_log(spark: SparkSession, path: str) -> DataFrame:
+    """The pages of a log; a page that was landed again counts once, as it was landed last."""
+    log = spark.read.schema(PAGE_LOG).parquet(path).select(*PAGE_LOG_COLUMNS, F.struct("_metadata.file_modification_time", "_metadata.file_path", "_metadata.row_index").alias("_at"))
+    last = log.groupBy("dataset_id", "skip").agg(F.max("_at").alias("_last"))
+    return log.alias("p").join(last.alias("l"), F.expr("p.dataset_id <=> l.dataset_id AND p.skip <=> l.skip AND p._at = l._last")).select("p.dataset_id", "p.skip", "p.body")
 
 
 def object_rows(pages: DataFrame, key_cols: Sequence[str] = ("dataset_id", "skip")) -> DataFrame:
@@ -103,18 +111,26 @@ def last_live_page(manifest: DataFrame, dataset_col: str = "dataset_id", page_si
 
 
 def page_gaps(manifest: DataFrame, dataset_col: str = "dataset_id") -> DataFrame:
-    """Coverage audit of landed pages: per page, the next page's offset and
-    the gap (> 0: rows never fetched) or overlap (< 0) before it.
-
-    Pages are numbered per dataset (skew-safe numbering) and each page is
-    equi-joined to the page numbered one higher -- a ``lead`` without a
-    per-dataset window task."""
-    numbered = consecutive_index(manifest.select(dataset_col, "skip", "n_rows"), ["skip"], [dataset_col], name="_i")
-    nxt = numbered.select(F.col(dataset_col).alias("_d"), (F.col("_i") - 1).alias("_j"), F.col("skip").alias("next_skip"))
-    cond = [numbered[dataset_col].eqNullSafe(nxt["_d"]), numbered["_i"] == nxt["_j"]]
-    j = numbered.join(nxt, cond, "left")
-    return j.select(dataset_col, "skip", "n_rows", "next_skip",
-                    (F.col("next_skip") - (F.col("skip") + F.col("n_rows"))).alias("gap"))
+    """Coverage audit of landed pages, in order of offset (pages of one offset: of length): up to where the pages so far
+    reach (``covered_to``), the next page's offset, and the gap (> 0: rows never fetched) or overlap (< 0) before it. Pages
+    inside a longer one do not move the reach back: it is a running maximum of page ends, scanned without a per-dataset task."""
+    m = manifest.select(dataset_col, "skip", "n_rows")
+    return (_reach(m, dataset_col).withColumn("gap", F.col("next_skip") - F.col("covered_to"))
+            .select(dataset_col, "skip", "n_rows", "covered_to", "next_skip", "gap"))
+
+
+def _reach(manifest: DataFrame, dataset_col: str) -> DataFrame:
+    return running(manifest, F.col("skip") + F.col("n_rows"), ["skip", "n_rows"], [dataset_col], "covered_to", before="reached", following={"next_skip": "skip"})
+
+
+def page_coverage(manifest: DataFrame, dataset_col: str = "dataset_id") -> DataFrame:
+    """Per dataset, the union of its pages' intervals: pages, rows that they returned, offsets covered (each once), offsets
+    covered again, and offsets between the first and the last page that none covers."""
+    end, new = F.col("skip") + F.col("n_rows"), F.greatest(F.col("skip"), F.coalesce("reached", F.col("skip")))
+    r = _reach(manifest.select(dataset_col, "skip", "n_rows"), dataset_col)
+    covered, missing = F.greatest(end - new, F.lit(0)), F.greatest(F.col("next_skip") - F.col("covered_to"), F.lit(0))
+    return r.groupBy(dataset_col).agg(F.count(F.lit(1)).alias("pages"), F.sum("n_rows").alias("rows_returned"), F.sum(covered).alias("covered"),
+                                      (F.sum("n_rows") - F.sum(covered)).alias("covered_again"), F.coalesce(F.sum(missing), F.lit(0)).alias("missing"))
 
 
 def latest_snapshot(snapshots: DataFrame, dataset_col: str | None = "dataset_id",

@@ -57,13 +57,16 @@ def _first(col: Column, pattern: str, group: int = 1) -> Column:
 
 
 def _inside_div(rest: Column) -> Column:
-    """What of the text after a div's start tag lies inside it: up to the end tag that closes as many divs as begin."""
+    """What of the text after a div's start tag lies inside it: up to the end tag that closes as many divs as begin. The
+    depth is summed part by part and the parts inside are joined once, in time linear in the text, also if the div never ends."""
+    parts = F.split(rest, DIV_END_RE)
+
     def step(done: Column, part: Column) -> Column:
-        more = F.struct((done["depth"] + F.size(F.split(part, DIV_START_RE)) - 2).alias("depth"), F.concat(done["text"], part).alias("text"))
+        more = F.struct((done["depth"] + F.size(F.split(part, DIV_START_RE)) - 2).alias("depth"), (done["parts"] + 1).alias("parts"))
         return F.when(done["depth"] > 0, more).otherwise(done)
 
-    start = F.struct(F.lit(1).alias("depth"), F.lit("").alias("text"))
-    return F.aggregate(F.split(rest, DIV_END_RE), start, step)["text"]
+    inside = F.aggregate(parts, F.struct(F.lit(1).alias("depth"), F.lit(0).alias("parts")), step)["parts"]
+    return F.array_join(F.slice(parts, F.lit(1), inside), "")
 
 
 def _update_time(html: Column) -> Column:

@@ -91,7 +91,10 @@ class Store:
         version = self.version() if version is None else version
         if not version:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self._at("ledger", self._folder(version), part))
+        folder = self._folder(version)
+        if part not in self._names("ledger", folder):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self._at("ledger", folder, part))
 
     def pieces(self, version: int | None = None) -> DataFrame:
         return self._ledger("pieces", PIECES, version)
@@ -112,13 +115,14 @@ class Store:
     def commit(self, pieces: DataFrame, based_on: int, outcomes: DataFrame | None = None, source: tuple[str, int] | None = None) -> int:
         """Make ``pieces`` the store's. The step that counts is the last."""
         folder = f"{based_on + 1}-{uuid.uuid4().hex}"
-        none = self.spark.createDataFrame([], OUTCOMES)
         pieces.select(*[c.split()[0] for c in PIECES.split(", ")]).write.parquet(self._at("ledger", folder, "pieces"))
-        (none if outcomes is None else outcomes.select(none.columns)).write.parquet(self._at("ledger", folder, "outcomes"))
-        sources = self._ledger("sources", SOURCES, based_on)
-        if source:
-            sources = sources.where(F.col("source") != source[0]).unionByName(self.spark.createDataFrame([source], SOURCES))
-        sources.write.parquet(self._at("ledger", folder, "sources"))
+        if outcomes is not None:
+            outcomes.select(*[c.split()[0] for c in OUTCOMES.split(", ")]).write.parquet(self._at("ledger", folder, "outcomes"))
+        if source or based_on and "sources" in self._names("ledger", self._folder(based_on)):
+            sources = self._ledger("sources", SOURCES, based_on)
+            if source:
+                sources = sources.where(F.col("source") != source[0]).unionByName(self.spark.createDataFrame([source], SOURCES))
+            sources.write.parquet(self._at("ledger", folder, "sources"))
         try:
             out = self._fs.create(self._path("ledger", f"{based_on + 1}.done"), False)
         except Exception as e:
@@ -167,7 +171,7 @@ class Store:
 
     def known_keys(self, version: int | None = None) -> DataFrame:
         """dataset_id and key of all stored rows whose index is up to date, read from the index alone."""
-        live = self.pieces(version).where("indexed_as = dataset_id").select(F.col("kc").alias("_kc"), F.col("dataset_id").alias("_id")).distinct()
+        live = self.pieces(version).where("indexed_as = dataset_id").select(F.col("kc").alias("_kc"), F.col("dataset_id").alias("_id"))
         index = self.spark.table(self._key_table())
         return (index.join(bounded_broadcast(live), (index["c"] == F.col("_kc")) & (index["dataset_id"] == F.col("_id")), "left_semi")
                 .select("dataset_id", "key"))

@@ -1,12 +1,13 @@
 """Incremental, resumable ingest of landed JSON pages with Structured Streaming.
 
-``readStream`` (whole-file text) over the landing folder -> ``foreachBatch``:
-objects of each page (S01) -> null-safe anti-join against the stored keys
-(J01) -> sequential ids after the stored maximum per dataset (A05 + W04) ->
-one append to the store, partitioned by dataset. ``trigger(availableNow=True)``
-processes whatever has landed and stops; the checkpoint records which files
-were consumed, so a rerun reads nothing new. ``foreachBatch`` is at-least-once:
-a replayed batch finds its rows already stored and the anti-join drops them.
+``readStream`` over the landing folder (a page log, or one JSON file per page) ->
+``foreachBatch``: objects of each page (S01) -> the refresh of ``plans/refresh.py``: exact copies
+go, null-safe anti-join against the keys of the batch's datasets in the store's index (J01), sequential ids
+after the stored maximum per dataset (A05 + W04) -> one commit, which notes the stream and the
+batch number. ``trigger(availableNow=True)`` processes whatever has landed and stops; the
+checkpoint records which files were consumed, so a rerun reads nothing new. ``foreachBatch`` is
+at-least-once: a batch that the store has already is left out by its number. The counters of each batch
+(rows read, unique, new, in total, per dataset) are stored with its commit (A08).
 """
 
 from __future__ import annotations
@@ -16,70 +17,40 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from harvest.operators.ids import assign_ids, max_sequence
-from harvest.operators.incremental import new_rows
-from harvest.sources.landing import object_rows, page_address
+from harvest.plans.refresh import refresh_store
+from harvest.sources.landing import PAGE_LOG, object_rows, page_address
+from harvest.store import Store
 
 
-#: Datasets of a batch that are named in a filter on the store's partitions; beyond, they are joined.
-PRUNE_MAX_DATASETS = 1000
+def _flatten(pages: DataFrame) -> DataFrame:
+    """dataset_id, _ord, v: ordinals are offset, position, and where the page stands (a page may be landed twice)."""
+    return object_rows(pages, ("dataset_id", "skip", "_at")).select("dataset_id", F.struct("skip", "pos", "_at").alias("_ord"), "v")
 
 
-def _flatten(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    dataset, skip = page_address(F.col("_path"))
-    pages = batch.select(dataset.alias("dataset_id"), skip.alias("skip"), F.col("value").alias("body"))
-    rows = object_rows(pages.where("dataset_id <> '' and skip is not null"))   # a file at any other address is no page
-    return rows.select("dataset_id", "skip", "pos",
-                       *[F.try_variant_get("v", f"$.{k}", "string").alias(k) for k in keys],
-                       F.to_json("v").alias("record"))
-
-
-def _store_exists(spark: SparkSession, path: str) -> bool:
-    """Whether the store has any file; a read error is not taken for a missing store."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(p) and any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
-
-
-def _store_of(spark: SparkSession, path: str, batch: DataFrame) -> DataFrame:
-    """The stored rows of the batch's datasets. Keys are scoped by dataset, and the dataset id (text) is the store's
-    partition column: for a batch of few datasets it is a filter on partitions, else a semi-join."""
-    schema = spark.read.parquet(path).schema
-    schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == "dataset_id" else f.dataType) for f in schema])
-    store = spark.read.schema(schema).parquet(path)
-    ids = batch.select(page_address(F.col("_path"))[0].alias("dataset_id")).where("dataset_id <> ''").distinct()
-    few = [r.dataset_id for r in ids.limit(PRUNE_MAX_DATASETS + 1).collect()]
-    if len(few) <= PRUNE_MAX_DATASETS:
-        return store.where(F.col("dataset_id").isin(few))
-    return store.join(ids, "dataset_id", "left_semi")
-
-
-def start_ingest(spark: SparkSession, landing_dir: str, store_path: str, checkpoint: str,
+def start_ingest(spark: SparkSession, landing_dir: str, store: Store, checkpoint: str,
                  keys: Sequence[str], max_files_per_trigger: int | None = None, after_write=None,
-                 glob: str = "*"):
+                 glob: str = "*", page_log: bool = False):
     """Start the availableNow ingest; returns the StreamingQuery (call awaitTermination()).
 
-    ``after_write(epoch_id)`` runs after a batch is stored and before the
-    stream commits it (a hook for failure-injection tests)."""
-    keys = list(keys)
-    reader = (spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", glob)
-              .option("recursiveFileLookup", "true"))
+    ``keys``: the fields that identify a row within its dataset. ``after_write(epoch_id)`` runs after a batch
+    is stored and before the stream commits it (a hook for failure-injection tests)."""
+    reader = spark.readStream.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.load(landing_dir).select("value", F.col("_metadata.file_path").alias("_path"))
+    if page_log:
+        pages = reader.schema(PAGE_LOG).parquet(landing_dir).select(
+            "dataset_id", "skip", "body", F.concat("_metadata.file_path", F.lit("#"), F.col("_metadata.row_index").cast("string")).alias("_at"))
+    else:
+        files = reader.format("text").option("wholetext", True).load(landing_dir).select("value", F.col("_metadata.file_path").alias("_at"))
+        dataset, skip = page_address(F.col("_at"))
+        pages = files.select(dataset.alias("dataset_id"), skip.alias("skip"), F.col("value").alias("body"), "_at")
+    stream = pages.where("dataset_id <> '' AND skip IS NOT NULL")        # a file at any other address is no page
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
-        rows = _flatten(batch, keys)
-        if _store_exists(spark, store_path):
-            store = _store_of(spark, store_path, batch)
-            fresh = new_rows(rows, store, ["dataset_id"] + keys)
-            start = max_sequence(store, "seq", ["dataset_id"])
-        else:
-            fresh, start = rows, None
-        out = assign_ids(fresh, ["skip", "pos"], "dataset_id", start=start)
-        out.write.mode("append").partitionBy("dataset_id").parquet(store_path)
+        fixed = [F.array(*[F.lit(k) for k in keys]).alias("keys"), F.lit(None).cast("string").alias("date_col"), F.lit(None).cast("string").alias("title")]
+        configs = batch.select("dataset_id").distinct().select("dataset_id", *fixed)
+        refresh_store(_flatten(batch), store, configs, source=(checkpoint, epoch_id), replace=False)
         if after_write is not None:
             after_write(epoch_id)
 
@@ -89,9 +60,9 @@ def start_ingest(spark: SparkSession, landing_dir: str, store_path: str, checkpo
             .start())
 
 
-def run_ingest(spark: SparkSession, landing_dir: str, store_path: str, checkpoint: str,
+def run_ingest(spark: SparkSession, landing_dir: str, store: Store, checkpoint: str,
                keys: Sequence[str], **kw) -> None:
-    q = start_ingest(spark, landing_dir, store_path, checkpoint, keys, **kw)
+    q = start_ingest(spark, landing_dir, store, checkpoint, keys, **kw)
     q.awaitTermination()
 
 

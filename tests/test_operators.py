@@ -3,6 +3,7 @@ import datetime as dt
 import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from harvest.operators import catalog, dedup, ids, incremental, ordering, quality, upsert
@@ -89,12 +90,16 @@ def test_first_free_sequence_edge_cases(spark):
     assert ids.max_sequence(spark.createDataFrame([("12",), ("x",)], "i string"), "i").collect()[0][0] == 12
 
 
+def _allocated(spark, used, reqs):
+    free = ids.free_intervals(spark.createDataFrame(used, "g string, s long"), "s", "g")
+    return ids.allocate(free, spark.createDataFrame(reqs, "g string, r long"), "g", "r", "n")[0].collect()
+
+
 def test_allocate_free_is_sequential_first_gap(spark):
     random.seed(5)
     used = [("a", s) for s in random.sample(range(1, 60), 30)] + [("b", 1), ("b", 2)]
     reqs = [("a", r) for r in range(1, 41)] + [("b", 1), ("c", 1), ("c", 2)]
-    got = upsert.allocate_free(spark.createDataFrame(used, "g string, s long"),
-                               spark.createDataFrame(reqs, "g string, r long"), "g", "s", "r", "n").collect()
+    got = _allocated(spark, used, reqs)
     got = {(x.g, x.r): x.n for x in got}
     for g in ("a", "b", "c"):
         taken = {s for gg, s in used if gg == g}
@@ -256,13 +261,6 @@ def test_datasets_matching_for_deletes(spark):
     assert _rows(out["parent"], "dataset_id") == [("1010002",)] and _rows(out["rows"], "v") == [(2,)]
 
 
-def test_numbering_parquet_cut_matches_checkpoint(spark):
-    df = _skewed(spark)
-    a = _rows(consecutive_index(df, ["rid"], ["k"], name="pos"), "rid", "pos")
-    b = _rows(consecutive_index(df, ["rid"], ["k"], name="pos", cut="parquet"), "rid", "pos")
-    assert a == b
-
-
 def test_keep_first_last_with_null_ordinals(spark):
     df = spark.createDataFrame([("a", None, "n"), ("a", 2, "two"), ("a", 5, "five"), ("b", None, "only")],
                                "k string, o int, v string")
@@ -299,8 +297,7 @@ def test_allocate_free_random_densities(spark):
         random.seed(seed)
         used = [("g", s) for s in random.sample(range(1, top + 1), n_used)] + [("g", 0), ("h", 7)]
         reqs = [("g", r) for r in range(1, n_req + 1)] + [("h", 1), ("h", 2)]
-        got = upsert.allocate_free(spark.createDataFrame(used, "g string, s long"),
-                                   spark.createDataFrame(reqs, "g string, r long"), "g", "s", "r", "n").collect()
+        got = _allocated(spark, used, reqs)
         got = {(x.g, x.r): x.n for x in got}
         for g in ("g", "h"):
             taken = {s for gg, s in used if gg == g and s >= 1}
@@ -330,27 +327,107 @@ def test_freshness_with_repeated_titles(spark):
     assert got == [("a", "new", c.prefix + "0003"), ("b", "unchanged", c.prefix + "0001")]
 
 
-def test_refresh_store_runs_twice(spark, tmp_path):
-    """Map and code datasets restart at 1, others go on after the stored maximum; a second run adds nothing."""
-    from harvest.plans.refresh import read_store, refresh_store
-    store = str(tmp_path / "store")
-    rows = [("1010001", 0, '{"id": "a", "n": 1}'), ("1010001", 1, '{"id": "b", "n": 2}'),
-            ("1010002", 0, '{"id": "z", "分布圖Url": ""}'), ("1010002", 1, '{"id": "y", "分布圖Url": "http://m"}'),
-            ("1010003", 0, '{"id": "c"}'), ("1010003", 1, '{"id": "d"}')]
-    configs = spark.createDataFrame([("1010001", ["id"], None, "rows", [["id", "text_asc"]]), ("1010002", ["id"], None, "map", [["id", "text_asc"]]),
-                                     ("1010003", ["id"], None, "甲代碼", None)],
-                                    "dataset_id string, keys array<string>, date_col string, title string, sort_keys array<array<string>>")
-
-    def run(part):
-        landed = spark.createDataFrame(part, "dataset_id string, _ord int, t string").select("dataset_id", "_ord", F.parse_json("t").alias("v"))
-        counts = {r.dataset_id: (r.mode, r.n) for r in refresh_store(landed, store, configs).collect()}
-        return counts, sorted((r.row_id, json.loads(r.record)["id"]) for r in read_store(spark, store).collect())
-
-    first = run(rows)
-    assert first[0] == {"1010001": ("incremental", 2), "1010002": ("full", 2), "1010003": ("full", 2)}     # after the sort, the map row is first
-    assert first[1] == [("10100010000001", "a"), ("10100010000002", "b"), ("10100020000001", "y"), ("10100020000002", "z"),
-                        ("10100030000001", "c"), ("10100030000002", "d")]
-    again = run(rows)
-    assert "1010001" not in again[0] and again[1] == first[1]
-    third = run([("1010001", 0, '{"id": "0"}'), ("1010003", 0, '{"id": "e"}')])
-    assert third[1] == sorted([*[x for x in first[1] if x[0][:7] != "1010003"], ("10100010000003", "0"), ("10100030000001", "e")])
+def test_free_intervals_are_kept_between_allocations(spark):
+    random.seed(8)
+    used = {g: set(random.sample(range(1, 50), k)) for g, k in (("a", 25), ("b", 1), (None, 10))}
+    free = ids.free_intervals(spark.createDataFrame([(g, s) for g, ss in used.items() for s in ss], "g string, s long"), "s", "g")
+    got = {(r.g, r.lo, r.hi) for r in free.collect()}
+    for g, ss in used.items():
+        numbers = {n for gg, lo, hi in got if gg == g for n in range(lo, (hi or 60) + 1)}
+        assert numbers == set(range(1, 61)) - ss and sum(hi is None for gg, _, hi in got if gg == g) == 1
+    used["c"] = set()
+    for wants in ({"a": 3, "c": 2}, {"a": 1, "b": 5}, {"a": 30, None: 4, "c": 1}):
+        reqs = spark.createDataFrame([(g, r, "x") for g, k in wants.items() for r in range(1, k + 1)], "g string, r long, lo string")
+        out, free = ids.allocate(free, reqs, "g", "r", "n")
+        given = {(x.g, x.r): x.n for x in out.collect()}
+        free = free.checkpoint()
+        for g, k in wants.items():
+            for r in range(1, k + 1):
+                n = next(i for i in range(1, 999) if i not in used[g])
+                used[g].add(n)
+                assert given[g, r] == n
+        assert len(given) == sum(wants.values())
+
+
+def test_null_keys_are_keys(spark):
+    store = spark.createDataFrame([("a", None, 1), (None, "x", 2), ("b", "y", 3)], "k string, l string, v int")
+    batch = spark.createDataFrame([("a", None, 9), (None, "x", 8), (None, None, 7)], "k string, l string, v int")
+    assert _rows(upsert.replace_by_key(store, batch, ["k", "l"]), "v") == [(3,), (7,), (8,), (9,)]
+    assert _rows(upsert.delete_by_key(store, batch, ["k", "l"]), "v") == [(3,)]
+    assert _rows(upsert.upsert(store, batch, ["k", "l"], audit=False), "v") == [(3,), (7,), (8,), (9,)]
+    once = upsert.insert_if_absent(store, store.limit(0).unionByName(store).unionByName(batch))
+    assert once.count() == 6 and upsert.insert_if_absent(once, batch).count() == 6
+
+
+def test_kept_and_surplus_rows_are_the_input(spark):
+    """Ties, NULL ordinals, NULL keys, rows equal in everything, variants: what is kept and what is deleted add up."""
+    random.seed(3)
+    rows = [(random.choice(["a", "b", None, "hot", "hot", "hot"]), random.choice([None, 1, 2, 3]), random.choice("xy"), '{"n": %d}' % random.randrange(2)) for _ in range(300)] + [("one", 1, "z", "1")]
+    df = spark.createDataFrame(rows, "k string, o int, t string, j string").select("k", "o", "t", F.try_parse_json("j").alias("v"))
+    flat = lambda d: sorted(map(repr, d.select("k", "o", "t", F.to_json("v").alias("v")).collect()))
+    for keep, first in ((dedup.keep_first, True), (dedup.keep_last, False)):
+        kept = flat(keep(df, ["k"], "o"))
+        assert sorted(kept + flat(dedup.surplus_rows(df, ["k"], "o", keep="first" if first else "last"))) == flat(df) and len(kept) == 5
+        assert kept == flat(keep(df.orderBy(F.rand()).repartition(5), ["k"], "o"))     # the same rows however they lie
+    stats = dedup.duplicate_stats(df, ["k"]).first()
+    assert stats.duplicate_rows == 296 and dedup.duplicate_preview(df.drop("v"), ["k"], "o", n=1000).count() == 296
+
+
+def test_located_dedup_moves_places_only(spark, tmp_path):
+    random.seed(4)
+    path = str(tmp_path / "rows")
+    rows = [(random.choice(["a", None, "hot", "hot", *map(str, range(k))]), random.choice([None, 1, 2]), "p" * 50 + str(i)) for i, k in zip(range(400), [3, 300] * 200)]
+    spark.createDataFrame(rows, "k string, o int, payload string").repartition(7).write.parquet(path)
+    df = spark.read.parquet(path)
+    for keep, name in ((dedup.keep_first_located, "first"), (dedup.keep_last_located, "last")):
+        kept, gone = _rows(keep(df, ["k"], "o"), "payload"), _rows(dedup.surplus_located(df, ["k"], "o", keep=name), "payload")
+        assert sorted(kept + gone) == _rows(df, "payload") and len(kept) == len({r[0] for r in rows})
+        best = {r[0]: r for r in keep(df, ["k"], "o").collect()}
+        for k in best:
+            orders = [r[1] for r in rows if r[0] == k]
+            rank = lambda o: (o is None, o or 0)
+            assert best[k].o == (min if name == "first" else max)(orders, key=rank)
+    plan = dedup.keep_first_located(df, ["k"], "o")._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate(keys=[k" in plan and not any("payload" in line for line in plan.splitlines() if "Aggregate" in line or "Exchange" in line)
+
+
+@pytest.mark.parametrize("literal", [64, 0])
+def test_contains_join_brute_force(spark, literal):
+    from harvest.operators.joins import contains_join
+    random.seed(6)
+    text = lambda n: "".join(random.choice("ab農業😀 ") for _ in range(n))
+    hay = [(i, text(random.randrange(14))) for i in range(80)] + [(80, None), (81, "abcabc"), (82, "abcabc")]
+    needles = [(text(random.randrange(7)), i) for i in range(40)] + [(None, 98), ("", 99), ("bca", 100), ("bca", 101)]
+    out = contains_join(spark.createDataFrame(hay, "hid int, h string"), "h", spark.createDataFrame(needles, "n string, nid int"), "n", literal_needles=literal)
+    got = sorted((r.hid, r.nid) for r in out.collect())
+    assert got == sorted((i, k) for i, h in hay for n, k in needles if h is not None and n and n in h) and len(got) > 50
+
+
+def test_running_maximum_and_sum(spark):
+    from harvest.operators.numbering import running
+    random.seed(9)
+    rows = [(random.choice(["hot"] * 5 + ["a", None]), i, random.choice([None, random.randrange(100)])) for i in range(500)]
+    df = spark.createDataFrame(rows, "g string, i int, v int").repartition(6)
+    for how in ("max", "sum"):
+        got = {r.i: r for r in running(df, F.col("v").cast("long"), ["i"], ["g"], "upto", how=how, before="ahead", following={"nxt": "i"}).collect()}
+        for g in ("hot", "a", None):
+            own = [r for r in rows if r[0] == g]
+            for k, (_, i, _) in enumerate(own):
+                seen = [v for _, _, v in own[:k + 1] if v is not None]
+                ahead = [v for _, _, v in own[:k] if v is not None]
+                f = max if how == "max" else sum
+                assert got[i].upto == (f(seen) if seen else None) and got[i].ahead == (f(ahead) if ahead else None)
+                assert got[i].nxt == (own[k + 1][1] if k + 1 < len(own) else None)
+
+
+def test_page_gaps_after_a_long_page(spark):
+    from harvest.sources.landing import page_coverage, page_gaps
+    m = spark.createDataFrame([("d", 0, 10_999), ("d", 1_000, 1_000), ("d", 12_000, 5), ("e", 0, 0)], "dataset_id string, skip long, n_rows long")
+    assert _rows(page_gaps(m), "dataset_id", "skip", "covered_to", "gap") == [("d", 0, 10_999, -9_999), ("d", 1_000, 10_999, 1_001), ("d", 12_000, 12_005, None), ("e", 0, 0, None)]
+    assert _rows(page_coverage(m), "dataset_id", "pages", "rows_returned", "covered", "covered_again", "missing") == [("d", 3, 12_004, 11_004, 1_000, 1_001), ("e", 1, 0, 0, 0, 0)]
+
+
+def test_size_check_reads_no_more_rows_than_the_bound(spark):
+    from harvest.operators.joins import is_small
+    assert is_small(spark.range(10), 10) and not is_small(spark.range(11), 10) and is_small(spark.range(0), 0)
+    assert not is_small(spark.range(1 << 40), 10)          # the whole range would take hours
