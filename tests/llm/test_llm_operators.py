@@ -7,6 +7,7 @@ import json
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -408,6 +409,112 @@ def test_op9_longest_common_subsequence():
         assert len(found) == table[-1][-1] and all(a[i] in rest for i in sorted(found))
 
 
+def test_op9_long_line_lists(monkeypatch):
+    """Alignments beyond CELLS are halved: as long as those that are kept whole; memory stays linear."""
+    import tracemalloc
+    rnd = random.Random(5)
+    for n in (1, 7, 60, 300):
+        a, b = ([rnd.choice("abcdefgh") for _ in range(n + rnd.randrange(9))] for _ in range(2))
+        whole = op9.subsequence(a, b)
+        with monkeypatch.context() as m:
+            m.setattr(op9, "CELLS", 20)
+            found, rest = op9.subsequence(a, b), iter(b)
+        assert len(found) == len(whole) and found == sorted(found) and all(a[i] in rest for i in found)
+    a, b = list(range(100_000)), [x for x in range(100_000) if x % 3] + [-1]
+    rnd.shuffle(b)
+    tracemalloc.start()
+    found = op9.shared(a[:30_000] + a, a[:20_000] + b)
+    assert tracemalloc.get_traced_memory()[1] < 300e6 and len(found) >= 20_000
+    tracemalloc.stop()
+
+
+def slow_blocks(html):
+    """The blocks of well-formed pages by the standard library's parser."""
+    from html.parser import HTMLParser
+    out, text, stack = [], [], []
+
+    class P(HTMLParser):
+        def end(self):
+            line = " ".join("".join(text).split())
+            if line:
+                out.append(line)
+            text.clear()
+
+        def handle_starttag(self, tag, attrs):
+            if tag == "br":
+                text.append(" ")
+                return
+            if tag not in op9.INLINE:
+                self.end()
+            if tag not in op9.VOID:
+                stack.append((tag, tag in op9.SKIPPED or tag in ("nav", "footer", "aside") or dict(attrs).get("class") in ("ad", "comments", "cookie-notice")))
+
+        def handle_endtag(self, tag):
+            if tag not in op9.INLINE:
+                self.end()
+            if any(t == tag for t, _ in stack):
+                while stack.pop()[0] != tag:
+                    pass
+
+        def handle_data(self, data):
+            if not any(x for _, x in stack):
+                text.append(data)
+
+    p = P(convert_charrefs=True)
+    p.feed(html)
+    p.close()
+    p.end()
+    return out
+
+
+def test_op9_extraction_against_a_parser(spark):
+    """Pages alone on their host: all blocks but those of boilerplate elements; generated pages and the table's."""
+    rnd = random.Random(11)
+
+    def element(depth):
+        kind = rnd.choice(["p", "div", "section", "ul", "b", "span", "nav", "aside", "ad", "script", "text", "text", "void", "comment"])
+        inner = "".join(element(depth - 1) for _ in range(rnd.randrange(4))) if depth else rnd.choice(["x", "A &amp; B", "&lt;p&gt;", " a\n b ", "it's", "1 < 2"])
+        return {"text": rnd.choice(["words ", "&eacute;t&#233; ", "5 &gt; 3 "]), "void": rnd.choice(["<br>", "<img alt='a>b'>", "<hr/>"]), "comment": "<!-- <p>no</p> -->",
+                "script": "<script>if (a < b) { '</p>' }</script>", "ad": f'<div class="ad">{inner}</div>'}.get(kind) or f'<{kind} id="k{rnd.randrange(9)}">{inner}</{kind}>'
+
+    pages = ["".join(element(3) for _ in range(6)) for _ in range(60)]
+    rows = spark.createDataFrame([(k, f"http://h{k}.example/x", h, "n", "t") for k, h in enumerate(pages)], "page_id long, url string, html string, text string, host string")
+    got = {r.page_id: r.text for r in op9.digest(op9.extract(rows)).collect()}
+    assert got == {k: "\n\n".join(slow_blocks(h)) for k, h in enumerate(pages)}
+
+
+def test_op9_titles_marks_and_broken_tags():
+    text = lambda html: [t for p, t in op9.blocks(html) if p != op9.SITE]
+    assert text("<article><header><h1>Title</h1></header><p>a</p></article><header>Site</header>") == ["Title", "a"]
+    assert text('<div class="share-price-table">p</div><p class="ad-hoc-report">q</p><div class="cookie-notice">n</div><div class="site-footer">f</div><div class="x ad">a</div>') == ["p", "q"]
+    assert text("<p data=it's>Hello</p><p>World's end</p>") == ["Hello", "World's end"]
+    assert text('<p title="a>b" data-x=\'"\'>one</p><p>two') == ["one", "two"]
+    assert text("<p>a<b <i>c</i></p><p>d <e") == ["ac", "d"]          # an unclosed tag ends where the next begins, or with the page
+    for bad in ("<a " * 350_000, '<a href="' * 120_000, "<div>" * 200_000, "</p>" * 250_000, "<div>" * 100_000 + "</p>" * 100_000, "<!--" * 250_000, "<![CDATA[" * 110_000, "<" * 1_000_000, "<script>" * 120_000, "='" * 400_000,
+                "<p x='" + "=\"" * 300_000):
+        begin = time.process_time()
+        op9.blocks(bad)
+        assert time.process_time() - begin < 3
+
+
+def test_op9_a_sentence_of_one_neighbour_stays(spark):
+    """Inside the main element, one page that shares a block is no witness; most of the near pages are."""
+    body = [f"Body {k} with its own words" for k in range(7)]
+    page = lambda k, extra: f"<article><p>{body[k]}</p><p>Subscribe now</p>{extra}</article>"
+    rows = [(k, f"http://h.example/a/{k}", page(k, "<p>A common sentence</p>" if k in (2, 3) else "")) for k in range(7)]
+    rows += [(10, "http://two.example/a", "<article><p>One</p><p>Same</p></article>"), (11, "http://two.example/b", "<article><p>Two</p><p>Same</p></article>")]
+    got = {r.page_id: r.text for r in op9.digest(op9.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))).collect()}
+    assert got == {**{k: body[k] + ("\n\nA common sentence" if k in (2, 3) else "") for k in range(7)}, 10: "One\n\nSame", 11: "Two\n\nSame"}
+
+
+def test_op9_odd_rows(spark):
+    long = "<p>" + "</p><p>".join(f"line {k}" for k in range(20_000)) + "</p>"
+    rows = [(1, "http://h.example/a", long, "x"), (1, "http://h.example/a", long, "x"), (None, None, None, None), (2, "http://h.example/b", long + "<p>more</p>", None), (3, "no url", "<p>t</p>", "y")]
+    got = op9.digest(op9.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string"))).collect()
+    assert sorted((r.page_id is None, r.page_id, r.n_chars) for r in got)[:2] == [(False, 1, sum(len(f"line {k}") for k in range(20_000)) + 2 * 19_999)] * 2
+    assert {(r.page_id, r.text) for r in got if r.page_id in (None, 3)} == {(None, ""), (3, "t")}
+
+
 def test_op9_articles_and_differences(spark):
     page = "<html><body><nav>Menu</nav><p>Site line</p><div class='cookie-notice'>We use</div><p>Body of {0} &amp; more<br>text</p><script>x<p></script><p>Last line</p></body>"
     rows = [(1, "http://h.example/a/1", page.format("one")), (2, "http://h.example/a/2", page.format("two")), (3, "http://other.example/a/1", page.format("three")),
