@@ -15,6 +15,9 @@
    in the document. An alignment holds if its consistent windows cover ``coverage`` of the item's words: ``exact`` if all
    values are the same, else ``reworked``.
 
+An item of fewer than ``SHORT`` words says too little to be looked for inside texts ("Paris" stands in many): it matches a document that
+consists of it alone.
+
 Defined cases: null texts have no tokens; items without tokens match nothing; items with the same template text count
 as one, named by the least item_id; documents with the same id are told apart by their text, and rows with the same
 id and text get the same result; null ids are told apart by text too. Other columns are carried in ``rest``.
@@ -41,7 +44,7 @@ NUMBER_WORDS = frozenset("zero one two three four five six seven eight nine ten
                          "zwei drei vier fünf sechs sieben acht neun zehn elf zwölf hundert tausend deux trois quatre cinq sept huit neuf dix onze douze "
                          "mille dos tres cuatro cinco seis siete ocho nueve diez doce cien mil".split())
 GLUED = re.compile(r"([+-]?\d[\d.,]*)([^\W\d_]+|°[cfCF])$")
-DRIFT = 16
+DRIFT, SHORT = 16, 5
 #: Fixed list of units, also behind a number without a space.
 UNITS = frozenset("km m cm mm mi mile miles ft foot feet inch inches yd yards kg g mg lb lbs oz ton tons tonnes l ml liter liters litre litres "
                   "gallon gallons s sec second seconds min minute minutes h hr hour hours day days week weeks month months year years "
@@ -171,7 +174,8 @@ def item_windows(benchmark: DataFrame, size: int, item_id: str, text: str) -> Da
 def matches(docs: DataFrame, items: DataFrame, size: int, coverage: float) -> DataFrame:
     """dk, th, item, kind, covered: the alignments that hold. docs: dk, th, text."""
     spark = docs.sparkSession
-    lengths = sorted(r[0] for r in items.select(F.size("tokens")).distinct().collect())     # at most ``size`` of them
+    sizes = items.select(F.size("tokens"), F.col("n") < SHORT).distinct().collect()     # at most ``size`` of each kind
+    lengths, short_lengths = (sorted(k for k, is_short in sizes if is_short == flag) for flag in (False, True))
     cells = items.select(F.expr(f"shiftrightunsigned(h, {64 - BITS})").alias("c")).distinct().toPandas()["c"].to_numpy()    # at most 2**BITS
     bitmap = np.zeros(1 << BITS, np.bool_)
     bitmap[cells.astype(np.int64)] = True
@@ -184,24 +188,24 @@ def matches(docs: DataFrame, items: DataFrame, size: int, coverage: float) -> Da
             for dk, th, t in zip(b.column("dk").to_pylist(), b.column("th").to_pylist(), b.column("text").to_pylist()):
                 words, literal, hashes, kind = lexer.read(t)
                 first = slots_of(kind)
-                short = hashes[first[:-1]]
-                for k in lengths:
+                tokens = hashes[first[:-1]]
+                for k in lengths if len(words) >= SHORT else short_lengths:
                     if len(words) < k:
                         break
-                    h = gram_hashes(short, k)
-                    rows += [(dk, th, int(h[x[0]].view(np.int64)), *x) for x in templates(words, kind, first, k, hits(h, bits))]
+                    h = gram_hashes(tokens, k)
+                    rows += [(dk, th, len(words), int(h[x[0]].view(np.int64)), *x) for x in templates(words, kind, first, k, hits(h, bits))]
                     if kind.any():      # without slots, both are the same
                         h = gram_hashes(literal, k)
                         at = [i for i in hits(h, bits) if kind[i:i + k].any()]
-                        rows += [(dk, th, int(h[x[1]].view(np.int64)), *x) for x in literals(words, first, k, at)]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows) if rows else [()] * 8, (pa.int64(), pa.int64(), *WINDOW_TYPES))],
-                                             ["dk", "th", "h", "pos", "begin", "end", "tokens", "slots"])
+                        rows += [(dk, th, len(words), int(h[x[1]].view(np.int64)), *x) for x in literals(words, first, k, at)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows) if rows else [()] * 9, (pa.int64(), pa.int64(), pa.int32(), *WINDOW_TYPES))],
+                                             ["dk", "th", "words", "h", "pos", "begin", "end", "tokens", "slots"])
 
-    found = docs.mapInArrow(run, f"dk long, th long, {WINDOW}").drop("begin", "end").distinct()
+    found = docs.mapInArrow(run, f"dk long, th long, words int, {WINDOW}").drop("begin", "end").distinct()
     items = items.select("h", "item", "item_key", "n", "begin", "end", F.col("pos").alias("item_pos"), F.col("tokens").alias("item_tokens"), F.col("slots").alias("item_slots"))
     offset = F.col("pos") - F.col("item_pos")
     near = F.array(2 * F.floor(offset / DRIFT), 2 * F.floor((offset + DRIFT // 2) / DRIFT) + 1)     # offsets within DRIFT / 2 share one
-    pairs = found.join(items, "h").where("tokens = item_tokens")
+    pairs = found.join(items, "h").where(f"tokens = item_tokens AND (n >= {SHORT} AND words >= {SHORT} OR n < {SHORT} AND n = words)").drop("words")
     aligned = (pairs.withColumn("near", F.explode(near)).groupBy("dk", "th", "item_key", "near")
                .agg(F.min("item").alias("item"), F.first("n").alias("n"), F.collect_list(F.struct("item_pos", "pos", "begin", "end", "item_slots", "slots")).alias("w")))
 

@@ -238,6 +238,85 @@ def test_op3_finds_all_planted_passages(spark, docs, rows):
     assert expected and expected <= got and len(got) <= len(expected) + 2
 
 
+def test_op3_short_items_match_whole_documents_only(spark):
+    bench = spark.createDataFrame([(0, "Paris"), (1, "Yes"), (2, "Who wrote Faust?"), (3, "The answer is of course")], "item_id long, text string")
+    docs = spark.createDataFrame([(0, "The answer is Paris of course"), (1, "yes we can"), (2, "PARIS!"), (3, "who wrote faust"), (4, "Who wrote Faust? Goethe"), (5, "Yes")], "doc_id long, text string")
+    got = {r.rest.doc_id: (r.kind, r["items"]) for r in op3.decontaminate(docs, bench).where("contaminated").collect()}
+    assert got == {2: ("exact", [0]), 3: ("exact", [2]), 5: ("exact", [1])}
+
+
+def slow_windows(text, size=8):
+    lexer = op3.Lexer()
+    words, _, _, kind = lexer.read(text)
+    if not words:
+        return 0, [], []
+    first = op3.slots_of(kind)
+    k, w = min(size, len(first) - 1), min(size, len(words))
+    every = lambda n: list(range(n))
+    tokens = {n: list(op3.templates(words, kind, first, n, every(len(first) - n))) for n in range(1, k + 1)}
+    plain = {n: [x for x in op3.literals(words, first, n, every(len(words) - n + 1)) if kind[x[1]:x[2]].any()] for n in range(1, w + 1)}
+    return len(words), tokens, plain
+
+
+def slow_contamination(text, items, coverage=0.5):
+    """The items that a document holds, comparing each window of each item with each of the document."""
+    from collections import defaultdict
+    n_words, tokens, plain = slow_windows(text)
+    out = set()
+    for item, t in items:
+        n, own, literal = slow_windows(t)
+        if not n or not n_words or (n_words != n if n < op3.SHORT else n_words < op3.SHORT):
+            continue
+        k, w = max(own), max(literal)
+        good = [x for x in own[k] if 2 * sum(not y.startswith("<") or y not in ("<1>", "<2>", "<3>") for y in x[3]) >= min(x[2] - x[1], max(k, 8))]
+        pairs = [(x, y) for x in good for y in tokens.get(k, ()) if x[3] == y[3]]
+        pairs += [(x, y) for x in literal[w] for y in [*plain.get(w, ()), *tokens.get(w, ())] if x[3] == y[3]]
+        groups = defaultdict(list)
+        for x, y in pairs:
+            o = y[0] - x[0]
+            row = {"item_pos": x[0], "pos": y[0], "begin": x[1], "end": x[2], "item_slots": x[4], "slots": y[4]}
+            for near in (2 * (o // op3.DRIFT), 2 * ((o + op3.DRIFT // 2) // op3.DRIFT) + 1):
+                if row not in groups[near]:
+                    groups[near].append(row)
+        if any(op3.best(g, n)[0] >= coverage * n for g in groups.values()):
+            out.add(item)
+    return out
+
+
+def test_op3_brute_force_and_recall_of_reworked_items(spark):
+    rnd = random.Random(12)
+    names = "Maria Peter Anna Paul Olga Ivan Lucia Marco Emma Noah Sofia Hugo".split()
+    cities = "Paris Rome Oslo Bern Kyiv Prague Madrid Vienna Dublin Athens Lisbon Warsaw".split()
+    templates = ["In the market {a} bought {x} kg of apples and {b} bought {y} kg more, how many kilograms did they carry home together",
+                 "A train leaves {c} at {x} and reaches {d} after {y} hours, at what time of the day does it arrive there",
+                 "{a} has {x} coins and gives {y} of them to {b} who already owned a small number, how many coins are left",
+                 "The distance between {c} and {d} is {x} km and a car needs {y} l of fuel for it, what does the whole trip cost",
+                 "If {x} workers need {y} days to build a wall in {c} then how long would twice as many workers need for it"]
+
+    def made(t):
+        a, b = rnd.sample(names, 2)
+        c, d = rnd.sample(cities, 2)
+        x, y = rnd.sample(range(11, 99), 2)
+        return t.format(a=a, b=b, c=c, d=d, x=x, y=y)
+
+    filler = lambda: " ".join(rnd.choice("some other words that stand around it in a text about nothing much".split()) for _ in range(30))
+    items = [(k, made(t)) for k, t in enumerate(templates)]
+    docs = [(k, f"{filler()}. {made(templates[k % 5])}? {filler()}") for k in range(100)] + [(100 + k, filler()) for k in range(40)]
+    swapped = [(200, "In the market Maria bought 12 kg of apples and Maria bought 12 kg more, how many kilograms did they carry home together"),
+               (201, "In the market Maria bought seven kg of pears while others slept"), (202, None), (203, "12 34 56"), (204, items[0][1])]
+    frame = spark.createDataFrame(docs + swapped, "doc_id long, text string")
+    got = {r.rest.doc_id: set(r["items"] or ()) for r in op3.decontaminate(frame, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {k: slow_contamination(t, items) for k, t in docs + swapped}
+    assert sum(k % 5 in got[k] for k in range(100)) >= 90 and not any(got[100 + k] for k in range(40)) and got[204] == {0} and not got[201]
+
+
+def test_op3_odd_rows(spark, odd):
+    long = " ".join(f"w{i % 977}é" for i in range(500, 540))
+    bench = spark.createDataFrame([(None, long, 1), (3, long, 2), (4, None, 3), (5, "", 4)], "item_id long, text string, dk long")
+    got = op3.decontaminate(odd.withColumn("item", odd["doc_id"]).withColumn("kind", odd["lang"]), bench).collect()
+    assert len(got) == 12 and [(r.rest.doc_id, r["items"]) for r in got if r.contaminated] == [(6, [3])]
+
+
 # 5 ------------------------------------------------------------------------------------------------------------------
 
 def test_op5_held_out_accuracy(spark):
