@@ -15,8 +15,9 @@ found for all windows.
 
 Hashes only route: whether windows are equal is decided on their tokens.
 
-Hot marks. A mark that occurs over ``batch_hot`` times in a batch is known to repeat; its rows go
-straight to their documents, and one summary row informs the others. Stretches of a mark with such a
+Hot marks. Of a mark that occurs over ``batch_hot`` times in what a task reads, the rows from then on go
+straight to their documents, and one summary row a batch informs the others (marks are counted in cells; one that shares
+a cell with a frequent mark is treated like it, which costs time and changes nothing). Stretches of a mark with such a
 row, or with over ``hot`` rows, are split into their single windows, each routed by a hash of its own
 tokens, so that a passage found in a third of all documents is dealt over many tasks and its copies
 collapse batch by batch. All paths give the same spans.
@@ -40,6 +41,7 @@ from pyspark.sql import functions as F
 from harvest.llm._text import U64, WORD, gram_hashes, mix, rest_of, window_min
 
 LONGEST = 4096      # windows of a stretch; longer ones are cut
+CELL_BITS = 20      # of the counters of a task (8 MB); marks that share one are counted together
 
 
 class WordCodes(dict):
@@ -143,7 +145,7 @@ def marks(docs: DataFrame, kind: Words | Bytes, hot: int, batch_hot: int) -> Dat
 
     ``at`` holds the first window, the number of windows and whether the mark is hot."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordCodes()
+        known, cells = WordCodes(), np.zeros(1 << CELL_BITS, np.int64)
         for b in batches:
             keys, ths = (b.column(n).to_numpy(zero_copy_only=False) for n in ("dk", "th"))
             texts, found = b.column("text"), []
@@ -155,12 +157,13 @@ def marks(docs: DataFrame, kind: Words | Bytes, hot: int, batch_hot: int) -> Dat
                 continue
             mark, dk, th, at, weight = (np.concatenate(x) for x in zip(*found))
             route = mark.copy()
-            values, inverse, count = np.unique(mark, return_inverse=True, return_counts=True)
-            if count.max() > batch_hot:
-                sure = count[inverse] > batch_hot
+            cell = (mix(mark.view(np.uint64)) >> U64(64 - CELL_BITS)).astype(np.int64)
+            cells += np.bincount(cell, minlength=len(cells))        # over all that the task has read, not over this batch alone
+            sure = cells[cell] > batch_hot
+            if sure.any():
+                known_hot = np.unique(mark[sure])
                 route[sure] = mix(dk[sure].view(np.uint64) ^ mix(th[sure].view(np.uint64))).view(np.int64)
                 weight[sure] = -1
-                known_hot = values[count > batch_hot]
                 k = len(known_hot)
                 route, mark = np.concatenate((route, known_hot)), np.concatenate((mark, known_hot))
                 dk, th, at = (np.concatenate((x, np.zeros(k, np.int64))) for x in (dk, th, at))
@@ -169,26 +172,37 @@ def marks(docs: DataFrame, kind: Words | Bytes, hot: int, batch_hot: int) -> Dat
                                              ["route", "mark", "dk", "th", "at", "weight"])
 
     def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows sorted by mark: keep those of marks that occur twice. weight -1: sure already; -2: a summary."""
-        tail = None
+        """Rows sorted by mark: keep those of marks that occur twice. weight -1: sure already; -2: a summary. Of the mark that may go on in the
+        next batch, rows are held back until it is known to be hot, so never more than ``hot`` and a batch."""
+        tail, going_on = None, None
         for b in batches:
             cols = [b.column(n).to_numpy(zero_copy_only=False) for n in ("mark", "dk", "th", "at", "weight")]
+            if going_on is not None:
+                n = int(np.searchsorted(cols[0], going_on, "right"))
+                yield from keep([x[:n] for x in cols], True)
+                cols = [x[n:] for x in cols]
+                if not len(cols[0]):
+                    continue
+                going_on = None
             if tail is not None:
                 cols = [np.concatenate(x) for x in zip(tail, cols)]
-            last = np.searchsorted(cols[0], cols[0][-1])     # the last mark may go on in the next batch
-            tail = [x[last:] for x in cols]
+            last = np.searchsorted(cols[0], cols[0][-1])
             yield from keep([x[:last] for x in cols])
+            tail = [x[last:] for x in cols]
+            if np.maximum(tail[4], 0).sum() > hot or (tail[4] == -2).any():
+                yield from keep(tail, True)
+                tail, going_on = None, tail[0][0]
         if tail is not None:
             yield from keep(tail)
 
-    def keep(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    def keep(cols: list[np.ndarray], known_hot: bool = False) -> Iterator[pa.RecordBatch]:
         mark, dk, th, at, weight = cols
         if not len(mark):
             return
         first = np.flatnonzero(np.concatenate(([True], mark[1:] != mark[:-1])))
         size = np.diff(np.append(first, len(mark)))
         total = np.add.reduceat(np.maximum(weight, 0), first)
-        summary = np.logical_or.reduceat(weight == -2, first)
+        summary = np.logical_or.reduceat(weight == -2, first) | known_hot
         is_hot = np.repeat(summary | (total > hot), size) | (weight == -1)
         good = (weight != -2) & ((weight == -1) | np.repeat(summary | (total > 1), size))
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (dk[good], th[good], mark[good], at[good] | is_hot[good])], ["dk", "th", "mark", "at"])

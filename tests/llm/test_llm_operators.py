@@ -133,6 +133,18 @@ def test_op1_op4_texts_of_one_id(spark, options):
         assert got == sorted(none_stays(rows, keep_first=first).values())
 
 
+def test_op1_op4_a_passage_in_a_third_of_the_documents(spark):
+    rnd = random.Random(21)
+    passage = " ".join(f"shared{k}" for k in range(40))
+    rows = [(k, f"start{k} {rnd.random()} " + (passage if k % 3 == 0 else "own " * 3) + f" end{k} {rnd.random()}") for k in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    options = {"hot": 100, "batch_hot": 60, "room": 20_000}
+    got = {r.doc_id: tuple(r)[1:] for r in op1.digest(op1.substring_dedup(docs, **options)).collect()}
+    assert got == first_stays(rows) and sum(x[1] for x in got.values()) == 499 * 40
+    got = {r.doc_id: tuple(r)[1:] for r in op4.digest(op4.suffix_dedup(docs, **options)).collect()}
+    assert got == none_stays(rows)
+
+
 def test_suffix_ranks_and_factors():
     rnd = random.Random(3)
     for depth in (3, 8, 20, 24, 50):
