@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as _dt
+import os
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -215,6 +217,54 @@ def key_violations(spark, sf):
     return cat_ops.key_violations(li, ["l_orderkey", "l_linenumber"], parts, "l_partkey", "p_partkey")
 
 
+@register("dataset_tables", f"""
+SELECT '101' || lpad(CAST(n_nationkey AS VARCHAR), 4, '0') AS dataset_id, title, has_table, has_processed, CASE WHEN has_table THEN 3 END AS n_columns FROM (
+  SELECT n_nationkey, n_name AS title, n_nationkey IN (SELECT s_nationkey FROM supplier) AND n_regionkey = 1 AS has_table,
+         n_nationkey IN (SELECT s_nationkey FROM supplier WHERE s_acctbal < 0) AND n_regionkey = 1 AS has_processed FROM nation) t""")
+def dataset_tables(spark, sf):
+    """S07 + S12 + J06: the tables of one region's datasets are made (raw, and processed where a supplier is in debt), listed in the session's
+    catalog, described, set against the catalog of datasets and dropped again."""
+    from harvest.session import checkpoint_dir
+    from harvest.sinks import delete_path
+    root = os.path.join(checkpoint_dir(spark), "harvest", f"tables-{uuid.uuid4().hex}")
+    rows = read_table(spark, sf, "supplier").join(read_table(spark, sf, "nation").where("n_regionkey = 1"), F.col("s_nationkey") == F.col("n_nationkey"))
+    rows = rows.select(compose_id(F.lit("101"), F.col("s_nationkey"), 4).alias("dataset_id"), "s_suppkey", "s_name", "s_acctbal").checkpoint()
+    made = []
+    try:
+        for processed, part in ((False, rows), (True, rows.where("s_acctbal < 0"))):
+            for r in part.select("dataset_id").distinct().collect():          # five datasets of the region at most
+                made.append((r.dataset_id, processed))
+                part.where(F.col("dataset_id") == r.dataset_id).drop("dataset_id").write.option("path", os.path.join(root, cat_ops.table_for(*made[-1]))).saveAsTable(cat_ops.table_for(*made[-1]))
+        names = cat_ops.existing_tables(spark)
+        columns = spark.createDataFrame([(i, len(cat_ops.table_columns(spark, cat_ops.table_for(i)))) for i, p in made if not p and cat_ops.table_exists(spark, cat_ops.table_for(i))],
+                                        "dataset_id string, n_columns int")
+        found = cat_ops.reconcile(nation_catalog(spark, sf), names).where("in_catalog").select("dataset_id", "title", F.col("in_raw").alias("has_table"), F.col("in_processed").alias("has_processed"))
+        return found.join(columns, "dataset_id", "left").checkpoint()
+    finally:
+        for dataset_id, processed in made:
+            cat_ops.drop_dataset_tables(spark, dataset_id, processed_only=processed)
+        delete_path(spark, root)
+
+
+@register("export_roundtrip", """
+SELECT 'json' AS kind, c_custkey, c_name, CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS segment FROM customer
+UNION ALL SELECT 'csv', c_custkey, c_name, CASE WHEN c_acctbal >= 0 THEN c_mktsegment END FROM customer""")
+def export_roundtrip(spark, sf):
+    """K03 + K08: a JSON snapshot and a CSV report (byte order mark, header) of the customers, read back; NULL fields survive both."""
+    from harvest.session import checkpoint_dir
+    from harvest.sinks import delete_path, write_csv_report, write_json_snapshot
+    root = os.path.join(checkpoint_dir(spark), "harvest", f"export-{uuid.uuid4().hex}")
+    c = read_table(spark, sf, "customer").select("c_custkey", "c_name", F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment")).alias("segment"))
+    schema = "c_custkey bigint, c_name string, segment string"
+    try:
+        write_json_snapshot(c, os.path.join(root, "json"))
+        write_csv_report(c, os.path.join(root, "csv"))
+        back = spark.read.schema(schema).json(os.path.join(root, "json")).select(F.lit("json").alias("kind"), "*")
+        return back.unionByName(spark.read.schema(schema).option("header", True).csv(os.path.join(root, "csv")).select(F.lit("csv").alias("kind"), "*")).checkpoint()
+    finally:
+        delete_path(spark, root)
+
+
 # ------------------------------------------------------------------- files
 def page_files(spark, sf):
     p = read_table(spark, sf, "pages")
