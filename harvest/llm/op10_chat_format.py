@@ -8,18 +8,20 @@ arguments refers to the result of that call.
    first result its result; further ones are ``duplicate``, a result without a call is ``orphan``, a call without a
    result ``pending``.
 2. Topological order: a result comes after its call, a call after the results it refers to. Levels (the longest chain
-   before an event) are found round by round, by joining what is still open to what is placed. ``due`` is the
+   before an event) are found round by round: open links meet the events placed in the last round, are counted off, and an
+   event without open links is placed. ``due`` is the
    event's own turn, or that of the latest event it depends on if that is later. Events are placed by (due, level,
    turn); those on or behind a cycle are ``cyclic`` and stand at their own turn. Places are dealt by a skew-safe numbering.
 3. Validation: arguments against the tool's schema (tools: name, param, type, required): unknown tool or parameter, wrong
-   type, missing parameter, or no JSON object. A reference has the type that is asked for.
+   type, missing parameter, no JSON object, or a reference to a call that the conversation does not have. References are
+   resolved first; one that is has the type that is asked for.
 4. Serialisation: one line of canonical JSON for each event: keys in alphabetical order also inside the arguments, no
    spaces, absent values left out.
 
 Events are never gathered by conversation, role or tool, so none of them can be hot.
 
 Defined cases: exact copies of an event count as one (``copies``); a null conv_id is a conversation of its own; null turns
-come last; null and empty texts differ (absent or ""); a call without an id is pending; extra columns are not read.
+come last; null and empty texts differ (absent or ""); a call without an id is pending; without tools, all are unknown; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -42,19 +44,25 @@ def checked(events: DataFrame, tools: DataFrame) -> DataFrame:
     rows = events.withColumn("args", F.try_parse_json("arguments")).withColumn("given", F.expr("try_variant_get(args, '$', 'map<string,variant>')"))
     rows = rows.join(spec, F.col("name") == F.col("tool"), "left")
     fits = " ".join(f"WHEN '{k}' THEN '^({v})'" for k, v in TYPES.items())
-    return rows.select("event", *EVENT, "copies", "args", F.expr("""
-        array_distinct(transform(filter(map_values(given), v -> startswith(coalesce(try_variant_get(v, '$', 'string'), ''), '$')),
-                                 v -> substring(try_variant_get(v, '$', 'string'), 2)))""").alias("refers"), F.expr(f"""
+    found = rows.select("event", *EVENT, "copies", "args", F.expr("""
+        transform(filter(map_entries(given), e -> startswith(coalesce(try_variant_get(e.value, '$', 'string'), ''), '$')),
+                  e -> struct(e.key AS param, substring(try_variant_get(e.value, '$', 'string'), 2) AS ref))""").alias("asks"), F.expr(f"""
         CASE WHEN name IS NULL THEN NULL
              WHEN tool IS NULL THEN array('unknown tool')
              WHEN given IS NULL THEN array('not an object')
-             ELSE array_sort(concat(
+             ELSE concat(
                transform(filter(map_entries(given), e -> spec[e.key] IS NULL), e -> concat('unknown ', e.key)),
                transform(filter(map_entries(given), e -> spec[e.key] IS NOT NULL
                            AND NOT startswith(coalesce(try_variant_get(e.value, '$', 'string'), ''), '$')
                            AND NOT rlike(schema_of_variant(e.value), CASE spec[e.key].type {fits} ELSE '' END)), e -> concat('type ', e.key)),
                transform(filter(map_entries(spec), e -> e.value.required AND NOT coalesce(array_contains(map_keys(given), e.key), false)),
-                         e -> concat('missing ', e.key)))) END""").alias("errors"))
+                         e -> concat('missing ', e.key))) END""").alias("errors"))
+    asked = found.where("name IS NOT NULL AND size(asks) > 0").select("event", "conv_id", F.explode("asks").alias("a")).select("event", "conv_id", "a.param", "a.ref")
+    calls = found.where("name IS NOT NULL AND call_id IS NOT NULL").select(F.col("conv_id").alias("cconv"), F.col("call_id").alias("ccall")).distinct()
+    lost = (asked.join(calls, F.expr("conv_id <=> cconv AND ref = ccall"), "left_anti").groupBy(F.col("event").alias("losing"))
+            .agg(F.collect_set(F.concat(F.lit("unresolved "), "param")).alias("lost")))        # no more than the call has parameters
+    return found.join(lost, F.col("event") == F.col("losing"), "left").select(
+        "event", *EVENT, "copies", "args", F.expr("array_distinct(asks.ref)").alias("refers"), F.expr("array_sort(concat(errors, coalesce(lost, array())))").alias("errors"))
 
 
 def linked(events: DataFrame) -> DataFrame:
@@ -81,19 +89,23 @@ def dependencies(rows: DataFrame) -> DataFrame:
 
 
 def levels(rows: DataFrame) -> DataFrame:
-    """event, level, due of all events that depend on others; those on or behind a cycle have neither."""
-    needs = cut(dependencies(rows).join(rows.select("event", F.coalesce("turn", F.lit(LAST)).alias("turn")), "event"))
-    start = needs.select(F.col("needs").alias("event")).distinct().join(needs.select("event"), "event", "left_anti")
-    placed = cut(start.join(rows.select("event", F.coalesce("turn", F.lit(LAST)).alias("due")), "event").select("event", F.lit(0).alias("level"), "due"))
-    new, left = placed, needs
-    while not left.isEmpty() and not new.isEmpty():
-        done = placed.select(F.col("event").alias("needs"), F.col("level").alias("nlevel"), F.col("due").alias("ndue"))
-        step = left.join(done, "needs", "left").groupBy("event").agg(
-            F.count("nlevel").alias("k"), F.count(F.lit(1)).alias("n"), F.max("nlevel").alias("l"), F.max("ndue").alias("d"), F.first("turn").alias("turn"))
-        new = cut(step.where("k = n").select("event", (F.col("l") + 1).alias("level"), F.greatest("d", "turn").alias("due")))
-        left = cut(left.join(new.select("event"), "event", "left_anti"))
+    """event, level, due of all events that depend on others, or others on them; those on or behind a cycle have neither."""
+    turns = rows.select("event", F.coalesce("turn", F.lit(LAST)).alias("turn"))
+    links = cut(dependencies(rows))
+    depending = links.groupBy("event").agg(F.count(F.lit(1)).alias("n")).join(turns, "event").select(
+        "event", "n", "turn", F.lit(-1).alias("l"), F.lit(None).cast("long").alias("d"))
+    open_ = cut(depending)
+    new = cut(links.select(F.col("needs").alias("event")).distinct().join(links.select("event"), "event", "left_anti").join(turns, "event")
+              .select("event", F.lit(0).alias("level"), F.col("turn").alias("due")))
+    placed, left = new, links
+    while not open_.isEmpty() and not new.isEmpty():
+        last = new.select(F.col("event").alias("needs"), F.col("level").alias("nlevel"), F.col("due").alias("ndue"))
+        met = left.join(last, "needs").groupBy("event").agg(F.count(F.lit(1)).alias("k"), F.max("nlevel").alias("ml"), F.max("ndue").alias("md"))
+        state = cut(open_.join(met, "event", "left").select("event", (F.col("n") - F.coalesce("k", F.lit(0))).alias("n"), "turn", F.greatest("l", "ml").alias("l"), F.greatest("d", "md").alias("d")))
+        left = cut(left.join(last.select("needs"), "needs", "left_anti").select("event", "needs"))
+        new, open_ = state.where("n = 0").select("event", (F.col("l") + 1).alias("level"), F.greatest("d", "turn").alias("due")), state.where("n > 0")
         placed = placed.union(new)
-    return needs.select("event").distinct().join(placed, "event", "left")
+    return links.select("event").distinct().join(placed, "event", "left")
 
 
 def format_chat(events: DataFrame, tools: DataFrame) -> DataFrame:

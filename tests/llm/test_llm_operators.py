@@ -658,6 +658,92 @@ def test_op10_links_order_and_errors(spark):
     assert op10.format_chat(events.limit(0), op10.tool_table(spark)).count() == 0
 
 
+def slow_chat(events, tools):
+    """(conv, place, turn, status, level, errors) of each distinct event, by plain loops."""
+    spec = {}
+    for name, param, kind, required in tools:
+        spec.setdefault(name, {})[param] = (kind, required)
+    fits = {"string": lambda v: isinstance(v, str), "integer": lambda v: isinstance(v, int) and not isinstance(v, bool),
+            "number": lambda v: isinstance(v, (int, float)) and not isinstance(v, bool), "boolean": lambda v: isinstance(v, bool),
+            "object": lambda v: isinstance(v, dict), "array": lambda v: isinstance(v, list)}
+    out = []
+    late = lambda t: op10.LAST if t is None else t
+    for conv in {e[0] for e in events}:
+        own = sorted({e for e in events if e[0] == conv}, key=repr)
+        calls, results = {}, {}
+        for e in sorted(own, key=lambda e: late(e[1])):
+            if e[4] is not None:
+                if e[5] is not None:
+                    calls.setdefault(e[4], e)
+                elif e[2] == "tool":
+                    results.setdefault(e[4], e)
+        status, errors, needs = {}, {}, {e: set() for e in own}
+        for e in own:
+            if e[5] is not None:
+                status[e] = "pending" if e[4] is None else "duplicate" if calls[e[4]] != e else "call" if e[4] in results else "pending"
+                try:
+                    given = json.loads(e[6]) if e[6] is not None else None
+                except ValueError:
+                    given = None
+                refs = {k: v[1:] for k, v in given.items() if isinstance(v, str) and v.startswith("$")} if isinstance(given, dict) else {}
+                if e[5] not in spec:
+                    found = ["unknown tool"]
+                elif not isinstance(given, dict):
+                    found = ["not an object"]
+                else:
+                    s = spec[e[5]]
+                    found = [f"unknown {k}" for k in given if k not in s] + [f"type {k}" for k, v in given.items() if k in s and k not in refs and not fits[s[k][0]](v)]
+                    found += [f"missing {k}" for k, (_, required) in s.items() if required and k not in given]
+                errors[e] = sorted(found + [f"unresolved {k}" for k, r in refs.items() if r not in calls])
+                needs[e] = {results[r] for r in refs.values() if r in results and r in calls}
+            elif e[2] == "tool":
+                status[e] = "orphan" if e[4] not in calls or e[4] is None else "duplicate" if results[e[4]] != e else "result"
+                if status[e] == "result":
+                    needs[e] = {calls[e[4]]}
+            else:
+                status[e] = "message"
+        level, due = {}, {}
+        while True:
+            ready = [e for e in own if e not in level and all(x in level for x in needs[e])]
+            if not ready:
+                break
+            for e in ready:
+                level[e] = max((level[x] + 1 for x in needs[e]), default=0)
+                due[e] = max([late(e[1]), *(due[x] for x in needs[e])])
+        for e in own:
+            if e not in level:
+                status[e] = "cyclic"
+        order = sorted(own, key=lambda e: (due.get(e, late(e[1])), level.get(e, 0), late(e[1])))
+        out += [(conv, k + 1, e[1], e[4], status[e], level.get(e), errors.get(e)) for k, e in enumerate(order)]
+    return out
+
+
+def test_op10_brute_force(spark):
+    rnd = random.Random(31)
+    tools = [tuple(r) for r in op10.tool_table(spark).collect()] + [("deep", "flag", "boolean", True), ("deep", "list", "array", False), ("deep", "more", "object", False)]
+    value = lambda: rnd.choice(['"x"', "3", "2.5", "true", "null", "[1]", '{"a":1}', '"$a"', '"$b"', '"$c"', '"$5"', '"$"', '"' + "long " * 2000 + '"'])
+    events, turn = [], 0
+    for conv in [*range(12), None]:
+        for _ in range(14):
+            turn += rnd.choice([1, 3])          # turns do not tie, so places are determined
+            kind = rnd.choice(["call", "call", "tool", "user"])
+            call = rnd.choice(["a", "b", "c", "d", None])
+            if kind == "call":
+                args = rnd.choice([None, "no json", "[1]"]) if rnd.random() < 0.1 else "{" + ",".join(f'"{k}":{value()}' for k in rnd.sample(["query", "limit", "after", "flag", "list", "more", "odd"], rnd.randrange(4))) + "}"
+                events.append((conv, turn, "assistant", None, call, rnd.choice(["lookup", "deep", "none"]), args))
+            else:
+                events.append((conv, turn, kind, rnd.choice(["t", "", None]), call if kind == "tool" else None, None, None))
+    events += events[:5]
+    schema = "conv_id long, turn long, role string, text string, call_id string, name string, arguments string"
+    rows = spark.createDataFrame([(*e, "x", 1) for e in events], schema + ", status string, level int")
+    got = op10.format_chat(rows, spark.createDataFrame(tools, "name string, param string, type string, required boolean")).collect()
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    assert sorted(((r.conv_id, r.place, r.turn, r.call_id, r.status, r.level, r.errors) for r in got), key=key) == sorted(slow_chat(events, tools), key=key)
+    assert {"call", "pending", "result", "orphan", "duplicate", "cyclic", "message"} <= {r.status for r in got} | {"cyclic"} and any("unresolved limit" in (r.errors or ()) for r in got)
+    none = op10.format_chat(rows, spark.createDataFrame([], "name string, param string, type string, required boolean")).where("errors is not null").collect()
+    assert none and all("unknown tool" in r.errors for r in none)
+
+
 def test_op10_over_the_table(spark):
     c = spark.read.parquet(f"{SF}/conversations.parquet")
     got = op10.format_chat(op10.tool_use(c), op10.tool_table(spark)).collect()
