@@ -120,10 +120,12 @@ def fit(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang",
     count = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(most).collect()}
     if not count:
         return Model(dims, np.ones(dims, np.float32), [], np.zeros((0, dims), np.float32), np.zeros((0, len(BANDS))))
-    share = F.create_map(*[F.lit(x) for l, n in count.items() for x in (l, min(1.0, per_language / n))])[F.col("lang")]
+    # Each language gets its part of the bound; those with no more texts than that are learned whole, and never cut for the others.
+    each = max(1, min(per_language, most // len(count)))
+    share = F.create_map(*[F.lit(x) for l, n in count.items() for x in (l, min(1.0, each / n))])[F.col("lang")]
     key = F.xxhash64("text")
-    sample = (rows.withColumn("key", key).where(F.pmod("key", F.lit(1 << 30)) < share * (1 << 30))
-              .dropDuplicates(["lang", "key"]).orderBy("key", "lang").limit(most).select("lang", "text").repartition(8, "text"))
+    sample = (rows.withColumn("key", key).withColumn("share", share).where(F.pmod("key", F.lit(1 << 30)) < F.col("share") * (1 << 30))
+              .dropDuplicates(["lang", "key"]).orderBy(F.col("share") < 1, "key", "lang").limit(most).select("lang", "text").repartition(8, "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, 200):

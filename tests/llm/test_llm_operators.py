@@ -359,6 +359,21 @@ def test_op5_odd_rows(spark, odd):
     assert {(r.lang_pred, r.rejected) for r in nothing.collect()} == {("und", True)}
 
 
+def test_op5_small_languages_are_learned(spark):
+    """Forty languages of many texts and one of five: it is in the sample whatever the hashes say."""
+    rnd = random.Random(17)
+    letters = [chr(0x400 + k) for k in range(200)]
+    rows = []
+    for l in range(41):
+        own = letters[l * 4:l * 4 + 8]
+        rows += [(len(rows) + k, " ".join("".join(rnd.choices(own, k=5)) for _ in range(12)), f"l{l:02d}") for k in range(5 if l == 40 else 100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = op5.fit(docs, docs["doc_id"] >= 0, most=400)
+    assert set(model.languages) == {f"l{l:02d}" for l in range(41)}
+    found = op5.identify(docs.where("lang = 'l40'"), model).collect()
+    assert {r.lang_pred for r in found} == {"l40"}
+
+
 # 6 ------------------------------------------------------------------------------------------------------------------
 
 def slow_fingerprint(text):
