@@ -73,7 +73,7 @@ def plan_refresh(rows: DataFrame, configs: DataFrame, known: DataFrame, totals:
     (dataset_id, row_count, max_seq). Exact copies of a row go first (A03). Per dataset: date cutoff on its date column, load mode
     from its title and its first row after cut and sort, then either every row with ids from 1 (full replace) or only rows whose key is not
     stored, with ids after the stored maximum. A dataset without key columns can be replaced, but not compared: unless its mode
-    is ``full``, nothing of it is stored and its status is ``error``. Without ``replace``, no dataset is in full mode.
+    is ``full``, nothing of it is stored and its status is ``error``; so it is for rows without a dataset id. Without ``replace``, no dataset is in full mode.
 
     Returns (dataset_id, _ord, _key, _spec, mode, seq, row_id) of the rows to store, and (dataset_id, mode, status, downloaded, unique_rows,
     stored_rows) of each landed dataset; status ``error``, ``ok`` otherwise."""
@@ -88,7 +88,8 @@ def plan_refresh(rows: DataFrame, configs: DataFrame, known: DataFrame, totals:
     sizes = first_copies.groupBy("dataset_id").agg(F.sum("_n").alias("downloaded"), F.count(F.lit(1)).alias("unique_rows"),
                                                    F.any_value("title").alias("title"), F.any_value("_spec").alias("_spec"))
     mode = load_mode(F.col("title"), F.col("_url")) if replace else F.lit("incremental")
-    status = F.when((mode != "full") & F.col("_spec").isNull(), "error").otherwise("ok")
+    nameless = F.coalesce("dataset_id", F.lit("")) == ""
+    status = F.when(nameless | (mode != "full") & F.col("_spec").isNull(), "error").otherwise("ok")
     datasets = (sizes.join(head, "dataset_id", "left").join(totals.select("dataset_id", F.col("row_count").alias("stored_rows"), "max_seq"), "dataset_id", "left")
                 .select("dataset_id", mode.alias("mode"), status.alias("status"), "downloaded", "unique_rows", F.coalesce("stored_rows", F.lit(0)).alias("stored_rows"),
                         "max_seq").checkpoint())

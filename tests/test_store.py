@@ -72,6 +72,8 @@ def test_a_dataset_without_keys_is_an_error_and_loses_nothing(spark, store, conf
     assert not [r for r in stored(store) if r[0].startswith("1010009")]
     known = configs.unionByName(spark.createDataFrame([("1010009", ["id"], None, "x", None), ("1010008", [], None, "x", None)], CONFIG))
     assert refreshed(spark, store, known, more)["1010009"] == ("incremental", "updated", 4, 4, 4, 4)
+    nameless = refreshed(spark, store, known, [(None, 0, '{"id": "x"}'), ("", 0, '{"id": "y", "分布圖Url": "u"}'), ("1010009", 9, '{"id": "9"}')])
+    assert {k: v[1] for k, v in nameless.items()} == {None: "error", "": "error", "1010009": "updated"} and store.rows().where("dataset_id is null or dataset_id = ''").count() == 0
 
 
 def test_cut_dataset_and_empty_batch(spark, store):
@@ -151,7 +153,7 @@ def test_compact_and_sweep(spark, store, configs):
     assert refreshed(spark, again, configs, ROWS)["1010001"][1] == "unchanged"
 
 
-@pytest.mark.parametrize("step", ["stage_rows", "stage_keys", "commit", "_ledger_written"])
+@pytest.mark.parametrize("step", ["stage_rows", "stage_keys", "_ledger_written"])
 def test_a_refresh_that_breaks_off_changes_nothing(spark, store, configs, step, monkeypatch):
     refreshed(spark, store, configs, ROWS)
     before, keys, version = stored(store), index(store), store.version()
