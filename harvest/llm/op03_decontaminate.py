@@ -38,6 +38,7 @@ from harvest.llm._text import U64, WORD, cut, gram_hashes, mix, pieces, rest_of
 
 BITS = 24       # of the bit map: 2 MB, whatever the benchmark's size
 EDGE = re.compile(r"^\W+|\W+$")
+OTHER_SPACE = re.compile("[\x1c-\x1f]")      # what str.split takes for space in ASCII texts and WORD does not
 NUMBER = re.compile(r"[+-]?[\d][\d.,:/]*(st|nd|rd|th|%)?$")
 NUMBER_WORDS = frozenset("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen "
                          "nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion dozen "
@@ -51,50 +52,71 @@ UNITS = frozenset("km m cm mm mi mile miles ft foot feet inch inches yd yards kg
                   "usd eur gbp dollar dollars euro euros pound pounds cent cents percent mph kph kmh w kw kwh v volts watts hz khz mhz ghz "
                   "kb mb gb tb °c °f celsius fahrenheit degrees".split())
 PLAIN, NUM, NAME, UNIT, NOTHING = range(5)
+LISTED = {**dict.fromkeys(UNITS, UNIT), **dict.fromkeys(NUMBER_WORDS, NUM)}
 PLACE = np.array([0, *(xxhash.xxh64_intdigest(f"<{k}>") for k in ("number", "name", "unit")), 0], np.uint64)
 
 
+#: What EDGE strips of most words; flags of a word beside its kind.
+ASCII_EDGE = "!\"#$%&'()*+,-./:;<=>?@[\\]^`{|}~"
+KIND, CAPITAL, ENDS, GLUED_BIT = 7, 8, 16, 32
+
+
 class Lexer(dict):
-    """Number of each word seen of late; for that number, arrays of its word and token hash, kind and whether it ends a sentence."""
+    """Number of each word seen of late; for that number, arrays of its word's hash and its flags: kind, whether it is capitalised,
+    whether it ends a sentence, and whether it is a number with a unit behind."""
 
     def __init__(self, room: int = 1 << 19) -> None:
         super().__init__()
-        self.word, self.hash, self.kind = np.zeros(room, np.uint64), np.zeros(room, np.uint64), np.zeros(room, np.int8)
-        self.capital, self.ends, self.glued = np.zeros(room, bool), np.zeros(room, bool), np.zeros(room, bool)
+        self.word, self.flags = np.zeros(room, np.uint64), np.zeros(room, np.uint8)
 
     def __missing__(self, word: str) -> int:
         n = len(self)
-        if n == len(self.hash):
-            for name in ("word", "hash", "kind", "capital", "ends", "glued"):
-                setattr(self, name, np.concatenate((getattr(self, name), np.zeros_like(getattr(self, name)))))
-        core = EDGE.sub("", word)
-        small = core.lower()
-        kind = NOTHING if not core else NUM if NUMBER.match(core) or small in NUMBER_WORDS else UNIT if small in UNITS else PLAIN
+        if n == len(self.flags):
+            self.word, self.flags = (np.concatenate((x, np.zeros_like(x))) for x in (self.word, self.flags))
+        if word.isalpha() and word.islower():       # most words
+            small, flags = word, LISTED.get(word, PLAIN)
+        else:
+            bare = core_of(word)
+            small, flags = bare.lower(), self.flags_of(word, bare)
         self.word[n] = xxhash.xxh64_intdigest(small.encode("utf-8", "surrogatepass"))
-        self.hash[n] = PLACE[kind] if kind else self.word[n]
-        self.kind[n], self.capital[n], self.ends[n] = kind, core[:1].isupper() and not core.isupper() and kind == PLAIN, word.rstrip("\"')]»”").endswith((".", "!", "?", ":"))
-        self.glued[n] = bool((m := GLUED.match(small)) and m[2] in UNITS)
+        self.flags[n] = flags
         self[word] = n
         return n
 
+    @staticmethod
+    def flags_of(word: str, bare: str) -> int:
+        flags, small = NOTHING, bare.lower()
+        if bare:
+            digit = bare[0].isdigit()
+            flags = NUM if digit and NUMBER.match(bare) else LISTED.get(small, PLAIN)
+            if flags == PLAIN and bare[0].isupper() and not bare.isupper():
+                flags |= CAPITAL
+            if digit and (m := GLUED.match(small)) and m[2] in UNITS:
+                flags |= GLUED_BIT
+        if not word[-1].isalnum() and word.rstrip("\"')]»”").endswith((".", "!", "?", ":")):
+            flags |= ENDS
+        return flags
+
     def read(self, text: str | None) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
         """words, their hashes, token hashes and kinds."""
-        if len(self) > 200_000:
+        if len(self) > 400_000:
             self.clear()
-        words = WORD.findall(text) if text else []
+        words = [] if not text else text.split() if text.isascii() and not OTHER_SPACE.search(text) else WORD.findall(text)
         code = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        if self.glued[code].any():
-            words = [x for w, g in zip(words, self.glued[code].tolist()) for x in (parted(w) if g else (w,))]
+        flags = self.flags[code]
+        if (flags & GLUED_BIT).any():
+            words = [x for w, g in zip(words, (flags & GLUED_BIT).tolist()) for x in (parted(w) if g else (w,))]
             code = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        kind = self.kind[code]
-        begins = np.concatenate(([True], self.ends[code[:-1]])) if len(code) else np.empty(0, bool)
-        capital, name = self.capital[code], self.capital[code] & ~begins
+            flags = self.flags[code]
+        kind, literal = (flags & KIND).astype(np.int8), self.word[code]
+        capital, begins = flags & CAPITAL > 0, np.ones(len(code), bool)
+        begins[1:] = flags[:-1] & ENDS > 0
+        name = capital & ~begins
         opener = capital & begins
         if opener.any() and name.any():
-            word = self.word[code]
-            name[opener] = np.isin(word[opener], word[name]) & ~np.isin(word[opener], word[~capital])
-        kind = np.where(name, NAME, kind)
-        literal, hashes = self.word[code], np.where(name, PLACE[NAME], self.hash[code])
+            name[opener] = np.isin(literal[opener], literal[name]) & ~np.isin(literal[opener], literal[~capital])
+        kind[name] = NAME
+        hashes = np.where(kind == PLAIN, literal, PLACE[kind])
         real = kind != NOTHING
         if not real.all():
             words = [w for w, r in zip(words, real.tolist()) if r]
@@ -102,8 +124,14 @@ class Lexer(dict):
         return words, literal, hashes, kind
 
 
+def core_of(word: str) -> str:
+    """The word without what is no letter or digit at its ends."""
+    bare = word.strip(ASCII_EDGE)
+    return bare if bare.isalnum() else EDGE.sub("", word)
+
+
 def core(word: str) -> str:
-    return EDGE.sub("", word).lower()
+    return core_of(word).lower()
 
 
 def parted(word: str) -> tuple[str, str]:
