@@ -36,6 +36,11 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def let(value: Column, then) -> Column:
+    """``then(value)`` with the value computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), lambda v: then(v)), 1)
+
+
 def _fit_bytes(s: Column, max_chars: int, max_bytes: Column | int) -> Column:
     """Longest prefix of ``s`` (at most ``max_chars`` chars) within ``max_bytes`` UTF-8 bytes."""
     mb = max_bytes if isinstance(max_bytes, Column) else F.lit(max_bytes)
@@ -188,22 +193,25 @@ NAMED_REFERENCES = {
 def html_unescape(col) -> Column:
     """Decode numeric and the common named character references; others stay. The text is split at ``&``, so that
     what a reference decodes to is not read again."""
-    s = _c(col)
     names = F.create_map(*[F.lit(x) for pair in NAMED_REFERENCES.items() for x in pair])
 
-    def decoded(part: Column) -> Column:
-        name = F.regexp_extract(part, r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z]{2,8});", 1)
+    def numbered(code: Column) -> Column:
+        sound = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+        return F.when(code == 160, F.lit(" ")).when(sound, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+
+    def char(name: Column) -> Column:
         digits = F.regexp_extract(name, r"^#[xX]?(.+)$", 1)
         code = F.when(name.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).try_cast("int")
-        sound = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
-        char = F.when(name.startswith("#"), F.when(sound, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))) \
-            .otherwise(F.element_at(names, name))
-        return F.coalesce(F.concat(F.when(code == 160, F.lit(" ")).otherwise(char), F.substr(part, F.length(name) + 2)),
-                          F.concat(F.lit("&"), part))
+        return F.when(name.startswith("#"), let(code, numbered)).otherwise(F.element_at(names, name))
+
+    def decoded(part: Column) -> Column:
+        name = F.regexp_extract(part, r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z]{2,8});", 1)
+        return F.coalesce(let(name, lambda n: F.concat(char(n), F.substr(part, F.length(n) + 2))), F.concat(F.lit("&"), part))
+
+    def whole(parts: Column) -> Column:
+        return F.concat(F.get(parts, 0), F.array_join(F.transform(F.slice(parts, 2, 1 << 30), decoded), ""))
 
-    parts = F.split(s, "&")
-    whole = F.concat(F.get(parts, 0), F.array_join(F.transform(F.slice(parts, 2, 1 << 30), decoded), ""))
-    return F.when(F.contains(s, F.lit("&")), whole).otherwise(s)
+    return let(_c(col), lambda s: F.when(F.contains(s, F.lit("&")), let(F.split(s, "&"), whole)).otherwise(s))
 
 
 def strip_tags(col) -> Column:
@@ -212,4 +220,8 @@ def strip_tags(col) -> Column:
 
 def tag_text(col) -> Column:
     """Text of an HTML fragment the way ``get_text(strip=True)`` gives it: each piece between tags is trimmed."""
-    return F.array_join(F.transform(F.split(_c(col), r"<[^>]*>"), lambda t: F.regexp_replace(html_unescape(t), r"(?U)^\s+|\s+$", "")), "")
+    def piece(t: Column) -> Column:
+        return F.regexp_replace(html_unescape(t), r"(?U)^\s+|\s+$", "")
+
+    # text without a tag is one piece
+    return let(_c(col), lambda s: F.when(F.contains(s, F.lit("<")), F.array_join(F.transform(F.split(s, r"<[^>]*>"), piece), "")).otherwise(piece(s)))

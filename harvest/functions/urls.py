@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from harvest.functions.text import let
+
 SKIP_PARAM = "$skip"  # fixed page-offset parameter name of the portal API
 
 
@@ -75,11 +77,6 @@ def page_url(col, skip) -> Column:
     return F.concat(u, sep, F.lit(SKIP_PARAM + "="), s.cast("string"))
 
 
-def _let(value: Column, then) -> Column:
-    """``then(value)`` with the value computed once, however often it is used."""
-    return F.get(F.transform(F.array(value), lambda v: then(v)), 0)
-
-
 def fold_dots(link: Column) -> Column:
     """A link's path, which begins with a slash, without ``.`` and ``..`` segments; query and fragment stay."""
     def folded(whole: Column, path: Column) -> Column:
@@ -92,7 +89,7 @@ def fold_dots(link: Column) -> Column:
         return F.when(path.rlike(r"/\.\.?(/|$)"), F.concat(F.lit("/"), F.array_join(kept, "/"), F.substr(whole, F.length(path) + 1))).otherwise(whole)
 
     # most links have no dot behind a slash and are left alone
-    return _let(link, lambda l: F.when(F.contains(l, F.lit("/.")), _let(F.regexp_extract(l, r"^([^?#]*)", 1), lambda path: folded(l, path))).otherwise(l))
+    return let(link, lambda l: F.when(F.contains(l, F.lit("/.")), let(F.regexp_extract(l, r"^([^?#]*)", 1), lambda path: folded(l, path))).otherwise(l))
 
 
 def resolve_link(base_col, link_col) -> Column:
@@ -102,18 +99,24 @@ def resolve_link(base_col, link_col) -> Column:
     scheme and host; ``?q`` / ``#f`` attach to the page path; anything else is
     resolved against the page's directory. ``.`` and ``..`` segments are folded.
     """
-    b, l = _c(base_col), _c(link_col)
-    origin = F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
-    scheme = F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
-    page = F.regexp_extract(b, r"^([^?#]*)", 1)
-    page_noq = F.regexp_extract(b, r"^([^#]*)", 1)
-    dir_ = F.when(F.regexp_extract(page, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/]*(/.*)?$", 1) == "",
-                  F.concat(page, F.lit("/"))).otherwise(F.regexp_extract(page, r"^(.*/)", 1))
-    return (F.when(l.isNull(), F.lit(None).cast("string"))
-            .when(l.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), l)
-            .when(l.startswith("//"), F.concat(scheme, F.lit(":"), l))
-            .when(l.startswith("/"), F.concat(origin, fold_dots(l)))
-            .when(l == "", b)
-            .when(l.startswith("?"), F.concat(page, l))
-            .when(l.startswith("#"), F.concat(page_noq, l))
-            .otherwise(F.concat(origin, fold_dots(F.concat(F.substr(dir_, F.length(origin) + 1), l)))))
+    def resolved(b: Column, l: Column) -> Column:
+        origin = F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+        scheme = F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
+        page = F.regexp_extract(b, r"^([^?#]*)", 1)
+        page_noq = F.regexp_extract(b, r"^([^#]*)", 1)
+
+        def in_directory(page: Column, origin: Column) -> Column:
+            dir_ = F.when(F.regexp_extract(page, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/]*(/.*)?$", 1) == "",
+                          F.concat(page, F.lit("/"))).otherwise(F.regexp_extract(page, r"^(.*/)", 1))
+            return F.concat(origin, fold_dots(F.concat(F.substr(dir_, F.length(origin) + 1), l)))
+
+        return (F.when(l.isNull(), F.lit(None).cast("string"))
+                .when(l.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), l)
+                .when(l.startswith("//"), F.concat(scheme, F.lit(":"), l))
+                .when(l.startswith("/"), F.concat(origin, fold_dots(l)))
+                .when(l == "", b)
+                .when(l.startswith("?"), F.concat(page, l))
+                .when(l.startswith("#"), F.concat(page_noq, l))
+                .otherwise(let(page, lambda p: let(origin, lambda o: in_directory(p, o)))))
+
+    return let(_c(link_col), lambda l: resolved(_c(base_col), l))

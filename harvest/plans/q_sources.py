@@ -186,7 +186,8 @@ def _portal_field(label, value):
 def portal_pages(spark, sf):
     """A portal page for each order: a decoy block before the real one, divs inside values, values without a tag, labels without a value, a
     rating, divs that never end, character references, relative links, the update time in the title block, elsewhere, or missing."""
-    o = read_table(spark, sf, "orders")
+    # A short row becomes a page that takes thousands of times longer to read: rows are dealt evenly over the tasks, however few files they come from.
+    o = read_table(spark, sf, "orders").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     key = F.col("o_orderkey")
     k, stamp = key.cast("string"), F.date_format("o_orderdate", "yyyy/MM/dd HH:mm:ss")
     block = '<div class="data-search data-content">'

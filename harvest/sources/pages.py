@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harvest.functions.text import strip_title_suffix, tag_text
+from harvest.functions.text import let, strip_title_suffix, tag_text
 from harvest.functions.urls import resolve_link
 
 # Fixed label texts of the portal pages.
@@ -52,21 +52,21 @@ STAMP_RE = r"(\d{4}/\d{2}/\d{2} \d{2}:\d{2}:\d{2})"
 
 
 def _first(col: Column, pattern: str, group: int = 1) -> Column:
-    v = F.regexp_extract(col, pattern, group)
-    return F.when(v != "", v)
+    return let(F.regexp_extract(col, pattern, group), lambda v: F.when(v != "", v))
 
 
 def _inside_div(rest: Column) -> Column:
     """What of the text after a div's start tag lies inside it: up to the end tag that closes as many divs as begin. The
     depth is summed part by part and the parts inside are joined once, in time linear in the text, also if the div never ends."""
-    parts = F.split(rest, DIV_END_RE)
-
     def step(done: Column, part: Column) -> Column:
-        more = F.struct((done["depth"] + F.size(F.split(part, DIV_START_RE)) - 2).alias("depth"), (done["parts"] + 1).alias("parts"))
+        more = F.struct((done["depth"] + F.regexp_count(part, F.lit(DIV_START_RE)) - 1).alias("depth"), (done["parts"] + 1).alias("parts"))
         return F.when(done["depth"] > 0, more).otherwise(done)
 
-    inside = F.aggregate(parts, F.struct(F.lit(1).alias("depth"), F.lit(0).alias("parts")), step)["parts"]
-    return F.array_join(F.slice(parts, F.lit(1), inside), "")
+    def inside(parts: Column) -> Column:
+        n = F.aggregate(parts, F.struct(F.lit(1).alias("depth"), F.lit(0).alias("parts")), step)["parts"]
+        return F.array_join(F.slice(parts, F.lit(1), n), "")
+
+    return let(F.split(rest, DIV_END_RE), inside)
 
 
 def _update_time(html: Column) -> Column:
@@ -87,8 +87,8 @@ def _value(url: Column, p: Column) -> Column:
     div = p["v"]
     text = tag_text(F.regexp_extract(div, VALUE_RE, 2))
     has_tag = F.regexp_extract(div, VALUE_RE, 1) != ""
-    link = F.regexp_extract(div, FIRST_HREF_RE, 1)
-    return F.when((p["k"] == API_LABEL) & (link != ""), resolve_link(url, link)).otherwise(F.when(has_tag, text))
+    link = F.when(p["k"] == API_LABEL, F.regexp_extract(div, FIRST_HREF_RE, 1)).otherwise("")
+    return let(link, lambda l: F.when(l != "", resolve_link(url, l)).otherwise(F.when(has_tag, text)))
 
 
 def with_portal_fields(df: DataFrame, html_col: str = "html", url_col: str = "url",

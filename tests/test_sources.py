@@ -163,3 +163,36 @@ def test_portal_fields_by_structure(spark):
     r = page_metadata(spark.createDataFrame([("http://h/p/q/r.html", html)], "url string, html string")).first()
     assert (r.title, r.category, r.provider, r.description, r.frequency) == ("甲乙中文©&lt;&unknown;&#xD800;", "糧食", "農糧署", None, None)
     assert r.api_url == "http://h/p/api/x.json" and r.updated_at_src == "2025/01/02 03:04:05" and r.complete
+
+
+def _orders(path, n):
+    import datetime as dt
+    import os
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    day = dt.datetime(1996, 2, 29, 1, 2, 3)
+    pq.write_table(pa.table({"o_orderkey": pa.array(range(n), pa.int64()), "o_custkey": pa.array([None if i == 5 else i + 9 for i in range(n)], pa.int64()),
+                             "o_orderstatus": [("F", "O", "P", None)[i % 4] for i in range(n)], "o_totalprice": [1.0] * n, "o_orderdate": pa.array([day] * n, pa.timestamp("us")),
+                             "o_orderpriority": ["1-URGENT"] * n}), os.path.join(path, "orders.parquet"))
+
+
+def test_portal_pages_are_dealt_over_tasks_and_read_once(spark, tmp_path):
+    """One small file of orders is one scan task; its pages are read in as many tasks as a shuffle has, and no pattern is repeated for each use of its result."""
+    from harvest.plans.q_sources import portal_metadata, portal_pages
+    from harvest.sources.pages import page_metadata
+    _orders(tmp_path, 40)
+    pages = portal_pages(spark, str(tmp_path))
+    assert pages.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    import contextlib
+    import io
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        page_metadata(pages).explain("extended")
+    optimized = text.getvalue().split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    assert 1 <= optimized.count("<a\\s[^>]*?href") <= 2          # the page's first link, and the one of the API field
+    got = {r["page_id"]: r for r in portal_metadata(spark, str(tmp_path)).collect()}
+    assert len(got) == 40
+    assert got[22]["description"] == "deep" and got[23]["description"] == "中<23>"
+    assert got[7]["provider"] == "Clerk &Co" and got[8]["provider"] == "Clerk 17" and got[8]["frequency"] == "daily"
+    assert got[6]["api_url"] == "http://portal.example/list/api/6.json?x=1" and got[6]["first_link"] == "http://portal.example/home/index.html"
+    assert got[6]["updated_at_src"] == "1996/02/29 01:02:03" and got[10]["updated_at_src"] is None
