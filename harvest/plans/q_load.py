@@ -298,7 +298,8 @@ def typed_sort(spark, sf):
 # ------------------------------------------------------- whole-catalog jobs
 def event_payload_rows(spark, sf):
     """Every event as a row of dataset ``event_type`` with a VARIANT payload."""
-    ev = read_table(spark, sf, "events")
+    # The payloads take far longer to make and read than the rows to move: rows are dealt evenly over the tasks, however few files they come from.
+    ev = read_table(spark, sf, "events").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     k = F.get_json_object("props", "$.k").cast("bigint")
     map_url = F.when(F.col("event_type") == "view", F.concat(F.lit("http://m/"), F.col("event_id").cast("string"))) \
         .when((F.col("event_type") == "purchase") & (F.col("value") > 400),
