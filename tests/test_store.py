@@ -221,3 +221,17 @@ def test_queries_leave_no_store_behind(spark):
     before = names()
     assert E.queries()["store_totals"](spark, SF).count() == 6
     assert names() == before and not [t.name for t in spark.catalog.listTables() if t.name.startswith("harvest_keys_")]
+
+
+def test_payloads_of_one_small_file_are_made_in_many_tasks(spark, tmp_path):
+    """One small file of events is one scan task; payloads are made in as many tasks as a shuffle has, one for each event, odd ones included."""
+    import datetime as dt
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from harvest.plans.q_load import event_payload_rows
+    at = [dt.datetime(2024, 1, 2, 3, 4, 5), None] * 20
+    pq.write_table(pa.table({"event_id": pa.array([i // 2 for i in range(40)], pa.int64()), "ts": pa.array(at, pa.timestamp("us")), "user_id": pa.array([None] * 40, pa.int64()),
+                             "event_type": ["view", "click", None, "purchase"] * 10, "value": [500.0] * 40, "props": ['{"k": 3}', None] * 20}), str(tmp_path / "events.parquet"))
+    rows = event_payload_rows(spark, str(tmp_path))
+    assert rows.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(r["_ord"] for r in rows.collect()) == sorted(i // 2 for i in range(40))
